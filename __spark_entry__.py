@@ -15,7 +15,7 @@ from blockloom.functions import keys  # noqa: E402
 from blockloom.model import ADDRESS_TABLE, CELL, RAW_TABLE, TX_ORDER, TX_TABLE  # noqa: E402
 from blockloom.operators import blocks, cells, payloads, ranges  # noqa: E402
 from blockloom.plans import archiving, loading  # noqa: E402
-from blockloom.session import scratch_path  # noqa: E402
+from blockloom.session import scratch_path, stage  # noqa: E402
 from blockloom.sources import archive, ledgers, tables  # noqa: E402
 from blockloom.streaming import live  # noqa: E402
 
@@ -57,12 +57,16 @@ def _hex(number: str) -> str:
 
 
 _LINES = """
+dealt AS (
+  SELECT *, CASE WHEN lines > 4096 THEN lines // 4096 + 1 ELSE 1 END AS lanes,
+    (l_partkey + l_suppkey) % lanes AS lane
+  FROM (SELECT *, count(*) OVER (PARTITION BY l_orderkey) AS lines FROM lineitem)),
 numbered AS (
-  SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey,
+  SELECT *, row_number() OVER (PARTITION BY l_orderkey, lane ORDER BY l_linenumber, l_partkey, l_suppkey,
     l_extendedprice, l_quantity, l_shipdate, l_discount, l_tax, l_returnflag, l_linestatus) - 1 AS place
-  FROM lineitem),
+  FROM dealt),
 tx AS (
-  SELECT l_orderkey + (place // 4096) * 1099511627776 AS slot, place % 4096 AS idx,
+  SELECT l_orderkey + (lane + lanes * (place // 4096)) * 1099511627776 AS slot, place % 4096 AS idx,
     date_diff('second', TIMESTAMP '1970-01-01', o_orderdate) AS block_time,
     CASE WHEN l_quantity > 45 THEN 'q' || CAST(l_quantity AS INTEGER) END AS memo,
     CASE WHEN l_returnflag <> 'N' THEN l_returnflag END AS err,
@@ -342,9 +346,9 @@ def _entries_text() -> Column:
 def _load_blocks(spark: SparkSession, sf_dir: str) -> str:
     """Archive all block cells, load them twice, return where the serving tables are."""
     root, ledger, out = (scratch_path(spark, name) for name in ("archive", "ledger", "serving"))
+    rows = stage(samples.block_cells(spark, sf_dir), "block-cells")
+    slots = samples.order_slots(spark, sf_dir).agg(F.max("slot")).first()[0]
     for table in ("blocks", "entries"):
-        rows = samples.block_cells(spark, sf_dir)
-        slots = samples.order_slots(spark, sf_dir).agg(F.max("slot")).first()[0]
         archiving.archive_key_range(spark, rows, 0, slots, samples.RANGE_SIZE * 50, root, ledger, "sync", table)
     for _ in range(2):
         loading.load_archive(

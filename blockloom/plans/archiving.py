@@ -41,6 +41,7 @@ def archive_key_range(
     ledger_path: str,
     sync_type: str,
     table: str,
+    in_key_order: bool = False,
 ) -> None:
     """Copy the unfinished ranges between ``start`` and ``end`` to the archive.
 
@@ -52,11 +53,13 @@ def archive_key_range(
     ledger = ledgers.read_range_ledger(spark, ledger_path, sync_type, table)
     # Fixed before the ledger grows; it holds one short row per range.
     pending = stage(ranges.pending_ranges(planned, ledger), "pending-ranges")
-    first, last = start // size * size, end // size * size + size - 1
-    rows = archive.read_key_range(cells, f"{first:016x}", f"{last:016x}")
+    first, last = pending.agg(F.min("start_key"), F.max("end_key")).first()
+    if first is None:
+        return
+    rows = archive.read_key_range(cells, first, last)
     chosen = to_archive(rows, sync_type, table, size).join(pending, ["start_key", "end_key"], "left_semi")
     try:
-        archive.write_archive(chosen, root)
+        archive.write_archive(chosen, root, in_key_order)
     except Exception:
         ledgers.mark_ranges(pending, ledger_path, sync_type, table, size, STATUS_FAILED)
         raise

@@ -14,6 +14,8 @@ from blockloom.operators import payloads, ranges
 from blockloom.session import stage
 from blockloom.sources import archive, ledgers, tables
 
+REJECTED = "row_key string, slot bigint, error string"
+
 _CORRUPT = "_corrupt_record"
 
 Parser = Callable[[Column], Column]
@@ -155,6 +157,8 @@ def load_archive(
     """
     ledger_path = f"{out}/snapshots"
     files = stage(candidate_files(spark, root, sync_type, start, end, ledger_path), "load-files")
+    if files.isEmpty():
+        return spark.createDataFrame([], REJECTED)
     blocks = raw_rows(read_files(spark, root, files, "blocks"))
     rejected = fan_out_tables(blocks, reserved, out, commit_id, parsers)
     entries_passthrough(raw_rows(read_files(spark, root, files, "entries")), out, commit_id)

@@ -8,8 +8,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from blockloom.functions import keys
-from blockloom.model import BLOCK, LEGACY_BLOCK, STATUS_DONE, STATUS_FAILED
+from blockloom.model import LEGACY_BLOCK, STATUS_DONE, STATUS_FAILED
+from blockloom.operators import blocks as block_ops
 from blockloom.operators import payloads, ranges
+from blockloom.session import stage
 
 # A block record is one stored cell of limited size, so a block holds at most this many transactions.
 # A larger order fills further blocks, numbered in the high part of the slot.
@@ -34,15 +36,28 @@ def _since_epoch(unit: str, column: str) -> Column:
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items with the slot and position of the transaction they stand for."""
-    within = Window.partitionBy("l_orderkey").orderBy(*_LINE_ORDER)
-    numbered = table(spark, sf_dir, "lineitem").withColumn("place", F.row_number().over(within) - 1)
-    number = F.col("place").cast("bigint")
-    return numbered.withColumns(
-        {
-            "slot": F.col("l_orderkey") + ranges.bucket_of(number, BLOCK_TRANSACTIONS) * BLOCK_STRIDE,
-            "index": number % BLOCK_TRANSACTIONS,
-        }
+    """Line items with the slot and position of the transaction they stand for.
+
+    An order larger than a block is dealt into lanes first, so no task numbers a hot order alone;
+    lanes that still exceed a block are cut. The few large orders are found by a partial count.
+    """
+    rows = table(spark, sf_dir, "lineitem")
+    large = rows.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("lines"))
+    large = large.where(F.col("lines") > BLOCK_TRANSACTIONS).select(
+        "l_orderkey", (ranges.bucket_of(F.col("lines"), BLOCK_TRANSACTIONS) + 1).alias("lanes")
+    )
+    lanes = F.coalesce("lanes", F.lit(1).cast("bigint"))
+    dealt = rows.join(stage(large, "large-orders"), "l_orderkey", "left").withColumns(
+        {"lanes": lanes, "lane": (F.col("l_partkey") + F.col("l_suppkey")) % lanes}
+    )
+    # A running count, because row_number is an INT.
+    within = Window.partitionBy("l_orderkey", "lane").orderBy(*_LINE_ORDER).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    place = F.col("place")
+    block = F.col("lane") + F.col("lanes") * ranges.bucket_of(place, BLOCK_TRANSACTIONS)
+    return dealt.withColumn("place", F.count(F.lit(1)).over(within) - 1).withColumns(
+        {"slot": F.col("l_orderkey") + block * BLOCK_STRIDE, "index": place % BLOCK_TRANSACTIONS}
     )
 
 
@@ -69,8 +84,8 @@ def _has_meta() -> Column:
 
 def _gather(rows: DataFrame, item: Column, name: str) -> DataFrame:
     """Items of a block in position order; the position itself is dropped again."""
-    placed = F.array_sort(F.collect_list(F.struct("index", item.alias("item"))))
-    grouped = rows.groupBy("l_orderkey", "slot").agg(placed.alias("placed"))
+    placed = F.sort_array(F.collect_list(F.struct("index", item.alias("item"))))
+    grouped = rows.groupBy("l_orderkey", "lane", "slot").agg(placed.alias("placed")).drop("lane")
     return grouped.withColumn(name, F.transform("placed", lambda p: p["item"])).drop("placed")
 
 
@@ -133,34 +148,28 @@ def legacy_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def current_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from blockloom.operators.blocks import normalise_block
-
-    return normalise_block(legacy_blocks(spark, sf_dir))
-
-
 def block_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Blocks as stored cells: even slots in the current layout, odd ones in the older one."""
-    from blockloom.operators.blocks import normalise_block
-
     legacy = legacy_blocks(spark, sf_dir)
-    current = normalise_block(legacy)
     even = F.col("slot") % 2 == 0
-
-    def text(rows: DataFrame, names: list[str], qualifier: str) -> DataFrame:
-        return rows.select(
-            keys.slot_to_key(F.col("slot")).alias("row_key"),
-            F.lit("x").alias("family"),
-            F.lit(qualifier).alias("qualifier"),
-            (F.col("block_time") * 1000).alias("ts"),
-            F.encode(F.to_json(F.struct(*names)), "UTF-8").alias("value"),
-        )
-
-    both = text(current.where(even), BLOCK.fieldNames(), "proto").union(
-        text(legacy.where(~even), LEGACY_BLOCK.fieldNames(), "bin")
+    fields = {name: F.col(name) for name in LEGACY_BLOCK.fieldNames()}
+    current = {
+        **fields,
+        "transactions": F.transform("transactions", block_ops.current_transaction),
+        "rewards": F.transform("rewards", block_ops.current_reward),
+    }
+
+    def text(columns: dict[str, Column]) -> Column:
+        return F.to_json(F.struct(*[column.alias(name) for name, column in columns.items()]))
+
+    stored = legacy.select(
+        keys.slot_to_key(F.col("slot")).alias("row_key"),
+        F.lit("x").alias("family"),
+        F.when(even, "proto").otherwise("bin").alias("qualifier"),
+        (F.col("block_time") * 1000).alias("ts"),
+        F.encode(F.when(even, text(current)).otherwise(text(fields)), "UTF-8").alias("value"),
     )
-    encoded = payloads.encode_payloads(both)
-    return encoded.select("row_key", "family", "qualifier", "ts", "value")
+    return payloads.encode_payloads(stored).drop("codec")
 
 
 def reserved(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,17 +27,18 @@ def read_key_range(cells: DataFrame, start_key: str, end_key: str, limit: int |
     return rows.join(chosen, "row_key", "left_semi")
 
 
-def write_archive(cells: DataFrame, root: str) -> None:
+def write_archive(cells: DataFrame, root: str, in_key_order: bool = False) -> None:
     """Write cells (with ``sync_type``, ``table_name``, ``range``, ``commit_id``) below ``root``.
 
     A rebalance by range keeps ranges together, merges small ones and splits a hot one over several
-    files. Only the partitions that occur in ``cells`` are replaced.
+    files. A source that is stored in key order needs no shuffle (``in_key_order``): each task then
+    meets few ranges. Only the partitions that occur in ``cells`` are replaced.
     """
-    names = ARCHIVE.fieldNames()
+    rows = cells.select(*ARCHIVE.fieldNames())
+    if not in_key_order:
+        rows = rows.hint("rebalance", *[F.col(name) for name in ARCHIVE_PARTITIONS])
     (
-        cells.select(*names)
-        .hint("rebalance", *[F.col(name) for name in ARCHIVE_PARTITIONS])
-        .sortWithinPartitions(*ARCHIVE_PARTITIONS, "row_key", "family", "qualifier", F.desc("ts"))
+        rows.sortWithinPartitions(*ARCHIVE_PARTITIONS, "row_key", "family", "qualifier", F.desc("ts"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*ARCHIVE_PARTITIONS)

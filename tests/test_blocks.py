@@ -1,0 +1,93 @@
+import random
+from decimal import Decimal
+
+from blockloom.model import BLOCK, LEGACY_BLOCK
+from blockloom.operators import blocks
+from blockloom.session import stage
+
+FLAT = (
+    "slot long, block_time long, transactions array<struct<signatures: array<string>, "
+    "account_keys: array<string>, memo: string, meta: struct<err: string>>>"
+)
+
+
+def tx(signature, accounts, err=None, memo=None, complete=True):
+    return ([signature, "second"], accounts, memo, (err,) if complete else None)
+
+
+def test_by_address_equals_brute_force(spark, plan_of):
+    rng = random.Random(11)
+    addresses = [f"a{i}" for i in range(30)] + ["hot"] * 15
+    rows = []
+    for slot in range(40):
+        size = rng.choice([0, 1, 3, 200])
+        txs = [
+            tx(f"s{slot}-{i}", rng.choices(addresses, k=rng.randrange(5)), rng.choice([None, "E"]), rng.choice([None, "m"]),
+               complete=rng.random() > 0.002)
+            for i in range(size)
+        ]
+        rows.append((slot, rng.choice([None, slot * 10]), txs))
+    reserved = {"a1", "a2"}
+    expected = {}
+    for slot, time, txs in rows:
+        if any(t[3] is None for t in txs):
+            continue
+        for index, (signatures, accounts, memo, meta) in enumerate(txs):
+            for address in accounts:
+                if address not in reserved:
+                    key = f"{address}/{(1 << 64) - 1 - slot:016x}"
+                    expected.setdefault((key, address, slot), []).append((signatures[0], meta[0], index, memo, time))
+    frame = spark.createDataFrame(rows, FLAT)
+    known = stage(spark.createDataFrame([(a,) for a in reserved], "address string"), "reserved")
+    found = blocks.tx_by_addr(frame, known)
+    got = {(r["row_key"], r["address"], r["slot"]): [tuple(e) for e in r["entries"]] for r in found.collect()}
+    assert got == expected
+    assert found.count() == len(expected)
+    exchanges = [line for line in plan_of(found).splitlines() if "Exchange" in line]
+    assert all("BroadcastExchange" in line for line in exchanges)
+
+
+def test_repeated_account_key_stays_repeated(spark):
+    frame = spark.createDataFrame([(1, 9, [tx("s", ["a", "b", "a"])])], FLAT)
+    reserved = spark.createDataFrame([], "address string")
+    lists = {r["address"]: [e["index"] for e in r["entries"]] for r in blocks.tx_by_addr(frame, reserved).collect()}
+    assert lists == {"a": [0, 0], "b": [0]}
+    assert blocks.explode_accounts(blocks.explode_transactions(frame)).count() == 3
+
+
+def test_one_incomplete_transaction_keeps_the_block_out(spark):
+    rows = [
+        (1, 9, [tx("a", ["x"]), tx("b", ["x"], complete=False)]),
+        (2, 9, [tx("c", ["x"], err="E")]),
+        (3, 9, []),
+    ]
+    frame = spark.createDataFrame(rows, FLAT)
+    assert [r["row_key"] for r in blocks.tx_table(frame).collect()] == ["c"]
+    assert [tuple(r) for r in blocks.incomplete_blocks(frame).collect()] == [(1, 1)]
+    assert sorted(r["slot"] for r in blocks.complete_blocks(frame).collect()) == [2, 3]
+    reserved = spark.createDataFrame([("y",)], "address string")
+    assert [r["slot"] for r in blocks.tx_by_addr(frame, reserved).collect()] == [2]
+    states = sorted(tuple(r) for r in blocks.tx_completeness(frame).collect())
+    assert states == [(1, 0, "complete"), (1, 1, "missing"), (2, 0, "complete")]
+
+
+def test_normalised_block_has_the_current_shape(spark):
+    legacy = [
+        ("p", "h", 4, [((["s"], ["a"], None), ("E", Decimal(5), [Decimal(1)], [Decimal(2)])), ((["t"], ["b"], "m"), None)], [("r", -7)], None, None)
+    ]
+    current = blocks.normalise_block(spark.createDataFrame(legacy, LEGACY_BLOCK))
+    row = current.select(*BLOCK.fieldNames()).to(BLOCK).first()
+    first, second = row["transactions"]
+    assert first["meta"]["err"] == "E" and int(first["meta"]["fee"]) == 5
+    assert first["meta"]["inner_instructions"] is None and first["meta"]["loaded_addresses"]["writable"] == []
+    assert second["meta"] is None and second["transaction"]["memo"] == "m"
+    reward = row["rewards"][0]
+    assert (reward["lamports"], int(reward["post_balance"]), reward["reward_type"], reward["commission"]) == (-7, 0, None, None)
+    assert row["num_partitions"] is None
+
+
+def test_loaded_addresses_follow_own_keys(spark):
+    meta = (None, Decimal(0), [], [], None, None, None, None, None, (["w"], ["r"]), None, None)
+    block = ("p", "h", 4, [((["s"], ["a"], None), meta)], [], None, None, None)
+    flat = blocks.flat_transactions(spark.createDataFrame([block], BLOCK))
+    assert flat.first()["transactions"][0]["account_keys"] == ["a", "w", "r"]
