@@ -153,15 +153,12 @@ def tx_by_addr(blocks: DataFrame, reserved: DataFrame) -> DataFrame:
             ),
         )
     )
-    sorted_pairs = (
-        complete_blocks(blocks)
-        .where(F.exists("transactions", lambda tx: F.size(tx["account_keys"]) > 0))
-        .select("slot", "block_time", "transactions", F.sort_array(pairs).alias("pairs"))
+    sorted_pairs = complete_blocks(blocks).select(
+        "slot", "block_time", "transactions", F.sort_array(pairs).alias("pairs")
     )
-    last = F.size("pairs") - 1
+    positions = F.when(F.size("pairs") > 0, F.sequence(F.lit(0), F.size("pairs") - 1))
     starts = F.filter(
-        F.sequence(F.lit(0), last),
-        lambda i: (i == 0) | (F.get("pairs", i)["address"] != F.get("pairs", i - 1)["address"]),
+        positions, lambda i: (i == 0) | (F.get("pairs", i)["address"] != F.get("pairs", i - 1)["address"])
     )
 
     def entry(pair: Column) -> Column:

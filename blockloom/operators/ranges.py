@@ -136,7 +136,8 @@ def _aligned_pieces(first: Column, last: Column) -> Column:
         right = F.when((low < high) & (high % 2 == 1), F.struct(level.alias("level"), (high - 1).alias("piece")))
         return F.filter(F.array(left, right), lambda piece: piece.isNotNull())
 
-    return F.flatten(F.transform(F.sequence(F.lit(0), F.lit(62)), pieces))
+    widest = F.least(F.ceil(F.log2(last - first + 1)) + 1, F.lit(62)).cast("int")
+    return F.flatten(F.transform(F.sequence(F.lit(0), widest), pieces))
 
 
 def _points_in_intervals(points: DataFrame, point: str, intervals: DataFrame, first: Column, last: Column) -> DataFrame:

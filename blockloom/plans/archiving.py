@@ -49,6 +49,7 @@ def archive_key_range(
     as failed, which leaves them pending for the next run, and the error is raised.
     """
     archive.check_table(table)
+    archive.check_sync_type(sync_type)
     planned = ranges.split_key_range(spark, start, end, size)
     ledger = ledgers.read_range_ledger(spark, ledger_path, sync_type, table)
     # Fixed before the ledger grows; it holds one short row per range.

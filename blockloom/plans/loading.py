@@ -1,4 +1,4 @@
-"""Load job: choose archive files, copy raw rows, derive the serving tables."""
+"""Load job: choose archive folders, copy raw rows, derive the serving tables."""
 
 from __future__ import annotations
 
@@ -34,24 +34,44 @@ JSON_PARSERS: dict[str, Parser] = {
 }
 
 
-def candidate_files(
+def stored_folders(spark: SparkSession, root: str, sync_type: str) -> DataFrame:
+    """Archived range folders of one sync type: ``path`` below ``root`` and its partition values.
+
+    A folder is the unit of loading: it holds one range of one table, in however many files.
+    """
+    archive.check_sync_type(sync_type)
+    files = archive.list_archive_files(spark, f"{root.rstrip('/')}/sync_type={sync_type}")
+    folder = F.regexp_extract("path", r"(sync_type=[^/]*/table_name=[^/]*/range=[^/]*/commit_id=\d+)/[^/]*$", 1)
+    folders = files.select(folder.alias("path")).where(F.col("path") != "").distinct()
+    return folders.select(
+        "path",
+        F.regexp_extract("path", "table_name=([^/]*)", 1).alias("table_name"),
+        F.regexp_extract("path", "range=([^/]*)", 1).alias("range"),
+        F.regexp_extract("path", r"commit_id=(\d+)", 1).cast("bigint").alias("commit_id"),
+    )
+
+
+def candidate_folders(
     spark: SparkSession, root: str, sync_type: str, start: int, end: int, ledger_path: str
 ) -> DataFrame:
-    """Unloaded archive files of one sync type that overlap the request, one row per file and kind."""
-    files = archive.list_archive_files(spark, f"{root.rstrip('/')}/sync_type={sync_type}")
-    chosen = ranges.overlapping_files(ranges.parse_range_path(files), start, end)
+    """Unloaded folders of one sync type that overlap the request, one row per folder and kind."""
+    folders = ranges.parse_range_path(stored_folders(spark, root, sync_type))
+    chosen = ranges.overlapping_files(folders, start, end)
     unread = ranges.pending_files(chosen, ledgers.read_file_ledger(spark, ledger_path))
-    routed = ranges.route_by_kind(unread)
-    return routed.select("path", "kind", keys.range_name(F.col("start_key"), F.col("end_key")).alias("range"))
+    return ranges.route_by_kind(unread)
 
 
-def read_files(spark: SparkSession, root: str, files: DataFrame, kind: str) -> DataFrame:
-    """Cells of the chosen files. The join on ``range`` lets Spark skip other folders at run time."""
-    wanted = files.where(F.col("kind") == kind).select("range", F.col("path").alias("file"))
-    stored = archive.read_archive(spark, root).withColumns(
-        {"file": F.col("_metadata.file_path"), "position": F.col("_metadata.row_index")}
-    )
-    return stored.join(wanted, ["range", "file"], "left_semi")
+def read_folders(spark: SparkSession, root: str, sync_type: str, folders: DataFrame, kind: str) -> DataFrame:
+    """Cells of the chosen folders.
+
+    All join keys are partition columns, so Spark skips other folders at run time. The list has one
+    short row per range; Spark broadcasts it below its size limit.
+    """
+    names = ["table_name", "range", "commit_id"]
+    wanted = folders.where(F.col("kind") == kind).select(*names)
+    stored = archive.read_archive(spark, root).where(F.col("sync_type") == sync_type)
+    stored = stored.withColumns({"file": F.col("_metadata.file_path"), "position": F.col("_metadata.row_index")})
+    return stored.join(wanted, names, "left_semi")
 
 
 def first_cells(cells: DataFrame) -> DataFrame:
@@ -62,18 +82,17 @@ def first_cells(cells: DataFrame) -> DataFrame:
 def raw_rows(stored: DataFrame) -> DataFrame:
     """What a raw serving table keeps of each archived row: its first cell.
 
-    Values are far larger than keys and nearly every row has one cell, so only keys are grouped. The
-    few rows with more cells are looked up by key; no value is shuffled while that set is small
+    Values are far larger than keys and nearly every row has one cell. So only keys are grouped to
+    find the rows with more, and only those are ranked. No value is shuffled while that set is small
     enough for Spark to broadcast.
     """
+    repeated = stored.groupBy("row_key").agg(F.count(F.lit(1)).alias("cells")).where(F.col("cells") > 1)
+    repeated = stage(repeated.select("row_key"), "repeated-rows")
+    if repeated.isEmpty():
+        return stored.select(*RAW_TABLE.fieldNames())
     rank = F.struct("family", "qualifier", (-F.col("ts")).alias("age"), "file", "position")
-    several = (
-        stored.groupBy("row_key")
-        .agg(F.count(F.lit(1)).alias("cells"), F.min(rank).alias("first"))
-        .where(F.col("cells") > 1)
-        .select("row_key", "first")
-    )
-    ranked = stored.join(stage(several, "rows-of-several-cells"), "row_key", "left")
+    first = stored.join(repeated, "row_key", "left_semi").groupBy("row_key").agg(F.min(rank).alias("first"))
+    ranked = stored.join(stage(first, "first-cells"), "row_key", "left")
     chosen = F.col("first").isNull() | (F.col("first") == rank)
     return ranked.where(chosen).select(*RAW_TABLE.fieldNames())
 
@@ -150,17 +169,18 @@ def load_archive(
     commit_id: int,
     parsers: dict[str, Parser] = JSON_PARSERS,
 ) -> DataFrame:
-    """Load every unloaded archive file that overlaps the request; returns the rejected block rows.
+    """Load every unloaded archive folder that overlaps the request; returns the rejected block rows.
 
-    Files are recorded last. A run that dies before that is repeated under the same ``commit_id``
+    Folders are recorded last. A run that dies before that is repeated under the same ``commit_id``
     and replaces what it wrote.
     """
     ledger_path = f"{out}/snapshots"
-    files = stage(candidate_files(spark, root, sync_type, start, end, ledger_path), "load-files")
-    if files.isEmpty():
+    folders = candidate_folders(spark, root, sync_type, start, end, ledger_path)
+    folders = stage(folders.select("path", "kind", "table_name", "range", "commit_id"), "load-folders")
+    if folders.isEmpty():
         return spark.createDataFrame([], REJECTED)
-    blocks = raw_rows(read_files(spark, root, files, "blocks"))
+    blocks = raw_rows(read_folders(spark, root, sync_type, folders, "blocks"))
     rejected = fan_out_tables(blocks, reserved, out, commit_id, parsers)
-    entries_passthrough(raw_rows(read_files(spark, root, files, "entries")), out, commit_id)
-    ledgers.mark_files(files.select("path").distinct(), ledger_path)
+    entries_passthrough(raw_rows(read_folders(spark, root, sync_type, folders, "entries")), out, commit_id)
+    ledgers.mark_files(folders.select("path").distinct(), ledger_path)
     return rejected

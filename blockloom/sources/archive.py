@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -14,6 +16,12 @@ def check_table(table: str) -> None:
         raise ValueError(f"no source table {table!r}; there are {', '.join(SOURCE_TABLES)}")
 
 
+def check_sync_type(sync_type: str) -> None:
+    """Sync types become folder names."""
+    if not re.fullmatch(r"[\w.-]+", sync_type):
+        raise ValueError(f"sync type {sync_type!r} has other characters than letters, digits and _ . -")
+
+
 def read_key_range(cells: DataFrame, start_key: str, end_key: str, limit: int | None = None) -> DataFrame:
     """Cells of the rows from ``start_key`` to ``end_key``, both included, at most ``limit`` rows.
 

@@ -61,6 +61,7 @@ def follow(
     file. Each batch is a commit of its own in the archive (0 is the archive job's); a repeated batch
     replaces itself. A failed batch fails the query and leaves its source files in place.
     """
+    archive.check_sync_type(sync_type)
     files = live_files(spark, folder, files_per_batch, clean_source, done_folder)
 
     def archive_batch(batch: DataFrame, batch_id: int) -> None:

@@ -1,5 +1,6 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from blockloom.model import ADDRESS_TABLE, CELL, RAW_TABLE, TX_ORDER, TX_TABLE
@@ -73,16 +74,23 @@ def test_load_twice_and_extend(spark):
     assert entries.count() == 8
 
 
-def test_files_are_selected_by_folder(spark, plan_of):
-    root, ledger = scratch_path(spark, "a"), scratch_path(spark, "l")
+def test_other_folders_are_skipped(spark, plan_of):
+    root, ledger = scratch_path(spark, "blocks-and-entries"), scratch_path(spark, "l")
     rows = source(spark)
     archiving.archive_key_range(spark, rows, 0, 19, 10, root, ledger, "sync", "blocks")
-    chosen = loading.candidate_files(spark, root, "sync", 10, 19, scratch_path(spark, "none"))
-    found = loading.read_files(spark, root, stage(chosen, "files"), "blocks")
+    chosen = loading.candidate_folders(spark, root, "sync", 10, 19, scratch_path(spark, "none"))
+    # The name of the root itself routes nothing.
+    assert [r["kind"] for r in chosen.collect()] == ["blocks"]
+    found = loading.read_folders(spark, root, "sync", stage(chosen, "folders"), "blocks")
     assert [int(r["row_key"], 16) for r in found.collect()] == [15]
     assert "dynamicpruning" in plan_of(found)
 
 
+def test_sync_types_are_folder_names(spark):
+    with pytest.raises(ValueError):
+        loading.stored_folders(spark, "/tmp", "a/b")
+
+
 def test_raw_rows_keep_one_cell_without_shuffling_values(spark, plan_of):
     root = scratch_path(spark, "a")
     same = [(key(1), "x", "q", 1, b"1"), (key(1), "x", "q", 1, b"1"), (key(2), "x", "q", 1, b"2"), (key(3), "x", "q", 1, b"o"), (key(3), "x", "b", 1, b"n")]
