@@ -343,17 +343,15 @@ def _entries_text() -> Column:
     ).alias("entries")
 
 
-def _load_blocks(spark: SparkSession, sf_dir: str) -> str:
-    """Archive all block cells, load them twice, return where the serving tables are."""
+def _load(spark: SparkSession, sf_dir: str) -> str:
+    """Archive all block cells and entry cells, load them twice, return where the serving tables are."""
     root, ledger, out = (scratch_path(spark, name) for name in ("archive", "ledger", "serving"))
-    rows = stage(samples.block_cells(spark, sf_dir), "block-cells")
-    slots = samples.order_slots(spark, sf_dir).agg(F.max("slot")).first()[0]
-    for table in ("blocks", "entries"):
-        archiving.archive_key_range(spark, rows, 0, slots, samples.RANGE_SIZE * 50, root, ledger, "sync", table)
+    last = samples.order_slots(spark, sf_dir).agg(F.max("slot")).first()[0]
+    size = samples.RANGE_SIZE * 50
+    for table, rows in (("blocks", samples.block_cells(spark, sf_dir)), ("entries", samples.cells(spark, sf_dir))):
+        archiving.archive_key_range(spark, rows, 0, last, size, root, ledger, "sync", table)
     for _ in range(2):
-        loading.load_archive(
-            spark, root, "sync", 0, slots + samples.RANGE_SIZE * 50, samples.reserved(spark, sf_dir), out, 1
-        )
+        loading.load_archive(spark, root, "sync", 0, last + size, samples.reserved(spark, sf_dir), out, 1)
     return out
 
 
@@ -382,32 +380,63 @@ def fan_out_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query(_with(_LINES, select="SELECT row_key, address, slot, entries FROM by_addr"))
 def load_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Archive, list, select, parse, derive and upsert, end to end."""
-    stored = tables.read_table(spark, f"{_load_blocks(spark, sf_dir)}/tx-by-addr", ADDRESS_TABLE)
+    stored = tables.read_table(spark, f"{_load(spark, sf_dir)}/tx-by-addr", ADDRESS_TABLE)
     return stored.select("row_key", "address", "slot", _entries_text())
 
 
-@_query(_with(_LINES, select="SELECT 'sig' || slot || '-' || idx AS row_key, slot, idx AS index, err, memo FROM complete"))
+@_query(
+    _with(
+        _LINES,
+        select="SELECT 'sig' || slot || '-' || idx AS row_key, slot, idx AS index, err, memo FROM complete",
+    )
+)
 def load_archive_tx(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stored = tables.read_table(spark, f"{_load_blocks(spark, sf_dir)}/tx", TX_TABLE, TX_ORDER)
+    stored = tables.read_table(spark, f"{_load(spark, sf_dir)}/tx", TX_TABLE, TX_ORDER)
     return stored.select("row_key", "slot", "index", "err", "memo")
 
 
-@_query(_with(_LINES, select=f"SELECT DISTINCT {_hex('slot')} AS row_key, CASE WHEN slot % 2 = 0 THEN 'proto' ELSE 'bin' END AS qualifier FROM tx"))
+@_query(
+    _with(
+        _CELLS,
+        select="""
+SELECT row_key, qualifier, ts, value FROM cells
+QUALIFY row_number() OVER (PARTITION BY row_key ORDER BY family, qualifier, ts DESC) = 1""",
+    )
+)
 def entries_passthrough(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stored = tables.read_table(spark, f"{_load_blocks(spark, sf_dir)}/entries", RAW_TABLE)
-    return stored.select("row_key", "qualifier")
+    """Entry rows of several cells each, archived and copied by key."""
+    root, ledger, out = (scratch_path(spark, name) for name in ("archive", "ledger", "serving"))
+    rows = samples.cells(spark, sf_dir)
+    last = samples.table(spark, sf_dir, "events").agg(F.max("user_id")).first()[0]
+    archiving.archive_key_range(spark, rows, 0, last, samples.RANGE_SIZE, root, ledger, "sync", "entries")
+    folders = loading.candidate_folders(spark, root, "sync", 0, last + samples.RANGE_SIZE, f"{out}/snapshots")
+    folders = stage(folders, "load-folders")
+    stored = loading.read_folders(spark, root, "sync", folders, "entries")
+    loading.entries_passthrough(loading.raw_rows(stored), out, 1)
+    copied = tables.read_table(spark, f"{out}/entries", RAW_TABLE)
+    return copied.select("row_key", "qualifier", "ts", _text("value"))
 
 
-@_query(_with(_LINES, select=f"SELECT DISTINCT {_hex('slot')} AS row_key, NOT (slot IN (SELECT slot FROM complete)) AS underived FROM tx"))
+@_query(
+    _with(
+        _LINES,
+        select=f"""
+SELECT DISTINCT {_hex('slot')} AS row_key, CASE WHEN slot % 2 = 0 THEN 'proto' ELSE 'bin' END AS qualifier,
+  slot NOT IN (SELECT slot FROM complete) AS underived
+FROM tx""",
+    )
+)
 def blocks_passthrough(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every raw block is stored, also those that derive no rows."""
-    out = _load_blocks(spark, sf_dir)
-    raw = tables.read_table(spark, f"{out}/blocks", RAW_TABLE)
+    out = scratch_path(spark, "serving")
+    raw = loading.first_cells(samples.block_cells(spark, sf_dir))
+    loading.fan_out_tables(raw, samples.reserved(spark, sf_dir), out, 1)
     derived = tables.read_table(spark, f"{out}/tx", TX_TABLE, TX_ORDER).select(
         keys.slot_to_key(F.col("slot")).alias("derived_key")
     )
-    joined = raw.join(derived.distinct(), F.col("row_key") == F.col("derived_key"), "left")
-    return joined.select("row_key", F.col("derived_key").isNull().alias("underived"))
+    stored = tables.read_table(spark, f"{out}/blocks", RAW_TABLE)
+    joined = stored.join(derived.distinct(), F.col("row_key") == F.col("derived_key"), "left")
+    return joined.select("row_key", "qualifier", F.col("derived_key").isNull().alias("underived"))
 
 
 @_query(_with(_CELLS, select="SELECT row_key, family, qualifier, ts, value FROM cells"))
