@@ -344,14 +344,19 @@ def _entries_text() -> Column:
 
 
 def _load(spark: SparkSession, sf_dir: str) -> str:
-    """Archive all block cells and entry cells, load them twice, return where the serving tables are."""
+    """Archive all block cells and entry cells, load them twice, return where the serving tables are.
+
+    The plan holds the ranges that blocks fall in, since a large order numbers its blocks far apart.
+    """
     root, ledger, out = (scratch_path(spark, name) for name in ("archive", "ledger", "serving"))
-    last = samples.order_slots(spark, sf_dir).agg(F.max("slot")).first()[0]
     size = samples.RANGE_SIZE * 50
+    counts = ranges.range_row_counts(samples.lines(spark, sf_dir), F.col("slot"), size)
+    planned = stage(counts.select("start_key", "end_key"), "plan")
+    last = int(planned.agg(F.max("end_key")).first()[0], 16)
     for table, rows in (("blocks", samples.block_cells(spark, sf_dir)), ("entries", samples.cells(spark, sf_dir))):
-        archiving.archive_key_range(spark, rows, 0, last, size, root, ledger, "sync", table)
+        archiving.archive_ranges(spark, rows, planned, size, root, ledger, "sync", table)
     for _ in range(2):
-        loading.load_archive(spark, root, "sync", 0, last + size, samples.reserved(spark, sf_dir), out, 1)
+        loading.load_archive(spark, root, "sync", 0, last + 1, samples.reserved(spark, sf_dir), out, 1)
     return out
 
 

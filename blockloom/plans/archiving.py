@@ -31,11 +31,10 @@ def unplaced_cells(cells: DataFrame) -> DataFrame:
     return cells.where(keys.key_to_slot(F.col("row_key")).isNull())
 
 
-def archive_key_range(
+def archive_ranges(
     spark: SparkSession,
     cells: DataFrame,
-    start: int,
-    end: int,
+    planned: DataFrame,
     size: int,
     root: str,
     ledger_path: str,
@@ -43,14 +42,13 @@ def archive_key_range(
     table: str,
     in_key_order: bool = False,
 ) -> None:
-    """Copy the unfinished ranges between ``start`` and ``end`` to the archive.
+    """Copy the planned ranges (``start_key``, ``end_key``) that are not finished to the archive.
 
     Ranges are recorded as done only after the write has committed. When it fails they are recorded
     as failed, which leaves them pending for the next run, and the error is raised.
     """
     archive.check_table(table)
     archive.check_sync_type(sync_type)
-    planned = ranges.split_key_range(spark, start, end, size)
     ledger = ledgers.read_range_ledger(spark, ledger_path, sync_type, table)
     # Fixed before the ledger grows; it holds one short row per range.
     pending = stage(ranges.pending_ranges(planned, ledger), "pending-ranges")
@@ -65,3 +63,8 @@ def archive_key_range(
         ledgers.mark_ranges(pending, ledger_path, sync_type, table, size, STATUS_FAILED)
         raise
     ledgers.mark_ranges(pending, ledger_path, sync_type, table, size, STATUS_DONE)
+
+
+def archive_key_range(spark: SparkSession, cells: DataFrame, start: int, end: int, size: int, *args, **options) -> None:
+    """``archive_ranges`` for every range of ``size`` slots between ``start`` and ``end``."""
+    archive_ranges(spark, cells, ranges.split_key_range(spark, start, end, size), size, *args, **options)

@@ -107,7 +107,7 @@ def import_records(spark: SparkSession, path: str) -> DataFrame:
     pairs = spark.sparkContext.sequenceFile(
         path, "org.apache.hadoop.io.BytesWritable", "org.apache.hadoop.io.BytesWritable"
     ).map(lambda pair: (bytes(pair[0]), bytes(pair[1])))
-    records = spark.createDataFrame(pairs, "key binary, value binary")
+    records = spark.createDataFrame(pairs, "key binary, value binary", verifySchema=False)
 
     def text(start, length):
         return F.decode(F.substring("value", start, length), "UTF-8")

@@ -1,4 +1,4 @@
-"""Run registered queries and compare them with their SQL: ``python tests/check.py SF [NAME ...]``."""
+"""Run registered queries and compare them with their SQL: ``python tests/check.py SF|FOLDER [NAME ...]``."""
 
 import os
 import sys
@@ -35,7 +35,9 @@ def spark_rows(frame):
 
 
 def main():
-    sf_dir, chosen = f"/root/testdata/sf{sys.argv[1]}", sys.argv[2:]
+    sf_dir, chosen = sys.argv[1], sys.argv[2:]
+    if "/" not in sf_dir:
+        sf_dir = f"/root/testdata/sf{sf_dir}"
     spark = local_session("check", 8, **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "16g"})
     oracles, failed = driver.oracle_sql(), []
     for name, query in driver.queries().items():
