@@ -285,21 +285,22 @@ def backfill_then_follow(spark: SparkSession, sf_dir: str) -> DataFrame:
     _with(
         _LIVE,
         select="""
-SELECT kind, count(*) AS files FROM placed GROUP BY kind""",
+SELECT kind, count(*) AS files, true AS some_moved FROM placed GROUP BY kind""",
     )
 )
 def clean_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files of each kind, wherever clean-up has put them: none is lost, whatever its folder."""
+    """Files per kind after four batches with clean-up: some have moved, none is lost."""
     paths = {name: scratch_path(spark, name) for name in ("live", "archive", "checkpoint", "done")}
     samples.write_live_tree(spark, sf_dir, paths["live"])
+    arrived = archive.list_archive_files(spark, paths["live"]).count()
     live.follow(
         spark, paths["live"], paths["archive"], "live", paths["checkpoint"],
-        files_per_batch=1000, clean_source="archive", done_folder=paths["done"],
+        files_per_batch=arrived // 4 + 1, clean_source="archive", done_folder=paths["done"],
     ).awaitTermination()
-    folders = [paths["live"], paths["done"]]
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt")
-    found = files.load([folder for folder in folders if archive.exists(spark, folder)])
-    return found.groupBy(keys.parent_folder(F.col("path")).alias("kind")).agg(F.count(F.lit(1)).alias("files"))
+    left, moved = (archive.list_archive_files(spark, paths[name], missing_ok=True) for name in ("live", "done"))
+    found = left.union(moved).where(F.col("path").endswith(".txt"))
+    kinds = found.groupBy(keys.parent_folder(F.col("path")).alias("kind")).agg(F.count(F.lit(1)).alias("files"))
+    return kinds.withColumn("some_moved", F.lit(not moved.isEmpty()))
 
 
 @_query(

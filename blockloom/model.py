@@ -42,6 +42,7 @@ RANGE_LEDGER = struct(
 )
 FILE_LEDGER = struct(path=_TEXT, done_at=T.TimestampType())
 
+FILE_LISTING = struct(path=_TEXT, modificationTime=T.TimestampType(), length=_LONG)
 BINARY_FILE = struct(path=_TEXT, modificationTime=T.TimestampType(), length=_LONG, content=_BYTES)
 
 # Serving tables.

@@ -11,7 +11,7 @@ from blockloom.functions import keys
 from blockloom.model import LEGACY_BLOCK, STATUS_DONE, STATUS_FAILED
 from blockloom.operators import blocks as block_ops
 from blockloom.operators import payloads, ranges
-from blockloom.session import stage
+from blockloom.session import spread, stage
 
 # A block record is one stored cell of limited size, so a block holds at most this many transactions.
 # A larger order fills further blocks, numbered in the high part of the slot.
@@ -274,7 +274,8 @@ def puts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", F.encode("text", "UTF-8").alias("value"))
+    texts = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return texts.select("doc_id", F.encode("text", "UTF-8").alias("value"))
 
 
 def page_files(spark: SparkSession, sf_dir: str) -> DataFrame:

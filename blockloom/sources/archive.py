@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from blockloom.functions import keys
-from blockloom.model import ARCHIVE, ARCHIVE_PARTITIONS, CELL, SOURCE_TABLES
+from blockloom.model import ARCHIVE, ARCHIVE_PARTITIONS, CELL, FILE_LISTING, SOURCE_TABLES
 
 
 def check_table(table: str) -> None:
@@ -59,21 +59,16 @@ def read_archive(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(ARCHIVE).parquet(root)
 
 
-def list_archive_files(spark: SparkSession, root: str) -> DataFrame:
+def list_archive_files(spark: SparkSession, root: str, missing_ok: bool = False) -> DataFrame:
     """Files below ``root`` as ``path``, ``modificationTime`` and ``length``; contents are not read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-    return files.select(F.col("_metadata.file_path").alias("path"), "modificationTime", "length")
-
-
-
-def exists(spark: SparkSession, folder: str) -> bool:
-    """Whether ``folder`` holds any file."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     try:
-        return not list_archive_files(spark, folder).isEmpty()
+        files = reader.load(root)
     except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
+        if not missing_ok or error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return False
+        return spark.createDataFrame([], FILE_LISTING)
+    return files.select(F.col("_metadata.file_path").alias("path"), "modificationTime", "length")
 
 
 def export_records(cells: DataFrame, path: str) -> None:

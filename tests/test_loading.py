@@ -101,3 +101,9 @@ def test_raw_rows_keep_one_cell_without_shuffling_values(spark, plan_of):
     raw = loading.raw_rows(stored)
     assert sorted((int(r["row_key"], 16), bytes(r["value"])) for r in raw.collect()) == [(1, b"1"), (2, b"2"), (3, b"n")]
     assert all("Broadcast" in line for line in plan_of(raw).splitlines() if "Exchange" in line)
+
+
+def test_nothing_archived_loads_nothing(spark):
+    empty = spark.createDataFrame([], "address string")
+    root, out = scratch_path(spark, "a"), scratch_path(spark, "o")
+    assert loading.load_archive(spark, root, "sync", 0, 9, empty, out, 1).count() == 0
