@@ -199,11 +199,11 @@ def _archived_events(spark: SparkSession, sf_dir: str) -> str:
     rows = samples.cells(spark, sf_dir, key="event_id")
     end = samples.table(spark, sf_dir, "events").agg(F.max("event_id")).first()[0]
     for _ in range(2):
-        archiving.archive_key_range(spark, rows, 0, end, samples.RANGE_SIZE * 10, root, ledger, "sync", "blocks")
+        archiving.archive_key_range(spark, rows, 0, end, samples.RANGE_SIZE * 50, root, ledger, "sync", "blocks")
     return root
 
 
-_EVENT_RANGE = f"'range_' || {_hex('event_id // 1000 * 1000')} || '_' || {_hex('event_id // 1000 * 1000 + 999')}"
+_EVENT_RANGE = f"'range_' || {_hex('event_id // 5000 * 5000')} || '_' || {_hex('event_id // 5000 * 5000 + 4999')}"
 
 
 @_query(
@@ -223,11 +223,11 @@ def archive_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""
 SELECT {_EVENT_RANGE} AS range, {_hex('event_id')} AS row_key, props AS value,
   CASE WHEN event_type IN ('click', 'view') THEN 'proto' ELSE 'bin' END AS qualifier
-FROM events WHERE event_id >= 2000"""
+FROM events WHERE event_id >= 5000"""
 )
 def read_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = archive.read_archive(spark, _archived_events(spark, sf_dir))
-    chosen = stored.where((F.col("table_name") == "blocks") & (keys.range_start_key(F.col("range")) >= f"{2000:016x}"))
+    chosen = stored.where((F.col("table_name") == "blocks") & (keys.range_start_key(F.col("range")) >= f"{5000:016x}"))
     return chosen.select("range", "row_key", _text("value"), "qualifier")
 
 
