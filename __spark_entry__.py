@@ -172,11 +172,11 @@ def _text(column: str) -> Column:
     _with(
         _CELLS,
         select=f"""
-SELECT row_key, qualifier, ts, value FROM cells WHERE row_key BETWEEN {_hex('10')} AND {_hex('1000000')}""",
+SELECT row_key, qualifier, ts, value FROM cells WHERE row_key BETWEEN {_hex('10')} AND 'ffffffffffffffff'""",
     )
 )
 def read_key_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = archive.read_key_range(samples.cells(spark, sf_dir), f"{10:016x}", f"{1000000:016x}")
+    found = archive.read_key_range(samples.cells(spark, sf_dir), f"{10:016x}", "f" * 16)
     return found.select("row_key", "qualifier", "ts", _text("value"))
 
 
@@ -223,11 +223,11 @@ def archive_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""
 SELECT {_EVENT_RANGE} AS range, {_hex('event_id')} AS row_key, props AS value,
   CASE WHEN event_type IN ('click', 'view') THEN 'proto' ELSE 'bin' END AS qualifier
-FROM events WHERE event_id >= 5000"""
+FROM events"""
 )
 def read_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = archive.read_archive(spark, _archived_events(spark, sf_dir))
-    chosen = stored.where((F.col("table_name") == "blocks") & (keys.range_start_key(F.col("range")) >= f"{5000:016x}"))
+    chosen = stored.where((F.col("sync_type") == "sync") & (F.col("table_name") == "blocks"))
     return chosen.select("range", "row_key", _text("value"), "qualifier")
 
 
@@ -330,6 +330,21 @@ def upsert_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_table(spark, target, puts.schema, ["seq"])
 
 
+@_query(
+    """
+SELECT lower(lpad(hex(user_id), 16, '0')) || '/' || event_type AS row_key,
+  max(event_id) AS seq, arg_max(value, event_id) AS value
+FROM events GROUP BY ALL"""
+)
+def upsert_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The puts as a stream; the second start finds nothing new."""
+    path, checkpoint = scratch_path(spark, "puts"), scratch_path(spark, "checkpoint")
+    rows = samples.streamed_puts(spark, sf_dir)
+    for _ in range(2):
+        live.upsert_stream(rows, path, checkpoint).awaitTermination()
+    return tables.read_table(spark, path, samples.puts(spark, sf_dir).drop("commit_id").schema, ["seq"]).drop("commit_id")
+
+
 def _entries_text() -> Column:
     """The list of one row as text, in list order."""
     return F.array_join(

@@ -265,7 +265,17 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def puts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as keyed puts: about 13 per key, in commits of 1,000."""
-    return table(spark, sf_dir, "events").select(
+    return _as_puts(table(spark, sf_dir, "events"))
+
+
+def streamed_puts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same puts as a stream over the table's files, without a commit of their own."""
+    events = spark.readStream.schema(table(spark, sf_dir, "events").schema)
+    return _as_puts(events.option("pathGlobFilter", "events.parquet").parquet(sf_dir)).drop("commit_id")
+
+
+def _as_puts(events: DataFrame) -> DataFrame:
+    return events.select(
         F.concat(keys.slot_to_key(F.col("user_id")), F.lit("/"), F.col("event_type")).alias("row_key"),
         ranges.bucket_of(F.col("event_id"), 1000).alias("commit_id"),
         F.col("event_id").alias("seq"),

@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 from blockloom.functions import keys
 from blockloom.model import ARCHIVE, BINARY_FILE
 from blockloom.operators import cells as cell_ops
-from blockloom.sources import archive
+from blockloom.sources import archive, tables
 
 
 def live_files(
@@ -43,6 +43,10 @@ def live_cells(files: DataFrame, folder: str) -> DataFrame:
     return cell_ops.file_to_cell(files).withColumn("range", keys.folder_below(F.col("path"), folder))
 
 
+def _trigger(interval: str | None) -> dict:
+    return {"availableNow": True} if interval is None else {"processingTime": interval}
+
+
 def follow(
     spark: SparkSession,
     folder: str,
@@ -76,8 +80,17 @@ def follow(
             ).parquet(rejects)
 
     writer = files.writeStream.foreachBatch(archive_batch).option("checkpointLocation", checkpoint)
-    trigger = {"availableNow": True} if interval is None else {"processingTime": interval}
-    return writer.trigger(**trigger).start()
+    return writer.trigger(**_trigger(interval)).start()
+
+
+def upsert_stream(rows: DataFrame, path: str, checkpoint: str, interval: str | None = None) -> StreamingQuery:
+    """Put streamed rows into a keyed table. Each batch is one commit, and a repeated batch replaces itself."""
+
+    def put_batch(batch: DataFrame, batch_id: int) -> None:
+        tables.write_commit(batch, path, batch_id)
+
+    writer = rows.writeStream.foreachBatch(put_batch).option("checkpointLocation", checkpoint)
+    return writer.trigger(**_trigger(interval)).start()
 
 
 def backfill_then_follow(

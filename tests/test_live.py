@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from blockloom.session import scratch_path
-from blockloom.sources import archive
+from blockloom.sources import archive, tables
 from blockloom.streaming import live
 
 
@@ -112,3 +112,18 @@ def test_failed_batch_keeps_source_files(spark, places, tmp_path, monkeypatch):
 def test_archive_needs_a_folder(spark, places):
     with pytest.raises(ValueError):
         live.live_files(spark, str(places[0]), clean_source="archive")
+
+
+def test_streamed_puts_restart_on_one_checkpoint(spark, tmp_path):
+    source, path, checkpoint = str(tmp_path / "puts"), scratch_path(spark, "table"), scratch_path(spark, "checkpoint")
+    schema = "row_key string, value string"
+
+    def run(rows):
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(schema).parquet(source)
+        live.upsert_stream(stream, path, checkpoint).awaitTermination()
+        latest = tables.read_table(spark, path, spark.createDataFrame([], schema).schema)
+        return {r["row_key"]: r["value"] for r in latest.collect()}
+
+    assert run([("a", "1"), ("b", "1")]) == {"a": "1", "b": "1"}
+    assert run([("a", "0")]) == {"a": "0", "b": "1"}
