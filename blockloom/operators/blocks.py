@@ -62,11 +62,8 @@ def flat_transaction(tx: Column) -> Column:
     """
     loaded = tx["meta"]["loaded_addresses"]
     none = F.array().cast("array<string>")
-    account_keys = F.concat(
-        tx["transaction"]["account_keys"],
-        F.coalesce(loaded["writable"], none),
-        F.coalesce(loaded["readonly"], none),
-    )
+    parts = [tx["transaction"]["account_keys"], loaded["writable"], loaded["readonly"]]
+    account_keys = F.concat(*[F.coalesce(part, none) for part in parts])
     return F.struct(
         tx["transaction"]["signatures"].alias("signatures"),
         account_keys.alias("account_keys"),
@@ -149,7 +146,8 @@ def tx_by_addr(blocks: DataFrame, reserved: DataFrame) -> DataFrame:
         F.transform(
             "transactions",
             lambda tx, i: F.transform(
-                tx["account_keys"], lambda a: F.struct(a.alias("address"), i.alias("index"))
+                F.coalesce(tx["account_keys"], F.array().cast("array<string>")),
+                lambda a: F.struct(a.alias("address"), i.alias("index")),
             ),
         )
     )

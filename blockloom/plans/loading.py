@@ -121,12 +121,16 @@ def parse_blocks(raw: DataFrame, parsers: dict[str, Parser] = JSON_PARSERS) -> D
             F.transform("legacy.transactions", block_ops.current_transaction), block_ops.flat_transaction
         ),
     )
+    def unsigned(tx: Column) -> Column:
+        return F.coalesce(F.size(tx["signatures"]), F.lit(0)) == 0
+
     transactions = F.coalesce(current, legacy)
     error = (
         F.when(F.col("slot").isNull(), "row key is no slot")
         .when(F.col("format").isNull(), "unknown qualifier")
         .when(F.col("error").isNotNull(), F.col("error"))
         .when(F.col("transactions").isNull(), "payload does not parse")
+        .when(F.exists("transactions", unsigned), "transaction without signature")
     )
     block_time = F.coalesce("current.block_time", "legacy.block_time")
     rows = both.withColumns({"transactions": transactions, "block_time": block_time})

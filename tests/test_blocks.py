@@ -55,6 +55,14 @@ def test_repeated_account_key_stays_repeated(spark):
     assert blocks.explode_accounts(blocks.explode_transactions(frame)).count() == 3
 
 
+def test_missing_account_keys_leave_the_rest_of_the_block(spark):
+    frame = spark.createDataFrame([(1, 9, [tx("s", None), tx("t", []), tx("u", ["a"])]), (2, 9, [tx("v", [])])], FLAT)
+    reserved = spark.createDataFrame([], "address string")
+    lists = {r["address"]: [e["index"] for e in r["entries"]] for r in blocks.tx_by_addr(frame, reserved).collect()}
+    assert lists == {"a": [2]}
+    assert blocks.tx_table(frame).count() == 4
+
+
 def test_one_incomplete_transaction_keeps_the_block_out(spark):
     rows = [
         (1, 9, [tx("a", ["x"]), tx("b", ["x"], complete=False)]),

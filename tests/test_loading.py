@@ -35,6 +35,7 @@ def source(spark):
         (key(4), "x", "proto", 1, current_json("old", ["b"], [])),
         (key(5), "x", "proto", 1, b"{not json"),
         (key(6), "x", "other", 1, b"{}"),
+        (key(8), "x", "proto", 1, b'{"transactions": [{"transaction": {"signatures": []}, "meta": {}}]}'),
         (key(15), "x", "bin", 1, legacy_json("s15", ["b"])),
     ]
     encoded = payloads.encode_payloads(spark.createDataFrame(plain, CELL)).drop("codec")
@@ -53,12 +54,13 @@ def test_load_twice_and_extend(spark):
         return loading.load_archive(spark, root, "sync", 0, end, reserved, out, commit)
 
     rejected = {int(r["row_key"], 16): r["error"] for r in load(9, 1).collect()}
-    assert set(rejected) == {5, 6, 7}
+    assert set(rejected) == {5, 6, 7, 8}
+    assert rejected[8] == "transaction without signature"
     assert rejected[6] == "unknown qualifier" and "codec" in rejected[7]
     tx = tables.read_table(spark, f"{out}/tx", TX_TABLE, TX_ORDER)
     assert {r["row_key"]: r["err"] for r in tx.collect()} == {"s1": None, "s2": "E", "new": "E"}
     raw = {int(r["row_key"], 16) for r in tables.read_table(spark, f"{out}/blocks", RAW_TABLE).collect()}
-    assert raw == {1, 2, 3, 4, 5, 6, 7}
+    assert raw == {1, 2, 3, 4, 5, 6, 7, 8}
     lists = tables.read_table(spark, f"{out}/tx-by-addr", ADDRESS_TABLE).collect()
     assert {(r["address"], r["slot"]) for r in lists} == {("a", 1), ("a", 2), ("w", 2), ("a", 4)}
     assert {e["block_time"] for r in lists if r["slot"] == 1 for e in r["entries"]} == {77}
@@ -71,7 +73,7 @@ def test_load_twice_and_extend(spark):
     assert "s15" in {r["row_key"] for r in tables.read_table(spark, f"{out}/tx", TX_TABLE, TX_ORDER).collect()}
     assert ledgers.read_file_ledger(spark, f"{out}/snapshots").count() == 4
     entries = tables.read_table(spark, f"{out}/entries", RAW_TABLE)
-    assert entries.count() == 8
+    assert entries.count() == 9
 
 
 def test_other_folders_are_skipped(spark, plan_of):
