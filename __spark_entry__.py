@@ -37,16 +37,29 @@ def _query(sql: str | None) -> Callable[[Query], Query]:
     return register
 
 
+def _llm() -> tuple[dict[str, Query], dict[str, str]]:
+    """The training-data queries with their SQL; none where that subpackage is not installed."""
+    try:
+        import corpus_pipeline
+        from blockloom.llm import queries as llm
+    except ModuleNotFoundError as error:
+        if error.name in ("blockloom.llm", "corpus_pipeline"):
+            return {}, {}
+        raise
+    pipeline = {} if corpus_pipeline.ORACLE_SQL is None else {"pipeline": corpus_pipeline.ORACLE_SQL}
+    return llm.QUERIES | {"pipeline": corpus_pipeline.run}, llm.ORACLES | pipeline
+
+
 def entry(spark: SparkSession) -> DataFrame:
     return tx_by_addr(spark, "/root/testdata/sf0.001")
 
 
 def queries() -> dict[str, Query]:
-    return dict(_QUERIES)
+    return _QUERIES | _llm()[0]
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_ORACLES)
+    return _ORACLES | _llm()[1]
 
 
 # SQL building blocks. They restate the samples, not the operators.
