@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from blockloom.llm import bpe, token_counts
+from blockloom.llm import bpe, quality, token_counts
 from blockloom.llm.common import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -17,11 +17,68 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_texts(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN, ids=False)
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     content = token_counts.read_tokenizer(public_tokenizers.path(TOKENIZER))
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), content)
 
 
-QUERIES = {f.__name__: f for f in (op1_byte_bpe, op6_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_byte_bpe, op3_quality_rules, op6_token_counts)}
+
+_TRIES = ", ".join(f"('{r.name}', {c})" for r in quality.RULES for c in r.cutoffs)
+_BROKEN = " ".join(
+    f"WHEN '{r.name}' THEN 1000 * {r.over} > cutoff * {r.under}" for r in quality.RULES
+)
+_PART = quality.RISK / len(quality.RULES)
+
+_QUALITY = rf"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row_id, doc_id, coalesce(lang, 'none') AS stratum, coalesce(text, '') AS text
+  FROM documents),
+split AS (
+  SELECT row_id, doc_id, stratum, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words,
+    list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM docs),
+windows AS (
+  SELECT row_id, pos, words[pos] || ' ' || words[pos + 1] || ' ' || words[pos + 2] AS window_words
+  FROM (SELECT row_id, words, unnest(range(1, len(words) - 1)) AS pos FROM split)),
+repeats AS (
+  SELECT row_id, count(DISTINCT pos + d) AS n_repeat_words
+  FROM (SELECT *, count(*) OVER (PARTITION BY row_id, window_words) AS times FROM windows), range(3) AS r(d)
+  WHERE times > 1 GROUP BY row_id),
+counts AS (
+  SELECT doc_id, stratum, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
+    len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols, len(lines) AS n_lines,
+    len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words
+  FROM split LEFT JOIN repeats USING (row_id)),
+based AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counts),
+tries(rule, cutoff) AS (VALUES {_TRIES}),
+known AS (SELECT DISTINCT doc_id, quality = 1 AS good FROM labels WHERE quality IS NOT NULL),
+tested AS (
+  SELECT stratum, rule, cutoff, count(*) FILTER (good) AS n_good,
+    count(*) FILTER (good AND (CASE rule {_BROKEN} END)) AS lost,
+    count(*) FILTER (NOT good AND (CASE rule {_BROKEN} END)) AS caught
+  FROM based JOIN known USING (doc_id), tries WHERE NOT base_failed GROUP BY ALL),
+chances AS (
+  SELECT *, CASE WHEN lost > n_good * {_PART} THEN 1 ELSE
+    list_sum(list_transform(range(lost + 1), lambda i: exp(lgamma(n_good + 1) - lgamma(i + 1) - lgamma(n_good - i + 1)
+      + i * ln({_PART}) + (n_good - i) * ln(1 - {_PART})))) END AS chance
+  FROM tested),
+chosen AS (
+  SELECT stratum, rule, cutoff FROM chances
+  WHERE chance <= {quality.DOUBT} / (SELECT count(*) FROM tested) AND caught > lost
+  QUALIFY row_number() OVER (PARTITION BY stratum, rule ORDER BY caught - lost DESC, cutoff DESC) = 1),
+broken AS (
+  SELECT DISTINCT doc_id, stratum, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words
+  FROM based JOIN chosen USING (stratum) WHERE CASE rule {_BROKEN} END)
+SELECT doc_id, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND NOT EXISTS (
+    SELECT 1 FROM broken b WHERE b.stratum = based.stratum AND b.n_words = based.n_words
+      AND b.word_chars = based.word_chars AND b.n_symbols = based.n_symbols AND b.n_lines = based.n_lines
+      AND b.n_dup_lines = based.n_dup_lines AND b.n_repeat_words = based.n_repeat_words) AS kept
+FROM based"""
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op3_quality_rules": _QUALITY}
