@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from blockloom.llm import bpe, quality, token_counts
+from blockloom.llm import bpe, mixing, quality, sharding, token_counts
 from blockloom.llm.common import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -21,12 +21,45 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+SHARD_BYTES = 1 << 20
+
+
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_rows(table(spark, sf_dir, "documents"), SHARD_BYTES)
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     content = token_counts.read_tokenizer(public_tokenizers.path(TOKENIZER))
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), content)
 
 
-QUERIES = {f.__name__: f for f in (op1_byte_bpe, op3_quality_rules, op6_token_counts)}
+LEVELS = ("domain", "lang", "source")
+#: (level, node, weight); other nodes weigh 1.
+WEIGHTS = (
+    ("domain", "web", 5), ("domain", "books", 3), ("domain", "forums", 2),
+    ("lang", "web/en", 4), ("lang", "web/de", 2), ("lang", "books/en", 2), ("lang", "books/es", 3),
+    ("lang", "forums/fr", 0), ("source", "web/en/src0", 6), ("source", "books/de/src9", 4),
+)
+SHARE, EPOCHS, SEED = 0.6, 2, 7
+
+
+def with_domain(docs: DataFrame) -> DataFrame:
+    """The domain of a source goes by its number."""
+    number = F.regexp_extract("source", r"(\d+)$", 1).try_cast("int")
+    domain = F.when(number < 7, "web").when(number < 14, "books").otherwise("forums")
+    return docs.withColumn("domain", domain)
+
+
+def weight_table(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(list(WEIGHTS), "level string, name string, weight long")
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = with_domain(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
+    return mixing.mix(docs, LEVELS, weight_table(spark), SHARE, EPOCHS, SEED)
+
+
+QUERIES = {f.__name__: f for f in (op1_byte_bpe, op3_quality_rules, op5_sharding, op6_token_counts, op9_mixing)}
 
 _TRIES = ", ".join(f"('{r.name}', {c})" for r in quality.RULES for c in r.cutoffs)
 _BROKEN = " ".join(
@@ -81,4 +114,68 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_wo
       AND b.n_dup_lines = based.n_dup_lines AND b.n_repeat_words = based.n_repeat_words) AS kept
 FROM based"""
 
-ORACLES: dict[str, str] = {"op3_quality_rules": _QUALITY}
+_SHARDS = f"""
+WITH sized AS (
+  SELECT doc_id, CAST(octet_length(encode(coalesce(text, ''))) AS BIGINT) AS n_bytes,
+    CAST('0x' || substr(md5(coalesce('k' || doc_id, '')), 1, 15) AS BIGINT) AS bits FROM documents),
+tried AS (SELECT *, unnest(range(0, 61)) AS depth FROM sized),
+sums AS (
+  SELECT depth, bits >> (60 - depth) AS prefix, sum(n_bytes)::BIGINT AS shard_bytes, count(*) AS shard_rows
+  FROM tried GROUP BY ALL),
+chosen AS (
+  SELECT t.doc_id, t.n_bytes, t.depth, s.prefix, s.shard_bytes, s.shard_rows
+  FROM tried t JOIN sums s ON s.depth = t.depth AND s.prefix = t.bits >> (60 - t.depth)
+  WHERE s.shard_bytes <= {SHARD_BYTES} OR t.depth = 60
+  QUALIFY row_number() OVER (PARTITION BY t.doc_id ORDER BY t.depth) = 1)
+SELECT doc_id, n_bytes, CASE WHEN depth = 0 THEN '' ELSE right(lpad(bin(prefix), 64, '0'), depth::INTEGER) END AS shard,
+  depth::INTEGER AS depth, shard_bytes, shard_rows, shard_bytes > {SHARD_BYTES} AS oversized
+FROM chosen"""
+
+
+def _split(k: int, level: str) -> str:
+    """Split the budgets of one level's nodes (split{k - 1}) among their children."""
+    known = ", ".join(f"('{name}', {weight})" for at, name, weight in WEIGHTS if at == level)
+    return f"""
+weights{k}(name, weight) AS (VALUES {known}),
+children{k} AS (
+  SELECT path{k - 1}, path{k}, capacity, coalesce(weight, 1) AS weight, target AS budget
+  FROM (SELECT path{k - 1}, path{k}, sum(capacity) AS capacity FROM nodes GROUP BY ALL)
+    LEFT JOIN weights{k} ON name = path{k} JOIN split{k - 1} USING (path{k - 1})
+  WHERE coalesce(weight, 1) > 0),
+ranked{k} AS (
+  SELECT *, budget - coalesce(sum(capacity) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rem,
+    sum(weight) OVER (w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rest
+  FROM children{k} WINDOW w AS (PARTITION BY path{k - 1} ORDER BY capacity / weight, path{k})),
+level{k} AS (
+  SELECT path{k - 1}, rem AS first_left, rest AS first_rest FROM ranked{k} WHERE capacity * rest > rem * weight
+  QUALIFY row_number() OVER (PARTITION BY path{k - 1} ORDER BY capacity / weight, path{k}) = 1),
+split{k} AS (
+  SELECT path{k}, CASE WHEN capacity * rest <= rem * weight THEN capacity ELSE first_left * weight // first_rest END AS target
+  FROM ranked{k} LEFT JOIN level{k} USING (path{k - 1}))"""
+
+
+_MIXING = f"""
+WITH counted AS (
+  SELECT doc_id, CASE WHEN n < 7 THEN 'web' WHEN n < 14 THEN 'books' ELSE 'forums' END AS domain,
+    coalesce(lang, 'none') AS lang, coalesce(source, 'none') AS source,
+    len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS n_tokens
+  FROM (SELECT *, TRY_CAST(regexp_extract(source, '([0-9]+)$', 1) AS INTEGER) AS n FROM documents)),
+leaves AS (SELECT domain, lang, source, sum(n_tokens) AS supply FROM counted GROUP BY ALL),
+nodes AS (
+  SELECT *, supply * {EPOCHS} AS capacity, '' AS path0, domain AS path1, domain || '/' || lang AS path2,
+    domain || '/' || lang || '/' || source AS path3 FROM leaves),
+split0 AS (
+  SELECT '' AS path0, least(CAST(floor(sum(supply) * {SHARE}::DOUBLE) AS HUGEINT), sum(capacity)) AS target FROM nodes),
+{",".join(_split(k, level) for k, level in enumerate(LEVELS, 1))},
+plan AS (
+  SELECT domain, lang, source, target // supply AS whole, target % supply AS rest
+  FROM nodes JOIN split3 USING (path3) WHERE supply > 0),
+placed AS (
+  SELECT *, sum(n_tokens) OVER (PARTITION BY domain, lang, source
+    ORDER BY md5('{SEED}-' || whole || '-' || doc_id), doc_id, n_tokens ROWS UNBOUNDED PRECEDING) AS total
+  FROM counted JOIN plan USING (domain, lang, source))
+SELECT doc_id, domain, lang, source, unnest(range(whole::BIGINT)) AS epoch, n_tokens FROM placed
+UNION ALL
+SELECT doc_id, domain, lang, source, whole::BIGINT, n_tokens FROM placed WHERE rest > 0 AND total <= rest"""
+
+ORACLES: dict[str, str] = {"op3_quality_rules": _QUALITY, "op5_sharding": _SHARDS, "op9_mixing": _MIXING}
