@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from blockloom.llm import bpe, language, mixing, quality, sharding, token_counts, toxicity
+from blockloom.llm import bpe, html_text, language, mixing, quality, sharding, token_counts, toxicity
 from blockloom.llm.common import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -37,6 +37,10 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), content)
 
 
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 LEVELS = ("domain", "lang", "source")
 #: (level, node, weight); other nodes weigh 1.
 WEIGHTS = (
@@ -67,7 +71,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.language_id(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_toxicity, op3_quality_rules, op5_sharding, op6_token_counts, op9_mixing, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_toxicity, op3_quality_rules, op5_sharding, op6_token_counts, op8_html_text, op9_mixing, op10_language_id)}
 
 _TRIES = ", ".join(f"('{r.name}', {c})" for r in quality.RULES for c in r.cutoffs)
 _BROKEN = " ".join(
