@@ -180,6 +180,9 @@ LABELLED = (
     ((5, 0.0, 50, 0.0, 65, 0.0, 0, 0, 0, 0), 1), ((2, 0.0, 38, 0.0, 41, 0.0, 0, 0, 0, 0), 1),
     ((8, 0.0, 2, 1.0, 60, 0.0, 0, 0, 0, 1), 1), ((6, 0.0, 3, 1.0, 45, 0.0, 0, 0, 0, 1), 1),
     ((22, 0.2, 30, 0.0, 28, 0.0, 0, 0, 0, 0), 1), ((26, 0.0, 9, 0.0, 31, 0.0, 0, 0, 0, 0), 1),
+    ((60, 0.0, 2, 0.0, 2, 1.0, 0, 0, 0, 0), 1), ((35, 0.0, 40, 0.0, 3, 1.0, 0, 0, 0, 0), 1),
+    ((48, 0.0, 22, 0.0, 0, 0.0, 0, 0, 0, 0), 1), ((27, 0.0, 60, 0.0, 5, 0.5, 0, 0, 0, 0), 1),
+    ((33, 0.1, 1, 1.0, 20, 0.0, 0, 0, 0, 0), 1), ((75, 0.0, 50, 0.0, 12, 0.3, 0, 0, 0, 0), 1),
     ((2, 1.0, 1, 1.0, 2, 1.0, 0, 0, 0, 0), 0), ((1, 1.0, 0, 0.0, 1, 1.0, 0, 0, 0, 0), 0),
     ((4, 0.8, 3, 1.0, 4, 0.9, 0, 0, 0, 0), 0), ((9, 0.0, 2, 1.0, 3, 1.0, 0, 0, 0, 0), 0),
     ((10, 0.1, 40, 0.0, 0, 0.0, 0, 0, 0, 0), 0), ((3, 0.0, 4, 0.5, 0, 0.0, 0, 0, 0, 0), 0),
