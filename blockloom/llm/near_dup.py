@@ -76,7 +76,8 @@ def bands(sketch: np.ndarray) -> np.ndarray:
     """Keys of the bands. Empty registers borrow from a full one, so a few shingles cannot make up a band's key."""
     full = sketch > 0
     if not full.all():
-        sketch = sketch[_DONORS[np.arange(BUCKETS), full[_DONORS].argmax(axis=1)]]
+        donors = _DONORS[np.arange(BUCKETS), full[_DONORS].argmax(axis=1)]
+        sketch = np.where(full, sketch, sketch[donors])
     return np.ascontiguousarray(sketch).view(np.int64)
 
 
