@@ -80,7 +80,8 @@ def measure(docs: DataFrame, text_col: str = "text", into: str = "measured") ->
         "n_repeat_words": F.aggregate(covered, F.lit(0), lambda total, x: total + x),
     }
     measured = F.struct(*(c.cast("long").alias(name) for name, c in counts.items()))
-    return rows.withColumn(into, measured).drop("__words", "__lines", "__windows", "__starts")
+    # Out of a generator, so that the optimiser does not put the counts' expressions in each place that uses them.
+    return rows.withColumn(into, F.explode(F.array(measured))).drop("__words", "__lines", "__windows", "__starts")
 
 
 def base_failed(measured: Column) -> Column:

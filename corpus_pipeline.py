@@ -1,11 +1,72 @@
-"""The corpus pipeline: quality rules, language, near-duplicates, mixing, encoding."""
+"""The corpus pipeline: quality rules, language, near-duplicates, mixing to target weights, encoding.
 
-STAGES = []
+Each stage takes what its predecessor kept. All but the last return the columns of ``documents``.
+"""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+
+from blockloom.llm import bpe, language, mixing, near_dup, quality
+from blockloom.llm.common import table
+from blockloom.llm.queries import LEVELS, RANKS, SEED, weight_table, with_domain
+from blockloom.session import stage
+
+#: Tokens wanted of those that reach the mixing stage; a document is taken once at most.
+SHARE, EPOCHS = 0.8, 1
+
+#: Language identification and encoding have no SQL.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, function in STAGES:
-        docs = function(spark, docs, sf_dir)
-    return docs
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the base rules and the rules certified for their language keep. Empty ones go."""
+    return quality.keep_good(docs, table(spark, sf_dir, "labels"))
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is known surely enough. Those without a letter go."""
+    return language.identify(docs, language.learn(docs), into="__").where("__accepted").select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of the smallest id of each group. Rows that repeat an id are one document; null ids stay."""
+    judged = stage(near_dup.near_duplicates(docs).select("doc_id", "kept"), "judged")
+    dropped = judged.where("NOT kept").select("doc_id").distinct()
+    left = docs.join(dropped, "doc_id", "left_anti")
+    repeated = judged.where("kept AND doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    repeated = stage(repeated, "repeated")
+    if repeated.isEmpty():
+        return left
+    again = left.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return left.join(repeated, "doc_id", "left_anti").union(again)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents drawn to the weights of their domain, language and source. One without an id cannot be drawn."""
+    rows = with_domain(docs.where("doc_id IS NOT NULL").select("doc_id", "text", "lang", "source"))
+    drawn = mixing.mix(rows, LEVELS, weight_table(spark), SHARE, EPOCHS, SEED).select("doc_id")
+    return docs.join(drawn, "doc_id").select(*docs.columns)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of the whole texts, with the digests of the ids and of the decoded bytes."""
+    return bpe.encode_texts(docs, bpe.read_ranks(public_tokenizers.path(RANKS)), public_tokenizers.PATTERN)
+
+
+STAGES = [
+    ("quality rules", quality_rules),
+    ("language ID", language_id),
+    ("near-duplicates", near_duplicates),
+    ("mixing", mix_sources),
+    ("byte-level BPE", encode),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages on ``documents``; what a stage leaves is written and read again by the next."""
+    docs = table(spark, sf_dir, "documents")
+    for name, function in STAGES[:-1]:
+        docs = stage(function(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)
