@@ -1,0 +1,43 @@
+import random
+
+import public_tokenizers as tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from blockloom.llm import token_counts
+
+CONTENT = token_counts.read_tokenizer(tokenizers.path("word_bpe_49k.json"))
+
+
+@pytest.fixture(scope="module")
+def noise():
+    made, signs = random.Random(1), "aB'sTl 1²éİǆ<|\t\n\x0b\x0c\x85\xa0_-́ͅΣς日"
+    return ["".join(made.choice(signs) for _ in range(made.randint(1, 30))) for _ in range(500)]
+
+
+@pytest.mark.parametrize("common", (0, 50, 1 << 18))
+def test_equals_the_library(docs, odd, texts, noise, monkeypatch, common):
+    monkeypatch.setattr(token_counts, "COMMON", common)
+    monkeypatch.setattr(token_counts, "HELD", 200)
+    special = ["a<|endoftext|>b<|startoftext|>", "<|ENDOFTEXT|>", "<|endoftext|><|endoftext|>", "'s 'S"]
+    rows = list(enumerate([*odd, *special, *noise, *texts.values()]))
+    found = token_counts.count_tokens(docs([*rows, (None, "a b")]), CONTENT, limit=100).collect()
+    library = Tokenizer.from_str(CONTENT.decode())
+    whole = library.encode_batch([t or "" for _, t in rows], add_special_tokens=False)
+    wanted = {i: (len((t or "").encode()), len(e.ids), len(e.ids) > 100) for (i, t), e in zip(rows, whole, strict=True)}
+    assert {r[0]: tuple(r[1:]) for r in found} == wanted | {None: (3, 2, False)}
+
+
+def test_repeated_rows_stay_apart(docs):
+    found = token_counts.count_tokens(docs([(1, "a b"), (1, "a b"), (1, "c")]), CONTENT).collect()
+    assert sorted(tuple(r) for r in found) == [(1, 1, 1, False), (1, 3, 2, False), (1, 3, 2, False)]
+
+
+def test_empty_table(docs):
+    assert token_counts.count_tokens(docs([]), CONTENT).count() == 0
+
+
+def test_each_piece_is_merged_once(docs):
+    rows = docs([(i, "same words again") for i in range(50)])
+    pieces = token_counts.count_pieces(token_counts.dictionary(rows, CONTENT), CONTENT).collect()
+    assert sorted((r.piece, r.n) for r in pieces) == [("again", 50), ("same", 50), ("words", 50)]
