@@ -38,7 +38,12 @@ BAD_WORDS = frozenset(
 )
 GOOD_WORDS = frozenset("article articlebody content entry main maincontent post story text body-text".split())
 
-_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+>|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>"']|"[^"]*"|'[^']*')*+)/?>""", re.S)
+# What opens always ends, at the end of the page if need be, so no stretch is searched twice.
+_TAG = re.compile(
+    r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|"""
+    r"""<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>"'=]|=\s*"[^"]*(?:"|\Z)|=\s*'[^']*(?:'|\Z)|["'=])*+)(?:>|\Z)""",
+    re.S,
+)
 _KIND = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _NAME = re.compile(r"[A-Za-z0-9]+(?:-[A-Za-z0-9]+)*")
 _RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*>?", re.I) for name in RAW}
