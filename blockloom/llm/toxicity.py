@@ -111,7 +111,7 @@ def fit(rows: DataFrame, rounds: int = 400, decay: float = 1e-3) -> Model:
     rows = stage(rows, "learnt")
     told = telling_features(rows)
     if not told:
-        return Model(-50.0, {})
+        return Model(float("-inf"), {})
     place = {f: i for i, f in enumerate(told)}
     shared = rows.sparkSession.sparkContext.broadcast(place)
 
@@ -186,7 +186,7 @@ class Scorer:
                     spans.append((match.start(), match.end(), float(p)))
             else:
                 clean += self.bare
-        return float(-np.expm1(clean)), spans
+        return float(-np.expm1(clean)) + 0.0, spans
 
 
 def score_texts(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -1,0 +1,81 @@
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from blockloom.llm import language
+
+SYLLABLES = {"xa": ["the", "ing", "tion", "wh", "er"], "xb": ["ción", "que", "os", "ra", "ñe"], "xc": ["sch", "ung", "ß", "ein", "tz"]}
+
+
+def text(lang, words, rng):
+    return " ".join("".join(rng.choices(SYLLABLES[lang], k=rng.randint(1, 4))) for _ in range(words))
+
+
+@pytest.fixture(scope="module")
+def results(docs):
+    rng = random.Random(0)
+    langs = sorted(SYLLABLES)
+    rows = [(i, text(lang, rng.randint(3, 80), rng), lang) for i in range(450) for lang in [rng.choice(langs)]]
+    more = [
+        (9000, None, "xa"), (9001, "", "xa"), (9002, "123 !?", None), (9003, text("xb", 30_000, rng), None),
+        (None, rows[0][1], "xc"), (0, rows[0][1], rows[0][2]), (9004, "qqq zzz", None),
+    ]
+    return rows, language.language_id(docs([*rows, *more])).collect()
+
+
+def test_held_out_documents(results):
+    rows, found = results
+    by_id = {r.doc_id: r for r in found}
+    tested = [(i, lang) for i, _, lang in rows if zlib.crc32(str(i).encode()) % 4 == 2]
+    assert len(tested) > 50 and all(by_id[i].held_out for i, _ in tested)
+    assert sum(by_id[i].lang_pred == lang for i, lang in tested) >= 0.98 * len(tested)
+    assert sum(by_id[i].accepted for i, _ in tested) >= 0.95 * len(tested)
+
+
+def test_odd_rows(results):
+    rows, found = results
+    assert len(found) == len(rows) + 7 and all(0 <= r.score <= 1 for r in found)
+    by_id = {r.doc_id: r for r in found}
+    for i in (9000, 9001, 9002):
+        assert (by_id[i].lang_pred, by_id[i].score, by_id[i].accepted) == ("und", 0.0, False)
+    assert by_id[9003].lang_pred == "xb"
+    same = [r for r in found if r.doc_id in (0, None)]
+    assert len(same) == 3 and len({(r.lang_pred, r.score) for r in same}) == 1
+
+
+def test_averages_are_those_of_the_definition():
+    rng = random.Random(1)
+    sample = [(text(lang, 12, rng), lang, i % 3 == 0) for i in range(90) for lang in SYLLABLES]
+    model = language.fit(sample)
+    own = language.Identifier(model)
+    words = sample[0][0].split()
+    ids = [h for w in words for h in language.subwords(w)]
+    z = model.sharpness * (model.logits[ids].mean(axis=0) + model.bias)
+    lang, score = own.identify(sample[0][0])
+    assert lang == model.languages[int(np.argmax(z))]
+    assert score == pytest.approx(np.exp(z - z.max()).max() / np.exp(z - z.max()).sum())
+
+
+def test_forgetting_words_changes_nothing(monkeypatch):
+    rng = random.Random(2)
+    model = language.fit([(text(lang, 12, rng), lang, i % 3 == 0) for i in range(30) for lang in SYLLABLES])
+    texts = [text("xa", 40, rng) for _ in range(30)]
+    own = language.Identifier(model)
+    wanted = [own.identify(t) for t in texts]
+    monkeypatch.setattr(language, "HELD", 5)
+    small = language.Identifier(model)
+    assert [small.identify(t) for t in texts] == wanted
+
+
+def test_nothing_to_learn_from(docs):
+    assert language.language_id(docs([])).count() == 0
+    found = language.language_id(docs([(1, "words here", None)])).collect()
+    assert [(r.lang_pred, r.score, r.accepted) for r in found] == [("und", 0.0, False)]
+
+
+def test_columns_stay(docs):
+    table = docs([(1, "the thing", "xa")])
+    model = language.fit([("the thing", "xa", False)])
+    assert language.identify(table, model, into="__").columns == [*table.columns, "__lang_pred", "__score", "__accepted"]
