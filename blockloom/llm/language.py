@@ -93,7 +93,7 @@ def fit(sample: list[tuple[str, str, bool]], epochs: int = 4, batch: int = 32, r
         words = _WORD.findall(text.lower())
         if not words:
             continue
-        cut = [cache[w] if w in cache else cache.setdefault(w, np.array(subwords(w))) for w in words]
+        cut = [cache[w] if w in cache else cache.setdefault(w, np.array(subwords(w), dtype=np.int32)) for w in words]
         label = languages.index(lang)
         if calibrate:
             held.append(np.concatenate(cut))
@@ -124,7 +124,8 @@ def fit(sample: list[tuple[str, str, bool]], epochs: int = 4, batch: int = 32, r
     logits = embedding @ weights
     sharpness, threshold = 1.0, 0.0
     if held:
-        z = _averages(held, logits) + bias
+        # Whole documents, so one at a time: their subwords together are many times larger than their texts.
+        z = np.stack([logits[x].mean(axis=0) for x in held]) + bias
         at = np.arange(len(held)), np.array(held_truth)
         choices = np.geomspace(0.25, 64, 49)
         sharpness = float(min(choices, key=lambda s: -np.log(_softmax(s * z)[at] + 1e-12).mean()))
