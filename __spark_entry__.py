@@ -70,16 +70,13 @@ def _hex(number: str) -> str:
 
 
 _LINES = """
-dealt AS (
-  SELECT *, CASE WHEN lines > 4096 THEN lines // 4096 + 1 ELSE 1 END AS lanes,
-    (l_partkey + l_suppkey) % lanes AS lane
-  FROM (SELECT *, count(*) OVER (PARTITION BY l_orderkey) AS lines FROM lineitem)),
+dealt AS (SELECT *, (l_partkey + l_suppkey) % 4 AS lane FROM lineitem),
 numbered AS (
   SELECT *, row_number() OVER (PARTITION BY l_orderkey, lane ORDER BY l_linenumber, l_partkey, l_suppkey,
-    l_extendedprice, l_quantity, l_shipdate, l_discount, l_tax, l_returnflag, l_linestatus) - 1 AS place
+    l_extendedprice, l_quantity, l_shipdate, l_discount, l_tax, l_returnflag, l_linestatus) - 1 AS idx
   FROM dealt),
 tx AS (
-  SELECT l_orderkey + (lane + lanes * (place // 4096)) * 1099511627776 AS slot, place % 4096 AS idx,
+  SELECT l_orderkey * 4 + lane AS slot, idx,
     date_diff('second', TIMESTAMP '1970-01-01', o_orderdate) AS block_time,
     CASE WHEN l_quantity > 45 THEN 'q' || CAST(l_quantity AS INTEGER) END AS memo,
     CASE WHEN l_returnflag <> 'N' THEN l_returnflag END AS err,
@@ -160,9 +157,7 @@ tree AS (
 """
 
 _LIVE = f"""
-arrived AS (
-  SELECT page_id // 8 AS slot, string_agg(html || chr(10), '' ORDER BY page_id) AS content
-  FROM pages GROUP BY page_id // 8),
+arrived AS (SELECT page_id AS slot, html || chr(10) AS content FROM pages),
 placed AS (
   SELECT *, 'range_' || {_hex('slot // 100 * 100')} || '_' || {_hex('slot // 100 * 100 + 99')} AS range,
     CASE slot % 3 WHEN 0 THEN 'blocks' WHEN 1 THEN 'entries' ELSE 'other' END AS kind
@@ -207,29 +202,37 @@ def read_key_range_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _archived_events(spark: SparkSession, sf_dir: str) -> str:
-    """Archive the events, twice: the second run finds every range done."""
+    """Archive the events in waves, twice: the second run finds every range done. Cells of bad keys are set aside."""
     root, ledger = scratch_path(spark, "archive"), scratch_path(spark, "ledger")
     rows = samples.cells(spark, sf_dir, key="event_id")
+    bad = rows.where(F.col("qualifier") == "proto").withColumn("row_key", F.concat("row_key", F.lit("z")))
     end = samples.table(spark, sf_dir, "events").agg(F.max("event_id")).first()[0]
     for _ in range(2):
-        archiving.archive_key_range(spark, rows, 0, end, samples.RANGE_SIZE * 50, root, ledger, "sync", "blocks")
+        archiving.archive_key_range(
+            spark, rows.union(bad), 0, end, samples.RANGE_SIZE * 10, root, ledger, "sync", "blocks", waves=3,
+            rejects=f"{root}-rejects",
+        )
     return root
 
 
-_EVENT_RANGE = f"'range_' || {_hex('event_id // 5000 * 5000')} || '_' || {_hex('event_id // 5000 * 5000 + 4999')}"
+_EVENT_RANGE = f"'range_' || {_hex('event_id // 1000 * 1000')} || '_' || {_hex('event_id // 1000 * 1000 + 999')}"
 
 
 @_query(
     f"""
 SELECT {_EVENT_RANGE} AS range, count(*) AS cells, min(event_id) AS first_slot, max(event_id) AS last_slot
-FROM events GROUP BY ALL"""
+FROM events GROUP BY ALL
+UNION ALL SELECT 'rejected', count(*), NULL, NULL FROM events WHERE event_type IN ('click', 'view')"""
 )
 def archive_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stored = archive.read_archive(spark, _archived_events(spark, sf_dir))
+    root = _archived_events(spark, sf_dir)
     slot = keys.key_to_slot(F.col("row_key"))
-    return stored.groupBy("range").agg(
+    counts = archive.read_archive(spark, root).groupBy("range").agg(
         F.count(F.lit(1)).alias("cells"), F.min(slot).alias("first_slot"), F.max(slot).alias("last_slot")
     )
+    nothing = F.lit(None).cast("bigint")
+    rejected = spark.read.parquet(f"{root}-rejects").agg(F.count(F.lit(1)).alias("cells"))
+    return counts.union(rejected.select(F.lit("rejected"), "cells", nothing, nothing))
 
 
 @_query(
@@ -285,11 +288,15 @@ def live_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query(_LIVE_ROWS)
 def backfill_then_follow(spark: SparkSession, sf_dir: str) -> DataFrame:
-    paths = _follow_pages(spark, sf_dir, files_per_batch=1000)
+    """A third of the pages is there beforehand; the others arrive in two parts while the stream runs."""
+    paths = {name: scratch_path(spark, name) for name in ("live", "archive", "checkpoint")}
+    samples.write_live_tree(spark, sf_dir, paths["live"], 0)
     query = live.backfill_then_follow(
-        spark, paths["live"], paths["archive"], "live", paths["checkpoint"], "1 second", 1000
+        spark, paths["live"], paths["archive"], "live", paths["checkpoint"], "0 seconds", 10_000
     )
-    query.processAllAvailable()
+    for part in (1, 2):
+        samples.write_live_tree(spark, sf_dir, paths["live"], part)
+        query.processAllAvailable()
     query.stop()
     return _archived_pages(spark, paths["archive"])
 
@@ -303,12 +310,13 @@ SELECT kind, count(*) AS files, true AS some_moved FROM placed GROUP BY kind""",
 )
 def clean_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files per kind after four batches with clean-up: some have moved, none is lost."""
-    paths = {name: scratch_path(spark, name) for name in ("live", "archive", "checkpoint", "done")}
+    paths = {name: scratch_path(spark, name) for name in ("live", "archive", "checkpoint", "done", "rejects")}
     samples.write_live_tree(spark, sf_dir, paths["live"])
     arrived = archive.list_archive_files(spark, paths["live"]).count()
     live.follow(
         spark, paths["live"], paths["archive"], "live", paths["checkpoint"],
         files_per_batch=arrived // 4 + 1, clean_source="archive", done_folder=paths["done"],
+        rejects=paths["rejects"],
     ).awaitTermination()
     left, moved = (archive.list_archive_files(spark, paths[name], missing_ok=True) for name in ("live", "done"))
     found = left.union(moved).where(F.col("path").endswith(".txt"))
@@ -372,20 +380,25 @@ def _entries_text() -> Column:
     ).alias("entries")
 
 
-def _load(spark: SparkSession, sf_dir: str) -> str:
+def _load(spark: SparkSession, sf_dir: str, broken: bool = False) -> str:
     """Archive all block cells and entry cells, load them twice, return where the serving tables are.
 
-    The plan holds the ranges that blocks fall in, since a large order numbers its blocks far apart.
+    The plan holds the ranges that blocks fall in.
     """
     root, ledger, out = (scratch_path(spark, name) for name in ("archive", "ledger", "serving"))
-    size = samples.RANGE_SIZE * 50
-    counts = ranges.range_row_counts(samples.lines(spark, sf_dir), F.col("slot"), size)
+    size = samples.RANGE_SIZE * 10
+    block_rows = samples.block_cells(spark, sf_dir)
+    if broken:
+        block_rows = block_rows.union(samples.broken_block_cells(spark, sf_dir))
+    tables_of = {"blocks": stage(block_rows, "block-cells"), "entries": samples.cells(spark, sf_dir)}
+    slots = [rows.select(keys.key_to_slot(F.col("row_key")).alias("slot")) for rows in tables_of.values()]
+    counts = ranges.range_row_counts(slots[0].union(slots[1]), F.col("slot"), size)
     planned = stage(counts.select("start_key", "end_key"), "plan")
     last = int(planned.agg(F.max("end_key")).first()[0], 16)
-    for table, rows in (("blocks", samples.block_cells(spark, sf_dir)), ("entries", samples.cells(spark, sf_dir))):
+    for table, rows in tables_of.items():
         archiving.archive_ranges(spark, rows, planned, size, root, ledger, "sync", table)
     for _ in range(2):
-        loading.load_archive(spark, root, "sync", 0, last + 1, samples.reserved(spark, sf_dir), out, 1)
+        loading.load_archive(spark, root, "sync", 0, last + 1, samples.reserved(spark, sf_dir), out)
     return out
 
 
@@ -399,9 +412,7 @@ UNION ALL SELECT 'tx-by-addr', count(*), count(DISTINCT row_key) FROM by_addr"""
     )
 )
 def fan_out_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = scratch_path(spark, "serving")
-    raw = loading.first_cells(samples.block_cells(spark, sf_dir))
-    loading.fan_out_tables(raw, samples.reserved(spark, sf_dir), out, 1)
+    out = _load(spark, sf_dir)
     counted = [
         spark.read.parquet(f"{out}/{name}")
         .agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("row_key").alias("keys"))
@@ -438,16 +449,8 @@ QUALIFY row_number() OVER (PARTITION BY row_key ORDER BY family, qualifier, ts D
     )
 )
 def entries_passthrough(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Entry rows of several cells each, archived and copied by key."""
-    root, ledger, out = (scratch_path(spark, name) for name in ("archive", "ledger", "serving"))
-    rows = samples.cells(spark, sf_dir)
-    last = samples.table(spark, sf_dir, "events").agg(F.max("user_id")).first()[0]
-    archiving.archive_key_range(spark, rows, 0, last, samples.RANGE_SIZE, root, ledger, "sync", "entries")
-    folders = loading.candidate_folders(spark, root, "sync", 0, last + samples.RANGE_SIZE, f"{out}/snapshots")
-    folders = stage(folders, "load-folders")
-    stored = loading.read_folders(spark, root, "sync", folders, "entries")
-    loading.entries_passthrough(loading.raw_rows(stored), out, 1)
-    copied = tables.read_table(spark, f"{out}/entries", RAW_TABLE)
+    """Entry rows of several cells each, as the load leaves them."""
+    copied = tables.read_table(spark, f"{_load(spark, sf_dir)}/entries", RAW_TABLE)
     return copied.select("row_key", "qualifier", "ts", _text("value"))
 
 
@@ -462,9 +465,7 @@ FROM tx""",
 )
 def blocks_passthrough(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every raw block is stored, also those that derive no rows."""
-    out = scratch_path(spark, "serving")
-    raw = loading.first_cells(samples.block_cells(spark, sf_dir))
-    loading.fan_out_tables(raw, samples.reserved(spark, sf_dir), out, 1)
+    out = _load(spark, sf_dir)
     derived = tables.read_table(spark, f"{out}/tx", TX_TABLE, TX_ORDER).select(
         keys.slot_to_key(F.col("slot")).alias("derived_key")
     )
@@ -473,6 +474,21 @@ def blocks_passthrough(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select("row_key", "qualifier", F.col("derived_key").isNull().alias("underived"))
 
 
+@_query(
+    _with(
+        _LINES,
+        select="""
+SELECT 'stored' AS outcome, (SELECT count(DISTINCT slot) FROM tx) + (SELECT count(*) FROM supplier) AS rows
+UNION ALL SELECT 'incomplete', count(DISTINCT slot) FROM tx WHERE NOT has_meta
+UNION ALL SELECT CASE WHEN s_suppkey % 3 = 0 THEN 'rejected: unknown qualifier' ELSE 'rejected: payload does not parse' END,
+  count(*) FROM supplier GROUP BY ALL""",
+    )
+)
+def load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a load of good and broken blocks stored and left out."""
+    return loading.load_report(spark, _load(spark, sf_dir, broken=True))
+
+
 @_query(_with(_CELLS, select="SELECT row_key, family, qualifier, ts, value FROM cells"))
 def seqfile_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "records")
@@ -801,13 +817,21 @@ def tx_by_addr(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Payload codecs
 
 
-@_query("SELECT doc_id, octet_length(encode(text)) AS bytes, sha256(text) AS digest FROM documents")
+@_query(
+    """
+SELECT doc_id, octet_length(encode(text)) AS bytes, sha256(text) AS digest, false AS failed FROM documents
+UNION ALL SELECT -1 - doc_id, NULL, NULL, true FROM documents"""
+)
 def decode_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document, and a value beside it that names no codec or ends before its tag does."""
     encoded = payloads.encode_payloads(samples.documents(spark, sf_dir)).drop("codec")
-    decoded = payloads.decode_payloads(encoded).where(F.col("error").isNull())
+    wrong = F.when(F.col("doc_id") % 2 == 0, F.unhex(F.lit("09000000AB"))).otherwise(F.unhex(F.lit("0000")))
+    broken = encoded.select((-1 - F.col("doc_id")).alias("doc_id"), wrong.alias("value"))
+    decoded = payloads.decode_payloads(encoded.union(broken))
     return decoded.select(
-        "doc_id", F.octet_length("payload").cast("bigint").alias("bytes"), F.sha2("payload", 256).alias("digest")
-    )
+        "doc_id", F.octet_length("payload").cast("bigint").alias("bytes"), F.sha2("payload", 256).alias("digest"),
+        F.col("error").isNotNull().alias("failed"),
+    )
 
 
 @_query(
@@ -829,9 +853,29 @@ def encode_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@_query(None)
+@_query(
+    """
+SELECT octet_length(encode(text)) < 128 AS short, count(*) AS rows, sum(octet_length(encode(text)))::BIGINT AS bytes_in,
+  CASE WHEN octet_length(encode(text)) < 128 THEN 4 * count(*) END AS added, true AS bounded
+FROM documents GROUP BY octet_length(encode(text)) < 128"""
+)
 def codec_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return payloads.codec_report(samples.documents(spark, sf_dir))
+    """The report of short values, which stay plain and grow by the tag, and of the others, which grow no more."""
+    docs = samples.documents(spark, sf_dir)
+    parts = []
+    for short in (True, False):
+        report = payloads.codec_report(docs.where((F.octet_length("value") < 128) == short))
+        total = report.groupBy(F.lit(short).alias("short")).agg(
+            F.sum("rows").alias("rows"), F.sum("bytes_in").alias("bytes_in"), F.sum("bytes_out").alias("bytes_out")
+        )
+        added = F.col("bytes_out") - F.col("bytes_in")
+        parts.append(
+            total.select(
+                "short", "rows", "bytes_in", F.when(F.col("short"), added).alias("added"),
+                (added <= 4 * F.col("rows")).alias("bounded"),
+            )
+        )
+    return parts[0].union(parts[1])
 
 
 @_query("SELECT count(*) AS rows, sum(octet_length(encode(text)))::BIGINT AS bytes_in FROM documents")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, functions as F
 
 from blockloom.model import QUALIFIER_BIN, QUALIFIER_PROTO, RANGE_PATTERN, SOURCE_TABLES
@@ -17,7 +19,7 @@ def key_to_slot(key: Column) -> Column:
 
     ``conv`` reads up to the first bad digit, so the guard has to reject bad text first.
     """
-    is_hex = key.rlike("^0*[0-9a-fA-F]{1,16}$")
+    is_hex = key.rlike(r"^0*[0-9a-fA-F]{1,16}\z")
     return F.when(is_hex, F.conv(key, 16, 10).try_cast("bigint"))
 
 
@@ -54,10 +56,18 @@ def parent_folder(path: Column) -> Column:
 
 
 def folder_below(path: Column, root: str) -> Column:
-    """First folder of ``path`` below ``root``."""
-    root = root.rstrip("/") + "/"
-    below = F.substring(path, F.instr(path, root) + len(root), F.length(path))
-    return F.regexp_replace(F.split(below, "/")[0], "^[^=]*=", "")
+    """First folder of ``path`` below ``root``. A path elsewhere is an error.
+
+    ``scheme:///`` and ``scheme:/`` are one; a root without a scheme matches paths of any.
+    """
+    root = re.sub(r"^(\w+):///", r"\1:/", root.rstrip("/") + "/")
+    spelt = F.regexp_replace(path, r"^(\w+):///", "$1:/")
+    if ":" not in root.split("/")[0]:
+        spelt = F.regexp_replace(spelt, r"^\w+:(//[^/]*)?", "")
+    below = F.substring(spelt, F.lit(len(root) + 1), F.length(spelt))
+    first = F.regexp_replace(F.split(below, "/")[0], "^[^=]*=", "")
+    foreign = F.raise_error(F.concat(F.lit(f"not below {root}: "), path)).cast("string")
+    return F.when(spelt.startswith(root), first).otherwise(foreign)
 
 
 def range_start_key(path: Column) -> Column:

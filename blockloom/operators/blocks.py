@@ -156,7 +156,8 @@ def tx_by_addr(blocks: DataFrame, reserved: DataFrame) -> DataFrame:
     )
     positions = F.when(F.size("pairs") > 0, F.sequence(F.lit(0), F.size("pairs") - 1))
     starts = F.filter(
-        positions, lambda i: (i == 0) | (F.get("pairs", i)["address"] != F.get("pairs", i - 1)["address"])
+        positions,
+        lambda i: (i == 0) | ~F.get("pairs", i)["address"].eqNullSafe(F.get("pairs", i - 1)["address"]),
     )
 
     def entry(pair: Column) -> Column:

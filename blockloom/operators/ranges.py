@@ -8,6 +8,10 @@ from blockloom.functions import keys
 from blockloom.model import STATUS_DONE, STATUS_FAILED, STATUS_PENDING
 
 
+#: Ranges that one row of a plan's first step stands for.
+RANGES_PER_STEP = 10_000
+
+
 def _check(start: int, end: int, size: int) -> None:
     if size < 1:
         raise ValueError(f"size must be positive, not {size}")
@@ -52,8 +56,14 @@ def split_key_ranges(bounds: DataFrame, size: int, start: str = "start", end: st
     lo, hi = F.col(start).cast("bigint"), F.col(end).cast("bigint")
     step = F.lit(size).cast("bigint")
     valid = F.when((lo < 0) | (hi < lo), F.raise_error(F.lit("no key range"))).otherwise(range_start(lo, size))
-    first = F.explode(F.sequence(valid, range_start(hi, size), step)).alias("first")
-    return bounds.select(first).select(*_bounds(F.col("first"), size))
+    # In two steps of which neither makes a long array, so that one wide interval spreads over tasks.
+    stride = F.lit(size * RANGES_PER_STEP).cast("bigint")
+    steps = bounds.select(
+        F.explode(F.sequence(valid, range_start(hi, size), stride)).alias("step"), range_start(hi, size).alias("last")
+    ).hint("rebalance")
+    end_of_step = F.least(F.col("last"), F.col("step") + (stride - step))
+    first = F.explode(F.sequence(F.col("step"), end_of_step, step)).alias("first")
+    return steps.select(first).select(*_bounds(F.col("first"), size))
 
 
 def with_range(rows: DataFrame, slot: Column, size: int) -> DataFrame:
@@ -133,12 +143,13 @@ def _aligned_pieces(first: Column, last: Column) -> Column:
     def pieces(level: Column) -> Column:
         size = F.call_function("shiftleft", F.lit(1).cast("bigint"), level)
         low = F.call_function("div", first, size) + F.when(first % size > 0, 1).otherwise(0)
-        high = F.call_function("div", last + 1, size)
+        # Not of last + 1, which the largest slot does not have.
+        high = F.call_function("div", last, size) + F.when(last % size == size - 1, 1).otherwise(0)
         left = F.when((low < high) & (low % 2 == 1), F.struct(level.alias("level"), low.alias("piece")))
         right = F.when((low < high) & (high % 2 == 1), F.struct(level.alias("level"), (high - 1).alias("piece")))
         return F.filter(F.array(left, right), lambda piece: piece.isNotNull())
 
-    widest = F.least(F.ceil(F.log2(last - first + 1)) + 1, F.lit(62)).cast("int")
+    widest = F.least(F.ceil(F.log2((last - first).cast("double") + 1)) + 1, F.lit(62)).cast("int")
     return F.flatten(F.transform(F.sequence(F.lit(0), widest), pieces))
 
 
@@ -167,7 +178,7 @@ def overlapping_files_of_requests(files: DataFrame, requests: DataFrame, inclusi
     real_files = files.where(lo <= hi - within)
     real_requests = requests.where(start <= end - within)
     from_file = _points_in_intervals(real_files, "lo", requests, start, end - within)
-    from_request = _points_in_intervals(real_requests, "s", files, lo + 1, hi - within)
+    from_request = _points_in_intervals(real_requests, "s", files, F.when(lo < hi, lo + 1), hi - within)
     columns = [*files.columns, *requests.columns]
     return from_file.select(*columns).unionByName(from_request.select(*columns))
 

@@ -31,6 +31,15 @@ def unplaced_cells(cells: DataFrame) -> DataFrame:
     return cells.where(keys.key_to_slot(F.col("row_key")).isNull())
 
 
+def _check_plan(planned: DataFrame, size: int) -> None:
+    """Every planned range has to be one that cells of this size are put into."""
+    lo, hi = keys.key_to_slot(F.col("start_key")), keys.key_to_slot(F.col("end_key"))
+    fits = (hi - lo == size - 1) & (lo % size == 0)
+    wrong = planned.where(~F.coalesce(fits, F.lit(False))).first()
+    if wrong is not None:
+        raise ValueError(f"{wrong['start_key']} to {wrong['end_key']} is no range of {size} slots")
+
+
 def archive_ranges(
     spark: SparkSession,
     cells: DataFrame,
@@ -41,11 +50,17 @@ def archive_ranges(
     sync_type: str,
     table: str,
     in_key_order: bool = False,
-) -> None:
+    waves: int = 1,
+    rejects: str | None = None,
+) -> int:
     """Copy the planned ranges (``start_key``, ``end_key``) that are not finished to the archive.
 
-    Ranges are recorded as done only after the write has committed. When it fails they are recorded
-    as failed, which leaves them pending for the next run, and the error is raised.
+    The ranges are archived in so many ``waves``, each a stretch of the key space that is written and recorded by
+    itself: as done only after its write has committed, or as failed, which leaves it pending for the next run. A
+    failed wave does not keep the others from being archived; its error is raised in the end.
+
+    Cells whose keys are no slots belong to no range. They are written to ``rejects`` and counted; the count is
+    returned. Without that folder any such cell is an error, before anything is archived.
     """
     archive.check_table(table)
     archive.check_sync_type(sync_type)
@@ -54,17 +69,36 @@ def archive_ranges(
     pending = stage(ranges.pending_ranges(planned, ledger), "pending-ranges")
     first, last = pending.agg(F.min("start_key"), F.max("end_key")).first()
     if first is None:
-        return
-    rows = archive.read_key_range(cells, first, last)
-    chosen = to_archive(rows, sync_type, table, size).join(pending, ["start_key", "end_key"], "left_semi")
-    try:
-        archive.write_archive(chosen, root, in_key_order)
-    except Exception:
-        ledgers.mark_ranges(pending, ledger_path, sync_type, table, size, STATUS_FAILED)
-        raise
-    ledgers.mark_ranges(pending, ledger_path, sync_type, table, size, STATUS_DONE)
+        return 0
+    _check_plan(pending, size)
+    unplaced = unplaced_cells(cells)
+    if rejects is not None:
+        unplaced.write.mode("overwrite").parquet(rejects)
+        lost = spark.read.parquet(rejects).count()
+    elif (bad := unplaced.select("row_key").first()) is not None:
+        raise ValueError(f"{bad[0]!r} is no slot; give a folder for such cells")
+    else:
+        lost = 0
+    low, high = int(first, 16), int(last, 16)
+    step = -(-(high - low + 1) // (size * waves)) * size
+    failed: Exception | None = None
+    for start in range(low, high + 1, step):
+        keys_of_wave = f"{start:016x}", f"{start + step - 1:016x}"
+        wave = pending.where(F.col("start_key").between(*keys_of_wave))
+        rows = archive.read_key_range(cells, *keys_of_wave)
+        chosen = to_archive(rows, sync_type, table, size).join(wave, ["start_key", "end_key"], "left_semi")
+        try:
+            archive.write_archive(chosen, root, in_key_order)
+        except Exception as error:
+            ledgers.mark_ranges(wave, ledger_path, sync_type, table, size, STATUS_FAILED)
+            failed = failed or error
+        else:
+            ledgers.mark_ranges(wave, ledger_path, sync_type, table, size, STATUS_DONE)
+    if failed is not None:
+        raise failed
+    return lost
 
 
-def archive_key_range(spark: SparkSession, cells: DataFrame, start: int, end: int, size: int, *args, **options) -> None:
+def archive_key_range(spark: SparkSession, cells: DataFrame, start: int, end: int, size: int, *args, **options) -> int:
     """``archive_ranges`` for every range of ``size`` slots between ``start`` and ``end``."""
-    archive_ranges(spark, cells, ranges.split_key_range(spark, start, end, size), size, *args, **options)
+    return archive_ranges(spark, cells, ranges.split_key_range(spark, start, end, size), size, *args, **options)

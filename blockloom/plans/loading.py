@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from blockloom.functions import keys
-from blockloom.model import BLOCK, LEGACY_BLOCK, QUALIFIER_BIN, QUALIFIER_PROTO, RAW_TABLE
+from blockloom.model import BLOCK, LEGACY_BLOCK, QUALIFIER_BIN, QUALIFIER_PROTO, RAW_TABLE, SOURCE_TABLES
 from blockloom.operators import blocks as block_ops
 from blockloom.operators import cells as cell_ops
 from blockloom.operators import payloads, ranges
@@ -16,14 +16,26 @@ from blockloom.sources import archive, ledgers, tables
 
 REJECTED = "row_key string, slot bigint, error string"
 
+INCOMPLETE = "row_key string, slot bigint, missing bigint"
+
+#: The folders of each load, written before its data, and the loads that have finished.
+RUNS = "run_id bigint, path string, kind string, root string, table_name string, range string, commit_id bigint"
+FINISHED = "run_id bigint"
+
 _CORRUPT = "_corrupt_record"
 
+
+def _schema(text: str) -> T.StructType:
+    return T.StructType.fromDDL(text)
+
+
 Parser = Callable[[Column], Column]
 
 
 def json_parser(schema: T.StructType) -> Parser:
     checked = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
-    return lambda payload: F.from_json(F.decode(payload, "UTF-8"), checked)
+    # Bytes that are no UTF-8 would end the job in ``decode``; they become null, which does not parse.
+    return lambda payload: F.from_json(F.try_validate_utf8(payload.cast("string")), checked)
 
 
 # Per cell format: decoded bytes to a block struct, null or without transactions when they do not parse.
@@ -37,11 +49,12 @@ JSON_PARSERS: dict[str, Parser] = {
 def stored_folders(spark: SparkSession, root: str, sync_type: str) -> DataFrame:
     """Archived range folders of one sync type: ``path`` below ``root`` and its partition values.
 
-    A folder is the unit of loading: it holds one range of one table, in however many files.
+    A folder is the unit of loading: it holds one range of one table, in however many files. Its path is the whole
+    one, so folders of several archives are told apart.
     """
     archive.check_sync_type(sync_type)
     files = archive.list_archive_files(spark, f"{root.rstrip('/')}/sync_type={sync_type}", missing_ok=True)
-    folder = F.regexp_extract("path", r"(sync_type=[^/]*/table_name=[^/]*/range=[^/]*/commit_id=\d+)/[^/]*$", 1)
+    folder = F.regexp_extract("path", r"^(.*/sync_type=[^/]*/table_name=[^/]*/range=[^/]*/commit_id=\d+)/[^/]*$", 1)
     folders = files.select(folder.alias("path")).where(F.col("path") != "").distinct()
     return folders.select(
         "path",
@@ -55,10 +68,12 @@ def candidate_folders(
     spark: SparkSession, root: str, sync_type: str, start: int, end: int, ledger_path: str
 ) -> DataFrame:
     """Unloaded folders of one sync type that overlap the request, one row per folder and kind."""
-    folders = ranges.parse_range_path(stored_folders(spark, root, sync_type))
+    named = stored_folders(spark, root, sync_type).withColumnRenamed("path", "whole").withColumn("path", F.col("range"))
+    folders = ranges.parse_range_path(named).drop("path").withColumnRenamed("whole", "path")
     chosen = ranges.overlapping_files(folders, start, end)
     unread = ranges.pending_files(chosen, ledgers.read_file_ledger(spark, ledger_path))
-    return ranges.route_by_kind(unread)
+    # By the partition, not by the path: a sync type may have a table's name in its own.
+    return unread.withColumn("kind", F.col("table_name")).where(F.col("kind").isin(*SOURCE_TABLES))
 
 
 def read_folders(spark: SparkSession, root: str, sync_type: str, folders: DataFrame, kind: str) -> DataFrame:
@@ -69,7 +84,7 @@ def read_folders(spark: SparkSession, root: str, sync_type: str, folders: DataFr
     """
     names = ["table_name", "range", "commit_id"]
     wanted = folders.where(F.col("kind") == kind).select(*names)
-    stored = archive.read_archive(spark, root).where(F.col("sync_type") == sync_type)
+    stored = archive.read_archive(spark, root, sync_type)
     stored = stored.withColumns({"file": F.col("_metadata.file_path"), "position": F.col("_metadata.row_index")})
     return stored.join(wanted, names, "left_semi")
 
@@ -121,9 +136,13 @@ def parse_blocks(raw: DataFrame, parsers: dict[str, Parser] = JSON_PARSERS) -> D
             F.transform("legacy.transactions", block_ops.current_transaction), block_ops.flat_transaction
         ),
     )
+
     def unsigned(tx: Column) -> Column:
         return F.coalesce(F.size(tx["signatures"]), F.lit(0)) == 0
 
+    def keyless(tx: Column) -> Column:
+        return F.exists(F.coalesce(tx["account_keys"], F.array().cast("array<string>")), lambda key: key.isNull())
+
     transactions = F.coalesce(current, legacy)
     error = (
         F.when(F.col("slot").isNull(), "row key is no slot")
@@ -131,6 +150,7 @@ def parse_blocks(raw: DataFrame, parsers: dict[str, Parser] = JSON_PARSERS) -> D
         .when(F.col("error").isNotNull(), F.col("error"))
         .when(F.col("transactions").isNull(), "payload does not parse")
         .when(F.exists("transactions", unsigned), "transaction without signature")
+        .when(F.exists("transactions", keyless), "transaction with a null account key")
     )
     block_time = F.coalesce("current.block_time", "legacy.block_time")
     rows = both.withColumns({"transactions": transactions, "block_time": block_time})
@@ -146,7 +166,9 @@ def fan_out_tables(
 ) -> DataFrame:
     """Feed ``blocks``, ``tx`` and ``tx-by-addr`` from one parse of the raw block rows.
 
-    Raw rows are written first, so a block that yields nothing is kept. Returns the rejected rows.
+    Raw rows are written first, so a block that yields nothing is kept. What was left out is stored as well:
+    ``rejected`` has the rows that do not parse, with a reason, and ``incomplete`` the blocks with transactions
+    without metadata and the number of these. Returns the rejected rows.
     """
     tables.write_commit(raw, f"{out}/blocks", commit_id)
     stored = tables.read_commit(raw.sparkSession, f"{out}/blocks", RAW_TABLE, commit_id)
@@ -154,7 +176,15 @@ def fan_out_tables(
     good = parsed.where(F.col("error").isNull())
     tables.write_commit(block_ops.tx_table(good), f"{out}/tx", commit_id)
     tables.write_commit(block_ops.tx_by_addr(good, reserved), f"{out}/tx-by-addr", commit_id)
-    return parsed.where(F.col("error").isNotNull()).select("row_key", "slot", "error")
+    left_out = block_ops.incomplete_blocks(good).select(
+        keys.slot_to_key(F.col("slot")).alias("row_key"), "slot", F.col("missing").cast("bigint").alias("missing")
+    )
+    tables.write_commit(left_out, f"{out}/incomplete", commit_id)
+    rejected = parsed.where(F.col("error").isNotNull()).select("row_key", "slot", "error")
+    tables.write_commit(rejected, f"{out}/rejected", commit_id)
+    return tables.read_commit(
+        raw.sparkSession, f"{out}/rejected", _schema(REJECTED), commit_id
+    )
 
 
 def entries_passthrough(raw: DataFrame, out: str, commit_id: int) -> None:
@@ -162,6 +192,23 @@ def entries_passthrough(raw: DataFrame, out: str, commit_id: int) -> None:
     tables.write_commit(raw, f"{out}/entries", commit_id)
 
 
+def _open_run(spark: SparkSession, out: str) -> DataFrame:
+    """Folders of loads that began and have not finished."""
+    begun = tables.read_or_empty(spark, f"{out}/runs", _schema(RUNS))
+    return begun.join(tables.read_or_empty(spark, f"{out}/finished", _schema(FINISHED)), "run_id", "left_anti")
+
+
+def _load_folders(spark: SparkSession, folders: DataFrame, root: str, reserved: DataFrame, out: str, run: int, parsers: dict[str, Parser]) -> DataFrame:
+    sync_type = folders.select(F.regexp_extract("path", "/sync_type=([^/]*)/", 1)).first()[0]
+    blocks = raw_rows(read_folders(spark, root, sync_type, folders, "blocks"))
+    rejected = fan_out_tables(blocks, reserved, out, run, parsers)
+    entries_passthrough(raw_rows(read_folders(spark, root, sync_type, folders, "entries")), out, run)
+    loaded = ledgers.read_file_ledger(spark, f"{out}/snapshots")
+    ledgers.mark_files(folders.select("path").distinct().join(loaded, "path", "left_anti"), f"{out}/snapshots")
+    spark.createDataFrame([(run,)], FINISHED).coalesce(1).write.mode("append").parquet(f"{out}/finished")
+    return rejected
+
+
 def load_archive(
     spark: SparkSession,
     root: str,
@@ -170,21 +217,33 @@ def load_archive(
     end: int,
     reserved: DataFrame,
     out: str,
-    commit_id: int,
     parsers: dict[str, Parser] = JSON_PARSERS,
 ) -> DataFrame:
     """Load every unloaded archive folder that overlaps the request; returns the rejected block rows.
 
-    Folders are recorded last. A run that dies before that is repeated under the same ``commit_id``
-    and replaces what it wrote.
+    A load is a run with a number of its own, which is the commit in all tables below ``out``. Its folders are
+    recorded before any data and again when all is written. A run that died is finished first, with its folders
+    and under its number, so it replaces what it wrote; no other run ever has that number. One load at a time may
+    write to ``out``.
     """
-    ledger_path = f"{out}/snapshots"
-    folders = candidate_folders(spark, root, sync_type, start, end, ledger_path)
+    rejected = spark.createDataFrame([], REJECTED)
+    opened = stage(_open_run(spark, out), "open-runs")
+    for run, place in sorted(opened.select("run_id", "root").distinct().collect()):
+        rejected = rejected.union(_load_folders(spark, opened.where(F.col("run_id") == run), place, reserved, out, run, parsers))
+    folders = candidate_folders(spark, root, sync_type, start, end, f"{out}/snapshots")
     folders = stage(folders.select("path", "kind", "table_name", "range", "commit_id"), "load-folders")
     if folders.isEmpty():
-        return spark.createDataFrame([], REJECTED)
-    blocks = raw_rows(read_folders(spark, root, sync_type, folders, "blocks"))
-    rejected = fan_out_tables(blocks, reserved, out, commit_id, parsers)
-    entries_passthrough(raw_rows(read_folders(spark, root, sync_type, folders, "entries")), out, commit_id)
-    ledgers.mark_files(folders.select("path").distinct(), ledger_path)
-    return rejected
+        return rejected
+    last = tables.read_or_empty(spark, f"{out}/runs", _schema(RUNS)).agg(F.max("run_id")).first()[0]
+    run = 1 if last is None else last + 1
+    record = folders.withColumns({"run_id": F.lit(run).cast("bigint"), "root": F.lit(root)})
+    record.select(*_schema(RUNS).fieldNames()).coalesce(1).write.mode("append").parquet(f"{out}/runs")
+    return rejected.union(_load_folders(spark, folders, root, reserved, out, run, parsers))
+
+
+def load_report(spark: SparkSession, out: str) -> DataFrame:
+    """What the loads below ``out`` stored and left out: (outcome, rows), rejected ones by reason."""
+    raw = tables.read_table(spark, f"{out}/blocks", RAW_TABLE).select(F.lit("stored").alias("outcome"))
+    incomplete = tables.read_table(spark, f"{out}/incomplete", _schema(INCOMPLETE)).select(F.lit("incomplete").alias("outcome"))
+    reasons = tables.read_table(spark, f"{out}/rejected", _schema(REJECTED)).select(F.concat(F.lit("rejected: "), "error").alias("outcome"))
+    return raw.union(incomplete).union(reasons).groupBy("outcome").agg(F.count(F.lit(1)).alias("rows"))

@@ -11,12 +11,9 @@ from blockloom.functions import keys
 from blockloom.model import LEGACY_BLOCK, STATUS_DONE, STATUS_FAILED
 from blockloom.operators import blocks as block_ops
 from blockloom.operators import payloads, ranges
-from blockloom.session import spread, stage
 
-# A block record is one stored cell of limited size, so a block holds at most this many transactions.
-# A larger order fills further blocks, numbered in the high part of the slot.
-BLOCK_TRANSACTIONS = 4096
-BLOCK_STRIDE = 1 << 40
+# The lines of an order are dealt into so many blocks, whatever their number. A lane's slot follows from the order.
+LANES = 4
 
 RANGE_SIZE = 100
 
@@ -38,26 +35,15 @@ def _since_epoch(unit: str, column: str) -> Column:
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items with the slot and position of the transaction they stand for.
 
-    An order larger than a block is dealt into lanes first, so no task numbers a hot order alone;
-    lanes that still exceed a block are cut. The few large orders are found by a partial count.
+    An order is dealt into ``LANES`` blocks, so no task numbers a hot order alone.
     """
-    rows = table(spark, sf_dir, "lineitem")
-    large = rows.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("lines"))
-    large = large.where(F.col("lines") > BLOCK_TRANSACTIONS).select(
-        "l_orderkey", (ranges.bucket_of(F.col("lines"), BLOCK_TRANSACTIONS) + 1).alias("lanes")
-    )
-    lanes = F.coalesce("lanes", F.lit(1).cast("bigint"))
-    dealt = rows.join(stage(large, "large-orders"), "l_orderkey", "left").withColumns(
-        {"lanes": lanes, "lane": (F.col("l_partkey") + F.col("l_suppkey")) % lanes}
-    )
+    rows = table(spark, sf_dir, "lineitem").withColumn("lane", (F.col("l_partkey") + F.col("l_suppkey")) % LANES)
     # A running count, because row_number is an INT.
     within = Window.partitionBy("l_orderkey", "lane").orderBy(*_LINE_ORDER).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    place = F.col("place")
-    block = F.col("lane") + F.col("lanes") * ranges.bucket_of(place, BLOCK_TRANSACTIONS)
-    return dealt.withColumn("place", F.count(F.lit(1)).over(within) - 1).withColumns(
-        {"slot": F.col("l_orderkey") + block * BLOCK_STRIDE, "index": place % BLOCK_TRANSACTIONS}
+    return rows.withColumns(
+        {"slot": F.col("l_orderkey") * LANES + F.col("lane"), "index": F.count(F.lit(1)).over(within) - 1}
     )
 
 
@@ -172,6 +158,18 @@ def block_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return payloads.encode_payloads(stored).drop("codec")
 
 
+def broken_block_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells that hold no block, one per supplier, far above the others: bytes that are no text, an unknown layout."""
+    number = F.col("s_suppkey")
+    return table(spark, sf_dir, "supplier").select(
+        keys.slot_to_key(number + 1_000_000_000).alias("row_key"),
+        F.lit("x").alias("family"),
+        F.when(number % 3 == 0, "other").otherwise("proto").alias("qualifier"),
+        number.alias("ts"),
+        F.unhex(F.lit("00000000FFFE80")).alias("value"),
+    )
+
+
 def reserved(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reserved addresses: the suppliers of some nations."""
     chosen = table(spark, sf_dir, "supplier").where(F.col("s_nationkey") < 5)
@@ -284,7 +282,7 @@ def _as_puts(events: DataFrame) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    texts = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    texts = table(spark, sf_dir, "documents").select("doc_id", "text")
     return texts.select("doc_id", F.encode("text", "UTF-8").alias("value"))
 
 
@@ -307,22 +305,22 @@ def page_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def write_live_tree(spark: SparkSession, sf_dir: str, folder: str) -> None:
-    """Pages as text files below ``range=…/slot=…/kind=…``, eight pages to a file, in page order."""
-    slot = ranges.bucket_of(F.col("page_id"), 8)
+def write_live_tree(spark: SparkSession, sf_dir: str, folder: str, part: int | None = None) -> None:
+    """Pages as text files below ``range=…/slot=…/kind=…``, a file each; all, or those of one remainder by 3."""
+    slot = F.col("page_id")
     lo = ranges.range_start(slot, RANGE_SIZE)
     kind = F.when(slot % 3 == 0, "blocks").when(slot % 3 == 1, "entries").otherwise("other")
-    tree = table(spark, sf_dir, "pages").select(
+    pages = table(spark, sf_dir, "pages")
+    tree = (pages if part is None else pages.where(slot % 3 == part)).select(
         keys.range_name(keys.slot_to_key(lo), keys.slot_to_key(lo + RANGE_SIZE - 1)).alias("range"),
         slot.alias("slot"),
         kind.alias("kind"),
-        "page_id",
         "html",
     )
     (
         tree.repartition("slot")
-        .sortWithinPartitions("range", "slot", "kind", "page_id")
-        .select("range", "slot", "kind", "html")
-        .write.partitionBy("range", "slot", "kind")
+        .sortWithinPartitions("range", "slot", "kind")
+        .write.mode("append")
+        .partitionBy("range", "slot", "kind")
         .text(folder)
     )

@@ -53,8 +53,3 @@ def stage(rows: DataFrame, label: str) -> DataFrame:
     rows.write.parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
 
-
-def spread(scan: DataFrame) -> DataFrame:
-    """Deal out a scan of fewer splits than cores, for heavy work per row. Large inputs stay as they are."""
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan

@@ -54,9 +54,22 @@ def write_archive(cells: DataFrame, root: str, in_key_order: bool = False) -> No
     )
 
 
-def read_archive(spark: SparkSession, root: str) -> DataFrame:
-    """All archived cells; filters on the partition columns select files."""
-    return spark.read.schema(ARCHIVE).parquet(root)
+def read_archive(spark: SparkSession, root: str, sync_type: str | None = None) -> DataFrame:
+    """All archived cells, or those of one sync type, whose folders alone are then listed.
+
+    Filters on the partition columns select files.
+    """
+    if sync_type is None:
+        return spark.read.schema(ARCHIVE).parquet(root)
+    check_sync_type(sync_type)
+    root = root.rstrip("/")
+    return spark.read.schema(ARCHIVE).option("basePath", root).parquet(f"{root}/sync_type={sync_type}")
+
+
+def qualified(spark: SparkSession, folder: str) -> str:
+    """A folder as its file system spells it, which is how the paths of its files begin."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
 
 
 def list_archive_files(spark: SparkSession, root: str, missing_ok: bool = False) -> DataFrame:
@@ -74,13 +87,14 @@ def list_archive_files(spark: SparkSession, root: str, missing_ok: bool = False)
 def export_records(cells: DataFrame, path: str) -> None:
     """Write one uncompressed key/value record per cell.
 
-    The value starts with the lengths of family and qualifier (4 hex digits each) and the cell time
-    (16), followed by family, qualifier and the cell value.
+    The value starts with the lengths of family and qualifier (8 hex digits each, enough for any text), the cell time
+    as 16 digits of its two's complement, and 1 or 0 for a value or none, followed by family, qualifier and value.
     """
     head = F.concat(
-        F.lower(F.lpad(F.hex(F.octet_length("family")), 4, "0")),
-        F.lower(F.lpad(F.hex(F.octet_length("qualifier")), 4, "0")),
+        F.lower(F.lpad(F.hex(F.octet_length("family")), 8, "0")),
+        F.lower(F.lpad(F.hex(F.octet_length("qualifier")), 8, "0")),
         keys.slot_to_key(F.col("ts")),
+        F.when(F.col("value").isNull(), "0").otherwise("1"),
         F.col("family"),
         F.col("qualifier"),
     )
@@ -108,17 +122,18 @@ def import_records(spark: SparkSession, path: str) -> DataFrame:
         return F.decode(F.substring("value", start, length), "UTF-8")
 
     def number(start: int, length: int):
-        return F.conv(text(F.lit(start), F.lit(length)), 16, 10).cast("bigint")
+        # A negative target base reads 16 digits as two's complement.
+        return F.conv(text(F.lit(start), F.lit(length)), 16, -10).cast("bigint")
 
     sized = records.withColumns(
-        {"family_size": number(1, 4).cast("int"), "qualifier_size": number(5, 4).cast("int")}
+        {"family_size": number(1, 8).cast("int"), "qualifier_size": number(9, 8).cast("int")}
     )
-    body = F.lit(25) + F.col("family_size")
+    body = F.lit(34) + F.col("family_size")
     rest = body + F.col("qualifier_size")
     return sized.select(
         F.decode("key", "UTF-8").alias("row_key"),
-        text(F.lit(25), F.col("family_size")).alias("family"),
+        text(F.lit(34), F.col("family_size")).alias("family"),
         text(body, F.col("qualifier_size")).alias("qualifier"),
-        number(9, 16).alias("ts"),
-        F.substring("value", rest, F.octet_length("value")).alias("value"),
+        number(17, 16).alias("ts"),
+        F.when(text(F.lit(33), F.lit(1)) == "1", F.substring("value", rest, F.octet_length("value"))).alias("value"),
     ).to(CELL)

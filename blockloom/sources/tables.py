@@ -7,6 +7,11 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from blockloom.session import stage
+
+WRITTEN = T.StructType([T.StructField("commit_id", T.LongType()), T.StructField("writer", T.StringType())])
+COMMITS = T.StructType([T.StructField("writer", T.StringType()), T.StructField("number", T.LongType()), T.StructField("commit_id", T.LongType())])
+
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Parquet at ``path``; no rows when nothing was ever written there. Other errors are raised."""
@@ -18,25 +23,47 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
         return spark.createDataFrame([], schema)
 
 
-def write_commit(rows: DataFrame, path: str, commit_id: int) -> None:
-    """Append one commit. Writing the same commit again replaces it, so a replay changes nothing."""
-    (
-        rows.withColumn("commit_id", F.lit(commit_id).cast("bigint"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("commit_id")
-        .parquet(path)
-    )
+def _folder(spark: SparkSession, path: str):
+    """A Hadoop path and its file system."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def write_commit(rows: DataFrame, path: str, commit_id: int, writer: str = "job") -> None:
+    """Append one commit of one writer. Writing it again replaces it, also by no rows, so a replay changes nothing.
+
+    Numbers of a writer are its own: commits of the same number by other writers stay. ``next_commit`` hands out
+    numbers that follow those of all writers.
+    """
+    folder, files = _folder(rows.sparkSession, f"{path.rstrip('/')}/commit_id={commit_id}/writer={writer}")
+    files.delete(folder, True)
+    rows.write.parquet(folder.toString())
+
+
+def next_commit(spark: SparkSession, path: str, writer: str, number: int) -> int:
+    """The commit for a writer's ``number``-th piece of work: a new one above all others, or the one it got before.
+
+    The numbers are kept beside the data, in a folder that readers of the table skip.
+    """
+    ledger = f"{path.rstrip('/')}/_commits"
+    known = read_or_empty(spark, ledger, COMMITS)
+    mine = known.where((F.col("writer") == writer) & (F.col("number") == number)).agg(F.max("commit_id")).first()[0]
+    if mine is not None:
+        return mine
+    last = known.agg(F.max("commit_id")).first()[0]
+    commit_id = 0 if last is None else last + 1
+    spark.createDataFrame([(writer, number, commit_id)], COMMITS).coalesce(1).write.mode("append").parquet(ledger)
+    return commit_id
 
 
 def _with_commit(schema: T.StructType) -> T.StructType:
-    return T.StructType([*schema.fields, T.StructField("commit_id", T.LongType())])
+    return T.StructType([*schema.fields, *WRITTEN.fields])
 
 
-def read_commit(spark: SparkSession, path: str, schema: T.StructType, commit_id: int) -> DataFrame:
+def read_commit(spark: SparkSession, path: str, schema: T.StructType, commit_id: int, writer: str = "job") -> DataFrame:
     """Rows of one commit as they were written."""
     rows = read_or_empty(spark, path, _with_commit(schema))
-    return rows.where(F.col("commit_id") == commit_id).drop("commit_id")
+    return rows.where((F.col("commit_id") == commit_id) & (F.col("writer") == writer)).drop("commit_id", "writer")
 
 
 def latest_by_key(puts: DataFrame, order: Sequence[str], key: str = "row_key") -> DataFrame:
@@ -50,13 +77,13 @@ def latest_by_key(puts: DataFrame, order: Sequence[str], key: str = "row_key") -
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType, order: Sequence[str] = ()) -> DataFrame:
-    """Latest view of a keyed table: the newest commit wins, then ``order`` within it."""
-    return latest_by_key(read_or_empty(spark, path, _with_commit(schema)), ["commit_id", *order])
+    """Latest view of a keyed table: the newest commit wins, then the writer's name, then ``order`` within it."""
+    return latest_by_key(read_or_empty(spark, path, _with_commit(schema)), ["commit_id", "writer", *order]).drop("writer")
 
 
 def compact(spark: SparkSession, path: str, schema: T.StructType, target: str, order: Sequence[str] = ()) -> None:
     """Write the latest view to a new folder, in key order, so that key filters skip row groups."""
-    latest = read_table(spark, path, schema, order)
-    newest = spark.read.parquet(path).agg(F.max("commit_id")).first()[0]
+    latest = stage(read_table(spark, path, schema, order), "latest")  # the range sort reads it twice
+    newest = latest.agg(F.max("commit_id")).first()[0]
     ordered = latest.drop("commit_id").repartitionByRange("row_key").sortWithinPartitions("row_key")
-    write_commit(ordered, target, newest)
+    write_commit(ordered, target, newest or 0, "compacted")

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from blockloom.functions import keys
 from blockloom.model import ARCHIVE, BINARY_FILE
 from blockloom.operators import cells as cell_ops
+from blockloom.session import stage
 from blockloom.sources import archive, tables
 
 
@@ -43,6 +46,17 @@ def live_cells(files: DataFrame, folder: str) -> DataFrame:
     return cell_ops.file_to_cell(files).withColumn("range", keys.folder_below(F.col("path"), folder))
 
 
+def _stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark gave the stream of a checkpoint; a new checkpoint has a new one."""
+    text = spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0]
+    return json.loads(text)["id"]
+
+
+def _stream_number(spark: SparkSession, checkpoint: str) -> int:
+    """31 bits of the stream's id, for commit numbers."""
+    return int(_stream_id(spark, checkpoint).replace("-", "")[:8], 16) >> 1
+
+
 def _trigger(interval: str | None) -> dict:
     return {"availableNow": True} if interval is None else {"processingTime": interval}
 
@@ -62,19 +76,25 @@ def follow(
     """Archive the files of ``folder``: what is there now when ``interval`` is None, else also new ones.
 
     Both phases share one checkpoint, so following on after a backfill neither misses nor repeats a
-    file. Each batch is a commit of its own in the archive (0 is the archive job's); a repeated batch
-    replaces itself. A failed batch fails the query and leaves its source files in place.
+    file. Each batch is a commit of its own in the archive (0 is the archive job's), numbered within the
+    stream; a repeated batch replaces itself, and streams of other checkpoints stay apart. A failed batch
+    fails the query and leaves its source files in place. ``rejects`` gets the path and content of files
+    that no table takes; without it files cannot be cleaned up, since those would be lost.
     """
     archive.check_sync_type(sync_type)
+    if clean_source != "off" and not rejects:
+        raise ValueError("cleaning up needs a rejects folder, which keeps the files that no table takes")
+    folder = archive.qualified(spark, folder)
     files = live_files(spark, folder, files_per_batch, clean_source, done_folder)
 
     def archive_batch(batch: DataFrame, batch_id: int) -> None:
-        placed = live_cells(batch, folder).withColumns(
-            {"sync_type": F.lit(sync_type), "commit_id": F.lit(batch_id + 1).cast("bigint")}
-        )
+        commit_id = F.lit((_stream_number(batch.sparkSession, checkpoint) << 32) + batch_id + 1).cast("bigint")
+        placed = live_cells(batch, folder).withColumns({"sync_type": F.lit(sync_type), "commit_id": commit_id})
+        if rejects:  # two writes need the batch's files once
+            placed = stage(placed, "live-batch")
         archive.write_archive(cell_ops.route_cells(placed).select(*ARCHIVE.fieldNames()), root)
         if rejects:
-            unknown = cell_ops.rejected_cells(placed).select("path", "row_key", "commit_id")
+            unknown = cell_ops.rejected_cells(placed).select("path", "row_key", "value", "commit_id")
             unknown.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
                 "commit_id"
             ).parquet(rejects)
@@ -84,10 +104,15 @@ def follow(
 
 
 def upsert_stream(rows: DataFrame, path: str, checkpoint: str, interval: str | None = None) -> StreamingQuery:
-    """Put streamed rows into a keyed table. Each batch is one commit, and a repeated batch replaces itself."""
+    """Put streamed rows into a keyed table. Each batch is one commit, and a repeated batch replaces itself.
+
+    Batches of several streams are numbered in the order in which they begin to be written.
+    """
 
     def put_batch(batch: DataFrame, batch_id: int) -> None:
-        tables.write_commit(batch, path, batch_id)
+        writer = _stream_id(batch.sparkSession, checkpoint)
+        commit_id = tables.next_commit(batch.sparkSession, path, writer, batch_id)
+        tables.write_commit(batch, path, commit_id, writer)
 
     writer = rows.writeStream.foreachBatch(put_batch).option("checkpointLocation", checkpoint)
     return writer.trigger(**_trigger(interval)).start()

@@ -78,12 +78,12 @@ def test_follow_picks_up_new_files(spark, places):
 
 
 def test_clean_up_moves_finished_files_only(spark, places, tmp_path):
-    folder, root, checkpoint, _ = places
+    folder, root, checkpoint, rejects = places
     done = tmp_path / "done"
     for number in range(6):
         put(folder, f"range_0_9/{number}/blocks/{number:04}.pb", b"v%d" % number)
     live.follow(
-        spark, str(folder), root, "live", checkpoint, files_per_batch=1, clean_source="archive", done_folder=str(done)
+        spark, str(folder), root, "live", checkpoint, files_per_batch=1, clean_source="archive", done_folder=str(done), rejects=rejects
     ).awaitTermination()
     left = [path for path in folder.rglob("*") if path.is_file()]
     moved = [path for path in done.rglob("*") if path.is_file()]
@@ -92,7 +92,7 @@ def test_clean_up_moves_finished_files_only(spark, places, tmp_path):
 
 
 def test_failed_batch_keeps_source_files(spark, places, tmp_path, monkeypatch):
-    folder, root, checkpoint, _ = places
+    folder, root, checkpoint, rejects = places
     put(folder, "range_0_9/1/blocks/0001.pb", b"one")
 
     def broken(cells, root):
@@ -101,7 +101,7 @@ def test_failed_batch_keeps_source_files(spark, places, tmp_path, monkeypatch):
     monkeypatch.setattr(archive, "write_archive", broken)
     with pytest.raises(Exception, match="store is down"):
         live.follow(
-            spark, str(folder), root, "live", checkpoint, clean_source="delete"
+            spark, str(folder), root, "live", checkpoint, clean_source="delete", rejects=rejects
         ).awaitTermination()
     monkeypatch.undo()
     assert (folder / "range_0_9/1/blocks/0001.pb").exists()

@@ -50,10 +50,10 @@ def test_load_twice_and_extend(spark):
         archiving.archive_key_range(spark, rows, 0, 19, 10, root, ledger, "sync", table)
     reserved = spark.createDataFrame([("r",)], "address string")
 
-    def load(end, commit):
-        return loading.load_archive(spark, root, "sync", 0, end, reserved, out, commit)
+    def load(end):
+        return loading.load_archive(spark, root, "sync", 0, end, reserved, out)
 
-    rejected = {int(r["row_key"], 16): r["error"] for r in load(9, 1).collect()}
+    rejected = {int(r["row_key"], 16): r["error"] for r in load(9).collect()}
     assert set(rejected) == {5, 6, 7, 8}
     assert rejected[8] == "transaction without signature"
     assert rejected[6] == "unknown qualifier" and "codec" in rejected[7]
@@ -67,9 +67,9 @@ def test_load_twice_and_extend(spark):
 
     loaded = ledgers.read_file_ledger(spark, f"{out}/snapshots").count()
     assert loaded == 2
-    assert load(9, 2).count() == 0
+    assert load(9).count() == 0
     assert ledgers.read_file_ledger(spark, f"{out}/snapshots").count() == loaded
-    load(19, 3)
+    load(19)
     assert "s15" in {r["row_key"] for r in tables.read_table(spark, f"{out}/tx", TX_TABLE, TX_ORDER).collect()}
     assert ledgers.read_file_ledger(spark, f"{out}/snapshots").count() == 4
     entries = tables.read_table(spark, f"{out}/entries", RAW_TABLE)
@@ -108,4 +108,4 @@ def test_raw_rows_keep_one_cell_without_shuffling_values(spark, plan_of):
 def test_nothing_archived_loads_nothing(spark):
     empty = spark.createDataFrame([], "address string")
     root, out = scratch_path(spark, "a"), scratch_path(spark, "o")
-    assert loading.load_archive(spark, root, "sync", 0, 9, empty, out, 1).count() == 0
+    assert loading.load_archive(spark, root, "sync", 0, 9, empty, out).count() == 0
