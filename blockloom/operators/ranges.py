@@ -143,10 +143,10 @@ def _aligned_pieces(first: Column, last: Column) -> Column:
     def pieces(level: Column) -> Column:
         size = F.call_function("shiftleft", F.lit(1).cast("bigint"), level)
         low = F.call_function("div", first, size) + F.when(first % size > 0, 1).otherwise(0)
-        # Not of last + 1, which the largest slot does not have.
-        high = F.call_function("div", last, size) + F.when(last % size == size - 1, 1).otherwise(0)
-        left = F.when((low < high) & (low % 2 == 1), F.struct(level.alias("level"), low.alias("piece")))
-        right = F.when((low < high) & (high % 2 == 1), F.struct(level.alias("level"), (high - 1).alias("piece")))
+        # The last whole piece, not the one after it, which the largest slot does not have.
+        high = F.call_function("div", last, size) - F.when(last % size == size - 1, 0).otherwise(1)
+        left = F.when((low <= high) & (low % 2 == 1), F.struct(level.alias("level"), low.alias("piece")))
+        right = F.when((low <= high) & (high % 2 == 0), F.struct(level.alias("level"), high.alias("piece")))
         return F.filter(F.array(left, right), lambda piece: piece.isNotNull())
 
     widest = F.least(F.ceil(F.log2((last - first).cast("double") + 1)) + 1, F.lit(62)).cast("int")
