@@ -76,8 +76,9 @@ def components(edges: DataFrame, label: str) -> DataFrame:
 
     Alternates two steps until nothing changes. Large star: each node hands its larger neighbours to the smallest
     node it knows. Small star: each node hands its smaller neighbours to the smallest. Both are an aggregation with
-    partial minima and a join, so a node of very many neighbours is combined before the shuffle and split in the
-    join. Every step is a table in the shared folder. Loops and repeated edges do no harm; no edges, no rows.
+    partial minima and a join, so a node of very many neighbours is combined before the shuffle. The minima are
+    written before the join, as Spark splits a hot node only where both sides come from a plain shuffle. Every step is
+    a table in the shared folder. Loops and repeated edges do no harm; no edges, no rows.
     """
     spark = edges.sparkSession
     edges = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
@@ -86,10 +87,12 @@ def components(edges: DataFrame, label: str) -> DataFrame:
     while True:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         smallest = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        smallest = stage(smallest, f"{label}-minima")
         large = both.where("b > a").join(smallest, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = stage(large.where("a <> b").distinct(), f"{label}-large")
-        smallest = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(smallest, "a").select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b"))
+        smallest = stage(large.groupBy("a").agg(F.min("b").alias("m")), f"{label}-minima")
+        handed = F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b"))
+        small = large.join(smallest, "a").select(handed.alias("a"), F.col("m").alias("b"))
         edges = stage(small.where("a <> b").distinct(), f"{label}-small")
         # A star forest keeps its edges; their number and sums tell whether the step changed any.
         after = edges.agg(
