@@ -115,6 +115,19 @@ def count_pieces(pieces: DataFrame, content: bytes) -> DataFrame:
     return pieces.select("piece", "n").mapInArrow(run, "piece string, n long, pieces int")
 
 
+def _commonest(counted: DataFrame) -> DataFrame:
+    """At most ``COMMON`` rows: those from a frequency on. It is found among some hundred levels of frequency, so that
+    no task has to gather and sort the candidates."""
+    level = F.floor(F.log2("n") * 16).cast("int")
+    lowest, rows = None, 0
+    for at, many in sorted(counted.groupBy(level).count().collect(), reverse=True):
+        rows += many
+        if rows > COMMON:
+            break
+        lowest = at
+    return counted.limit(0) if lowest is None else counted.where(level >= lowest)
+
+
 def count_tokens(
     docs: DataFrame, content: bytes, id_col: str = "doc_id", text_col: str = "text", limit: int = 2048
 ) -> DataFrame:
@@ -127,7 +140,7 @@ def count_tokens(
     apart, other columns are not read, and an empty table gives an empty table.
     """
     counted = stage(count_pieces(dictionary(docs, content, text_col), content), "pieces")
-    top = counted.orderBy(F.desc("n"), "piece").limit(COMMON).select("piece", "pieces").toArrow()
+    top = _commonest(counted).select("piece", "pieces").toArrow()
     context = docs.sparkSession.sparkContext
     shared = context.broadcast((content, dict(zip(*(c.to_pylist() for c in top.columns), strict=True))))
 
