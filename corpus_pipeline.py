@@ -33,7 +33,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of the smallest id of each group. Rows that repeat an id are one document; null ids stay."""
     judged = stage(near_dup.near_duplicates(docs).select("doc_id", "kept"), "judged")
-    dropped = judged.where("NOT kept").select("doc_id").distinct()
+    # The same plan at every size, and texts that are shuffled but not sorted: ids to drop are no bounded set.
+    dropped = judged.where("NOT kept").select("doc_id").distinct().hint("shuffle_hash")
     left = docs.join(dropped, "doc_id", "left_anti")
     repeated = judged.where("kept AND doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id")
     repeated = stage(repeated, "repeated")
