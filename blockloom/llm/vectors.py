@@ -19,11 +19,13 @@ SAMPLE = 8192
 RECALL = 0.99
 #: Wanted vectors in a bucket of a table.
 BUCKET = 256
+#: Pairs at the threshold that are made to count the tables on, of each kind.
+PAIRS = 2000
 #: Vectors of a group that meet in one task.
 BLOCK = 1024
 
 
-def rotations(sample: np.ndarray, many: int, rounds: int = 50, seed: int = 3) -> np.ndarray:
+def rotations(sample: np.ndarray, many: int, rounds: int = 50, seed: int | list[int] = 3) -> np.ndarray:
     """Iterative quantisation: rotations under which centred vectors lie close to the corners of a cube.
 
     Each starts from another random rotation; a round fixes the signs as codes and solves for the rotation that maps
@@ -54,6 +56,100 @@ def plan(rows: int, width: int, cosine: float, recall: float = RECALL) -> tuple[
     return bits, tables, -(-tables // each)
 
 
+def pairs_at(sample: np.ndarray, cosine: float, seed: int = 5) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of unit vectors at the threshold, kind by kind: turned from vectors of the sample to any side, turned
+    towards other vectors of the sample, and the sample's own pairs just above the threshold if they are many.
+    """
+    rng = np.random.default_rng(seed)
+    first = sample[rng.integers(0, len(sample), PAIRS)]
+    made = []
+    for side in (rng.normal(size=first.shape), sample[rng.integers(0, len(sample), PAIRS)]):
+        side = side - (side * first).sum(axis=1, keepdims=True) * first
+        length = np.linalg.norm(side, axis=1, keepdims=True)
+        there = length[:, 0] > 1e-9
+        made.append((first[there], (cosine * first + math.sqrt(1 - cosine**2) * side / np.maximum(length, 1e-9))[there]))
+    i, j = [], []
+    for at in range(0, len(sample), BLOCK):
+        near = sample[at : at + BLOCK] @ sample.T
+        a, b = np.nonzero((near >= cosine) & (near < cosine + (1 - cosine) / 4))
+        a, b = a[a + at < b] + at, b[a + at < b]
+        some = rng.permutation(len(a))[:PAIRS]
+        i.append(a[some])
+        j.append(b[some])
+    i, j = (np.concatenate(x) if x else np.zeros(0, dtype=int) for x in (i, j))
+    some = rng.permutation(len(i))[:PAIRS]
+    made.append((sample[i[some]], sample[j[some]]))
+    return [(a, b) for a, b in made if len(a) >= PAIRS // 20]
+
+
+def table_keys(centred: np.ndarray, turns: np.ndarray, bits: int, tables: int) -> np.ndarray:
+    """A row of the tables' keys for each centred vector."""
+    each = turns.shape[1] // bits if bits else tables
+    keys = np.zeros((len(centred), tables), dtype=np.int64)
+    for t in range(tables):
+        turned = centred @ turns[t // each][:, t % each * bits : (t % each + 1) * bits] > 0
+        keys[:, t] = turned @ (1 << np.arange(bits, dtype=np.int64))
+    return keys
+
+
+def learnt_tables(
+    sample: np.ndarray, rows: int, cosine: float, recall: float = RECALL
+) -> tuple[np.ndarray, np.ndarray, int, int]:
+    """The mean of a sample of unit vectors, rotations, bits and tables that find pairs at the threshold.
+
+    Centring changes angles, so the tables of ``plan`` are only the least: pairs made at the threshold go through the
+    rotations themselves, and tables are added until each kind of pair is found with the wanted recall. Bits are given
+    up, to none and a single bucket, where more tables cost more than larger buckets.
+    """
+    width = sample.shape[1]
+    bits, tables, turns = plan(rows, width, cosine, recall)
+    mean = sample.mean(axis=0) if len(sample) else np.zeros(width)
+    centred = sample - mean
+    found = list(rotations(centred, max(turns, -(-256 // width))))
+    kinds = pairs_at(sample, cosine) if len(sample) else []
+    if not kinds:
+        return mean, np.stack(found), bits, tables
+    codes = [tuple(np.concatenate([(x - mean) @ t > 0 for t in found], axis=1) for x in kind) for kind in kinds]
+    agree = [(a == b).mean(axis=1) for a, b in codes]
+
+    def wanted(bits: int) -> float:
+        """Tables that each kind of pair needs if its bits agree independently."""
+        few, many = 0.0, 1.0
+        chances = [np.minimum(p**bits, 1 - 1e-12) for p in agree]
+
+        def enough(n: float) -> bool:
+            return all((-np.expm1(n * np.log1p(-c))).mean() >= recall for c in chances)
+
+        while not enough(many):
+            few, many = many, many * 2
+            if many > 1e12:
+                return many
+        while many - few > max(1.0, many / 1000):
+            middle = (few + many) / 2
+            few, many = (few, middle) if enough(middle) else (middle, many)
+        return many
+
+    def cost(b: int) -> float:
+        many = max(wanted(b), tables if b == bits else 1)
+        return many * (1 + many / width + rows / 2**b / BUCKET)  # a row's vector, its keys, and whom it meets
+
+    best = min(range(bits, -1, -1), key=cost)
+    if best == 0:
+        return mean, np.stack(found), 0, 1
+    least = tables if best == bits else 1
+    each, bits, tables = width // best, best, 0
+    caught = [np.zeros(len(a), dtype=bool) for a, _ in kinds]
+    while tables < least or min(c.mean() for c in caught) < recall:
+        at, place = tables // each, tables % each * bits
+        if at == len(found):
+            found.append(rotations(centred, 1, seed=[3, at])[0])
+        turn = found[at][:, place : place + bits]
+        for c, (a, b) in zip(caught, kinds, strict=True):
+            c |= (((a - mean) @ turn > 0) == ((b - mean) @ turn > 0)).all(axis=1)
+        tables += 1
+    return mean, np.stack(found[: -(-tables // each)]), bits, tables
+
+
 def _usable(vector: list | None, width: int) -> np.ndarray | None:
     if vector is None or len(vector) != width or any(x is None for x in vector):
         return None
@@ -64,7 +160,6 @@ def _usable(vector: list | None, width: int) -> np.ndarray | None:
 def _coded(vectors: DataFrame, width: int, mean: np.ndarray, turns: np.ndarray, bits: int, tables: int) -> DataFrame:
     """Rows (id, vector_key, vector, keys): the vector as doubles, and a key for each table; unusable ones have nulls."""
     shared = vectors.sparkSession.sparkContext.broadcast((mean, turns))
-    each = width // bits
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mean, turns = shared.value
@@ -77,10 +172,7 @@ def _coded(vectors: DataFrame, width: int, mean: np.ndarray, turns: np.ndarray,
                 rows = np.stack([found[i] for i in good])
                 unit = rows / np.abs(rows).max(axis=1, keepdims=True)
                 unit = unit / np.linalg.norm(unit, axis=1, keepdims=True) - mean
-                keys = np.zeros((len(rows), tables), dtype=np.int64)
-                for t in range(tables):
-                    turned = unit @ turns[t // each][:, t % each * bits : (t % each + 1) * bits] > 0
-                    keys[:, t] = turned @ (1 << np.arange(bits, dtype=np.int64))
+                keys = table_keys(unit, turns, bits, tables)
                 for i, row, key in zip(good, rows, keys, strict=True):
                     data[i], filed[i] = row.tobytes(), key
                     digests[i] = hashlib.blake2b(data[i], digest_size=16).digest()
@@ -141,7 +233,7 @@ def near_vectors(
     are filed by the keys of several tables, each a part of the code under one of a few learnt rotations. Members of
     a bucket meet, large buckets in pairs of blocks, and the cosine of the original vectors in double precision
     decides. A pair that meets in several tables counts in the first. Tables are as many as the wanted recall asks
-    for at the threshold itself; nearer pairs are found more surely. No link below the threshold is ever reported.
+    for at the threshold itself, on pairs made there (``learnt_tables``); nearer pairs are found more surely. No link below the threshold is ever reported.
 
     Null vectors, zero vectors, those with null or non-finite components, with a length other than the commonest, or
     with a null id link with nothing; the latter have a null component and are kept. Rows that repeat an id are one
@@ -157,9 +249,8 @@ def near_vectors(
     usable = [x for v in taken.column("vector").to_pylist() if (x := _usable(v, width)) is not None]
     sample = np.stack(usable) if usable else np.zeros((0, width))
     sample = sample / np.maximum(np.linalg.norm(sample, axis=1, keepdims=True), 1e-300)
-    mean = sample.mean(axis=0) if len(sample) else np.zeros(width)
-    bits, tables, turns = plan(many, width, cosine, recall)
-    coded = stage(_coded(rows, width, mean, rotations(sample - mean, turns), bits, tables), "coded")
+    mean, turns, bits, tables = learnt_tables(sample, many, cosine, recall)
+    coded = stage(_coded(rows, width, mean, turns, bits, tables), "coded")
 
     classes = coded.where("vector_key IS NOT NULL").groupBy("vector_key").agg(
         F.min("id").alias("id"), F.count(F.lit(1)).alias("size"),

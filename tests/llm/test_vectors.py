@@ -82,3 +82,28 @@ def test_rotations_are_rotations():
     sample = np.random.default_rng(2).normal(size=(500, 8)) * np.arange(1, 9)
     for turn in vectors.rotations(sample, 2):
         assert np.allclose(turn.T @ turn, np.eye(8))
+
+
+@pytest.mark.parametrize("norm", [0.71, 0.83])
+def test_recall_with_a_common_mean_under_the_tables_of_ten_million_rows(norm):
+    rng = np.random.default_rng(4)
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    mean = np.r_[norm, np.zeros(63)]
+    made = unit(mean + np.sqrt(1 - norm**2) * unit(rng.normal(size=(6000, 64))))
+    sample, x = made[:3000], made[3000:]
+    side = rng.normal(size=x.shape)
+    side = unit(side - (side * x).sum(axis=1, keepdims=True) * x)
+    cosine = rng.uniform(0.9, 0.92, (len(x), 1))
+    y = cosine * x + np.sqrt(1 - cosine**2) * side
+    middle, turns, bits, tables = vectors.learnt_tables(sample, 10**7, 0.9)
+    keys = [vectors.table_keys(v - middle, turns, bits, tables) for v in (x, y)]
+    assert (keys[0] == keys[1]).any(axis=1).mean() >= 0.985
+
+
+def test_vectors_that_are_all_near_their_mean_share_a_bucket():
+    rng = np.random.default_rng(6)
+    sample = np.r_[1.0, np.zeros(31)] + 0.01 * rng.normal(size=(500, 32))
+    sample /= np.linalg.norm(sample, axis=1, keepdims=True)
+    mean, turns, bits, tables = vectors.learnt_tables(sample, 10**5, 0.9)
+    assert bits * tables < 2000
+    assert vectors.table_keys(sample - mean, turns, bits, tables).shape == (500, tables)
