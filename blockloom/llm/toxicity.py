@@ -17,8 +17,8 @@ from blockloom.session import stage
 
 #: At most about so many labelled documents of label 1 and of label 0 are learnt from.
 POSITIVES, NEGATIVES = 4000, 8000
-#: Longer texts are not learnt from (they are scored like all others).
-TRAIN_CHARS = 100_000
+#: Texts of more characters are learnt from at a lower rate, so that those of a label have about ``LONG_CHARS`` in all.
+TRAIN_CHARS, LONG_CHARS = 100_000, 50_000_000
 #: Features the model may use: the most telling ones, each in at least ``MIN_DOCS`` documents of label 1.
 FEATURES, MIN_DOCS, MIN_LIFT = 20_000, 5, 4.0
 PREFIXES = (3, 4, 5, 6)
@@ -26,16 +26,22 @@ PREFIXES = (3, 4, 5, 6)
 HELD = 1 << 20
 #: From this score on a document counts as toxic, and a sentence as offending.
 CUTOFF = 0.3
+#: Sentences below it together make no higher score than it, however many they are.
+FLOOR = 0.05
 
 _WORD = re.compile(r"[^\W_]+")
 _SENTENCE = re.compile(r"[^.!?\n]+")
 
 
 class Model(NamedTuple):
-    """``bias`` is the logit of a sentence without features; ``weights`` adds to it by hashed feature."""
+    """``bias`` is the logit of a sentence without features; ``weights`` adds to it by hashed feature.
+
+    Sentences below ``floor`` together count for ``floor`` at most.
+    """
 
     bias: float
     weights: dict[int, float]
+    floor: float = 0.0
 
 
 def features(word: str) -> list[int]:
@@ -48,7 +54,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str
     """A bounded sample of labelled documents as (text, toxic, weight), never held-out ones.
 
     Rows are taken by a hash of the id, at a rate per label that gives about the wanted number; ``weight`` is the
-    inverse rate. Ids with both labels count once for each. The sample's ids are few enough to broadcast.
+    inverse rate. Texts of any length are in it; the long ones have a rate of their own, by their characters. Ids with
+    both labels count once for each. The sample's ids are few enough to broadcast.
     """
     known = labels.where(may_learn(id_col) & F.col("toxic").isin(0, 1)).select(id_col, "toxic").distinct()
     sizes = dict(known.groupBy("toxic").count().collect())
@@ -56,8 +63,16 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str
     unit = F.pmod(F.xxhash64(F.lit("toxic"), F.col(id_col)), F.lit(1 << 20)) / (1 << 20)
     rate = F.when(F.col("toxic") == 1, rates[1]).otherwise(rates[0])
     chosen = known.where(unit < rate).withColumn("weight", 1.0 / rate)
-    texts = docs.select(id_col, F.col(text_col).alias("text")).where(F.char_length("text").between(1, TRAIN_CHARS))
-    return texts.join(F.broadcast(chosen), id_col).select("text", "toxic", "weight")
+    texts = docs.select(id_col, F.col(text_col).alias("text")).where("text <> ''")
+    found = texts.join(F.broadcast(chosen), id_col)
+    long = F.char_length("text") > TRAIN_CHARS
+    sums = dict(found.where(long).groupBy("toxic").agg(F.sum(F.char_length("text"))).collect())
+    if not sums:
+        return found.select("text", "toxic", "weight")
+    rates = {y: min(1.0, LONG_CHARS / sums.get(y, LONG_CHARS)) for y in (0, 1)}
+    unit = F.pmod(F.xxhash64(F.lit("long"), F.col(id_col)), F.lit(1 << 20)) / (1 << 20)
+    rate = F.when(~long, 1.0).when(F.col("toxic") == 1, rates[1]).otherwise(rates[0])
+    return found.where(unit < rate).select("text", "toxic", (F.col("weight") / rate).alias("weight"))
 
 
 def telling_features(rows: DataFrame) -> list[int]:
@@ -149,7 +164,7 @@ def fit(rows: DataFrame, rounds: int = 400, decay: float = 1e-3) -> Model:
         square = 0.99 * square + 0.01 * gradient**2
         step = 0.1 * (moment / (1 - 0.9**t)) / (np.sqrt(square / (1 - 0.99**t)) + 1e-9)
         theta, bias = theta - step[:-1], min(bias - step[-1], -2.0)
-    return Model(float(bias), dict(zip(told, theta.tolist(), strict=True)))
+    return Model(float(bias), dict(zip(told, theta.tolist(), strict=True)), FLOOR)
 
 
 class Scorer:
@@ -157,7 +172,12 @@ class Scorer:
 
     def __init__(self, model: Model):
         self.model, self.held = model, {}
-        self.bare = float(-np.logaddexp(0, model.bias))
+        self.bare, self.least = self.clean(model.bias), float(np.log1p(-model.floor))
+
+    def clean(self, z: float) -> tuple[float, float]:
+        """The logarithm of a sentence's chance to be clean: first if it is at the floor or above, second if below."""
+        log, p = float(-np.logaddexp(0, z)), 1 / (1 + np.exp(-z))
+        return (log, 0.0) if p >= self.model.floor else (0.0, log)
 
     def weight(self, word: str) -> float:
         found = self.held.get(word)
@@ -169,8 +189,12 @@ class Scorer:
         return found
 
     def score(self, text: str) -> tuple[float, list[tuple[int, int, float]]]:
-        """The document's score and its offending sentences as (start, end, score)."""
-        clean, spans, get = 0.0, [], self.held.get
+        """The document's score and its offending sentences as (start, end, score).
+
+        The score is the noisy-or of the sentences from the floor on, and of the others together, which count for the
+        floor at most: a long text is not toxic by its many faint sentences.
+        """
+        clean, faint, spans, get = 0.0, 0.0, [], self.held.get
         for match in _SENTENCE.finditer(text):
             words = _WORD.findall(match[0].lower())
             if not words:
@@ -181,12 +205,13 @@ class Scorer:
                 total += self.weight(word) if found is None else found
             if total:
                 z = self.model.bias + total
-                clean -= float(np.logaddexp(0, z))
+                more, one = self.clean(z)
                 if (p := 1 / (1 + np.exp(-z))) >= CUTOFF:
                     spans.append((match.start(), match.end(), float(p)))
             else:
-                clean += self.bare
-        return float(-np.expm1(clean)) + 0.0, spans
+                more, one = self.bare
+            clean, faint = clean + more, faint + one
+        return float(-np.expm1(clean + max(faint, self.least))) + 0.0, spans
 
 
 def score_texts(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -76,3 +76,33 @@ def test_without_labels(docs, spark):
     labels = spark.createDataFrame([], "doc_id long, toxic int")
     assert [r.score for r in toxicity.toxicity(docs([(1, "a.")]), labels).collect()] == [0.0]
     assert toxicity.toxicity(docs([]), labels).count() == 0
+
+
+def test_long_clean_texts_are_not_toxic_by_their_length():
+    model = toxicity.Model(-9.0, {f: 8.0 if b == "grumbo" else 4.0 for b in ("grumbo", "faint") for f in toxicity.features(b)[:1]}, toxicity.FLOOR)
+    scorer = toxicity.Scorer(model)
+    clean = "Fine words. Some faint ones. " * 25_000
+    assert scorer.score(clean)[0] <= toxicity.FLOOR + 1e-9
+    assert scorer.score(clean + "A grumbo. " * 2)[0] > 0.4
+
+
+@pytest.mark.parametrize("most", [toxicity.LONG_CHARS, 2_000_000])
+def test_long_texts_are_learnt_from(docs, spark, monkeypatch, most):
+    monkeypatch.setattr(toxicity, "LONG_CHARS", most)
+    rows = [(i, (t + " ") * (1 + 101_000 // len(t)), y) for i, t, y in made(120)]
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    found = toxicity.training_rows(docs([(i, t) for i, t, _ in rows]), labels, "doc_id", "text").collect()
+    known = [(y, len(t)) for i, t, y in rows if not held_out(i)]
+    for toxic in (0, 1):
+        got, all_chars = [r for r in found if r.toxic == toxic], sum(n for y, n in known if y == toxic)
+        assert got and {round(r.weight, 6) for r in got} == {round(max(1.0, all_chars / most), 6)}
+        assert most < all_chars or len(got) == sum(y == toxic for y, _ in known)
+
+
+def test_a_clean_text_of_50_000_sentences(docs, spark):
+    rows = made()
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    clean = " ".join(t for _, t, y in rows if not y)
+    clean *= 1 + 50_000 // clean.count(".")
+    table = docs([(i, t) for i, t, _ in rows] + [(6000, clean)])
+    assert toxicity.toxicity(table, labels).where("doc_id = 6000").first().predicted == 0
