@@ -36,6 +36,12 @@ BAD_WORDS = frozenset(
     "pagination paywall popup promo promos promoted recommended related reply replies respond search share sharing "
     "sidebar signup skip social sponsor sponsored subscribe taboola tags toolbar topbar warning widget widgets".split()
 )
+#: A name in which one of these comes before a bad word, or one of the others after it, tells how the page is laid out
+#: or what it is about, not what the holder is for.
+BEFORE = frozenset("cat categories category format has have hide no non not show tag taxonomy term topic type with without".split())
+AFTER = frozenset("closed disabled enabled layout off on open page".split())
+#: Of articles inside fewer of these the page's own is chosen.
+COMMENT_WORDS = frozenset("comment comments commentlist disqus replies reply respond".split())
 GOOD_WORDS = frozenset("article articlebody content entry main maincontent post story text body-text".split())
 
 # What opens always ends, at the end of the page if need be, so no stretch is searched twice.
@@ -45,7 +51,8 @@ _TAG = re.compile(
     re.S,
 )
 _KIND = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-_NAME = re.compile(r"[A-Za-z0-9]+(?:-[A-Za-z0-9]+)*")
+_NAME = re.compile(r"[A-Za-z0-9]+(?:[-_]+[A-Za-z0-9]+)*")
+_PART = re.compile(r"[a-z0-9]+")
 _RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*>?", re.I) for name in RAW}
 
 
@@ -58,24 +65,49 @@ class Block(NamedTuple):
     heading: bool
 
 
-def _cue(tag: str, attributes: str, in_article: bool) -> int:
-    """-1 for holders of what surrounds a page's main text, 1 for those of the main text, 0 for others."""
+def _bad_words(parts: list[str]) -> set[str]:
+    """The bad words of a name that say what its holder is for."""
+    found = {whole} if (whole := "-".join(parts)) in BAD_WORDS else set()
+    for i, part in enumerate(parts):
+        if part in BEFORE and part not in BAD_WORDS:
+            break
+        if part in BAD_WORDS and not (i + 1 < len(parts) and parts[i + 1] in AFTER):
+            found.add(part)
+    return found
+
+
+def _cue(tag: str, attributes: str, in_article: bool) -> tuple[int, set[str]]:
+    """-1 for holders of what surrounds a page's main text, 1 for those of the main text, 0 for others; its bad words."""
     if tag in BAD_TAGS and not (tag == "header" and in_article):
-        return -1
+        return -1, set()
     names: set[str] = set()
+    bad: set[str] = set()
     for match in _KIND.finditer(attributes):
         for name in _NAME.findall((match[1] or match[2] or match[3] or "").lower()):
-            names.add(name)
-            names.update(name.split("-"))
-    if tag not in ("body", "html") and names & BAD_WORDS:
-        return -1
-    return int(tag in GOOD_TAGS or bool(names & GOOD_WORDS))
+            parts = _PART.findall(name)
+            names.update(parts, ("-".join(parts),))
+            bad |= _bad_words(parts)
+    if tag not in ("body", "html") and tag not in GOOD_TAGS and bad:
+        return -1, bad
+    return int(tag in GOOD_TAGS or bool(names & GOOD_WORDS)), set()
 
 
 def blocks(page: str) -> list[Block]:
-    """Cut a page into blocks of text in page order. Broken nesting is borne: an end tag closes to its start tag."""
+    """Cut a page into blocks of text in page order. Broken nesting is borne: an end tag closes to its start tag.
+
+    Holders that contain the page's article, its main or else the longest article, are not bad by their names, nor forms.
+    """
+    found, around = _cut(page, frozenset())
+    return _cut(page, around)[0] if around else found
+
+
+def _cut(page: str, around: frozenset[int]) -> tuple[list[Block], frozenset[int]]:
+    """The blocks if the holders of the numbers ``around`` are not bad, and the bad holders around the page's article."""
     found: list[Block] = []
-    holders: list[tuple[str, int]] = []  # open holders and their cues
+    holders: list[tuple[str, int, int]] = []  # open holders, their cues and numbers
+    parents: list[tuple[int, bool, int]] = []  # by number: the holder around it, whether bad but no bad tag, comments around
+    articles: list[list] = []  # whether main, minus the comment holders around, words, the holder around
+    inside, shut = -1, 0  # depth of the open article, open holders of bad tags
     pieces: list[tuple[str, bool]] = []
     counts = [0, 0, 0]  # open holders by cue: bad at -1, good at 1
     link, heading = 0, False
@@ -89,11 +121,18 @@ def blocks(page: str) -> list[Block]:
                 linked = sum(len(t.split()) for t, inside in pieces if inside)
                 share = min(1.0, linked / words)
                 found.append(Block(text, words, share, counts[-1] > 0, counts[1] > 0, heading))
+                if inside >= 0:
+                    articles[-1][2] += words
             pieces = []
 
     def close(upto: int) -> None:
+        nonlocal inside, shut
         while len(holders) > upto:
-            counts[holders.pop()[1]] -= 1
+            _, cue, number = holders.pop()
+            counts[cue] -= 1
+            shut -= cue == -1 and not parents[number][1]
+        if inside >= upto:
+            inside = -1
 
     at = 0
     while True:
@@ -125,15 +164,29 @@ def blocks(page: str) -> list[Block]:
             else:
                 if tag == "body":  # a head that was not closed ends here
                     close(0)
-                cue = _cue(tag, match[3] or "", counts[1] > 0)
-                holders.append((tag, cue))
+                number, outer = len(parents), holders[-1][2] if holders else -1
+                cue, bad = _cue(tag, match[3] or "", counts[1] > 0)
+                cue = 0 if number in around else cue
+                comments = (parents[outer][2] if holders else 0) + bool(bad & COMMENT_WORDS)
+                if tag in GOOD_TAGS and inside < 0 and not shut:
+                    articles.append([tag == "main", -comments, 0, outer])
+                    inside = len(holders)
+                parents.append((outer, cue == -1 and (bool(bad) or tag == "form"), comments))
+                holders.append((tag, cue, number))
                 counts[cue] += 1
+                shut += cue == -1 and not parents[number][1]
         elif tag in ("h1", "h2", "h3", "h4", "h5", "h6"):
             heading = not closing
         if tag == "p":
             heading = False
     end()
-    return found
+    bad_around = set()
+    place = max(articles, key=lambda x: x[:3])[3] if articles else -1
+    while place >= 0:
+        place, bad, _ = parents[(number := place)]
+        if bad:
+            bad_around.add(number)
+    return found, frozenset(bad_around)
 
 
 #: Columns of the labelled table and of ``table``.

@@ -69,3 +69,34 @@ def test_whole_pages_table_against_the_articles(spark):
         parts = re.split(r"</?(?:p|h1|br|div)[^>]*>", inside)
         blocks = [" ".join(html.unescape(re.sub(r"<[^>]+>", "", x)).split()) for x in parts]
         assert found[row.page_id] == "\n".join(x for x in blocks if x)
+
+
+def test_names_of_articles_and_of_holders_around_them():
+    real, side = "The article says this. " * 20, "<div class='sidebar'>Side thing</div><div id='comments'><p>I like it very much</div>"
+    body = f"<p>{real}<p>Short."
+    wanted = f"{real.strip()}\nShort."
+    for page in (
+        f"<article class='post has-comments'>{body}</article>{side}",
+        f"<article class='post category-social tag-search related'>{body}</article>{side}",
+        f"<div class='site no-sidebar'><article>{body}</article>{side}</div>",
+        f"<div class='page with-sidebar'><main class='comments-open'>{body}</main>{side}</div>",
+        f"<div class='sidebar-right'><div class='search'><article>{body}</article>{side}</div></div>",
+        f"<div class='site comments'><article>{body}</article><ol class='comment-list'><li><article class='comment-body'>{real * 3}</article></ol></div>",
+        f"<form id='aspnetForm'><main>{body}<form>Send</form></main>{side}</form>",
+        f"<div class='post has-comments'>{body}</div>{side}",
+        f"<div class='ad'><article>Teaser</article></div><article>{body}</article>{side}",
+        f"<aside><article>{real * 2}</article></aside><div class='sidebar_right'><article>{body}</article></div>",
+    ):
+        assert html_text.main_text(page, TREE) == wanted, page
+
+
+def test_holders_of_bad_names_stay_bad():
+    for name in ("sidebar", "sidebar-left", "post-comments", "site_header", "td-post-sharing-top", "cookie-notice", "comments-area", "author-bio"):
+        page = f"<article><p>kept<div class='x {name}'>All of it, some words long</div></article>"
+        assert html_text.main_text(page, TREE) == "kept", name
+
+
+def test_deep_pages_take_linear_time():
+    many = 50_000
+    assert html_text.main_text("<div class='sidebar'><p>x" * many + "<article><p>kept</article>", TREE) == "kept"
+    assert html_text.main_text("<div class='ad'><article>kept</article>" * many, TREE).count("kept") >= 1
