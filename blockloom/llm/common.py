@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from blockloom.session import stage
 
@@ -103,3 +104,41 @@ def components(edges: DataFrame, label: str) -> DataFrame:
         before = after
     roots = edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots)
+
+
+def arrow_schema(ddl: str) -> pa.Schema:
+    """A schema for ``table_of``; DDL is read on the driver only."""
+    return to_arrow_schema(T.StructType.fromDDL(ddl))
+
+
+def table_of(schema: pa.Schema, *columns) -> pa.RecordBatch:
+    """A batch of plain columns: Arrow, numpy or lists."""
+    arrays = []
+    for column, field in zip(columns, schema, strict=True):
+        if isinstance(column, pa.ChunkedArray):
+            column = column.combine_chunks()
+        column = column if isinstance(column, pa.Array) else pa.array(column, field.type)
+        arrays.append(column if column.type == field.type else column.cast(field.type))
+    return pa.RecordBatch.from_arrays(arrays, schema=schema)
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: Sequence[str], rows: int) -> Iterator[pa.Table]:
+    """Cut a partition that is sorted by the keys into tables of whole groups, of so many rows or more if there are."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            size += batch.num_rows
+        if size < rows:
+            continue
+        both = pa.Table.from_batches(held).combine_chunks()
+        columns = [both.column(k) for k in keys]
+        last, cut = [c[-1].as_py() for c in columns], both.num_rows - 1
+        while cut and [c[cut - 1].as_py() for c in columns] == last:
+            cut -= 1
+        if cut:
+            yield both.slice(0, cut).combine_chunks()
+        held, size = both.slice(cut).combine_chunks().to_batches(), both.num_rows - cut
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()

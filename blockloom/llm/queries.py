@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from blockloom.llm import bpe, html_text, language, mixing, near_dup, quality, sharding, token_counts, toxicity, vectors
+from blockloom.llm import bpe, html_text, language, manifest, mixing, near_dup, quality, sharding, token_counts, toxicity, vectors
 from blockloom.llm.common import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -79,7 +79,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.language_id(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_toxicity, op3_quality_rules, op4_near_duplicates, op5_sharding, op6_token_counts, op7_near_vectors, op8_html_text, op9_mixing, op10_language_id)}
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.manifest(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_toxicity, op3_quality_rules, op4_near_duplicates, op5_sharding, op6_token_counts, op7_near_vectors, op8_html_text, op9_mixing, op10_language_id, op11_merkle_manifest)}
 
 _TRIES = ", ".join(f"('{r.name}', {c})" for r in quality.RULES for c in r.cutoffs)
 _BROKEN = " ".join(
@@ -198,4 +202,59 @@ SELECT doc_id, domain, lang, source, unnest(range(whole::BIGINT)) AS epoch, n_to
 UNION ALL
 SELECT doc_id, domain, lang, source, whole::BIGINT, n_tokens FROM placed WHERE rest > 0 AND total <= rest"""
 
-ORACLES: dict[str, str] = {"op3_quality_rules": _QUALITY, "op5_sharding": _SHARDS, "op9_mixing": _MIXING}
+
+
+def _hashed(name: str, text: str | None = None) -> str:
+    """A field of a leaf."""
+    value = text or f"CAST({name} AS VARCHAR)"
+    return f"coalesce(octet_length(encode({value})) || ':' || {value}, '-')"
+
+
+def _leaf(text: str) -> str:
+    return f"sha256({' || '.join(_hashed(n, text if n == 'text' else None) for n in manifest.FIELDS)})"
+
+
+def _levels(tree: str, paths: str, levels: int) -> str:
+    """Levels of all trees over nodes {tree}0 (branch, pos, total, digest), with the folding of {paths}0 beside them."""
+    up = "CASE WHEN {0}.total > 1 THEN {0}.pos // 3 ELSE {0}.pos END"
+    return ",".join(f"""
+{tree}_runs{k} AS MATERIALIZED (
+  SELECT branch, {up.format(f"{tree}{k}")} AS up, any_value(total) AS total, list(digest ORDER BY pos) AS run
+  FROM {tree}{k} GROUP BY 1, 2),
+{tree}{k + 1} AS MATERIALIZED (
+  SELECT branch, up AS pos, (total + 2) // 3 AS total,
+    CASE WHEN total > 1 THEN sha256(array_to_string(run, '')) ELSE run[1] END AS digest FROM {tree}_runs{k}),
+{paths}{k + 1} AS MATERIALIZED (
+  SELECT p.* REPLACE (up AS pos, (p.total + 2) // 3 AS total,
+    CASE WHEN p.total > 1 THEN sha256(array_to_string(run[:pos % 3] || [folded] || run[pos % 3 + 2:], '')) ELSE folded END AS folded,
+    CASE WHEN p.total > 1 THEN proof || array_to_string(run[:pos % 3] || run[pos % 3 + 2:], '') ELSE proof END AS proof)
+  FROM {paths}{k} p JOIN {tree}_runs{k} r ON r.branch = p.branch AND r.up = {up.format("p")})""" for k in range(levels))
+
+
+#: Levels that the SQL goes up: enough for 3^13 documents of a source and 3^7 sources.
+_DEEP, _WIDE = 13, 7
+
+_MANIFEST = f"""
+WITH hashed AS MATERIALIZED (
+  SELECT doc_id, coalesce('+' || source, '') AS branch, {_leaf('text')} AS leaf, {_leaf("replace(text, chr(10), '')")} AS cut,
+    xor(4294967295, list_reduce([4294967295] || list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT)),
+      lambda crc, c: list_reduce([xor(crc, c), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, (x & 1) * 3988292384)))) AS crc
+  FROM documents),
+leaves AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY branch ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY branch) AS total
+  FROM hashed),
+low0 AS MATERIALIZED (SELECT branch, pos, total, leaf AS digest FROM leaves),
+way0 AS MATERIALIZED (
+  SELECT doc_id, leaf, branch, pos, total, CASE WHEN crc % 2 = 0 THEN cut ELSE leaf END AS folded, '' AS proof FROM leaves),
+{_levels("low", "way", _DEEP)},
+high0 AS MATERIALIZED (
+  SELECT '' AS branch, branch AS name, row_number() OVER (ORDER BY branch) - 1 AS pos, count(*) OVER () AS total, digest FROM low{_DEEP}),
+rise0 AS MATERIALIZED (
+  SELECT w.* REPLACE (h.branch AS branch, h.pos AS pos, h.total AS total), digest AS subroot FROM way{_DEEP} w JOIN high0 h ON h.name = w.branch),
+{_levels("high", "rise", _WIDE)}
+SELECT doc_id, leaf, subroot, digest AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = digest AS verified
+FROM rise{_WIDE}, high{_WIDE}"""
+
+ORACLES: dict[str, str] = {
+    "op3_quality_rules": _QUALITY, "op5_sharding": _SHARDS, "op9_mixing": _MIXING, "op11_merkle_manifest": _MANIFEST,
+}
