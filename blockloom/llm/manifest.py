@@ -49,6 +49,11 @@ def _turn(x: np.ndarray, n: int) -> np.ndarray:
     return (x >> WORD(n)) | (x << WORD(32 - n))
 
 
+def _rows(columns: np.ndarray) -> np.ndarray:
+    """Turned round, with each word of all items side by side in memory."""
+    return np.ascontiguousarray(columns.T)
+
+
 def _compress(state: np.ndarray, block: np.ndarray) -> np.ndarray:
     """The states (8, n) after one block (16, n) each."""
     w = list(block)
@@ -70,7 +75,7 @@ def absorb(states: np.ndarray, digests: np.ndarray) -> np.ndarray:
     for k in range(0, len(states), 4096):  # arrays that stay in the cache
         words = digests[k : k + 4096]
         halves = np.stack([words >> WORD(16), words & WORD(0xFFFF)], 2).reshape(len(words), 16)
-        out[k : k + 4096] = _compress(states[k : k + 4096].T, _HEX[halves].T).T
+        out[k : k + 4096] = _compress(_rows(states[k : k + 4096]), _rows(_HEX[halves])).T
     return out
 
 
@@ -82,7 +87,7 @@ def finish(states: np.ndarray, blocks: np.ndarray) -> np.ndarray:
         last = np.zeros((16, len(bits)), WORD)
         last[0] = 1 << 31
         last[14], last[15] = (bits >> np.uint64(32)).astype(WORD), bits.astype(WORD)
-        out[k : k + 4096] = _compress(states[k : k + 4096].T, last).T
+        out[k : k + 4096] = _compress(_rows(states[k : k + 4096]), last).T
     return out
 
 
