@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from blockloom.llm import bpe, html_text, language, manifest, mixing, near_dup, quality, sharding, token_counts, toxicity, vectors
+from blockloom.llm import bpe, html_text, language, lexical, manifest, mixing, near_dup, quality, sharding, token_counts, toxicity, vectors
 from blockloom.llm.common import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -83,7 +83,11 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.manifest(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_toxicity, op3_quality_rules, op4_near_duplicates, op5_sharding, op6_token_counts, op7_near_vectors, op8_html_text, op9_mixing, op10_language_id, op11_merkle_manifest)}
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_toxicity, op3_quality_rules, op4_near_duplicates, op5_sharding, op6_token_counts, op7_near_vectors, op8_html_text, op9_mixing, op10_language_id, op11_merkle_manifest, op12_lexical_search)}
 
 _TRIES = ", ".join(f"('{r.name}', {c})" for r in quality.RULES for c in r.cutoffs)
 _BROKEN = " ".join(
@@ -255,6 +259,28 @@ rise0 AS MATERIALIZED (
 SELECT doc_id, leaf, subroot, digest AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = digest AS verified
 FROM rise{_WIDE}, high{_WIDE}"""
 
+_TERMS = r"""regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+
+_SEARCH = f"""
+WITH words AS (SELECT row_number() OVER () AS row_id, doc_id, {_TERMS} AS terms FROM documents),
+stats AS (SELECT count(*) FILTER (len(terms) > 0) AS n_docs, sum(len(terms))::BIGINT AS n_terms FROM words),
+asked AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark),
+found AS (
+  SELECT row_id, doc_id, n, term, count(*) AS tf
+  FROM (SELECT row_id, doc_id, len(terms) AS n, unnest(terms) AS term FROM words)
+  WHERE term IN (SELECT term FROM asked) GROUP BY ALL),
+held AS (SELECT term, count(*) AS df FROM found GROUP BY term),
+parts AS (
+  SELECT row_id, doc_id, term, floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1)))::BIGINT
+    * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // n_terms))) AS part
+  FROM found JOIN held USING (term), stats),
+scores AS (
+  SELECT item_id, row_id, doc_id, sum(part)::BIGINT AS score FROM asked JOIN parts USING (term) GROUP BY ALL HAVING sum(part) > 0)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+FROM scores QUALIFY rank <= 10"""
+
 ORACLES: dict[str, str] = {
     "op3_quality_rules": _QUALITY, "op5_sharding": _SHARDS, "op9_mixing": _MIXING, "op11_merkle_manifest": _MANIFEST,
+    "op12_lexical_search": _SEARCH,
 }
