@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from blockloom.llm import bpe, html_text, language, lexical, manifest, mixing, near_dup, quality, sharding, token_counts, toxicity, vectors
+from blockloom.llm import bpe, html_text, language, lexical, manifest, mixing, near_dup, quality, repeats, sharding, token_counts, toxicity, vectors
 from blockloom.llm.common import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -87,7 +87,12 @@ def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_toxicity, op3_quality_rules, op4_near_duplicates, op5_sharding, op6_token_counts, op7_near_vectors, op8_html_text, op9_mixing, op10_language_id, op11_merkle_manifest, op12_lexical_search)}
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = repeats.remove_repeats(table(spark, sf_dir, "documents"), 35)
+    return rows.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
+
+
+QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_toxicity, op3_quality_rules, op4_near_duplicates, op5_sharding, op6_token_counts, op7_near_vectors, op8_html_text, op9_mixing, op10_language_id, op11_merkle_manifest, op12_lexical_search, op13_substring_dedup)}
 
 _TRIES = ", ".join(f"('{r.name}', {c})" for r in quality.RULES for c in r.cutoffs)
 _BROKEN = " ".join(
@@ -280,7 +285,21 @@ scores AS (
 SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
 FROM scores QUALIFY rank <= 10"""
 
+_REPEATS = r"""
+WITH split AS (
+  SELECT row_number() OVER () AS row_id, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+windows AS (
+  SELECT row_id, pos, count(*) OVER (PARTITION BY md5(array_to_string(words[pos:pos + 34], ' '))) AS times
+  FROM (SELECT row_id, words, unnest(range(1, len(words) - 33)) AS pos FROM split)),
+gone AS (SELECT row_id, list(DISTINCT pos + d) AS places FROM windows, range(35) AS r(d) WHERE times > 1 GROUP BY row_id),
+kept AS (
+  SELECT doc_id, words, places, list_filter(words, lambda w, i: NOT list_contains(coalesce(places, []), i)) AS rest
+  FROM split LEFT JOIN gone USING (row_id))
+SELECT doc_id, len(words) AS n_words, len(words) - len(rest) AS n_removed, sha256(array_to_string(rest, ' ')) AS kept_sha256
+FROM kept"""
+
 ORACLES: dict[str, str] = {
     "op3_quality_rules": _QUALITY, "op5_sharding": _SHARDS, "op9_mixing": _MIXING, "op11_merkle_manifest": _MANIFEST,
     "op12_lexical_search": _SEARCH,
+    "op13_substring_dedup": _REPEATS,
 }
