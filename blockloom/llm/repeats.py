@@ -25,13 +25,13 @@ from blockloom.llm.common import arrow_schema, table_of, whole_groups
 from blockloom.session import scratch_path, stage
 
 #: Text after which a block ends; it may pass this by one text.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 
 #: Text in a stored partition, beyond which there are more than shuffles have; Spark allows 100,000.
 STORED_BYTES, MOST_STORED = 512 << 20, 100_000
 
 #: Keys that a bucket has at most on the average, whatever the level.
-BUCKET_KEYS = 1 << 20
+BUCKET_KEYS = 1 << 19
 
 #: Texts are hashed in pieces of about so many bytes, cut between words.
 PIECE = 1 << 20
