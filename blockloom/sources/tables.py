@@ -1,16 +1,28 @@
-"""Keyed tables: append by commit, read the latest value per key, compact."""
+"""Keyed tables: puts by commit, the latest value per key, compaction in place, reads by key and by prefix.
+
+The commits of a table are listed in its manifests (``snapshots``). Beside a commit's files lies an index of its keys:
+for each file the hashes of the keys, or of their prefixes, that are in it.
+"""
 
 from __future__ import annotations
 
+import functools
+import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
+from blockloom.model import struct
 from blockloom.session import stage
+from blockloom.sources import snapshots
+from blockloom.sources.snapshots import Commit, Snapshot
+
+_COMMIT = [T.StructField("commit_id", T.LongType()), T.StructField("writer", T.StringType())]
+_ATTEMPT = T.StructField("attempt", T.StringType())
 
-WRITTEN = T.StructType([T.StructField("commit_id", T.LongType()), T.StructField("writer", T.StringType())])
-COMMITS = T.StructType([T.StructField("writer", T.StringType()), T.StructField("number", T.LongType()), T.StructField("commit_id", T.LongType())])
+#: Files by key: a hash of the key's prefix, the file below the table, its first and last such key, their number.
+INDEX = struct(hash=T.LongType(), file=T.StringType(), first=T.StringType(), last=T.StringType(), keys=T.LongType())
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -23,46 +35,69 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
         return spark.createDataFrame([], schema)
 
 
-def _folder(spark: SparkSession, path: str):
-    """A Hadoop path and its file system."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+def prefix_of(key: Column) -> Column:
+    """What stands before the first ``/`` of a key: the address of an address key, the whole of a key without one."""
+    return F.substring_index(key, "/", 1)
 
 
-def write_commit(rows: DataFrame, path: str, commit_id: int, writer: str = "job") -> None:
-    """Append one commit of one writer. Writing it again replaces it, also by no rows, so a replay changes nothing.
+def _write_files(rows: DataFrame, path: str, indexed: bool) -> str:
+    """Write rows aside, with their index; returns the attempt."""
+    attempt = uuid.uuid4().hex
+    folder = snapshots.folder_of(path, attempt)
+    rows.write.parquet(folder)
+    if indexed:
+        spark = rows.sparkSession
+        stored = spark.read.schema(rows.schema).parquet(folder).select("row_key", F.col("_metadata.file_name").alias("file"))
+        by_file = stored.groupBy(F.xxhash64(prefix_of(F.col("row_key"))).alias("hash"), "file").agg(
+            F.min("row_key").alias("first"), F.max("row_key").alias("last"), F.count_distinct("row_key").alias("keys")
+        )
+        # Sorted by hash, so that a look-up skips row groups.
+        by_file.repartitionByRange("hash").sortWithinPartitions("hash").write.parquet(f"{folder}/_index")
+    return attempt
 
-    Numbers of a writer are its own: commits of the same number by other writers stay. ``next_commit`` hands out
-    numbers that follow those of all writers.
-    """
-    folder, files = _folder(rows.sparkSession, f"{path.rstrip('/')}/commit_id={commit_id}/writer={writer}")
-    files.delete(folder, True)
-    rows.write.parquet(folder.toString())
 
+def write_commit(rows: DataFrame, path: str, commit_id: int, writer: str = "job", indexed: bool = False) -> None:
+    """Append one commit of one writer. Writing it again replaces it, also by no rows, so a replay changes nothing.
 
-def next_commit(spark: SparkSession, path: str, writer: str, number: int) -> int:
-    """The commit for a writer's ``number``-th piece of work: a new one above all others, or the one it got before.
-
-    The numbers are kept beside the data, in a folder that readers of the table skip.
+    Numbers of a writer are its own: commits of the same number by other writers stay. The commit is seen when it is
+    whole; a reader sees it or what was before. One that was compacted meanwhile stays as it is.
     """
-    ledger = f"{path.rstrip('/')}/_commits"
-    known = read_or_empty(spark, ledger, COMMITS)
-    mine = known.where((F.col("writer") == writer) & (F.col("number") == number)).agg(F.max("commit_id")).first()[0]
-    if mine is not None:
-        return mine
-    last = known.agg(F.max("commit_id")).first()[0]
-    commit_id = 0 if last is None else last + 1
-    spark.createDataFrame([(writer, number, commit_id)], COMMITS).coalesce(1).write.mode("append").parquet(ledger)
-    return commit_id
-
-
-def _with_commit(schema: T.StructType) -> T.StructType:
-    return T.StructType([*schema.fields, *WRITTEN.fields])
+    snapshots.add(rows.sparkSession, path, writer, commit_id, _write_files(rows, path, indexed), commit_id)
+
+
+def put(rows: DataFrame, path: str, writer: str, number: int, indexed: bool = False) -> None:
+    """Append a writer's ``number``-th piece of work as the newest commit; a replay replaces it where it stands."""
+    if not snapshots.snapshot(rows.sparkSession, path).is_done(writer, number):
+        snapshots.add(rows.sparkSession, path, writer, number, _write_files(rows, path, indexed))
+
+
+def _read(spark: SparkSession, path: str, schema: T.StructType, commits: Sequence[Commit], files: Sequence[str] | None = None) -> DataFrame:
+    """Rows of some commits, of all their files or of those named (attempt/name), with ``commit_id`` and ``writer``."""
+    wide = T.StructType([*schema.fields, *_COMMIT])
+    found = []
+    for merged in (False, True):
+        chosen = [c for c in commits if c.merged == merged]
+        if files is None:
+            paths = [snapshots.folder_of(path, c.attempt) for c in chosen]
+        else:
+            mine = {c.attempt for c in chosen}
+            paths = [f"{path.rstrip('/')}/data/attempt={f}" for f in files if f.split("/")[0] in mine]
+        if not paths:
+            continue
+        stored = T.StructType([*(wide if merged else schema).fields, _ATTEMPT])
+        rows = spark.read.schema(stored).option("basePath", f"{path.rstrip('/')}/data").parquet(*paths)
+        if not merged:  # one short row per live commit
+            named = spark.createDataFrame([(c.attempt, c.commit_id, c.writer) for c in chosen], T.StructType([_ATTEMPT, *_COMMIT]))
+            rows = rows.join(F.broadcast(named), "attempt")
+        found.append(rows.select(*wide.fieldNames()))
+    return functools.reduce(DataFrame.union, found) if found else spark.createDataFrame([], wide)
 
 
 def read_commit(spark: SparkSession, path: str, schema: T.StructType, commit_id: int, writer: str = "job") -> DataFrame:
-    """Rows of one commit as they were written."""
-    rows = read_or_empty(spark, path, _with_commit(schema))
+    """Rows of one commit as they were written; those of a compacted one as far as they are the latest."""
+    now = snapshots.snapshot(spark, path)
+    chosen = [c for c in now.commits if c.merged or (c.commit_id, c.writer) == (commit_id, writer)]
+    rows = _read(spark, path, schema, chosen)
     return rows.where((F.col("commit_id") == commit_id) & (F.col("writer") == writer)).drop("commit_id", "writer")
 
 
@@ -76,14 +111,95 @@ def latest_by_key(puts: DataFrame, order: Sequence[str], key: str = "row_key") -
     return puts.groupBy(key).agg(newest).select(key, *[F.col(f"newest.{name}") for name in (*order, *values)])
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType, order: Sequence[str] = ()) -> DataFrame:
+def _latest(rows: DataFrame, order: Sequence[str]) -> DataFrame:
+    return latest_by_key(rows, ["commit_id", "writer", *order])
+
+
+def read_table(spark: SparkSession, path: str, schema: T.StructType, order: Sequence[str] = (), at: Snapshot | None = None) -> DataFrame:
     """Latest view of a keyed table: the newest commit wins, then the writer's name, then ``order`` within it."""
-    return latest_by_key(read_or_empty(spark, path, _with_commit(schema)), ["commit_id", "writer", *order]).drop("writer")
+    at = at or snapshots.snapshot(spark, path)
+    return _latest(_read(spark, path, schema, at.commits), order).drop("writer")
+
 
+def compact(spark: SparkSession, path: str, schema: T.StructType, order: Sequence[str] = (), indexed: bool = False) -> None:
+    """Put one commit with the latest row of each key, in key order, in the place of those there are.
 
-def compact(spark: SparkSession, path: str, schema: T.StructType, target: str, order: Sequence[str] = ()) -> None:
-    """Write the latest view to a new folder, in key order, so that key filters skip row groups."""
-    latest = stage(read_table(spark, path, schema, order), "latest")  # the range sort reads it twice
-    newest = latest.agg(F.max("commit_id")).first()[0]
-    ordered = latest.drop("commit_id").repartitionByRange("row_key").sortWithinPartitions("row_key")
-    write_commit(ordered, target, newest or 0, "compacted")
+    Rows keep the commit they are of, so what is put later or late is ordered as before. Puts that come meanwhile stay
+    beside it; if one of the compacted commits is replaced meanwhile, the work is done again. The old files stay for
+    their readers until ``snapshots.expire``.
+    """
+    while True:
+        now = snapshots.snapshot(spark, path)
+        if not now.commits or (len(now.commits) == 1 and now.commits[0].merged):
+            return
+        latest = stage(_latest(_read(spark, path, schema, now.commits), order), "latest")  # the range sort reads it twice
+        ordered = latest.select(*schema.fieldNames(), "commit_id", "writer").repartitionByRange("row_key")
+        attempt = _write_files(ordered.sortWithinPartitions("row_key"), path, indexed)
+        if snapshots.merge(spark, path, now, attempt):
+            return
+
+
+def _index(spark: SparkSession, path: str, at: Snapshot) -> DataFrame:
+    """The index of all live files, with the commit of each."""
+    folders = [f"{snapshots.folder_of(path, c.attempt)}/_index" for c in at.commits]
+    if not folders:
+        return spark.createDataFrame([], T.StructType([*INDEX.fields, _ATTEMPT]))
+    rows = spark.read.schema(INDEX).parquet(*folders)
+    return rows.withColumn("attempt", F.regexp_extract(F.col("_metadata.file_path"), "attempt=([^/]*)/", 1))
+
+
+def files_of_keys(spark: SparkSession, path: str, keys: DataFrame, at: Snapshot) -> list[str]:
+    """Files that may hold some of the keys (``row_key``): their prefix is in the index and the key in its bounds."""
+    wanted = keys.select("row_key", F.xxhash64(prefix_of(F.col("row_key"))).alias("hash"))
+    met = _index(spark, path, at).join(wanted, "hash").where(F.col("row_key").between(F.col("first"), F.col("last")))
+    # No more names than the table has files.
+    return sorted(r[0] for r in met.select(F.concat_ws("/", "attempt", "file")).distinct().collect())
+
+
+def read_keys(spark: SparkSession, path: str, schema: T.StructType, keys: DataFrame, order: Sequence[str] = (), at: Snapshot | None = None) -> DataFrame:
+    """Latest rows of the given keys (``row_key``) of an indexed table. Only files that may hold one are opened."""
+    at = at or snapshots.snapshot(spark, path)
+    wanted = stage(keys.select("row_key").where("row_key IS NOT NULL").distinct(), "keys")
+    rows = _read(spark, path, schema, at.commits, files_of_keys(spark, path, wanted, at))
+    return _latest(rows.join(wanted, "row_key", "left_semi"), order).drop("writer")
+
+
+def files_of_prefixes(spark: SparkSession, path: str, wanted: DataFrame, k: int, at: Snapshot) -> DataFrame:
+    """For each ``prefix`` the key up to which its next ``k`` keys after ``after`` reach at most: (prefix, after, upto),
+    with the ``files`` that hold keys of it up to there.
+
+    A commit has a key once. So where the files of one commit have k keys that end before some key, k keys end there
+    in the whole table; the best commit tells where to stop. ``upto`` is null where all the rest is needed.
+    """
+    asked = wanted.select("prefix", "after", F.xxhash64("prefix").alias("hash"))
+    met = _index(spark, path, at).join(asked, "hash").where(prefix_of(F.col("first")) == F.col("prefix"))
+    met = stage(met.where(F.col("after").isNull() | (F.col("last") > F.col("after"))), "met-files")
+    whole = met.where(F.col("after").isNull() | (F.col("first") > F.col("after")))  # others may hold fewer
+    # A row per file here, and files of a commit that follow one another.
+    following = Window.partitionBy("prefix", "attempt").orderBy("last", "file")
+    counted = whole.withColumn("so_far", F.sum("keys").over(following.rowsBetween(Window.unboundedPreceding, 0)))
+    stops = counted.where(F.col("so_far") >= k).groupBy("prefix").agg(F.min("last").alias("upto"))
+    needed = met.join(stops, "prefix", "left").where(F.col("upto").isNull() | (F.col("first") <= F.col("upto")))
+    return needed.select("prefix", "after", "upto", F.concat_ws("/", "attempt", "file").alias("file"))
+
+
+def scan_prefixes(spark: SparkSession, path: str, schema: T.StructType, wanted: DataFrame, k: int, order: Sequence[str] = (), at: Snapshot | None = None) -> DataFrame:
+    """The first ``k`` keys of each ``prefix``, in key order, with their latest rows: the table's columns and ``place``.
+
+    ``wanted`` has (prefix, after); the scan of a prefix goes on after that key, from its start where it is null. So
+    the last key of one scan resumes it. Files beyond a prefix's k-th key are not opened. Repeated prefixes count
+    once, with the smallest key to go on after.
+    """
+    at = at or snapshots.snapshot(spark, path)
+    asked = wanted.groupBy("prefix").agg(F.min(F.struct(F.col("after").isNotNull(), "after")).alias("from"))
+    asked = stage(asked.select("prefix", F.col("from.after").alias("after")), "prefixes")
+    needed = stage(files_of_prefixes(spark, path, asked, k, at), "needed-files")
+    files = sorted(r[0] for r in needed.select("file").distinct().collect())
+    bounds = needed.select("prefix", "after", "upto").distinct()
+    rows = _read(spark, path, schema, at.commits, files).withColumn("prefix", prefix_of(F.col("row_key")))
+    rows = rows.join(bounds, "prefix").where(
+        (F.col("after").isNull() | (F.col("row_key") > F.col("after"))) & (F.col("upto").isNull() | (F.col("row_key") <= F.col("upto")))
+    )
+    latest = _latest(rows.drop("after", "upto"), order)
+    place = F.row_number().over(Window.partitionBy("prefix").orderBy("row_key"))
+    return latest.withColumn("place", place).where(F.col("place") <= k).select(*schema.fieldNames(), "place")

@@ -106,13 +106,11 @@ def follow(
 def upsert_stream(rows: DataFrame, path: str, checkpoint: str, interval: str | None = None) -> StreamingQuery:
     """Put streamed rows into a keyed table. Each batch is one commit, and a repeated batch replaces itself.
 
-    Batches of several streams are numbered in the order in which they begin to be written.
+    Batches of several streams are numbered in the order in which they are published.
     """
 
     def put_batch(batch: DataFrame, batch_id: int) -> None:
-        writer = _stream_id(batch.sparkSession, checkpoint)
-        commit_id = tables.next_commit(batch.sparkSession, path, writer, batch_id)
-        tables.write_commit(batch, path, commit_id, writer)
+        tables.put(batch, path, _stream_id(batch.sparkSession, checkpoint), batch_id)
 
     writer = rows.writeStream.foreachBatch(put_batch).option("checkpointLocation", checkpoint)
     return writer.trigger(**_trigger(interval)).start()

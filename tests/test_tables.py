@@ -1,8 +1,12 @@
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
+from pyspark.sql import functions as F
 
+from blockloom.functions import keys
 from blockloom.model import TX_ORDER, TX_TABLE
 from blockloom.session import scratch_path
-from blockloom.sources import ledgers, tables
+from blockloom.sources import ledgers, snapshots, tables
 
 
 def puts(spark, rows):
@@ -23,11 +27,10 @@ def test_latest_wins_and_replay_changes_nothing(spark):
     assert view(spark, path) == expected
     tables.write_commit(second, path, 2)
     assert view(spark, path) == expected
-    target = scratch_path(spark, "compacted")
-    tables.compact(spark, path, TX_TABLE, target, TX_ORDER)
-    assert {k: v[1:] for k, v in view(spark, target).items()} == {k: v[1:] for k, v in expected.items()}
-    tables.write_commit(puts(spark, [("a", 9, 9, None, None)]), target, 3)
-    assert view(spark, target)["a"] == (3, 9, 9, None)
+    tables.compact(spark, path, TX_TABLE, TX_ORDER)
+    assert view(spark, path) == expected
+    tables.write_commit(puts(spark, [("a", 9, 9, None, None)]), path, 3)
+    assert view(spark, path)["a"] == (3, 9, 9, None)
 
 
 def test_commit_can_be_read_alone(spark):
@@ -51,3 +54,147 @@ def test_hot_key_is_combined_before_the_shuffle(spark, plan_of):
     latest = tables.latest_by_key(frame, TX_ORDER)
     assert latest.first()["slot"] == 999
     assert "partial_max" in plan_of(latest)
+
+
+SCHEMA = "row_key string, value string"
+
+
+def kv(spark, *rows):
+    return spark.createDataFrame(list(rows), SCHEMA)
+
+
+def values(spark, path, schema=None):
+    schema = schema or kv(spark).schema
+    return {r["row_key"]: r["value"] for r in tables.read_table(spark, path, schema).collect()}
+
+
+def test_a_put_after_compaction_wins(spark):
+    path = scratch_path(spark, "t")
+    tables.put(kv(spark, ("a", "1"), ("b", "1")), path, "w", 0)
+    tables.put(kv(spark, ("a", "2")), path, "w", 1)
+    tables.compact(spark, path, kv(spark).schema)
+    assert len(snapshots.snapshot(spark, path).commits) == 1
+    tables.put(kv(spark, ("a", "3")), path, "w", 2)
+    assert values(spark, path) == {"a": "3", "b": "1"}
+    tables.put(kv(spark, ("b", "replayed")), path, "w", 0)  # is in the compacted files already
+    assert values(spark, path) == {"a": "3", "b": "1"}
+    tables.compact(spark, path, kv(spark).schema)
+    assert snapshots.snapshot(spark, path).done == {"w": [[0, 2]]}
+    assert values(spark, path) == {"a": "3", "b": "1"}
+
+
+def test_a_late_commit_is_ordered_by_its_number(spark):
+    """Compacted rows keep their commits: one that comes late is newer than some of them and older than others."""
+    path = scratch_path(spark, "t")
+    tables.write_commit(kv(spark, ("a", "1"), ("b", "1")), path, 1)
+    tables.write_commit(kv(spark, ("a", "5")), path, 5)
+    tables.compact(spark, path, kv(spark).schema)
+    tables.write_commit(kv(spark, ("a", "3"), ("b", "3")), path, 3)
+    assert values(spark, path) == {"a": "5", "b": "3"}
+
+
+def test_writers_and_a_compaction_at_once(spark):
+    path = scratch_path(spark, "t")
+
+    def write(writer):
+        for number in range(4):
+            tables.put(kv(spark, (f"{writer}{number}", writer), ("both", f"{writer}{number}")), path, writer, number)
+
+    def squeeze():
+        for _ in range(3):
+            tables.compact(spark, path, kv(spark).schema)
+
+    with ThreadPoolExecutor(3) as pool:
+        jobs = [pool.submit(write, "x"), pool.submit(write, "y"), pool.submit(squeeze)]
+        [job.result() for job in jobs]
+    found = values(spark, path)
+    assert found.pop("both") in ("x3", "y3")
+    assert found == {f"{w}{n}": w for w in "xy" for n in range(4)}
+
+
+def test_a_reader_sees_one_state(spark):
+    path, schema = scratch_path(spark, "t"), kv(spark).schema
+    tables.put(kv(spark, ("a", "1")), path, "w", 0)
+    before = snapshots.snapshot(spark, path)
+    view = tables.read_table(spark, path, schema, at=before)
+    tables.put(kv(spark, ("a", "2")), path, "w", 1)
+    tables.compact(spark, path, schema)
+    assert [r["value"] for r in view.collect()] == ["1"]
+    assert snapshots.expire(spark, path, keep=len(snapshots.versions(spark, path))) == 0
+    assert snapshots.expire(spark, path) == 2
+    assert values(spark, path) == {"a": "2"}
+
+
+def test_a_manifest_is_created_once(spark, tmp_path):
+    (tmp_path / "m").mkdir()
+    with ThreadPoolExecutor(8) as pool:
+        won = list(pool.map(lambda n: snapshots.create_once(spark, f"{tmp_path}/m/0.json", str(n)), range(8)))
+    assert sum(won) == 1 and snapshots.read_text(spark, f"{tmp_path}/m/0.json") == str(won.index(True))
+
+
+def test_compaction_that_met_a_replay_is_done_again(spark, monkeypatch):
+    path, schema = scratch_path(spark, "t"), kv(spark).schema
+    tables.write_commit(kv(spark, ("a", "1")), path, 1)
+    merge, tried = snapshots.merge, []
+
+    def late(*args):
+        if not tried:
+            tables.write_commit(kv(spark, ("a", "again")), path, 1)
+        tried.append(merge(*args))
+        return tried[-1]
+
+    monkeypatch.setattr(snapshots, "merge", late)
+    tables.compact(spark, path, schema)
+    assert tried == [False, True] and values(spark, path) == {"a": "again"}
+
+
+def test_keys_open_only_their_files(spark):
+    path, schema = scratch_path(spark, "t"), kv(spark).schema
+    for number in range(6):
+        rows = spark.range(number * 100, number * 100 + 120).selectExpr("lpad(id, 6, '0') AS row_key", f"'{number}' AS value")
+        tables.put(rows.coalesce(1), path, "w", number, indexed=True)
+    keys = spark.createDataFrame([("000250",), ("000310",), ("none",), (None,), ("000250",)], "row_key string")
+    found = tables.read_keys(spark, path, schema, keys)
+    assert {(r["row_key"], r["value"]) for r in found.collect()} == {("000250", "2"), ("000310", "3")}
+    assert len(tables.files_of_keys(spark, path, keys, snapshots.snapshot(spark, path))) == 2  # of six; 310 is in two commits
+    tables.compact(spark, path, schema, indexed=True)
+    assert {(r["row_key"], r["value"]) for r in tables.read_keys(spark, path, schema, keys).collect()} == {("000250", "2"), ("000310", "3")}
+    assert len(tables.files_of_keys(spark, path, keys, snapshots.snapshot(spark, path))) <= 2
+    assert tables.read_keys(spark, scratch_path(spark, "none"), schema, keys).count() == 0
+
+
+def history_table(spark, path, commits=4, slots=50):
+    """Each commit has later slots of the same addresses, in files of a few slots; one slot is put twice."""
+    for number in range(commits):
+        rows = spark.range(number * slots, (number + 1) * slots + 1).selectExpr(
+            "explode(array('hot', concat('rare', id % 40))) AS address", "id AS slot"
+        ).select(keys.address_slot_key(F.col("address"), F.col("slot")).alias("row_key"), F.concat(F.lit(f"{number}:"), "slot").alias("value"))
+        tables.put(rows.repartitionByRange(5, F.expr("substring_index(row_key, '/', -1)")), path, "w", number, indexed=True)
+
+
+def test_newest_rows_of_a_prefix_with_early_stop(spark):
+    path, schema = scratch_path(spark, "t"), kv(spark).schema
+    history_table(spark, path)
+    wanted = spark.createDataFrame([("hot", None), ("rare7", None), ("rar", None), ("hot", None)], "prefix string, after string")
+    found = tables.scan_prefixes(spark, path, schema, wanted, 3).collect()
+    assert [(r["place"], r["value"]) for r in sorted(found, key=lambda r: (r["row_key"], r["place"])) if r["row_key"].startswith("hot/")] == [
+        (1, "3:200"), (2, "3:199"), (3, "3:198")
+    ]
+    rare = sorted((r["place"], r["value"]) for r in found if r["row_key"].startswith("rare7/"))
+    assert [v.split(":")[1] for _, v in rare] == ["167", "127", "87"] and len(found) == 6
+    now = snapshots.snapshot(spark, path)
+    hot = spark.createDataFrame([("hot", None)], "prefix string, after string")
+    files = tables.files_of_prefixes(spark, path, hot, 3, now)
+    assert files.count() == 1  # of 20 files
+    # Each scan goes on where the last one ended.
+    seen, after = [], None
+    while True:
+        page = tables.scan_prefixes(spark, path, schema, spark.createDataFrame([("hot", after)], "prefix string, after string"), 64)
+        rows = [r for r in sorted(page.collect())]
+        if not rows:
+            break
+        seen += [r["value"].split(":")[1] for r in rows]
+        after = rows[-1]["row_key"]
+    assert seen == [str(n) for n in range(200, -1, -1)]
+    tables.compact(spark, path, schema, indexed=True)
+    assert sorted(tables.scan_prefixes(spark, path, schema, wanted, 3).collect()) == sorted(found)
