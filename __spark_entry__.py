@@ -14,7 +14,7 @@ from blockloom import samples  # noqa: E402
 from blockloom.functions import keys  # noqa: E402
 from blockloom.model import ADDRESS_TABLE, CELL, RAW_TABLE, TX_ORDER, TX_TABLE  # noqa: E402
 from blockloom.operators import blocks, cells, payloads, ranges  # noqa: E402
-from blockloom.plans import archiving, loading  # noqa: E402
+from blockloom.plans import archiving, loading, serving  # noqa: E402
 from blockloom.session import scratch_path, stage  # noqa: E402
 from blockloom.sources import archive, ledgers, tables  # noqa: E402
 from blockloom.streaming import live  # noqa: E402
@@ -206,10 +206,11 @@ def _archived_events(spark: SparkSession, sf_dir: str) -> str:
     root, ledger = scratch_path(spark, "archive"), scratch_path(spark, "ledger")
     rows = samples.cells(spark, sf_dir, key="event_id")
     bad = rows.where(F.col("qualifier") == "proto").withColumn("row_key", F.concat("row_key", F.lit("z")))
+    short = rows.where(F.col("qualifier") == "bin").withColumn("row_key", F.upper(F.ltrim("row_key", F.lit("0"))))
     end = samples.table(spark, sf_dir, "events").agg(F.max("event_id")).first()[0]
     for _ in range(2):
         archiving.archive_key_range(
-            spark, rows.union(bad), 0, end, samples.RANGE_SIZE * 10, root, ledger, "sync", "blocks", waves=3,
+            spark, rows.union(bad).union(short), 0, end, samples.RANGE_SIZE * 10, root, ledger, "sync", "blocks", waves=3,
             rejects=f"{root}-rejects",
         )
     return root
@@ -222,7 +223,8 @@ _EVENT_RANGE = f"'range_' || {_hex('event_id // 1000 * 1000')} || '_' || {_hex('
     f"""
 SELECT {_EVENT_RANGE} AS range, count(*) AS cells, min(event_id) AS first_slot, max(event_id) AS last_slot
 FROM events GROUP BY ALL
-UNION ALL SELECT 'rejected', count(*), NULL, NULL FROM events WHERE event_type IN ('click', 'view')"""
+UNION ALL SELECT 'rejected', count(*), NULL, NULL FROM (
+  SELECT DISTINCT event_id, ts, props, event_type IN ('click', 'view') FROM events)"""
 )
 def archive_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _archived_events(spark, sf_dir)
@@ -231,7 +233,7 @@ def archive_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count(F.lit(1)).alias("cells"), F.min(slot).alias("first_slot"), F.max(slot).alias("last_slot")
     )
     nothing = F.lit(None).cast("bigint")
-    rejected = spark.read.parquet(f"{root}-rejects").agg(F.count(F.lit(1)).alias("cells"))
+    rejected = archiving.read_rejects(spark, f"{root}-rejects").agg(F.count(F.lit(1)).alias("cells"))
     return counts.union(rejected.select(F.lit("rejected"), "cells", nothing, nothing))
 
 
@@ -334,21 +336,37 @@ def upsert_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.latest_by_key(samples.puts(spark, sf_dir), ["commit_id", "seq"])
 
 
-@_query(
-    """
-SELECT lower(lpad(hex(user_id), 16, '0')) || '/' || event_type AS row_key,
-  1 AS commit_id, max(event_id) AS seq, arg_max(value, event_id) AS value
-FROM events GROUP BY ALL"""
-)
+def _put_in_parts(spark: SparkSession, sf_dir: str) -> str:
+    """The puts in three commits, the second written twice; the first two are compacted before the third comes."""
+    puts, path = samples.puts(spark, sf_dir).drop("commit_id"), scratch_path(spark, "puts")
+    for number, times in enumerate((1, 2, 1)):
+        for _ in range(times):
+            tables.put(puts.where(F.col("seq") % 3 == number), path, "job", number, indexed=True)
+        if number == 1:
+            tables.compact(spark, path, puts.schema, ["seq"], indexed=True)
+    return path
+
+
+_PUT_ROWS = """
+SELECT lower(lpad(hex(user_id), 16, '0')) || '/' || event_type AS row_key, max(event_id % 3) AS commit_id,
+  max_by(event_id, (event_id % 3, event_id)) AS seq, max_by(value, (event_id % 3, event_id)) AS value
+FROM events"""
+
+
+@_query(f"{_PUT_ROWS} GROUP BY ALL")
 def upsert_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The puts in two commits, the second written twice, then compacted."""
-    puts = samples.puts(spark, sf_dir).drop("commit_id")
-    path, target = scratch_path(spark, "puts"), scratch_path(spark, "compacted")
-    tables.write_commit(puts.where(F.col("seq") % 2 == 0), path, 0)
-    for _ in range(2):
-        tables.write_commit(puts, path, 1)
-    tables.compact(spark, path, puts.schema, target, ["seq"])
-    return tables.read_table(spark, target, puts.schema, ["seq"])
+    """A put after a compaction wins; compacted rows keep their commits."""
+    return tables.read_table(spark, _put_in_parts(spark, sf_dir), samples.puts(spark, sf_dir).drop("commit_id").schema, ["seq"])
+
+
+@_query(f"{_PUT_ROWS} WHERE user_id % 20 = 0 GROUP BY ALL")
+def read_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of every twentieth user by their keys, and keys that are nowhere."""
+    puts = samples.puts(spark, sf_dir)
+    events = samples.table(spark, sf_dir, "events").where(F.col("user_id") % 20 == 0)
+    wanted = events.select(F.concat(keys.slot_to_key(F.col("user_id")), F.lit("/"), F.col("event_type")).alias("row_key"))
+    nowhere = wanted.select(F.concat("row_key", F.lit("!")))
+    return tables.read_keys(spark, _put_in_parts(spark, sf_dir), puts.drop("commit_id").schema, wanted.union(nowhere), ["seq"])
 
 
 @_query(
@@ -814,6 +832,26 @@ def tx_by_addr(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lists.select("row_key", "address", "slot", _entries_text())
 
 
+@_query(
+    _with(
+        _LINES,
+        select="""
+SELECT row_key, address, slot, entries, row_number() OVER (PARTITION BY address ORDER BY slot DESC) AS place
+FROM by_addr WHERE address LIKE 'p%' AND CAST(substr(address, 2) AS BIGINT) % 20 = 0 QUALIFY place <= 6""",
+    )
+)
+def address_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest lists of every twentieth part, in two pages of three; the lists came in two commits."""
+    lists, path = stage(blocks.tx_by_addr(samples.blocks(spark, sf_dir), samples.reserved(spark, sf_dir)), "lists"), scratch_path(spark, "tx-by-addr")
+    for number in range(2):
+        tables.put(lists.where(F.col("slot") % 4 % 2 == number), path, "job", number, indexed=True)
+    parts = samples.table(spark, sf_dir, "lineitem").where(F.col("l_partkey") % 20 == 0)
+    wanted = parts.select(F.concat(F.lit("p"), "l_partkey").alias("address"), F.lit(None).cast("string").alias("after")).distinct()
+    first = stage(serving.address_history(spark, path, wanted, 3), "page")
+    second = serving.address_history(spark, path, serving.next_page(first, 3), 3).withColumn("place", F.col("place") + 3)
+    return first.union(second).select("row_key", "address", "slot", _entries_text(), F.col("place").cast("bigint").alias("place"))
+
+
 # Payload codecs
 
 

@@ -2,20 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from blockloom.functions import keys
-from blockloom.model import ARCHIVE, STATUS_DONE, STATUS_FAILED
+from blockloom.model import ARCHIVE, CELL, STATUS_DONE, STATUS_FAILED
 from blockloom.operators import ranges
 from blockloom.session import stage
-from blockloom.sources import archive, ledgers
+from blockloom.sources import archive, ledgers, tables
 
 
 def to_archive(cells: DataFrame, sync_type: str, table: str, size: int, commit_id: int = 0) -> DataFrame:
-    """Cells with their archive partition columns. Keys that are no slots have no range and are left out;
-    ``unplaced_cells`` returns them."""
+    """Cells with their archive partition columns. Keys that are not the key of a slot, as it is written, have no
+    range and are left out; ``unplaced_cells`` returns them."""
     slot = keys.key_to_slot(F.col("row_key"))
-    placed = ranges.with_range(cells.where(slot.isNotNull()), slot, size)
+    placed = ranges.with_range(cells.where(is_placed()), slot, size)
     return placed.select(
         *[name for name in ARCHIVE.fieldNames() if name in cells.columns],
         F.lit(sync_type).alias("sync_type"),
@@ -27,8 +27,20 @@ def to_archive(cells: DataFrame, sync_type: str, table: str, size: int, commit_i
     )
 
 
+def is_placed() -> Column:
+    """Whether a key is that of a slot in 16 lower-case digits: only for these is text order slot order."""
+    key = F.col("row_key")
+    return F.coalesce(key == keys.slot_to_key(keys.key_to_slot(key)), F.lit(False))
+
+
 def unplaced_cells(cells: DataFrame) -> DataFrame:
-    return cells.where(keys.key_to_slot(F.col("row_key")).isNull())
+    """Cells that no range takes: null keys, bad ones, and slots that are spelt in another way."""
+    return cells.where(~is_placed())
+
+
+def read_rejects(spark: SparkSession, rejects: str) -> DataFrame:
+    """Cells that archive jobs set aside, each once, though every run over a source meets them."""
+    return tables.read_or_empty(spark, rejects, CELL).select(*CELL.fieldNames()).distinct()
 
 
 def _check_plan(planned: DataFrame, size: int) -> None:
@@ -59,8 +71,9 @@ def archive_ranges(
     itself: as done only after its write has committed, or as failed, which leaves it pending for the next run. A
     failed wave does not keep the others from being archived; its error is raised in the end.
 
-    Cells whose keys are no slots belong to no range. They are written to ``rejects`` and counted; the count is
-    returned. Without that folder any such cell is an error, before anything is archived.
+    Cells whose keys are not written as slots are belong to no range. They are written to ``rejects``, in a folder of
+    the planned bounds, which a repeated run replaces, and counted; the count is returned. Without ``rejects`` any such
+    cell is an error, before anything is archived. Looking for them reads the keys alone.
     """
     archive.check_table(table)
     archive.check_sync_type(sync_type)
@@ -72,13 +85,16 @@ def archive_ranges(
         return 0
     _check_plan(pending, size)
     unplaced = unplaced_cells(cells)
+    bad = unplaced.select("row_key").first()
+    if bad is not None and rejects is None:
+        raise ValueError(f"{bad[0]!r} is no slot's key; give a folder for such cells")
+    lost = 0
     if rejects is not None:
-        unplaced.write.mode("overwrite").parquet(rejects)
-        lost = spark.read.parquet(rejects).count()
-    elif (bad := unplaced.select("row_key").first()) is not None:
-        raise ValueError(f"{bad[0]!r} is no slot; give a folder for such cells")
-    else:
-        lost = 0
+        bounds = planned.agg(F.min("start_key"), F.max("end_key")).first()
+        folder = f"{rejects.rstrip('/')}/sync_type={sync_type}/table_name={table}/planned={bounds[0]}_{bounds[1]}"
+        set_aside = unplaced if bad is not None else spark.createDataFrame([], cells.schema)
+        set_aside.write.mode("overwrite").parquet(folder)
+        lost = 0 if bad is None else spark.read.schema(cells.schema).parquet(folder).count()
     low, high = int(first, 16), int(last, 16)
     step = -(-(high - low + 1) // (size * waves)) * size
     failed: Exception | None = None

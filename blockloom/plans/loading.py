@@ -163,19 +163,21 @@ def fan_out_tables(
     out: str,
     commit_id: int,
     parsers: dict[str, Parser] = JSON_PARSERS,
+    indexed: bool = False,
 ) -> DataFrame:
     """Feed ``blocks``, ``tx`` and ``tx-by-addr`` from one parse of the raw block rows.
 
     Raw rows are written first, so a block that yields nothing is kept. What was left out is stored as well:
     ``rejected`` has the rows that do not parse, with a reason, and ``incomplete`` the blocks with transactions
-    without metadata and the number of these. Returns the rejected rows.
+    without metadata and the number of these. ``indexed`` tables can be read by key (``serving``). Returns the
+    rejected rows.
     """
-    tables.write_commit(raw, f"{out}/blocks", commit_id)
+    tables.write_commit(raw, f"{out}/blocks", commit_id, indexed=indexed)
     stored = tables.read_commit(raw.sparkSession, f"{out}/blocks", RAW_TABLE, commit_id)
     parsed = stage(parse_blocks(stored, parsers), "parsed-blocks")
     good = parsed.where(F.col("error").isNull())
-    tables.write_commit(block_ops.tx_table(good), f"{out}/tx", commit_id)
-    tables.write_commit(block_ops.tx_by_addr(good, reserved), f"{out}/tx-by-addr", commit_id)
+    tables.write_commit(block_ops.tx_table(good), f"{out}/tx", commit_id, indexed=indexed)
+    tables.write_commit(block_ops.tx_by_addr(good, reserved), f"{out}/tx-by-addr", commit_id, indexed=indexed)
     left_out = block_ops.incomplete_blocks(good).select(
         keys.slot_to_key(F.col("slot")).alias("row_key"), "slot", F.col("missing").cast("bigint").alias("missing")
     )
@@ -198,10 +200,10 @@ def _open_run(spark: SparkSession, out: str) -> DataFrame:
     return begun.join(tables.read_or_empty(spark, f"{out}/finished", _schema(FINISHED)), "run_id", "left_anti")
 
 
-def _load_folders(spark: SparkSession, folders: DataFrame, root: str, reserved: DataFrame, out: str, run: int, parsers: dict[str, Parser]) -> DataFrame:
+def _load_folders(spark: SparkSession, folders: DataFrame, root: str, reserved: DataFrame, out: str, run: int, parsers: dict[str, Parser], indexed: bool) -> DataFrame:
     sync_type = folders.select(F.regexp_extract("path", "/sync_type=([^/]*)/", 1)).first()[0]
     blocks = raw_rows(read_folders(spark, root, sync_type, folders, "blocks"))
-    rejected = fan_out_tables(blocks, reserved, out, run, parsers)
+    rejected = fan_out_tables(blocks, reserved, out, run, parsers, indexed)
     entries_passthrough(raw_rows(read_folders(spark, root, sync_type, folders, "entries")), out, run)
     loaded = ledgers.read_file_ledger(spark, f"{out}/snapshots")
     ledgers.mark_files(folders.select("path").distinct().join(loaded, "path", "left_anti"), f"{out}/snapshots")
@@ -218,6 +220,7 @@ def load_archive(
     reserved: DataFrame,
     out: str,
     parsers: dict[str, Parser] = JSON_PARSERS,
+    indexed: bool = False,
 ) -> DataFrame:
     """Load every unloaded archive folder that overlaps the request; returns the rejected block rows.
 
@@ -229,7 +232,7 @@ def load_archive(
     rejected = spark.createDataFrame([], REJECTED)
     opened = stage(_open_run(spark, out), "open-runs")
     for run, place in sorted(opened.select("run_id", "root").distinct().collect()):
-        rejected = rejected.union(_load_folders(spark, opened.where(F.col("run_id") == run), place, reserved, out, run, parsers))
+        rejected = rejected.union(_load_folders(spark, opened.where(F.col("run_id") == run), place, reserved, out, run, parsers, indexed))
     folders = candidate_folders(spark, root, sync_type, start, end, f"{out}/snapshots")
     folders = stage(folders.select("path", "kind", "table_name", "range", "commit_id"), "load-folders")
     if folders.isEmpty():
@@ -238,7 +241,7 @@ def load_archive(
     run = 1 if last is None else last + 1
     record = folders.withColumns({"run_id": F.lit(run).cast("bigint"), "root": F.lit(root)})
     record.select(*_schema(RUNS).fieldNames()).coalesce(1).write.mode("append").parquet(f"{out}/runs")
-    return rejected.union(_load_folders(spark, folders, root, reserved, out, run, parsers))
+    return rejected.union(_load_folders(spark, folders, root, reserved, out, run, parsers, indexed))
 
 
 def load_report(spark: SparkSession, out: str) -> DataFrame:

@@ -112,6 +112,27 @@ def test_cells_without_a_slot_are_set_aside(spark):
     assert archive.read_archive(spark, root).count() == 10
 
 
+def test_keys_spelt_in_another_way_are_set_aside(spark):
+    spelt = ["000000000000000a", "B", "0c", "000000000000000D", "0000000000000000e", None, "", "x"]
+    rows = spark.createDataFrame([(k, "x", "bin", 1, b"v") for k in spelt], CELL)
+    root, ledger, rejects = (scratch_path(spark, name) for name in ("a", "l", "r"))
+    assert archiving.archive_key_range(spark, rows, 0, 15, 16, root, ledger, "sync", "blocks", rejects=rejects) == 7
+    stored = [r["row_key"] for r in archive.read_archive(spark, root).collect()]
+    assert stored == ["000000000000000a"]
+    set_aside = [r["row_key"] for r in archiving.read_rejects(spark, rejects).collect()]
+    assert sorted(stored + set_aside, key=repr) == sorted(spelt, key=repr)
+
+
+def test_runs_keep_the_rejects_of_others(spark):
+    root, ledger, rejects = (scratch_path(spark, name) for name in ("a", "l", "r"))
+    for start, bad in ((0, "zz"), (10, "yy")):
+        rows = block_cells(spark, range(start, start + 10)).union(spark.createDataFrame([(bad, "x", "bin", 1, b"v")], CELL))
+        for _ in range(2):
+            archiving.archive_key_range(spark, rows, start, start + 9, 10, root, ledger, "sync", "blocks", rejects=rejects)
+    assert sorted(r["row_key"] for r in archiving.read_rejects(spark, rejects).collect()) == ["yy", "zz"]
+    assert archiving.read_rejects(spark, scratch_path(spark, "none")).count() == 0
+
+
 def test_a_failed_wave_leaves_the_others_done(spark):
     rows = block_cells(spark, range(40))
     broken = rows.withColumn("value", F.when(F.col("row_key") == key(15), F.raise_error(F.lit("lost")).cast("binary")).otherwise(F.col("value")))
