@@ -157,7 +157,8 @@ tree AS (
 """
 
 _LIVE = f"""
-arrived AS (SELECT page_id AS slot, html || chr(10) AS content FROM pages),
+arrived AS (
+  SELECT page_id AS slot, html || chr(10) AS content FROM pages UNION ALL SELECT page_id, '' FROM pages WHERE page_id % 10 = 7),
 placed AS (
   SELECT *, 'range_' || {_hex('slot // 100 * 100')} || '_' || {_hex('slot // 100 * 100 + 99')} AS range,
     CASE slot % 3 WHEN 0 THEN 'blocks' WHEN 1 THEN 'entries' ELSE 'other' END AS kind
@@ -260,6 +261,7 @@ def list_archive_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _follow_pages(spark: SparkSession, sf_dir: str, **options) -> dict[str, str]:
     paths = {name: scratch_path(spark, name) for name in ("live", "archive", "checkpoint", "done", "rejects")}
     samples.write_live_tree(spark, sf_dir, paths["live"])
+    samples.add_empty_files(spark, sf_dir, paths["live"])
     live.follow(
         spark, paths["live"], paths["archive"], "live", paths["checkpoint"], rejects=paths["rejects"], **options
     ).awaitTermination()
@@ -298,6 +300,8 @@ def backfill_then_follow(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     for part in (1, 2):
         samples.write_live_tree(spark, sf_dir, paths["live"], part)
+        if part == 2:
+            samples.add_empty_files(spark, sf_dir, paths["live"])
         query.processAllAvailable()
     query.stop()
     return _archived_pages(spark, paths["archive"])
@@ -314,6 +318,7 @@ def clean_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files per kind after four batches with clean-up: some have moved, none is lost."""
     paths = {name: scratch_path(spark, name) for name in ("live", "archive", "checkpoint", "done", "rejects")}
     samples.write_live_tree(spark, sf_dir, paths["live"])
+    samples.add_empty_files(spark, sf_dir, paths["live"])
     arrived = archive.list_archive_files(spark, paths["live"]).count()
     live.follow(
         spark, paths["live"], paths["archive"], "live", paths["checkpoint"],
@@ -326,6 +331,39 @@ def clean_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kinds.withColumn("some_moved", F.lit(not moved.isEmpty()))
 
 
+@_query(_with(_LIVE, select="""
+SELECT range, kind, count(*) AS files, count(*) FILTER (content = '') AS empty_files FROM placed GROUP BY ALL"""))
+def list_live_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A listing has the files without a byte, too."""
+    folder = scratch_path(spark, "live")
+    samples.write_live_tree(spark, sf_dir, folder)
+    samples.add_empty_files(spark, sf_dir, folder)
+    files = archive.list_archive_files(spark, folder).where(F.col("path").endswith(".txt"))
+    name = F.regexp_extract("path", "/range=([^/]*)/", 1).alias("range")
+    return files.groupBy(name, keys.parent_folder(F.col("path")).alias("kind")).agg(
+        F.count(F.lit(1)).alias("files"), F.count_if(F.col("length") == 0).alias("empty_files")
+    )
+
+
+@_query(_with(_LIVE, select="""
+SELECT range, count(*) FILTER (content <> '' OR late) AS files, count(*) FILTER (content <> '' AND kind = 'other') AS rejected,
+  NOT bool_or(late) AND NOT bool_or(kind = 'other') AS cleaned,
+  CASE WHEN cleaned THEN 0 ELSE count(*) FILTER (content <> '' OR late) END AS left_over
+FROM (SELECT *, content = '' AND slot // 100 % 3 = 0 AS late FROM placed WHERE kind <> 'other' OR slot // 100 % 2 = 0)
+GROUP BY range"""))
+def clean_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Even ranges have files that no table takes, and every third gets files after the stream has ended: they stay."""
+    paths = {name: scratch_path(spark, name) for name in ("live", "archive", "checkpoint", "rejects")}
+    known = "(kind <> 'other' OR slot div 100 % 2 = 0)"
+    samples.write_live_tree(spark, sf_dir, paths["live"], only=known)
+    live.follow(spark, paths["live"], paths["archive"], "live", paths["checkpoint"], rejects=paths["rejects"]).awaitTermination()
+    samples.add_empty_files(spark, sf_dir, paths["live"], f"slot % 10 = 7 AND slot div 100 % 3 = 0 AND {known}")
+    states = live.clean_ranges(spark, paths["live"], paths["checkpoint"], paths["rejects"])
+    left = archive.list_archive_files(spark, paths["live"], missing_ok=True).where(F.col("path").contains("/range="))
+    left = left.groupBy(F.regexp_extract("path", "/range=([^/]*)/", 1).alias("range")).agg(F.count(F.lit(1)).alias("left_over"))
+    return states.where("range LIKE 'range%'").join(left, "range", "left").fillna(0, ["left_over"])
+
+
 @_query(
     """
 SELECT lower(lpad(hex(user_id), 16, '0')) || '/' || event_type AS row_key,

@@ -53,7 +53,7 @@ def stored_folders(spark: SparkSession, root: str, sync_type: str) -> DataFrame:
     one, so folders of several archives are told apart.
     """
     archive.check_sync_type(sync_type)
-    files = archive.list_archive_files(spark, f"{root.rstrip('/')}/sync_type={sync_type}", missing_ok=True)
+    files = archive.list_archive_files(spark, f"{root.rstrip('/')}/sync_type={sync_type}", missing_ok=True, empty=False)
     folder = F.regexp_extract("path", r"^(.*/sync_type=[^/]*/table_name=[^/]*/range=[^/]*/commit_id=\d+)/[^/]*$", 1)
     folders = files.select(folder.alias("path")).where(F.col("path") != "").distinct()
     return folders.select(

@@ -11,6 +11,7 @@ from blockloom.functions import keys
 from blockloom.model import LEGACY_BLOCK, STATUS_DONE, STATUS_FAILED
 from blockloom.operators import blocks as block_ops
 from blockloom.operators import payloads, ranges
+from blockloom.sources import snapshots
 
 # The lines of an order are dealt into so many blocks, whatever their number. A lane's slot follows from the order.
 LANES = 4
@@ -305,22 +306,34 @@ def page_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def write_live_tree(spark: SparkSession, sf_dir: str, folder: str, part: int | None = None) -> None:
-    """Pages as text files below ``range=…/slot=…/kind=…``, a file each; all, or those of one remainder by 3."""
+def _live_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages with the folders of the live tree: range, slot, kind."""
     slot = F.col("page_id")
     lo = ranges.range_start(slot, RANGE_SIZE)
     kind = F.when(slot % 3 == 0, "blocks").when(slot % 3 == 1, "entries").otherwise("other")
-    pages = table(spark, sf_dir, "pages")
-    tree = (pages if part is None else pages.where(slot % 3 == part)).select(
+    return table(spark, sf_dir, "pages").select(
         keys.range_name(keys.slot_to_key(lo), keys.slot_to_key(lo + RANGE_SIZE - 1)).alias("range"),
         slot.alias("slot"),
         kind.alias("kind"),
         "html",
     )
+
+
+def write_live_tree(spark: SparkSession, sf_dir: str, folder: str, part: int | None = None, only: str = "true") -> None:
+    """Pages as text files below ``range=…/slot=…/kind=…``, a file each; all, those of one remainder by 3, or some."""
+    rows = _live_rows(spark, sf_dir).where(only)
     (
-        tree.repartition("slot")
+        (rows if part is None else rows.where(F.col("slot") % 3 == part))
+        .repartition("slot")
         .sortWithinPartitions("range", "slot", "kind")
         .write.mode("append")
         .partitionBy("range", "slot", "kind")
         .text(folder)
     )
+
+
+def add_empty_files(spark: SparkSession, sf_dir: str, folder: str, only: str = "slot % 10 = 7") -> None:
+    """A file without a byte beside some of the pages of the live tree."""
+    for row in _live_rows(spark, sf_dir).where(only).drop("html").toLocalIterator():
+        path, files = snapshots.file_system(spark, f"{folder}/range={row['range']}/slot={row['slot']}/kind={row['kind']}/empty.txt")
+        files.create(path, True).close()

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from blockloom.functions import keys
 from blockloom.model import ARCHIVE, ARCHIVE_PARTITIONS, CELL, FILE_LISTING, SOURCE_TABLES
+from blockloom.sources import snapshots
 
 
 def check_table(table: str) -> None:
@@ -72,8 +73,12 @@ def qualified(spark: SparkSession, folder: str) -> str:
     return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
 
 
-def list_archive_files(spark: SparkSession, root: str, missing_ok: bool = False) -> DataFrame:
-    """Files below ``root`` as ``path``, ``modificationTime`` and ``length``; contents are not read."""
+def list_archive_files(spark: SparkSession, root: str, missing_ok: bool = False, empty: bool = True) -> DataFrame:
+    """Files below ``root`` as ``path``, ``modificationTime`` and ``length``; contents are not read.
+
+    A scan has no row for a file without a byte. Those are found among the names that Spark lists for the scan, which
+    it holds on the driver in any case; ``empty=False`` saves that where files have a header.
+    """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     try:
         files = reader.load(root)
@@ -81,7 +86,20 @@ def list_archive_files(spark: SparkSession, root: str, missing_ok: bool = False)
         if not missing_ok or error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], FILE_LISTING)
-    return files.select(F.col("_metadata.file_path").alias("path"), "modificationTime", "length")
+    listed = files.select(F.col("_metadata.file_path").alias("path"), "modificationTime", "length")
+    if not empty:
+        return listed
+    # One name in each spelling of the scheme.
+    names = spark.createDataFrame([(name,) for name in files.inputFiles()], "path string")
+    spelt = F.regexp_replace("path", r"^(\w+):///", "$1:/")
+    missing = names.withColumn("spelt", spelt).join(listed.select(spelt.alias("spelt")), "spelt", "left_anti").collect()
+    _, system = snapshots.file_system(spark, root)
+    rows = []
+    for row in missing:
+        status = system.getFileStatus(spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(row["path"])))
+        rows.append((row["path"], status.getModificationTime()))
+    blank = spark.createDataFrame(rows, "path string, ms long")
+    return listed.union(blank.select("path", F.timestamp_millis("ms"), F.lit(0).cast("bigint")))
 
 
 def export_records(cells: DataFrame, path: str) -> None:

@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 import json
+import re
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from blockloom.functions import keys
-from blockloom.model import ARCHIVE, BINARY_FILE
+from blockloom.model import ARCHIVE, BINARY_FILE, struct
 from blockloom.operators import cells as cell_ops
 from blockloom.session import stage
-from blockloom.sources import archive, tables
+from blockloom.sources import archive, snapshots, tables
 
 
 def live_files(
@@ -61,6 +62,70 @@ def _trigger(interval: str | None) -> dict:
     return {"availableNow": True} if interval is None else {"processingTime": interval}
 
 
+#: A stream's own record of the files it has taken.
+_LOGGED = "path string, timestamp long, batchId long"
+
+
+def _plain(path: Column) -> Column:
+    """A logged path as the file source's rows have it: not URL-encoded, one slash after the scheme."""
+    decoded = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(decoded, r"^(\w+):///", "$1:/")
+
+
+def _offset(spark: SparkSession, checkpoint: str, batch_id: int) -> int:
+    """How far into its record of files a batch of the stream goes."""
+    if batch_id < 0:
+        return -1
+    lines = snapshots.read_text(spark, f"{checkpoint.rstrip('/')}/offsets/{batch_id}").strip().split("\n")
+    return json.loads(lines[-1])["logOffset"]
+
+
+def _logged_files(spark: SparkSession, checkpoint: str, first: int, last: int) -> DataFrame:
+    """Files that the stream has taken, from one place of its record to another: (path, modificationTime)."""
+    folder, files = snapshots.file_system(spark, f"{checkpoint.rstrip('/')}/sources/0")
+    names = {status.getPath().getName() for status in files.listStatus(folder)} if files.exists(folder) else set()
+    compacted = [int(name.split(".")[0]) for name in names if name.endswith(".compact")]
+    base = max((n for n in compacted if n <= last), default=-1)  # has all entries up to its own number
+    chosen = [f"{base}.compact"] if base >= first else []
+    chosen += [str(n) for n in range(max(first, base + 1), last + 1) if str(n) in names]
+    if not chosen:
+        return spark.createDataFrame([], "path string, modificationTime timestamp")
+    lines = spark.read.text([f"{folder.toString()}/{name}" for name in chosen]).where("value LIKE '{%'")
+    entries = lines.select(F.from_json("value", _LOGGED).alias("e")).select("e.*").where(F.col("batchId").between(first, last))
+    return entries.select(_plain(F.col("path")).alias("path"), F.timestamp_millis("timestamp").alias("modificationTime"))
+
+
+def batch_files(spark: SparkSession, checkpoint: str, batch_id: int) -> DataFrame:
+    """All files of a batch of ``follow``, those without a byte too: (path, modificationTime).
+
+    Spark's file source takes empty files, and counts them as read, but makes no rows of them. Its record of the files
+    it took is part of the stream's checkpoint, so a repeated batch has the same.
+    """
+    last = _offset(spark, checkpoint, batch_id)
+    return _logged_files(spark, checkpoint, _offset(spark, checkpoint, batch_id - 1) + 1, last)
+
+
+def committed_files(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """All files of the batches of ``follow`` that are archived: (path, modificationTime)."""
+    folder, files = snapshots.file_system(spark, f"{checkpoint.rstrip('/')}/commits")
+    names = [status.getPath().getName() for status in files.listStatus(folder)] if files.exists(folder) else []
+    done = max((int(name) for name in names if name.isdigit()), default=-1)
+    return _logged_files(spark, checkpoint, 0, _offset(spark, checkpoint, done))
+
+
+def _read_files(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Files by name, those without a byte too."""
+    names = spark.createDataFrame([(p,) for p in paths], "path string")
+    rows = spark.read.format("binaryFile").load([_glob_free(p) for p in paths]).select("path", "content")
+    return names.join(rows.withColumn("path", F.regexp_replace("path", r"^(\w+):///", "$1:/")), "path", "left").select(
+        "path", F.coalesce("content", F.lit(b"")).alias("content")
+    )
+
+
+def _glob_free(path: str) -> str:
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
+
+
 def follow(
     spark: SparkSession,
     folder: str,
@@ -78,7 +143,7 @@ def follow(
     Both phases share one checkpoint, so following on after a backfill neither misses nor repeats a
     file. Each batch is a commit of its own in the archive (0 is the archive job's), numbered within the
     stream; a repeated batch replaces itself, and streams of other checkpoints stay apart. A failed batch
-    fails the query and leaves its source files in place. ``rejects`` gets the path and content of files
+    fails the query and leaves its source files in place. Empty files are cells with an empty value. ``rejects`` gets the path and content of files
     that no table takes; without it files cannot be cleaned up, since those would be lost.
     """
     archive.check_sync_type(sync_type)
@@ -88,16 +153,25 @@ def follow(
     files = live_files(spark, folder, files_per_batch, clean_source, done_folder)
 
     def archive_batch(batch: DataFrame, batch_id: int) -> None:
-        commit_id = F.lit((_stream_number(batch.sparkSession, checkpoint) << 32) + batch_id + 1).cast("bigint")
-        placed = live_cells(batch, folder).withColumns({"sync_type": F.lit(sync_type), "commit_id": commit_id})
-        if rejects:  # two writes need the batch's files once
-            placed = stage(placed, "live-batch")
-        archive.write_archive(cell_ops.route_cells(placed).select(*ARCHIVE.fieldNames()), root)
+        session = batch.sparkSession
+        number = (_stream_number(session, checkpoint) << 32) + batch_id + 1
+        commit_id = F.lit(number).cast("bigint")
+
+        def placed(rows: DataFrame) -> DataFrame:
+            return live_cells(rows, folder).withColumns({"sync_type": F.lit(sync_type), "commit_id": commit_id})
+
+        taken = stage(batch_files(session, checkpoint, batch_id), "batch-files")
+        with_rows = batch.select(F.regexp_replace("path", r"^(\w+):///", "$1:/").alias("path"))
+        empty = taken.join(with_rows, "path", "left_anti").withColumn("content", F.lit(b""))
+        cells = placed(batch.select("path", "modificationTime", "content")).unionByName(placed(empty))
+        archive.write_archive(cell_ops.route_cells(cells).select(*ARCHIVE.fieldNames()), root)
         if rejects:
-            unknown = cell_ops.rejected_cells(placed).select("path", "row_key", "value", "commit_id")
-            unknown.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-                "commit_id"
-            ).parquet(rejects)
+            # Names tell which files no table takes, so only these are read again. A batch is a list of names.
+            unknown = cell_ops.rejected_cells(placed(taken.withColumn("content", F.lit(b"")))).select("path", "row_key")
+            paths = [r["path"] for r in unknown.collect()]
+            target = f"{rejects.rstrip('/')}/commit_id={number}"
+            if paths:
+                unknown.join(_read_files(session, paths), "path").select("path", "row_key", F.col("content").alias("value")).write.mode("overwrite").parquet(target)
 
     writer = files.writeStream.foreachBatch(archive_batch).option("checkpointLocation", checkpoint)
     return writer.trigger(**_trigger(interval)).start()
@@ -133,3 +207,43 @@ def backfill_then_follow(
     return follow(
         spark, folder, root, sync_type, checkpoint, interval, files_per_batch=files_per_batch, **options
     )
+
+
+def clean_ranges(spark: SparkSession, folder: str, checkpoint: str, rejects: str) -> DataFrame:
+    """Remove range folders all of whose files are archived: (range, files, rejected, cleaned), a row per range.
+
+    A range goes as a whole: not while a file in it is not in a finished batch of the stream, and never if some of its
+    files were rejected. Only files that were looked up go, and folders only when empty, so a file that arrives
+    meanwhile stays. What the stream has archived is in its checkpoint, which is written after the archive; a run that
+    fails midway is simply repeated. It may run beside the stream, and after it for the last batch.
+    """
+    folder = archive.qualified(spark, folder)
+    present = stage(archive.list_archive_files(spark, folder, missing_ok=True).select(_plain(F.col("path")).alias("path")), "present")
+    done = committed_files(spark, checkpoint).select("path").distinct().withColumn("done", F.lit(True))
+    refused = tables.read_or_empty(spark, rejects, struct(path=T.StringType())).select("path").distinct()
+    refused = refused.withColumn("refused", F.lit(True))
+    found = present.join(done, "path", "left").join(refused, "path", "left")
+    found = stage(found.withColumn("range", keys.folder_below(F.col("path"), folder)), "found")
+    states = found.groupBy("range").agg(
+        F.count(F.lit(1)).alias("files"), F.count("refused").alias("rejected"), (F.count("done") == F.count(F.lit(1))).alias("whole")
+    )
+    states = stage(states.select("range", "files", "rejected", (F.col("whole") & (F.col("rejected") == 0)).alias("cleaned")), "ranges")
+    ready = found.join(states.where("cleaned"), "range", "left_semi").select("path")
+    _remove(spark, ready, folder)
+    return states
+
+
+def _remove(spark: SparkSession, paths: DataFrame, folder: str) -> None:
+    """Remove files, and the folders above them that become empty, up to the watched one."""
+    top, files = snapshots.file_system(spark, folder)
+    Path = spark._jvm.org.apache.hadoop.fs.Path
+    above = set()
+    for row in paths.toLocalIterator():  # names only, a part at a time
+        files.delete(Path(row["path"]), False)
+        parent = row["path"].rsplit("/", 1)[0]
+        while len(parent) > len(re.sub(r"^(\w+):///", r"\1:/", top.toString())):
+            above.add(parent)
+            parent = parent.rsplit("/", 1)[0]
+    for name in sorted(above, key=len, reverse=True):
+        if files.exists(Path(name)) and not files.listStatus(Path(name)):
+            files.delete(Path(name), False)

@@ -39,6 +39,7 @@ FIRST = {
 FIRST_ROWS = [
     ("blocks", "range_0_9", "0001", b"one"),
     ("blocks", "range_0_9", "0002.v1", b"three"),
+    ("blocks", "range_0_9", "empty", b""),
     ("entries", "range_0_9", "0001", b"two"),
 ]
 
@@ -127,3 +128,105 @@ def test_streamed_puts_restart_on_one_checkpoint(spark, tmp_path):
 
     assert run([("a", "1"), ("b", "1")]) == {"a": "1", "b": "1"}
     assert run([("a", "0")]) == {"a": "0", "b": "1"}
+
+
+def follow(spark, places, **options):
+    folder, root, checkpoint, rejects = places
+    live.follow(spark, str(folder), root, "live", checkpoint, rejects=rejects, **options).awaitTermination()
+
+
+def files_below(folder):
+    return sorted(str(path.relative_to(folder)) for path in folder.rglob("*") if path.is_file())
+
+
+def states(frame):
+    return {r["range"]: (r["files"], r["rejected"], r["cleaned"]) for r in frame.collect()}
+
+
+def test_only_empty_files(spark, places):
+    folder, root, _, rejects = places
+    put(folder, "range_0_9/1/entries/0001.pb", b"")
+    put(folder, "range_0_9/1/other/0002.pb", b"")
+    follow(spark, places)
+    assert stored(spark, root) == [("entries", "range_0_9", "0001", b"")]
+    assert [(r["row_key"], bytes(r["value"])) for r in spark.read.parquet(rejects).collect()] == [("0002", b"")]
+    assert sorted((r["path"].rsplit("/", 1)[1], r["length"]) for r in archive.list_archive_files(spark, str(folder)).collect()) == [("0001.pb", 0), ("0002.pb", 0)]
+
+
+def test_odd_names(spark, places):
+    folder, root, checkpoint, rejects = places
+    names = ["a b", "50%", "x+y", "é", "a%20b", "q[1]", "st*r"]
+    for number, name in enumerate(names):
+        put(folder, f"range_0_9/{number}/blocks/{name}.pb", b"" if number % 2 else b"v")
+        put(folder, f"range_0_9/{number}/other/{name}.pb", b"" if number % 3 else b"w")
+    follow(spark, places)
+    assert [r[2] for r in stored(spark, root)] == sorted(names)
+    found = {r["row_key"]: bytes(r["value"]) for r in spark.read.parquet(rejects).collect()}
+    assert found == {name: b"" if number % 3 else b"w" for number, name in enumerate(names)}
+    assert live.committed_files(spark, checkpoint).count() == 14
+
+
+def test_compacted_record_of_files(spark, places):
+    """Every tenth entry of the stream's record replaces those before it."""
+    folder, root, checkpoint, _ = places
+    for number in range(13):
+        put(folder, f"range_0_9/{number}/blocks/{number:04}.pb", b"" if number % 2 else b"v")
+    follow(spark, places, files_per_batch=1)
+    assert len(stored(spark, root)) == 13
+    assert live.committed_files(spark, checkpoint).distinct().count() == 13
+
+
+def test_a_repeated_batch_repeats_nothing(spark, places, monkeypatch):
+    folder, root, checkpoint, _ = places
+    for path, content in FIRST.items():
+        put(folder, path, content)
+    write = archive.write_archive
+
+    def dies(cells, root):
+        write(cells, root)
+        raise OSError("killed after the write")
+
+    monkeypatch.setattr(archive, "write_archive", dies)
+    with pytest.raises(Exception, match="killed"):
+        follow(spark, places)
+    monkeypatch.undo()
+    put(folder, "range_0_9/3/blocks/0003.pb", b"")
+    assert states(live.clean_ranges(spark, str(folder), checkpoint, places[3])) == {"range_0_9": (6, 0, False)}
+    follow(spark, places)
+    assert stored(spark, root) == sorted([*FIRST_ROWS, ("blocks", "range_0_9", "0003", b"")])
+
+
+def test_ranges_go_when_all_their_files_are_archived(spark, places):
+    folder, root, checkpoint, rejects = places
+    for number in (0, 10, 20):
+        put(folder, f"range_{number}_{number + 9}/{number}/blocks/{number:04}.pb", b"v")
+        put(folder, f"range_{number}_{number + 9}/{number}/entries/{number:04}.pb", b"")
+    put(folder, "range_10_19/10/other/0010.pb", b"no table takes it")
+    follow(spark, places, files_per_batch=3)
+    put(folder, "range_20_29/21/blocks/0021.pb", b"late")
+    kept = ["range_10_19/10/blocks/0010.pb", "range_10_19/10/entries/0010.pb", "range_10_19/10/other/0010.pb"]
+    late = ["range_20_29/20/blocks/0020.pb", "range_20_29/20/entries/0020.pb", "range_20_29/21/blocks/0021.pb"]
+    expected = {"range_0_9": (2, 0, True), "range_10_19": (3, 1, False), "range_20_29": (3, 0, False)}
+    assert states(live.clean_ranges(spark, str(folder), checkpoint, rejects)) == expected
+    assert files_below(folder) == kept + late and not (folder / "range_0_9").exists()
+    follow(spark, places)
+    found = states(live.clean_ranges(spark, str(folder), checkpoint, rejects))
+    assert found == {"range_10_19": (3, 1, False), "range_20_29": (3, 0, True)}
+    assert files_below(folder) == kept and not (folder / "range_20_29").exists()
+    assert len(stored(spark, root)) == 7
+    assert states(live.clean_ranges(spark, str(folder), checkpoint, rejects)) == {"range_10_19": (3, 1, False)}
+
+
+def test_a_cleaning_that_failed_is_repeated(spark, places, monkeypatch):
+    folder, root, checkpoint, rejects = places
+    put(folder, "range_0_9/1/blocks/0001.pb", b"v")
+    put(folder, "range_0_9/1/entries/0001.pb", b"")
+    follow(spark, places)
+    monkeypatch.setattr(live, "_remove", lambda *_: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        live.clean_ranges(spark, str(folder), checkpoint, rejects)
+    monkeypatch.undo()
+    assert len(files_below(folder)) == 2
+    assert states(live.clean_ranges(spark, str(folder), checkpoint, rejects)) == {"range_0_9": (2, 0, True)}
+    assert files_below(folder) == []
+    assert states(live.clean_ranges(spark, str(folder), checkpoint, rejects)) == {}
