@@ -14,7 +14,7 @@ from blockloom import samples  # noqa: E402
 from blockloom.functions import keys  # noqa: E402
 from blockloom.model import ADDRESS_TABLE, CELL, RAW_TABLE, TX_ORDER, TX_TABLE  # noqa: E402
 from blockloom.operators import blocks, cells, payloads, ranges  # noqa: E402
-from blockloom.plans import archiving, loading, serving  # noqa: E402
+from blockloom.plans import archiving, compaction, loading, serving  # noqa: E402
 from blockloom.session import scratch_path, stage  # noqa: E402
 from blockloom.sources import archive, ledgers, tables  # noqa: E402
 from blockloom.streaming import live  # noqa: E402
@@ -331,6 +331,28 @@ def clean_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kinds.withColumn("some_moved", F.lit(not moved.isEmpty()))
 
 
+@_query(_with(_LIVE, select="""
+SELECT kind AS table_name, range, count(*) AS cells, sum(octet_length(encode(content)))::BIGINT AS bytes, 1::BIGINT AS folders, true AS same_commits
+FROM placed WHERE kind <> 'other' GROUP BY ALL"""))
+def compact_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four batches of the live job, then one folder per range; the cells keep the commits they came in."""
+    paths = {name: scratch_path(spark, name) for name in ("live", "archive", "checkpoint")}
+    samples.write_live_tree(spark, sf_dir, paths["live"])
+    samples.add_empty_files(spark, sf_dir, paths["live"])
+    arrived = archive.list_archive_files(spark, paths["live"]).count()
+    live.follow(spark, paths["live"], paths["archive"], "live", paths["checkpoint"], files_per_batch=arrived // 4 + 1).awaitTermination()
+    by = ["table_name", "range"]
+    before = stage(archive.read_archive(spark, paths["archive"]).groupBy(*by).agg(F.count_distinct("commit_id").alias("commits")), "before")
+    compaction.compact_archive(spark, paths["archive"], "live")
+    compaction.purge(spark, paths["archive"])
+    cells = archive.stored_cells(spark, paths["archive"]).withColumn("folder", F.regexp_extract("file", "^(.*)/", 1))
+    after = cells.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("cells"), F.sum(F.octet_length("value")).alias("bytes"),
+        F.count_distinct("folder").alias("folders"), F.count_distinct("origin").alias("origins"),
+    )
+    return after.join(before, by).select(*by, "cells", "bytes", "folders", (F.col("origins") == F.col("commits")).alias("same_commits"))
+
+
 @_query(_with(_LIVE, select="""
 SELECT range, kind, count(*) AS files, count(*) FILTER (content = '') AS empty_files FROM placed GROUP BY ALL"""))
 def list_live_files(spark: SparkSession, sf_dir: str) -> DataFrame:

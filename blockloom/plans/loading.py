@@ -50,18 +50,30 @@ def stored_folders(spark: SparkSession, root: str, sync_type: str) -> DataFrame:
     """Archived range folders of one sync type: ``path`` below ``root`` and its partition values.
 
     A folder is the unit of loading: it holds one range of one table, in however many files. Its path is the whole
-    one, so folders of several archives are told apart.
+    one, so folders of several archives are told apart. A folder that was compacted keeps its path; ``commit_id`` is
+    that of the folder its cells are in now, and ``origin`` its own.
     """
     archive.check_sync_type(sync_type)
     files = archive.list_archive_files(spark, f"{root.rstrip('/')}/sync_type={sync_type}", missing_ok=True, empty=False)
-    folder = F.regexp_extract("path", r"^(.*/sync_type=[^/]*/table_name=[^/]*/range=[^/]*/commit_id=\d+)/[^/]*$", 1)
+    folder = F.regexp_extract("path", r"^(.*/sync_type=[^/]*/table_name=[^/]*/range=[^/]*/commit_id=-?\d+)/[^/]*$", 1)
     folders = files.select(folder.alias("path")).where(F.col("path") != "").distinct()
-    return folders.select(
+    listed = folders.select(
         "path",
         F.regexp_extract("path", "table_name=([^/]*)", 1).alias("table_name"),
         F.regexp_extract("path", "range=([^/]*)", 1).alias("range"),
-        F.regexp_extract("path", r"commit_id=(\d+)", 1).cast("bigint").alias("commit_id"),
+        F.regexp_extract("path", r"commit_id=(-?\d+)", 1).cast("bigint").alias("commit_id"),
     )
+    runs = archive.compactions(spark, root)
+    if not runs:
+        return listed.where("commit_id >= 0").withColumn("origin", F.col("commit_id"))
+    moved = stage(archive.replaced_folders(spark, root, runs).where(F.col("sync_type") == sync_type), "moved")
+    listed = stage(listed, "listed").where((F.col("commit_id") >= 0) | F.col("commit_id").isin([-run for run in runs]))
+    now = listed.join(moved.select("table_name", "range", "commit_id").distinct(), ["table_name", "range", "commit_id"], "left_anti")
+    here = moved.select("table_name", "range", "origin", (-F.col("run")).alias("commit_id"))
+    # A folder that was compacted again is where the last run put it.
+    found = now.join(here, ["table_name", "range", "commit_id"], "left").withColumn("origin", F.coalesce("origin", "commit_id"))
+    first = F.regexp_replace("path", r"commit_id=-?\d+$", "commit_id=")
+    return found.select(F.concat(first, "origin").alias("path"), "table_name", "range", "commit_id", "origin")
 
 
 def candidate_folders(
@@ -79,13 +91,12 @@ def candidate_folders(
 def read_folders(spark: SparkSession, root: str, sync_type: str, folders: DataFrame, kind: str) -> DataFrame:
     """Cells of the chosen folders.
 
-    All join keys are partition columns, so Spark skips other folders at run time. The list has one
+    The join keys but ``origin`` are partition columns, so Spark skips other folders at run time. The list has one
     short row per range; Spark broadcasts it below its size limit.
     """
-    names = ["table_name", "range", "commit_id"]
+    names = ["table_name", "range", "commit_id", "origin"]
     wanted = folders.where(F.col("kind") == kind).select(*names)
-    stored = archive.read_archive(spark, root, sync_type)
-    stored = stored.withColumns({"file": F.col("_metadata.file_path"), "position": F.col("_metadata.row_index")})
+    stored = archive.stored_cells(spark, root, sync_type)
     return stored.join(wanted, names, "left_semi")
 
 
@@ -202,6 +213,9 @@ def _open_run(spark: SparkSession, out: str) -> DataFrame:
 
 def _load_folders(spark: SparkSession, folders: DataFrame, root: str, reserved: DataFrame, out: str, run: int, parsers: dict[str, Parser], indexed: bool) -> DataFrame:
     sync_type = folders.select(F.regexp_extract("path", "/sync_type=([^/]*)/", 1)).first()[0]
+    # Where the folders are now: a compaction may have come since the run began.
+    places = stored_folders(spark, root, sync_type).select("path", "commit_id", "origin")
+    folders = stage(folders.select("path", "kind", "table_name", "range").join(places, "path"), "places")
     blocks = raw_rows(read_folders(spark, root, sync_type, folders, "blocks"))
     rejected = fan_out_tables(blocks, reserved, out, run, parsers, indexed)
     entries_passthrough(raw_rows(read_folders(spark, root, sync_type, folders, "entries")), out, run)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from blockloom.functions import keys
 from blockloom.model import ARCHIVE, ARCHIVE_PARTITIONS, CELL, FILE_LISTING, SOURCE_TABLES
@@ -43,7 +43,7 @@ def write_archive(cells: DataFrame, root: str, in_key_order: bool = False) -> No
     files. A source that is stored in key order needs no shuffle (``in_key_order``): each task then
     meets few ranges. Only the partitions that occur in ``cells`` are replaced.
     """
-    rows = cells.select(*ARCHIVE.fieldNames())
+    rows = cells.select(*ARCHIVE.fieldNames(), *[name for name in cells.columns if name == "origin"])
     if not in_key_order:
         rows = rows.hint("rebalance", *[F.col(name) for name in ARCHIVE_PARTITIONS])
     (
@@ -55,16 +55,58 @@ def write_archive(cells: DataFrame, root: str, in_key_order: bool = False) -> No
     )
 
 
-def read_archive(spark: SparkSession, root: str, sync_type: str | None = None) -> DataFrame:
-    """All archived cells, or those of one sync type, whose folders alone are then listed.
+#: Folders that compactions replaced: ``commit_id`` of the folder, ``origin`` of the commit its cells are of.
+MEMBERS = "sync_type string, table_name string, range string, commit_id bigint, origin bigint, run bigint"
+
+
+def compactions(spark: SparkSession, root: str, purged: bool = True) -> list[int]:
+    """Runs that have replaced folders of the archive, in order; without those whose old folders are gone."""
+    folder, files = snapshots.file_system(spark, f"{root.rstrip('/')}/_compactions")
+    names = {status.getPath().getName() for status in files.listStatus(folder)} if files.exists(folder) else set()
+    numbers = sorted(int(name[:-5]) for name in names if name.endswith(".json") and not name.startswith("."))
+    chosen = [n for n in numbers if purged or f"{n}.purged" not in names]
+    return [int(snapshots.read_text(spark, f"{folder.toString()}/{n}.json")) for n in chosen]
+
+
+def replaced_folders(spark: SparkSession, root: str, runs: list[int]) -> DataFrame:
+    """The folders that these runs replaced."""
+    if not runs:
+        return spark.createDataFrame([], MEMBERS)
+    return spark.read.schema(MEMBERS).parquet(*[f"{root.rstrip('/')}/_compactions/run={run}" for run in runs])
+
 
-    Filters on the partition columns select files.
+def stored_cells(spark: SparkSession, root: str, sync_type: str | None = None) -> DataFrame:
+    """Archived cells as they are stored: ``commit_id`` is the folder's, ``origin`` the commit they came in, ``file`` and
+    ``position`` their place.
+
+    Folders of a compaction have a negative number. They count once it is published, and the folders it replaced no
+    longer do; until these are purged a join on the partition columns leaves them out.
     """
+    schema = T.StructType([*CELL.fields, T.StructField("origin", T.LongType()), *ARCHIVE.fields[len(CELL.fields) :]])
+    reader = spark.read.schema(schema)
     if sync_type is None:
-        return spark.read.schema(ARCHIVE).parquet(root)
-    check_sync_type(sync_type)
-    root = root.rstrip("/")
-    return spark.read.schema(ARCHIVE).option("basePath", root).parquet(f"{root}/sync_type={sync_type}")
+        rows = reader.parquet(root)
+    else:
+        check_sync_type(sync_type)
+        root = root.rstrip("/")
+        rows = reader.option("basePath", root).parquet(f"{root}/sync_type={sync_type}")
+    rows = rows.where((F.col("commit_id") >= 0) | F.col("commit_id").isin([-run for run in compactions(spark, root)]))
+    place = {"file": F.col("_metadata.file_path"), "position": F.col("_metadata.row_index")}
+    rows = rows.withColumns({"origin": F.coalesce("origin", "commit_id"), **place})
+    waiting = compactions(spark, root, purged=False)
+    if waiting:
+        names = list(ARCHIVE_PARTITIONS)
+        rows = rows.join(replaced_folders(spark, root, waiting).select(*names).distinct(), names, "left_anti")
+    return rows
+
+
+def read_archive(spark: SparkSession, root: str, sync_type: str | None = None) -> DataFrame:
+    """All archived cells, or those of one sync type, whose folders alone are then listed, with the commit they came in.
+
+    Filters on the other partition columns select files.
+    """
+    cells = stored_cells(spark, root, sync_type)
+    return cells.withColumn("commit_id", F.col("origin")).select(*ARCHIVE.fieldNames())
 
 
 def qualified(spark: SparkSession, folder: str) -> str:
