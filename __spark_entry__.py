@@ -13,7 +13,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from blockloom import samples  # noqa: E402
 from blockloom.functions import keys  # noqa: E402
 from blockloom.model import ADDRESS_TABLE, CELL, RAW_TABLE, TX_ORDER, TX_TABLE  # noqa: E402
-from blockloom.operators import blocks, cells, payloads, ranges  # noqa: E402
+from blockloom.operators import blocks, cells, digests, payloads, ranges  # noqa: E402
 from blockloom.plans import archiving, compaction, loading, serving  # noqa: E402
 from blockloom.session import scratch_path, stage  # noqa: E402
 from blockloom.sources import archive, ledgers, tables  # noqa: E402
@@ -777,6 +777,51 @@ def row_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cells.row_digest(samples.cells(spark, sf_dir))
 
 
+def _changed_cells(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Cells of the events, and a copy where some are missing, some twice, and some have another value."""
+    number = F.conv("event", 16, 10).cast("bigint")
+    events = samples.cells(spark, sf_dir, "event_id").withColumnRenamed("row_key", "event")
+    users = samples.table(spark, sf_dir, "events").select(
+        keys.slot_to_key(F.col("event_id")).alias("event"), keys.slot_to_key(F.col("user_id") % 1000).alias("row_key")
+    )
+    whole = stage(events.join(users, "event"), "cells")
+    value = F.when(number % 101 == 0, F.encode(F.lit("changed"), "UTF-8")).otherwise(F.col("value"))
+    times = F.array_repeat(F.lit(1), F.when(number % 103 == 0, 2).when(number % 97 == 0, 0).otherwise(1))
+    copy = whole.withColumns({"value": value, "time": F.explode(times)})
+    return whole.select(*CELL.fieldNames()), copy.select(*CELL.fieldNames())
+
+
+_COMPARED = f"""
+WITH cells AS (
+  SELECT {_hex('user_id % 1000')} AS row_key, CASE WHEN event_type IN ('click', 'view') THEN 'proto' ELSE 'bin' END AS qualifier,
+    epoch_us(ts) AS ts, props AS value, event_id FROM events),
+both_sides AS (
+  SELECT row_key, qualifier, ts, sha256(value) AS digest, 1 AS l, 0 AS r FROM cells
+  UNION ALL
+  SELECT row_key, qualifier, ts, sha256(CASE WHEN event_id % 101 = 0 THEN 'changed' ELSE value END), 0,
+    CASE WHEN event_id % 103 = 0 THEN 2 WHEN event_id % 97 = 0 THEN 0 ELSE 1 END FROM cells)"""
+
+
+@_query(f"""{_COMPARED}
+SELECT row_key, qualifier, ts, digest, sum(l)::BIGINT AS left_cells, sum(r)::BIGINT AS right_cells
+FROM both_sides GROUP BY ALL HAVING sum(l) <> sum(r)""")
+def cell_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Missing, repeated and changed cells, found from the top down."""
+    return digests.cell_differences(*_changed_cells(spark, sf_dir), samples.RANGE_SIZE).drop("family")
+
+
+@_query(f"""{_COMPARED}
+SELECT lower(lpad(hex(CAST('0x' || row_key AS BIGINT) // 100 * 100), 16, '0')) AS range, sum(l)::BIGINT AS cells, sum(r)::BIGINT AS copied,
+  NOT bool_or(wrong) AS equal
+FROM (SELECT *, sum(l) OVER w <> sum(r) OVER w AS wrong FROM both_sides WINDOW w AS (PARTITION BY row_key, qualifier, ts, digest))
+GROUP BY ALL""")
+def range_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which ranges of a copy are equal, by their digests alone."""
+    left, right = (digests.range_digests(cells, samples.RANGE_SIZE) for cells in _changed_cells(spark, sf_dir))
+    right = right.select("range", F.col("cells").alias("copied"), F.col("digest").alias("copy"))
+    return left.join(right, "range").select("range", "cells", "copied", (F.col("digest") == F.col("copy")).alias("equal"))
+
+
 # Block transforms
 
 
@@ -922,9 +967,10 @@ UNION ALL SELECT -1 - doc_id, NULL, NULL, true FROM documents"""
 )
 def decode_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document, and a value beside it that names no codec or ends before its tag does."""
-    encoded = payloads.encode_payloads(samples.documents(spark, sf_dir)).drop("codec")
+    documents = samples.documents(spark, sf_dir)
+    encoded = payloads.encode_payloads(documents).drop("codec")
     wrong = F.when(F.col("doc_id") % 2 == 0, F.unhex(F.lit("09000000AB"))).otherwise(F.unhex(F.lit("0000")))
-    broken = encoded.select((-1 - F.col("doc_id")).alias("doc_id"), wrong.alias("value"))
+    broken = documents.select((-1 - F.col("doc_id")).alias("doc_id"), wrong.alias("value"))
     decoded = payloads.decode_payloads(encoded.union(broken))
     return decoded.select(
         "doc_id", F.octet_length("payload").cast("bigint").alias("bytes"), F.sha2("payload", 256).alias("digest"),

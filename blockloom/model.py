@@ -11,6 +11,7 @@ QUALIFIER_BIN = "bin"
 CODECS = ("none", "bzip2", "gzip", "zstd")  # the position is the stored tag
 TAG_BYTES = 4
 PLAIN_BELOW_BYTES = 128
+MAX_PAYLOAD_BYTES = 100 << 20  # the largest cell
 RANGE_PATTERN = r"range_([0-9a-fA-F]+)_([0-9a-fA-F]+)"
 
 STATUS_DONE = "done"

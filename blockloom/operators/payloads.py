@@ -10,7 +10,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from blockloom.model import CODECS, PLAIN_BELOW_BYTES, TAG_BYTES
+from blockloom.model import CODECS, MAX_PAYLOAD_BYTES, PLAIN_BELOW_BYTES, TAG_BYTES
 
 # Output batches stay near this size, so large cells do not build up in a task.
 _BATCH_BYTES = 32 << 20
@@ -21,20 +21,40 @@ def _gzip(data: bytes) -> bytes:
     return stream.compress(data) + stream.flush()
 
 
-def _inflate(stream, data: bytes) -> bytes:
-    plain = stream.decompress(data)
-    if not stream.eof:
+class TooLarge(ValueError):
+    """A payload has more bytes than it may have."""
+
+
+def _whole(plain: bytes, ended: bool, limit: int) -> bytes:
+    if len(plain) > limit:
+        raise TooLarge(f"more than {limit} bytes")
+    if not ended:
         raise ValueError("encoded data ends early")
     return plain
 
 
-def _decode_zstd(data: bytes) -> bytes:
-    frames = []
-    while data or not frames:
-        stream = zstandard.ZstdDecompressor().decompressobj()
-        frames.append(_inflate(stream, data))
-        data = stream.unused_data
-    return b"".join(frames)
+def _inflate(stream, data: bytes, limit: int) -> bytes:
+    """All of a stream that can stop at a length; one byte beyond the limit tells that there is more."""
+    plain = stream.decompress(data, limit + 1)
+    return _whole(plain, stream.eof, limit)
+
+
+#: Bytes of zstd that are decoded at once: a block of 128 KB takes four, so a step makes 32 MB at most.
+_ZSTD_STEP = 1024
+
+
+def _decode_zstd(data: bytes, limit: int) -> bytes:
+    """All frames of a value, a step at a time, as its streams cannot stop at a length."""
+    plain, frame, start = bytearray(), None, 0
+    while start < len(data) or frame is None:
+        frame = zstandard.ZstdDecompressor().decompressobj()
+        while start < len(data) and not frame.eof:
+            step = data[start : start + _ZSTD_STEP]
+            plain += frame.decompress(step)
+            start += len(step) - len(frame.unused_data)
+            if len(plain) > limit:
+                raise TooLarge(f"more than {limit} bytes")
+    return _whole(bytes(plain), frame.eof, limit)
 
 
 _ENCODE: dict[str, Callable[[bytes], bytes]] = {
@@ -43,10 +63,10 @@ _ENCODE: dict[str, Callable[[bytes], bytes]] = {
     "gzip": _gzip,
     "zstd": lambda data: zstandard.ZstdCompressor(write_content_size=False).compress(data),
 }
-_DECODE: dict[str, Callable[[bytes], bytes]] = {
-    "none": bytes,
-    "bzip2": lambda data: _inflate(bz2.BZ2Decompressor(), data),
-    "gzip": lambda data: _inflate(zlib.decompressobj(wbits=31), data),
+_DECODE: dict[str, Callable[[bytes, int], bytes]] = {
+    "none": lambda data, limit: _whole(bytes(data), True, limit),
+    "bzip2": lambda data, limit: _inflate(bz2.BZ2Decompressor(), data, limit),
+    "gzip": lambda data, limit: _inflate(zlib.decompressobj(wbits=31), data, limit),
     "zstd": _decode_zstd,
 }
 
@@ -59,14 +79,14 @@ def _encode(data: bytes) -> tuple[str, bytes]:
     return codec, CODECS.index(codec).to_bytes(TAG_BYTES, "little") + body
 
 
-def _decode(data: bytes) -> tuple[bytes | None, str | None]:
+def _decode(data: bytes, limit: int) -> tuple[bytes | None, str | None]:
     if len(data) < TAG_BYTES:
         return None, f"value too short: {len(data)} bytes"
     tag = int.from_bytes(data[:TAG_BYTES], "little")
     if tag >= len(CODECS):
         return None, f"unknown codec: {tag}"
     try:
-        return _DECODE[CODECS[tag]](data[TAG_BYTES:]), None
+        return _DECODE[CODECS[tag]](data[TAG_BYTES:], limit), None
     except (OSError, EOFError, ValueError, zlib.error, zstandard.ZstdError) as error:
         return None, f"{CODECS[tag]}: {error}"
 
@@ -109,11 +129,15 @@ def encode_payloads(rows: DataFrame, column: str = "value") -> DataFrame:
     return _map_values(rows, column, encode, {"codec": T.StringType(), "value": T.BinaryType()})
 
 
-def decode_payloads(rows: DataFrame, column: str = "value") -> DataFrame:
-    """Replace ``column`` by ``payload`` and ``error``; exactly one of them is null."""
+def decode_payloads(rows: DataFrame, column: str = "value", limit: int = MAX_PAYLOAD_BYTES) -> DataFrame:
+    """Replace ``column`` by ``payload`` and ``error``; exactly one of them is null.
+
+    A payload of more than ``limit`` bytes is an error: decoding stops there, so a few bytes that stand for very many
+    take no more memory than the limit and a step of it.
+    """
 
     def decode(data: bytes | None) -> tuple[bytes | None, str | None]:
-        return (None, "no value") if data is None else _decode(data)
+        return (None, "no value") if data is None else _decode(data, limit)
 
     return _map_values(rows, column, decode, {"payload": T.BinaryType(), "error": T.StringType()})
 

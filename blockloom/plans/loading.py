@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from blockloom.functions import keys
-from blockloom.model import BLOCK, LEGACY_BLOCK, QUALIFIER_BIN, QUALIFIER_PROTO, RAW_TABLE, SOURCE_TABLES
+from blockloom.model import BLOCK, LEGACY_BLOCK, MAX_PAYLOAD_BYTES, QUALIFIER_BIN, QUALIFIER_PROTO, RAW_TABLE, SOURCE_TABLES
 from blockloom.operators import blocks as block_ops
 from blockloom.operators import cells as cell_ops
 from blockloom.operators import payloads, ranges
@@ -123,10 +123,13 @@ def raw_rows(stored: DataFrame) -> DataFrame:
     return ranked.where(chosen).select(*RAW_TABLE.fieldNames())
 
 
-def parse_blocks(raw: DataFrame, parsers: dict[str, Parser] = JSON_PARSERS) -> DataFrame:
-    """Raw block rows as ``slot``, ``block_time``, ``transactions``; ``error`` tells why a row has none."""
+def parse_blocks(raw: DataFrame, parsers: dict[str, Parser] = JSON_PARSERS, limit: int = MAX_PAYLOAD_BYTES) -> DataFrame:
+    """Raw block rows as ``slot``, ``block_time``, ``transactions``; ``error`` tells why a row has none.
+
+    Payloads of more than ``limit`` bytes are rejected; to load them, parse their raw rows, which are stored, again.
+    """
     named = cell_ops.with_format(raw).withColumn("slot", keys.key_to_slot(F.col("row_key")))
-    decoded = payloads.decode_payloads(named.select("row_key", "slot", "format", "value"))
+    decoded = payloads.decode_payloads(named.select("row_key", "slot", "format", "value"), limit=limit)
 
     def parsed(name: str) -> Column:
         return F.when(F.col("format") == name, parsers[name](F.col("payload")))

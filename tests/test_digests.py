@@ -1,0 +1,68 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from blockloom.model import CELL
+from blockloom.operators import digests
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, CELL).repartition(3)
+
+
+def key(slot):
+    return f"{slot:016x}"
+
+
+def some(seed, size):
+    made = random.Random(seed)
+    rows = [(key(made.randrange(60)), made.choice(["x", "y", None]), made.choice(["a", "b"]), made.randrange(5), made.choice([b"", b"v", b"w", None])) for _ in range(size)]
+    return rows + [("no slot", "x", "a", 1, b"v"), (None, None, None, None, None)]
+
+
+def differences(spark, left, right, **options):
+    found = digests.cell_differences(frame(spark, left), frame(spark, right), 10, **options)
+    return sorted(((r["row_key"], r["family"], r["left_cells"], r["right_cells"]) for r in found.collect()), key=repr)
+
+
+def test_equal_in_any_order(spark):
+    rows = some(1, 300)
+    assert differences(spark, rows, rows[::-1]) == []
+    sums = digests.part_sums(frame(spark, rows), 10)
+    again = digests.part_sums(frame(spark, rows[::-1]), 10)
+    for by in (["range", "part"], ["range"], []):
+        assert sorted(digests.digests(sums, *by).collect()) == sorted(digests.digests(again, *by).collect())
+
+
+@pytest.mark.parametrize("change", ["drop", "repeat", "value", "null", "time", "key"])
+def test_one_changed_cell(spark, change):
+    rows = [(key(n), "x", "q", n, b"v") for n in range(200)]
+    one = {"drop": [], "repeat": [rows[42]] * 2, "value": [(*rows[42][:4], b"w")], "null": [(*rows[42][:4], None)], "time": [(*rows[42][:3], 9, b"v")], "key": [(key(142), *rows[42][1:])]}
+    found = differences(spark, rows, rows[:42] + one[change] + rows[43:])
+    lost = (key(42), "x", 1, 0)
+    assert found == {"drop": [lost], "repeat": [(key(42), "x", 1, 2)], "key": [lost, (key(142), "x", 0, 1)]}.get(change, [(key(42), "x", 0, 1), lost])
+
+
+def test_fields_do_not_run_together(spark):
+    assert len(differences(spark, [(key(1), "ab", "c", 1, b"")], [(key(1), "a", "bc", 1, b"")])) == 2
+    assert len(differences(spark, [(key(1), "", None, 1, b"")], [(key(1), None, "", 1, b"")])) == 2
+
+
+def test_against_an_empty_table(spark):
+    rows = some(2, 50)
+    assert sum(n for *_, n, _ in digests.cell_differences(frame(spark, rows), frame(spark, []), 10).select("left_cells", "right_cells").collect()) == 52
+    assert differences(spark, [], []) == []
+
+
+def test_a_hot_row_is_cut(spark):
+    hot = spark.range(6400).select(F.lit(key(5)).alias("row_key"), F.lit("x").alias("family"), F.lit("q").alias("qualifier"), F.col("id").alias("ts"), F.lit(b"v").alias("value"))
+    sizes = [r["cells"] for r in digests.part_sums(hot, 10).collect()]
+    assert len(sizes) == digests.PARTS and max(sizes) < 200
+
+
+def test_parts_add_up(spark):
+    sums = digests.part_sums(frame(spark, some(3, 400)), 10)
+    coarse = digests.part_sums(frame(spark, some(3, 400)), 10, parts=3)
+    assert digests.digests(sums).collect() == digests.digests(coarse).collect()
+    assert sorted(digests.digests(sums, "range").collect()) == sorted(digests.digests(coarse, "range").collect())

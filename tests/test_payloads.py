@@ -1,6 +1,8 @@
 import bz2
 import gzip
 import random
+import tracemalloc
+import zlib
 
 import zstandard
 from pyspark.sql import functions as F
@@ -66,3 +68,35 @@ def test_report_adds_up(spark):
     kept = [v for v in values if v is not None]
     assert sum(r["rows"] for r in report) == len(kept)
     assert sum(r["bytes_in"] for r in report) == sum(map(len, kept))
+
+
+def bomb(codec, size):
+    """A value of few bytes that decodes to very many."""
+    stream = {"bzip2": bz2.BZ2Compressor, "gzip": lambda: zlib.compressobj(wbits=31), "zstd": lambda: zstandard.ZstdCompressor().compressobj()}[codec]()
+    parts = [stream.compress(bytes(1 << 20)) for _ in range(size >> 20)]
+    return payloads.CODECS.index(codec).to_bytes(4, "little") + b"".join(parts) + stream.flush()
+
+
+def test_bombs_are_rejected_in_flat_memory(spark):
+    values = [bomb(codec, size) for codec, size in (("bzip2", 128 << 20), ("gzip", 256 << 20), ("zstd", 1 << 30))]
+    assert max(map(len, values)) < 1 << 19
+    for value in values:
+        tracemalloc.start()
+        payload, error = payloads._decode(value, 4 << 20)
+        _, peak = tracemalloc.get_traced_memory()
+        tracemalloc.stop()
+        assert payload is None and "more than 4194304 bytes" in error and peak < 80 << 20
+    found = payloads.decode_payloads(frame(spark, values)).collect()
+    assert [r["error"].split(": ")[1] for r in found] == ["more than 104857600 bytes"] * 3
+
+
+def test_the_limit_can_be_raised(spark):
+    values = [b"\0\0\0\0" + b"x" * 1000] + [bomb(codec, 1 << 20) for codec in ("bzip2", "gzip", "zstd")]
+
+    def failed(limit):
+        return [r["payload"] is None for r in payloads.decode_payloads(frame(spark, values), limit=limit).collect()]
+
+    assert failed(999) == [True] * 4
+    assert failed(1000) == [False, True, True, True]
+    assert failed((1 << 20) - 1) == [False, True, True, True]
+    assert failed(1 << 20) == [False] * 4
