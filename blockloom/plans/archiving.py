@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from blockloom.functions import keys
 from blockloom.model import ARCHIVE, CELL, STATUS_DONE, STATUS_FAILED
 from blockloom.operators import ranges
 from blockloom.session import stage
-from blockloom.sources import archive, ledgers, tables
+from blockloom.sources import archive, claims as claiming, ledgers, tables
 
 
 def to_archive(cells: DataFrame, sync_type: str, table: str, size: int, commit_id: int = 0) -> DataFrame:
@@ -64,6 +66,8 @@ def archive_ranges(
     in_key_order: bool = False,
     waves: int = 1,
     rejects: str | None = None,
+    claims: str | None = None,
+    lease: float = 3600,
 ) -> int:
     """Copy the planned ranges (``start_key``, ``end_key``) that are not finished to the archive.
 
@@ -74,6 +78,10 @@ def archive_ranges(
     Cells whose keys are not written as slots are belong to no range. They are written to ``rejects``, in a folder of
     the planned bounds, which a repeated run replaces, and counted; the count is returned. Without ``rejects`` any such
     cell is an error, before anything is archived. Looking for them reads the keys alone.
+
+    Several jobs may share a plan by a folder for ``claims``: each wave, and setting the bad cells aside, is then done
+    by the job that claims it, for ``lease`` seconds. A job leaves out what others hold (``archive_shared`` waits for
+    it), and takes over what a dead one held. One that was late and lost its claim does not record the wave.
     """
     archive.check_table(table)
     archive.check_sync_type(sync_type)
@@ -88,33 +96,70 @@ def archive_ranges(
     bad = unplaced.select("row_key").first()
     if bad is not None and rejects is None:
         raise ValueError(f"{bad[0]!r} is no slot's key; give a folder for such cells")
+    bounds = planned.agg(F.min("start_key"), F.max("end_key")).first()
+    place = f"sync_type={sync_type}/table_name={table}"
+
+    def taken(piece: str) -> tuple[bool, claiming.Claim | None]:
+        claim = claiming.take(spark, claims, f"{place}/{piece}", lease) if claims else None
+        return claims is None or claim is not None, claim
+
     lost = 0
-    if rejects is not None:
-        bounds = planned.agg(F.min("start_key"), F.max("end_key")).first()
-        folder = f"{rejects.rstrip('/')}/sync_type={sync_type}/table_name={table}/planned={bounds[0]}_{bounds[1]}"
+    if rejects is not None and taken(f"rejects_{bounds[0]}_{bounds[1]}")[0]:
+        folder = f"{rejects.rstrip('/')}/{place}/planned={bounds[0]}_{bounds[1]}"
         set_aside = unplaced if bad is not None else spark.createDataFrame([], cells.schema)
         set_aside.write.mode("overwrite").parquet(folder)
         lost = 0 if bad is None else spark.read.schema(cells.schema).parquet(folder).count()
-    low, high = int(first, 16), int(last, 16)
+    # Jobs that share a plan cut it alike, whatever is pending.
+    low, high = (int(k, 16) for k in (bounds if claims else (first, last)))
     step = -(-(high - low + 1) // (size * waves)) * size
     failed: Exception | None = None
     for start in range(low, high + 1, step):
         keys_of_wave = f"{start:016x}", f"{start + step - 1:016x}"
         wave = pending.where(F.col("start_key").between(*keys_of_wave))
+        if claims and wave.isEmpty():
+            continue
+        mine, claim = taken("_".join(keys_of_wave))
+        if not mine:
+            continue
+        if claim:  # others may have done it since
+            known = ledgers.read_range_ledger(spark, ledger_path, sync_type, table)
+            wave = stage(ranges.pending_ranges(wave, known), "claimed-ranges")
+            if wave.isEmpty():
+                claiming.give_back(spark, claim)
+                continue
         rows = archive.read_key_range(cells, *keys_of_wave)
         chosen = to_archive(rows, sync_type, table, size).join(wave, ["start_key", "end_key"], "left_semi")
+        status = STATUS_DONE
         try:
-            archive.write_archive(chosen, root, in_key_order)
+            write = archive.write_archive_beside if claims else archive.write_archive
+            write(chosen, root, in_key_order)
         except Exception as error:
-            ledgers.mark_ranges(wave, ledger_path, sync_type, table, size, STATUS_FAILED)
-            failed = failed or error
-        else:
-            ledgers.mark_ranges(wave, ledger_path, sync_type, table, size, STATUS_DONE)
+            status, failed = STATUS_FAILED, failed or error
+        if claim is None or claiming.is_held(spark, claim):
+            ledgers.mark_ranges(wave, ledger_path, sync_type, table, size, status)
+            if claim and status == STATUS_FAILED:
+                claiming.give_back(spark, claim)
     if failed is not None:
         raise failed
     return lost
 
 
+def archive_shared(
+    spark: SparkSession, cells: DataFrame, planned: DataFrame, size: int, root: str, ledger_path: str, sync_type: str,
+    table: str, claims: str, poll: float = 5, **options,
+) -> None:
+    """Work on a plan beside other jobs until all of it is done; see ``archive_ranges``.
+
+    A job that dies leaves its claims to run out; the others wait for that and do its waves.
+    """
+    while True:
+        archive_ranges(spark, cells, planned, size, root, ledger_path, sync_type, table, claims=claims, **options)
+        known = ledgers.read_range_ledger(spark, ledger_path, sync_type, table)
+        if ranges.pending_ranges(planned, known).isEmpty():
+            return
+        time.sleep(poll)
+
+
 def archive_key_range(spark: SparkSession, cells: DataFrame, start: int, end: int, size: int, *args, **options) -> int:
     """``archive_ranges`` for every range of ``size`` slots between ``start`` and ``end``."""
     return archive_ranges(spark, cells, ranges.split_key_range(spark, start, end, size), size, *args, **options)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -55,6 +56,30 @@ def write_archive(cells: DataFrame, root: str, in_key_order: bool = False) -> No
     )
 
 
+def write_archive_beside(cells: DataFrame, root: str, in_key_order: bool = False) -> None:
+    """``write_archive`` for jobs that write to one root at once: each writes aside and moves its range folders in.
+
+    Spark's writers of one folder share their working folder, which the first to finish removes. A range folder is
+    moved in one step, in the place of what an earlier attempt left.
+    """
+    spark, aside = cells.sparkSession, f"{root.rstrip('/')}/_parts/{uuid.uuid4().hex}"
+    write_archive(cells, aside, in_key_order)
+    below, files = snapshots.file_system(spark, f"{aside}/*/*/*/*")
+    for status in files.globStatus(below) or ():
+        if status.isDirectory():
+            part = status.getPath()
+            names = [part.getName()]
+            for _ in ARCHIVE_PARTITIONS[1:]:
+                part = part.getParent()
+                names.insert(0, part.getName())
+            target = spark._jvm.org.apache.hadoop.fs.Path("/".join([root.rstrip("/"), *names]))
+            files.mkdirs(target.getParent())
+            files.delete(target, True)
+            if not files.rename(status.getPath(), target):
+                raise OSError(f"{status.getPath()} could not be moved to {target}")
+    files.delete(spark._jvm.org.apache.hadoop.fs.Path(aside), True)
+
+
 #: Folders that compactions replaced: ``commit_id`` of the folder, ``origin`` of the commit its cells are of.
 MEMBERS = "sync_type string, table_name string, range string, commit_id bigint, origin bigint, run bigint"
 
