@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -12,7 +13,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from blockloom import samples  # noqa: E402
 from blockloom.functions import keys  # noqa: E402
-from blockloom.model import ADDRESS_TABLE, CELL, RAW_TABLE, TX_ORDER, TX_TABLE  # noqa: E402
+from blockloom.model import ADDRESS_TABLE, CELL, RANGE_LEDGER, RAW_TABLE, TX_ORDER, TX_TABLE  # noqa: E402
 from blockloom.operators import blocks, cells, digests, payloads, ranges  # noqa: E402
 from blockloom.plans import archiving, compaction, loading, serving  # noqa: E402
 from blockloom.session import scratch_path, stage  # noqa: E402
@@ -238,6 +239,25 @@ def archive_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.union(rejected.select(F.lit("rejected"), "cells", nothing, nothing))
 
 
+@_query(f"""
+SELECT {_EVENT_RANGE} AS range, count(*) AS cells, 1::BIGINT AS records FROM events GROUP BY ALL""")
+def archive_shared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two jobs share a plan: every range is archived and recorded once."""
+    rows = stage(samples.cells(spark, sf_dir, key="event_id"), "cells")
+    root, ledger, claims = (scratch_path(spark, name) for name in ("archive", "ledger", "claims"))
+    end = samples.table(spark, sf_dir, "events").agg(F.max("event_id")).first()[0]
+    plan = stage(ranges.split_key_range(spark, 0, end, samples.RANGE_SIZE * 10), "plan")
+
+    def job(_: int) -> None:
+        archiving.archive_shared(spark, rows, plan, samples.RANGE_SIZE * 10, root, ledger, "sync", "blocks", claims, poll=0.2, waves=4)
+
+    with ThreadPoolExecutor(2) as pool:
+        list(pool.map(job, range(2)))
+    done = tables.read_or_empty(spark, ledger, RANGE_LEDGER).groupBy(keys.range_name(F.col("start_key"), F.col("end_key")).alias("range"))
+    cells_of = archive.read_archive(spark, root).groupBy("range").agg(F.count(F.lit(1)).alias("cells"))
+    return cells_of.join(done.agg(F.count(F.lit(1)).alias("records")), "range")
+
+
 @_query(
     f"""
 SELECT {_EVENT_RANGE} AS range, {_hex('event_id')} AS row_key, props AS value,
