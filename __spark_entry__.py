@@ -365,7 +365,7 @@ def compact_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     before = stage(archive.read_archive(spark, paths["archive"]).groupBy(*by).agg(F.count_distinct("commit_id").alias("commits")), "before")
     compaction.compact_archive(spark, paths["archive"], "live")
     compaction.purge(spark, paths["archive"])
-    cells = archive.stored_cells(spark, paths["archive"]).withColumn("folder", F.regexp_extract("file", "^(.*)/", 1))
+    cells = archive.stored_cells(spark, paths["archive"], places=True).withColumn("folder", F.regexp_extract("file", "^(.*)/", 1))
     after = cells.groupBy(*by).agg(
         F.count(F.lit(1)).alias("cells"), F.sum(F.octet_length("value")).alias("bytes"),
         F.count_distinct("folder").alias("folders"), F.count_distinct("origin").alias("origins"),

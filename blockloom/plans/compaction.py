@@ -44,6 +44,8 @@ def compact_archive(spark: SparkSession, root: str, sync_type: str, folders: int
     chosen = stage(fragmented_ranges(spark, root, sync_type, folders, small), "fragmented")
     if chosen.isEmpty():
         return chosen
+    place, files = snapshots.file_system(spark, f"{root}/_compactions")
+    files.mkdirs(place)  # from now on readers look for unpublished folders
     run = uuid.uuid4().int >> 66  # 62 bits; as a commit it is negative, so no batch has it
     names = ["table_name", "range"]
     members = loading.stored_folders(spark, root, sync_type).join(chosen.select(*names), names, "left_semi")

@@ -54,6 +54,7 @@ def stored_folders(spark: SparkSession, root: str, sync_type: str) -> DataFrame:
     that of the folder its cells are in now, and ``origin`` its own.
     """
     archive.check_sync_type(sync_type)
+    runs = archive.compactions(spark, root)  # asked before the listing, see ``archive.stored_cells``
     files = archive.list_archive_files(spark, f"{root.rstrip('/')}/sync_type={sync_type}", missing_ok=True, empty=False)
     folder = F.regexp_extract("path", r"^(.*/sync_type=[^/]*/table_name=[^/]*/range=[^/]*/commit_id=-?\d+)/[^/]*$", 1)
     folders = files.select(folder.alias("path")).where(F.col("path") != "").distinct()
@@ -63,7 +64,6 @@ def stored_folders(spark: SparkSession, root: str, sync_type: str) -> DataFrame:
         F.regexp_extract("path", "range=([^/]*)", 1).alias("range"),
         F.regexp_extract("path", r"commit_id=(-?\d+)", 1).cast("bigint").alias("commit_id"),
     )
-    runs = archive.compactions(spark, root)
     if not runs:
         return listed.where("commit_id >= 0").withColumn("origin", F.col("commit_id"))
     moved = stage(archive.replaced_folders(spark, root, runs).where(F.col("sync_type") == sync_type), "moved")
@@ -96,7 +96,7 @@ def read_folders(spark: SparkSession, root: str, sync_type: str, folders: DataFr
     """
     names = ["table_name", "range", "commit_id", "origin"]
     wanted = folders.where(F.col("kind") == kind).select(*names)
-    stored = archive.stored_cells(spark, root, sync_type)
+    stored = archive.stored_cells(spark, root, sync_type, places=True)
     return stored.join(wanted, names, "left_semi")
 
 

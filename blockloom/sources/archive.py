@@ -100,13 +100,17 @@ def replaced_folders(spark: SparkSession, root: str, runs: list[int]) -> DataFra
     return spark.read.schema(MEMBERS).parquet(*[f"{root.rstrip('/')}/_compactions/run={run}" for run in runs])
 
 
-def stored_cells(spark: SparkSession, root: str, sync_type: str | None = None) -> DataFrame:
-    """Archived cells as they are stored: ``commit_id`` is the folder's, ``origin`` the commit they came in, ``file`` and
-    ``position`` their place.
+def stored_cells(spark: SparkSession, root: str, sync_type: str | None = None, places: bool = False) -> DataFrame:
+    """Archived cells as they are stored: ``commit_id`` is the folder's, ``origin`` the commit they came in, and with
+    ``places`` their ``file`` and ``position``.
 
     Folders of a compaction have a negative number. They count once it is published, and the folders it replaced no
-    longer do; until these are purged a join on the partition columns leaves them out.
+    longer do; until these are purged a join on the partition columns leaves them out. Where no compaction ever began
+    there is nothing to leave out.
     """
+    # Asked before the folders are listed: a run that is published later changes nothing for this reader.
+    runs = compactions(spark, root)
+    waiting = [run for run in compactions(spark, root, purged=False) if run in runs]
     schema = T.StructType([*CELL.fields, T.StructField("origin", T.LongType()), *ARCHIVE.fields[len(CELL.fields) :]])
     reader = spark.read.schema(schema)
     if sync_type is None:
@@ -115,10 +119,12 @@ def stored_cells(spark: SparkSession, root: str, sync_type: str | None = None) -
         check_sync_type(sync_type)
         root = root.rstrip("/")
         rows = reader.option("basePath", root).parquet(f"{root}/sync_type={sync_type}")
-    rows = rows.where((F.col("commit_id") >= 0) | F.col("commit_id").isin([-run for run in compactions(spark, root)]))
-    place = {"file": F.col("_metadata.file_path"), "position": F.col("_metadata.row_index")}
+    place = {"file": F.col("_metadata.file_path"), "position": F.col("_metadata.row_index")} if places else {}
     rows = rows.withColumns({"origin": F.coalesce("origin", "commit_id"), **place})
-    waiting = compactions(spark, root, purged=False)
+    folder, files = snapshots.file_system(spark, f"{root.rstrip('/')}/_compactions")
+    if not files.exists(folder):
+        return rows
+    rows = rows.where((F.col("commit_id") >= 0) | F.col("commit_id").isin([-run for run in runs]))
     if waiting:
         names = list(ARCHIVE_PARTITIONS)
         rows = rows.join(replaced_folders(spark, root, waiting).select(*names).distinct(), names, "left_anti")

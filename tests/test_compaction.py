@@ -120,3 +120,21 @@ def test_a_load_that_died_finds_its_cells_after_a_purge(spark, root, monkeypatch
 
 def test_an_archive_that_is_not_there(spark):
     assert compaction.compact_archive(spark, scratch_path(spark, "none"), "live").count() == 0
+
+
+def test_a_reader_that_began_before_the_publication(spark, root, monkeypatch):
+    """Its runs are older than its listing of folders: it sees the old folders, and the new ones not."""
+    before, asked, known = stored(spark, root), [], archive.compactions
+
+    def early(*args, **options):
+        found = known(*args, **options)
+        if len(asked) < 2:  # both questions of one reader
+            asked.append(1)
+            if len(asked) == 2:
+                compaction.compact_archive(spark, root, "live")
+        return found
+
+    monkeypatch.setattr(archive, "compactions", early)
+    assert stored(spark, root) == before and len(asked) == 2
+    monkeypatch.undo()
+    assert stored(spark, root) == before and known(spark, root)
