@@ -79,3 +79,53 @@ def test_columns_stay(docs):
     table = docs([(1, "the thing", "xa")])
     model = language.fit([("the thing", "xa", False)])
     assert language.identify(table, model, into="__").columns == [*table.columns, "__lang_pred", "__score", "__accepted"]
+
+
+def test_long_texts_are_learnt_from(docs):
+    rng = random.Random(3)
+    rows = [(i, text(lang, 12_000, rng), lang) for i in range(24) for lang in [sorted(SYLLABLES)[i % 3]]]
+    assert min(len(t) for _, t, _ in rows) > 50_000
+    found = {r.doc_id: r for r in language.language_id(docs(rows)).collect()}
+    assert [found[i].lang_pred for i, _, _ in rows] == [lang for _, _, lang in rows]
+
+
+def test_one_text_without_spaces_is_learnt_from():
+    assert all(0 < len(w) <= language.WINDOW_CHARS for w in language.windows("ab" * 500_000))
+    assert language.windows("1 2 3") == []
+
+
+def test_letters_are_letters(docs):
+    found = {r.doc_id: r for r in language.language_id(docs([(i, t, "xa") for i, t in enumerate(["the thing"] * 20 + ["²", "½ 123", "x²"])])).collect()}
+    assert [found[i].lang_pred for i in (20, 21, 22)] == ["und", "und", "xa"]
+
+
+def test_the_error_target_sets_the_threshold():
+    model = language.Model(["xa", "xb"], np.zeros((language.BUCKETS, 2)), np.zeros(2))
+    # Sure ones are right, a tenth of the unsure ones wrong.
+    logits = np.array([[4.0, 0.0]] * 300 + [[0.5, 0.0]] * 100)
+    truth = ["xa"] * 300 + ["xb"] * 10 + ["xa"] * 90
+    found = language.calibrate(model, logits, truth)
+    score = 1 / (1 + np.exp(-found.sharpness * np.array([4.0, 0.5])))
+    assert score[1] < found.threshold <= score[0] and found.rejected == 0.25
+    assert language.calibrate(model, logits, truth, most=0.1).threshold == pytest.approx(score[1])
+    assert language.calibrate(model, logits, ["xb"] * 400).rejected == 1.0
+    assert language.calibrate(model, logits, truth, error=0.5).rejected == 0.0
+
+
+def test_whole_query_against_plain_python(docs):
+    """The same sample, windows and scores without Spark."""
+    rng = random.Random(5)
+    rows = [(i, text(lang, rng.randint(2, 60), rng), lang) for i in range(240) for lang in [rng.choice(sorted(SYLLABLES))]]
+    table = docs([*rows, *rows[:80]])
+    sample = [(r.text, r.lang, r.calibrate) for r in language.sample_rows(table, "doc_id", "text", "lang").collect()]
+    may = {(t, lang) for i, t, lang in rows if zlib.crc32(str(i).encode()) % 4 != 2}
+    # Fewer labels than the sample has room for, so all are in it, once.
+    assert len(sample) == len(may) and {x[:2] for x in sample} == may
+    model = language.train(sorted((w, lang) for t, lang, later in sample if not later for w in language.windows(t)))
+    own = language.Identifier(language.Model(*language._sent(model)))
+    held = sorted((own.logits(t).tolist(), lang) for t, lang, later in sample if later)
+    own = language.Identifier(language.calibrate(model, np.array([z for z, _ in held]), [lang for _, lang in held]))
+    wanted = {t: own.identify(t) for _, t, _ in rows}
+    for r in language.language_id(table).collect():
+        lang, score = wanted[rows[r.doc_id][1]]
+        assert r.lang_pred == lang and r.score == pytest.approx(score, abs=1e-4)
