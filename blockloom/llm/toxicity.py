@@ -116,12 +116,57 @@ def sentences(text: str, known: dict[int, int]) -> tuple[int, list[list[int]]]:
     return n, found
 
 
-def fit(rows: DataFrame, rounds: int = 400, decay: float = 1e-3) -> Model:
+class Bags(NamedTuple):
+    """Documents as their sentences' features: ``doc`` and ``feature`` (by place) go by sentence and by feature."""
+
+    bare: np.ndarray  # sentences without features, by document
+    doc: np.ndarray
+    sentence: np.ndarray
+    feature: np.ndarray
+
+
+def bags(cut: list[tuple[int, list[list[int]]]]) -> Bags:
+    """Put what ``sentences`` gives for each document side by side."""
+    hits = [found for _, found in cut]
+    sizes = np.array([len(s) for h in hits for s in h], dtype=int)
+    return Bags(
+        np.array([n - len(h) for n, h in cut], dtype=float),
+        np.repeat(np.arange(len(hits)), [len(h) for h in hits]),
+        np.repeat(np.arange(len(sizes)), sizes),
+        np.array([f for h in hits for s in h for f in s], dtype=int),
+    )
+
+
+def noisy_or(found: Bags, theta: np.ndarray, bias: float, floor: float):
+    """Each document's chance of label 1 as ``Scorer.score`` has it, and what each sentence adds to its slope.
+
+    Sentences below ``floor`` together count for ``floor`` at most; where they reach it, they have no slope. Returns
+    (chance, the sentences' chances where they have a slope, the same for the bare sentences by document).
+    """
+    n = len(found.bare)
+    z = bias + np.bincount(found.sentence, theta[found.feature], minlength=len(found.doc))
+    p, p0 = 1 / (1 + np.exp(-z)), 1 / (1 + np.exp(-bias))
+    log, sure = -np.logaddexp(0, z), p >= floor
+    faint = np.bincount(found.doc, np.where(sure, 0.0, log), minlength=n)
+    clean = np.bincount(found.doc, np.where(sure, log, 0.0), minlength=n)
+    bare = -np.logaddexp(0, bias) * found.bare
+    if p0 >= floor:
+        clean = clean + bare
+    else:
+        faint = faint + bare
+    least = np.log1p(-floor) if floor else -np.inf
+    free = faint > least
+    chance = -np.expm1(clean + np.maximum(faint, least))
+    return chance, np.where(sure | free[found.doc], p, 0.0), np.where(free | (p0 >= floor), p0, 0.0)
+
+
+def fit(rows: DataFrame, rounds: int = 400, decay: float = 1e-3, floor: float = FLOOR) -> Model:
     """Fit sentence weights so that noisy-or over each document's sentences gives its label.
 
     The likelihood of label 1 is one minus the product of the sentences' chances to be clean, so a toxic document
-    only asks that some sentence be toxic, and every sentence of a clean document is clean. Without documents of both
-    labels every score is 0.
+    only asks that some sentence be toxic, and every sentence of a clean document is clean. What is fitted is the score
+    itself: the floor rises to its value over the first half of the rounds, as a document whose sentences are all below
+    it teaches nothing, and stays there. Without documents of both labels every score is 0.
     """
     rows = stage(rows, "learnt")
     told = telling_features(rows)
@@ -141,30 +186,23 @@ def fit(rows: DataFrame, rounds: int = 400, decay: float = 1e-3) -> Model:
 
     cut = rows.select("text", F.col("toxic").cast("int"), F.col("weight").cast("double"))
     kept = cut.mapInArrow(run, "n long, hits array<array<int>>, toxic int, weight double").toArrow()
-    n, toxic, weight = (kept.column(c).to_numpy().astype(float) for c in ("n", "toxic", "weight"))
-    hits = kept.column("hits").to_pylist()
-    doc = np.repeat(np.arange(len(hits)), [len(h) for h in hits])
-    sizes = np.array([len(s) for h in hits for s in h], dtype=int)
-    feature = np.array([f for h in hits for s in h for f in s], dtype=int)
-    sentence = np.repeat(np.arange(len(sizes)), sizes)
-    bare = n - np.bincount(doc, minlength=len(hits))
+    toxic, weight = (kept.column(c).to_numpy().astype(float) for c in ("toxic", "weight"))
+    found = bags(list(zip(kept.column("n").to_pylist(), kept.column("hits").to_pylist(), strict=True)))
     weight = weight / weight.sum()
     theta, bias = np.zeros(len(told)), -6.0
     moment, square = np.zeros(len(told) + 1), np.zeros(len(told) + 1)
     for t in range(1, rounds + 1):
-        z = bias + np.bincount(sentence, theta[feature], minlength=len(sizes))
-        p, p0 = 1 / (1 + np.exp(-z)), 1 / (1 + np.exp(-bias))
-        clean = -np.logaddexp(0, bias) * bare + np.bincount(doc, -np.logaddexp(0, z), minlength=len(hits))
-        chance = np.maximum(-np.expm1(clean), 1e-12)
+        chance, p, p0 = noisy_or(found, theta, bias, floor * min(1.0, 2 * t / rounds))
+        chance = np.maximum(chance, 1e-12)
         pull = weight * np.where(toxic == 1, -(1 - chance) / chance, 1.0)
-        slope = pull[doc] * p
-        gradient = np.bincount(feature, slope[sentence], minlength=len(told)) + decay * theta / len(told)
-        gradient = np.append(gradient, slope.sum() + (pull * bare * p0).sum())
+        slope = pull[found.doc] * p
+        gradient = np.bincount(found.feature, slope[found.sentence], minlength=len(told)) + decay * theta / len(told)
+        gradient = np.append(gradient, slope.sum() + (pull * found.bare * p0).sum())
         moment = 0.9 * moment + 0.1 * gradient
         square = 0.99 * square + 0.01 * gradient**2
         step = 0.1 * (moment / (1 - 0.9**t)) / (np.sqrt(square / (1 - 0.99**t)) + 1e-9)
         theta, bias = theta - step[:-1], min(bias - step[-1], -2.0)
-    return Model(float(bias), dict(zip(told, theta.tolist(), strict=True)), FLOOR)
+    return Model(float(bias), dict(zip(told, theta.tolist(), strict=True)), floor)
 
 
 class Scorer:

@@ -1,6 +1,7 @@
 import random
 import zlib
 
+import numpy as np
 import pytest
 
 from blockloom.llm import toxicity
@@ -106,3 +107,34 @@ def test_a_clean_text_of_50_000_sentences(docs, spark):
     clean *= 1 + 50_000 // clean.count(".")
     table = docs([(i, t) for i, t, _ in rows] + [(6000, clean)])
     assert toxicity.toxicity(table, labels).where("doc_id = 6000").first().predicted == 0
+
+
+def test_training_fits_the_function_that_scores():
+    """The chances in training are the scores of the same texts, faint sentences by the dozen included."""
+    words = {"alpha": 3.2, "beta": 2.9, "gamma": 9.0, "delta": -1.0}
+    told = [toxicity.features(w)[0] for w in words]
+    model = toxicity.Model(-6.1, dict(zip(told, words.values(), strict=True)), toxicity.FLOOR)
+    texts = [
+        "alpha one. " * 40, "beta. " * 3, "gamma alpha. none. " * 2, "none. " * 5000, "", "...", "alpha beta. delta. alpha",
+        "gamma. " + "alpha. " * 100,
+    ]
+    place = {f: i for i, f in enumerate(told)}
+    found = toxicity.bags([toxicity.sentences(t, place) for t in texts])
+    for floor in (toxicity.FLOOR, 0.0):
+        own = toxicity.Scorer(model._replace(floor=floor))
+        chance, _, _ = toxicity.noisy_or(found, np.array(list(words.values())), model.bias, floor)
+        assert chance == pytest.approx([own.score(t)[0] for t in texts], abs=1e-12)
+
+
+def test_slopes_are_those_of_the_chances():
+    rng = np.random.default_rng(0)
+    cut = [(int(rng.integers(6, 60)), [rng.integers(0, 5, rng.integers(1, 4)).tolist() for _ in range(rng.integers(0, 6))]) for _ in range(40)]
+    found, theta, step = toxicity.bags(cut), rng.normal(1, 2, 5), 1e-5
+
+    def clean(bias):
+        return np.log1p(-toxicity.noisy_or(found, theta, bias, 0.05)[0])
+
+    for bias in (-6.0, -4.0, -2.5):
+        _, p, p0 = toxicity.noisy_or(found, theta, bias, 0.05)
+        slope = -np.bincount(found.doc, p, minlength=40) - found.bare * p0
+        assert (clean(bias + step) - clean(bias - step)) / (2 * step) == pytest.approx(slope, rel=1e-3)
