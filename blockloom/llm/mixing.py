@@ -72,9 +72,11 @@ def order_key(key: Column, seed: int, epoch: Column) -> Column:
 
 def mix(
     docs: DataFrame, levels: Sequence[str], weights: DataFrame, share: float, epochs: int, seed: int = 0,
-    id_col: str = "doc_id", text_col: str = "text", tokens: Column | None = None,
+    id_col: str = "doc_id", text_col: str = "text", tokens: Column | None = None, carry: Sequence[str] = (),
 ) -> DataFrame:
-    """The documents of the mixture, as (id_col, levels, epoch, n_tokens): one row for each time one is taken.
+    """The documents of the mixture, as (id_col, carry, levels, epoch, n_tokens): one row for each time one is taken.
+
+    ``carry`` names more columns of ``docs`` that rows keep, such as a row number where ids repeat.
 
     ``share`` is the wanted number of tokens as a part of all tokens; ``epochs`` bounds how often a document may be
     taken. Each leaf is read in seeded epochs: as many whole ones as its target holds, then of the next the longest
@@ -86,7 +88,7 @@ def mix(
     digits of the order key; sums of slices tell which slice the prefix ends in, and only rows of a slice are sorted.
     """
     names = [F.coalesce(F.col(c).cast("string"), F.lit("none")).alias(c) for c in levels]
-    counted = docs.select(F.col(id_col), *names, (n_words(text_col) if tokens is None else tokens).alias("n_tokens"))
+    counted = docs.select(F.col(id_col), *carry, *names, (n_words(text_col) if tokens is None else tokens).alias("n_tokens"))
     counted = stage(counted, "counted")
     leaves = stage(
         counted.groupBy(*levels).agg(F.sum("n_tokens").alias("supply"), F.count(F.lit(1)).alias("n_docs")), "leaves"
@@ -98,7 +100,7 @@ def mix(
     plan = plan.withColumn("slices", F.ceil(F.col("n_docs") / SLICE).cast("long")).drop("supply", "n_docs", "target")
     rows = counted.join(plan, list(levels))
     whole = rows.where("whole > 0").withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.col("whole") - 1)))
-    out = [F.col(id_col), *(F.col(c) for c in levels), F.col("epoch"), F.col("n_tokens")]
+    out = [F.col(id_col), *(F.col(c) for c in carry), *(F.col(c) for c in levels), F.col("epoch"), F.col("n_tokens")]
     part = rows.where("rest > 0").withColumn("place", order_key(F.col(id_col), seed, F.col("whole")))
     lead = F.conv(F.substring("place", 1, 8), 16, 10).cast("long")
     part = part.withColumn("slice", F.floor(lead * F.col("slices") / (1 << 32)).cast("long"))
