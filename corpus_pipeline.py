@@ -6,7 +6,7 @@ Each stage takes what its predecessor kept. All but the last return the columns
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from blockloom.llm import bpe, language, mixing, near_dup, quality
 from blockloom.llm.common import table
@@ -30,6 +30,11 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return language.identify(docs, language.learn(docs), into="__").where("__accepted").select(*docs.columns)
 
 
+def with_row(docs: DataFrame, label: str) -> DataFrame:
+    """``docs`` as a table with a number of its own for each row, ``__row``: ids may be null or repeat."""
+    return stage(docs.withColumn("__row", F.monotonically_increasing_id()), label)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of the smallest id of each group. Rows that repeat an id are one document; null ids stay."""
     judged = stage(near_dup.near_duplicates(docs).select("doc_id", "kept"), "judged")
@@ -45,10 +50,29 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents drawn to the weights of their domain, language and source. One without an id cannot be drawn."""
-    rows = with_domain(docs.where("doc_id IS NOT NULL").select("doc_id", "text", "lang", "source"))
-    drawn = mixing.mix(rows, LEVELS, weight_table(spark), SHARE, EPOCHS, SEED).select("doc_id")
-    return docs.join(drawn, "doc_id").select(*docs.columns)
+    """Documents drawn to the weights of their domain, language and source.
+
+    A document's place in the draw goes by its id; where ids repeat or are null, by id and text, so that such rows are
+    drawn each for itself.
+    """
+    rows = with_row(docs, "rows")
+    text = F.coalesce("text", F.lit(""))
+    known = rows.select(
+        "__row", "doc_id", "lang", "source", F.md5(text.cast("binary")).alias("digest"), mixing.n_words("text").alias("n_tokens")
+    )
+    again = known.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id", F.lit(True).alias("again"))
+    again = stage(again, "repeated")
+    if again.isEmpty():
+        known = known.withColumn("again", F.col("doc_id").isNull())
+    else:
+        known = known.join(again, "doc_id", "left").withColumn("again", F.col("doc_id").isNull() | F.col("again").isNotNull())
+    name = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
+    known = known.withColumn("key", F.when(F.col("again"), F.concat_ws("-", name, "digest")).otherwise(name))
+    drawn = mixing.mix(
+        with_domain(known), LEVELS, weight_table(spark), SHARE, EPOCHS, SEED,
+        id_col="key", tokens=F.col("n_tokens"), carry=["__row"],
+    )
+    return rows.join(drawn.select("__row"), "__row").select(*docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
