@@ -141,3 +141,17 @@ def test_entry_without_the_subpackage(tmp_path):
     shutil.copytree(f"{root}/blockloom", tmp_path / "blockloom", ignore=shutil.ignore_patterns("llm", "__pycache__"))
     code = "import __spark_entry__ as e; q = e.queries(); assert 'tx_by_addr' in q and not any(n.startswith('op') for n in q); assert set(e.oracle_sql()) <= set(q)"
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, env={**os.environ, "PYTHONPATH": str(tmp_path)})
+
+
+def test_mixing_draws_rows_of_one_id_and_of_none(spark):
+    """Different texts under one id, null ids and exact copies: each row is drawn for itself."""
+    own = lambda k: " ".join(f"w{k}x{i}" for i in range(60))
+    rows = [(7, own(k)) for k in range(40)] + [(None, own(k)) for k in range(40, 60)] + [(7, own(0)), (None, own(41)), (9, own(70))]
+    kind = "doc_id long, text string, lang string, source string, n_chars long"
+    docs = spark.createDataFrame([(i, t, "en", "src1", len(t)) for i, t in rows], kind)
+    drawn = [(r.doc_id, r.text) for r in pipeline.mix_sources(spark, docs, SF_DIR).collect()]
+    # Four fifths of the words in whole rows of 60, and no row oftener than it is there.
+    assert len(drawn) == int(0.8 * len(rows))
+    assert all(drawn.count(x) <= rows.count(x) for x in drawn)
+    assert any(i is None for i, _ in drawn) and sum(i == 7 for i, _ in drawn) > 20
+    assert pipeline.mix_sources(spark, docs.where("false"), SF_DIR).count() == 0
