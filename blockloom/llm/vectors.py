@@ -5,15 +5,19 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
+from functools import reduce
+from operator import or_
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, functions as F, types as T
 
-from blockloom.llm.common import block_pairs, components, groups, in_groups
+from blockloom.llm.common import components, groups, in_groups
 from blockloom.session import stage
 
-#: The rotations are fitted on about so many vectors.
+#: The rotations of a length are fitted on about so many vectors.
 SAMPLE = 8192
 #: Wanted chance to find a pair whose cosine is just the threshold.
 RECALL = 0.99
@@ -21,8 +25,16 @@ RECALL = 0.99
 BUCKET = 256
 #: Pairs at the threshold that are made to count the tables on, of each kind.
 PAIRS = 2000
-#: Vectors of a group that meet in one task.
+#: Vectors of a bucket that meet in one task.
 BLOCK = 1024
+#: Bits of a code that are compared.
+CODE = 256
+#: Share of pairs at the threshold that may lie beyond the Hamming radius.
+MISSED = 0.001
+#: Lengths of so many rows or fewer are compared whole.
+FEW = 256
+#: What is met at once: a bucket of a length's tables, or two blocks of it.
+UNIT = ("width", "bucket", "low", "high")
 
 
 def rotations(sample: np.ndarray, many: int, rounds: int = 50, seed: int | list[int] = 3) -> np.ndarray:
@@ -150,58 +162,164 @@ def learnt_tables(
     return mean, np.stack(found[: -(-tables // each)]), bits, tables
 
 
-def _usable(vector: list | None, width: int) -> np.ndarray | None:
-    if vector is None or len(vector) != width or any(x is None for x in vector):
+def code_of(centred: np.ndarray, turns: np.ndarray) -> np.ndarray:
+    """The first ``CODE`` bits of each centred vector's whole code, rotation after rotation."""
+    width = centred.shape[1]
+    turned = [centred @ turn > 0 for turn in turns[: -(-CODE // width)]]
+    return np.concatenate(turned, axis=1)[:, :CODE]
+
+
+def hamming_radius(sample: np.ndarray, mean: np.ndarray, turns: np.ndarray, cosine: float) -> int:
+    """Bits in which codes may differ, so that of each kind of pairs made at the threshold ``MISSED`` lie beyond it."""
+    kinds = pairs_at(sample, cosine) if len(sample) else []
+    if not kinds:
+        return min(CODE, turns.shape[0] * turns.shape[1])
+    apart = [(code_of(a - mean, turns) != code_of(b - mean, turns)).sum(axis=1) for a, b in kinds]
+    return int(max(np.quantile(x, 1 - MISSED, method="higher") for x in apart))
+
+
+class Model(NamedTuple):
+    """What is learnt for the vectors of one length."""
+
+    mean: np.ndarray
+    turns: np.ndarray
+    bits: int
+    tables: int
+    radius: int
+
+    def spans(self) -> list[tuple[int, int]]:
+        """Where the tables' substrings lie in the stored code, for those that lie in it whole."""
+        width = self.turns.shape[1]
+        each = width // self.bits if self.bits else 1
+        starts = [t // each * width + t % each * self.bits for t in range(self.tables)]
+        return [(a, a + self.bits) for a in starts if a + self.bits <= min(CODE, len(self.turns) * width)]
+
+
+def _usable(vector: list | None) -> np.ndarray | None:
+    if not vector or any(x is None for x in vector):
         return None
     found = np.array(vector, dtype=np.float64) + 0.0
     return found if np.isfinite(found).all() and found.any() else None
 
 
-def _coded(vectors: DataFrame, width: int, mean: np.ndarray, turns: np.ndarray, bits: int, tables: int) -> DataFrame:
-    """Rows (id, vector_key, vector, keys): the vector as doubles, and a key for each table; unusable ones have nulls."""
-    shared = vectors.sparkSession.sparkContext.broadcast((mean, turns))
+def _unit(rows: np.ndarray) -> np.ndarray:
+    rows = rows / np.abs(rows).max(axis=1, keepdims=True)
+    return rows / np.linalg.norm(rows, axis=1, keepdims=True)
+
+
+def learnt_models(rows: DataFrame, cosine: float, recall: float) -> dict[int, Model]:
+    """A model for each length that more than ``FEW`` rows have, from about ``SAMPLE`` different vectors of it.
+
+    The sample goes by a hash of the vector alone, so repeated vectors and ids do not enlarge it.
+    """
+    lengths = rows.where("size(vector) > 0").groupBy(F.size("vector").alias("width")).count()
+    common = {r[0]: r[1] for r in lengths.where(F.col("count") > FEW).collect()}
+    if not common:
+        return {}
+    unit = F.pmod(F.xxhash64(F.lit("itq"), F.col("vector")), F.lit(1 << 20)) / (1 << 20)
+    wanted = reduce(or_, ((F.size("vector") == w) & (unit < SAMPLE / n) for w, n in common.items()))
+    taken = rows.where(wanted).select("vector").distinct().toArrow().column("vector").to_pylist()
+    usable = sorted((x for v in taken if (x := _usable(v)) is not None), key=lambda x: x.tobytes())
+    models = {}
+    for width, many in common.items():
+        sample = [x for x in usable if len(x) == width]
+        sample = _unit(np.stack(sample)) if sample else np.zeros((0, width))
+        mean, turns, bits, tables = learnt_tables(sample, many, cosine, recall)
+        models[width] = Model(mean, turns, bits, tables, hamming_radius(sample, mean, turns, cosine))
+    return models
+
+
+def _coded(vectors: DataFrame, shared: Broadcast[dict[int, Model]], kind: str) -> DataFrame:
+    """Rows (id, width, vector_key, vector, code, buckets); all but the id are null for vectors that cannot link.
+
+    A bucket is a table's number and the code's substring in it. Lengths without a model have one bucket and no code.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mean, turns = shared.value
+        models = shared.value
         for batch in batches:
             ids = batch.column(0).to_pylist()
-            found = [_usable(v, width) for v in batch.column(1).to_pylist()]
-            good = [i for i, v in enumerate(found) if v is not None and ids[i] is not None]
-            digests, data, filed = ([None] * len(ids) for _ in range(3))
-            if good:
+            found = [None if i is None else _usable(v) for i, v in zip(ids, batch.column(1).to_pylist(), strict=True)]
+            widths = [None if v is None else len(v) for v in found]
+            digests, data, codes, buckets = ([None] * len(ids) for _ in range(4))
+            for width in {w for w in widths if w is not None}:
+                good = [i for i, w in enumerate(widths) if w == width]
                 rows = np.stack([found[i] for i in good])
-                unit = rows / np.abs(rows).max(axis=1, keepdims=True)
-                unit = unit / np.linalg.norm(unit, axis=1, keepdims=True) - mean
-                keys = table_keys(unit, turns, bits, tables)
-                for i, row, key in zip(good, rows, keys, strict=True):
-                    data[i], filed[i] = row.tobytes(), key
+                code, filed = np.zeros((len(good), 0), dtype=bool), np.zeros((len(good), 1), dtype=np.int64)
+                if width in models:
+                    model = models[width]
+                    centred = _unit(rows) - model.mean
+                    code = code_of(centred, model.turns)
+                    filed = table_keys(centred, model.turns, model.bits, model.tables)
+                    filed += np.arange(model.tables, dtype=np.int64) << 32
+                packed = np.packbits(code, axis=1)
+                for i, row, bits, keys in zip(good, rows.astype(kind), packed, filed, strict=True):
+                    data[i], codes[i], buckets[i] = row.tobytes(), bits.tobytes(), keys
                     digests[i] = hashlib.blake2b(data[i], digest_size=16).digest()
-            kinds = (pa.binary(), pa.binary(), pa.list_(pa.int64()))
-            arrays = [pa.array(x, k) for x, k in zip((digests, data, filed), kinds, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], names=["id", "vector_key", "vector", "keys"])
+            arrays = [
+                batch.column(0), pa.array(widths, pa.int32()), pa.array(digests, pa.binary()), pa.array(data, pa.binary()),
+                pa.array(codes, pa.binary()), pa.array(buckets, pa.list_(pa.int64())),
+            ]
+            names = ["id", "width", "vector_key", "vector", "code", "buckets"]
+            yield pa.RecordBatch.from_arrays(arrays, names=names)
+
+    return vectors.mapInArrow(
+        run, "id long, width int, vector_key binary, vector binary, code binary, buckets array<bigint>"
+    )
+
 
-    return vectors.mapInArrow(run, "id long, vector_key binary, vector binary, keys array<bigint>")
+def _matrix(column: pa.ChunkedArray, kind: str) -> np.ndarray:
+    """Binary values of one length as the rows of a matrix."""
+    values = column.to_pylist()
+    return np.frombuffer(b"".join(values), dtype=kind).reshape(len(values), -1)
 
 
-def _links(width: int, cosine: float):
-    """Work on units of (table, key, low, high): each member's linked rows found here first, and spanning edges."""
+def _near_codes(shared: Broadcast[dict[int, Model]]):
+    """Work on units of buckets: members whose code is within the radius of another's not met in an earlier table."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in groups(batches, ("table", "key", "low", "high")):
+        models = shared.value
+        for rows in groups(batches, UNIT):
+            low, high, block = (rows.column(c).to_numpy() for c in ("low", "high", "block"))
+            model = models.get(rows.column("width")[0].as_py())
+            near = np.ones((rows.num_rows, rows.num_rows), dtype=bool)
+            if model is not None:
+                code = np.unpackbits(_matrix(rows.column("code"), "u1"), axis=1)
+                sides = code.astype(np.float32) * 2 - 1  # the filling bits of the last byte agree
+                near = code.shape[1] - sides @ sides.T <= 2 * model.radius
+            if low[0] != high[0]:
+                near &= block[:, None] != block[None, :]
+            np.fill_diagonal(near, False)
+            i, j = np.nonzero(near)
+            if model is not None:
+                for start, end in model.spans()[: rows.column("bucket")[0].as_py() >> 32]:
+                    new = (code[i, start:end] != code[j, start:end]).any(axis=1)
+                    i, j = i[new], j[new]
+            chosen = np.unique(np.concatenate([i, j]))
+            if len(chosen):
+                yield from rows.drop(["code"]).take(pa.array(chosen)).combine_chunks().to_batches()
+
+    return run
+
+
+def _links(cosine: float, kind: str):
+    """Work on units of buckets: each member's linked rows that are counted here, and spanning edges of them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in groups(batches, UNIT):
             ids, sizes = rows.column("id").to_numpy(), rows.column("size").to_numpy()
             low, high, block = (rows.column(c).to_numpy() for c in ("low", "high", "block"))
-            vectors = np.frombuffer(b"".join(rows.column("vector").to_pylist())).reshape(-1, width)
-            keys = np.array(rows.column("keys").to_pylist(), dtype=np.int64)
+            vectors = _matrix(rows.column("vector"), kind).astype(np.float64)
+            buckets = np.array(rows.column("buckets").to_pylist(), dtype=np.int64)
             vectors = vectors / np.abs(vectors).max(axis=1, keepdims=True)
             norm = np.linalg.norm(vectors, axis=1)
             near = (vectors @ vectors.T) / np.outer(norm, norm) >= cosine
             if low[0] != high[0]:
                 near &= block[:, None] != block[None, :]
             np.fill_diagonal(near, False)
-            at = int(rows.column("table")[0].as_py())
             i, j = np.nonzero(near)
-            for earlier in range(at):  # a pair counts in the first table that has it
-                new = keys[i, earlier] != keys[j, earlier]
+            for earlier in range(rows.column("bucket")[0].as_py() >> 32):  # a pair counts in the first table that has it
+                new = buckets[i, earlier] != buckets[j, earlier]
                 i, j = i[new], j[new]
             links = np.bincount(i, sizes[j], minlength=len(ids)).astype(np.int64)
             label = np.arange(len(ids))
@@ -213,59 +331,72 @@ def _links(width: int, cosine: float):
                 label = best
             chosen = np.nonzero(near.any(axis=1))[0]
             arrays = [
-                rows.column("vector_key").take(pa.array(chosen)).combine_chunks(),
+                rows.column("n").take(pa.array(chosen)).combine_chunks(),
                 pa.array(ids[chosen], pa.int64()),
                 pa.array(ids[label[chosen]], pa.int64()),
                 pa.array(links[chosen], pa.int64()),
             ]
-            yield pa.RecordBatch.from_arrays(arrays, names=["vector_key", "a", "b", "links"])
+            yield pa.RecordBatch.from_arrays(arrays, names=["n", "a", "b", "links"])
 
     return run
 
 
+def _dealt(filed: DataFrame) -> DataFrame:
+    """Rows with the units (low, high) of their bucket and their own block, as ``common.block_pairs`` deals them.
+
+    Only buckets over ``BLOCK`` rows are cut, and their list is written first: Spark sees its size and sends it out if
+    it is small, so that codes are shuffled once.
+    """
+    large = filed.groupBy("width", "bucket").count().where(F.col("count") > BLOCK)
+    large = large.select("width", "bucket", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks"))
+    dealt = filed.join(stage(large, "large"), ["width", "bucket"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("n"), F.col("blocks")).cast("int"))
+    met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return met.select(
+        "width", "bucket", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
+        "block", "n", "code",
+    )
+
+
 def near_vectors(
     vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", cosine: float = 0.9,
     recall: float = RECALL,
 ) -> DataFrame:
     """Groups of vectors by links of cosine >= ``cosine``, as (id_col, n_links, component_id, kept).
 
-    Equal vectors form a class, found by an aggregation, and are linked with each other without being paired. Classes
-    are filed by the keys of several tables, each a part of the code under one of a few learnt rotations. Members of
-    a bucket meet, large buckets in pairs of blocks, and the cosine of the original vectors in double precision
-    decides. A pair that meets in several tables counts in the first. Tables are as many as the wanted recall asks
-    for at the threshold itself, on pairs made there (``learnt_tables``); nearer pairs are found more surely. No link below the threshold is ever reported.
-
-    Null vectors, zero vectors, those with null or non-finite components, with a length other than the commonest, or
-    with a null id link with nothing; the latter have a null component and are kept. Rows that repeat an id are one
-    vertex; their links are counted for each row's own vector. Other columns are not read; an empty table gives an
-    empty one.
+    Equal vectors form a class, found by an aggregation, and are linked with each other without being paired. The
+    whole code of a class, from one or a few learnt rotations, is cut into substrings, and the class is filed in a
+    table for each of them. Members of a bucket meet with their codes alone, large buckets in pairs of blocks; those
+    within the Hamming radius of another, in a bucket that is the first they share, are met again with their
+    vectors, whose cosine in double precision decides. Tables are as many as the wanted recall asks for at the
+    threshold itself, on pairs made there (``learnt_tables``), and the radius keeps such pairs too
+    (``hamming_radius``); nearer pairs are found more surely. No link below the threshold is ever reported, and none
+    is counted twice.
+
+    Vectors link with those of their own length, each length by a model of its own; lengths of at most ``FEW`` rows
+    are compared whole. Null vectors, zero vectors, those with null or non-finite components, or with a null id link
+    with nothing; the latter have a null component and are kept. Rows that repeat an id are one vertex; their links
+    are counted for each row's own vector. Other columns are not read; an empty table gives an empty one.
     """
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("vector"))
-    lengths = rows.where("size(vector) > 0").groupBy(F.size("vector").alias("width")).count()
-    width = (lengths.orderBy(F.desc("count"), F.desc("width")).first() or (1,))[0]
-    many = rows.count()
-    unit = F.pmod(F.xxhash64(F.lit("itq"), F.col("id")), F.lit(1 << 20)) / (1 << 20)
-    taken = rows.where((unit < SAMPLE / max(1, many)) & (F.size("vector") == width)).toArrow().sort_by("id")
-    usable = [x for v in taken.column("vector").to_pylist() if (x := _usable(v, width)) is not None]
-    sample = np.stack(usable) if usable else np.zeros((0, width))
-    sample = sample / np.maximum(np.linalg.norm(sample, axis=1, keepdims=True), 1e-300)
-    mean, turns, bits, tables = learnt_tables(sample, many, cosine, recall)
-    coded = stage(_coded(rows, width, mean, turns, bits, tables), "coded")
+    kind = "<f4" if isinstance(vectors.schema[vector_col].dataType.elementType, T.FloatType) else "<f8"
+    shared = vectors.sparkSession.sparkContext.broadcast(learnt_models(rows, cosine, recall))
+    coded = stage(_coded(rows, shared, kind).withColumn("n", F.monotonically_increasing_id()), "coded")
 
     classes = coded.where("vector_key IS NOT NULL").groupBy("vector_key").agg(
-        F.min("id").alias("id"), F.count(F.lit(1)).alias("size"),
-        F.first("vector").alias("vector"), F.first("keys").alias("keys"),
+        F.min("id").alias("rep"), F.count(F.lit(1)).alias("size"), F.min("n").alias("n"),
     )
     classes = stage(classes, "classes")
-    filed = classes.select("*", F.posexplode("keys").alias("table", "key"))
-    dealt = block_pairs(filed, ["table", "key"], "vector_key", BLOCK)
-    dealt = dealt.select("table", "key", "low", "high", "block", "id", "vector_key", "vector", "keys", "size")
-    found = in_groups(dealt, ["table", "key", "low", "high"]).mapInArrow(
-        _links(width, cosine), "vector_key binary, a long, b long, links long"
+    firsts = coded.join(classes.select("n", "rep", "size"), "n")
+    dealt = _dealt(firsts.select("width", "n", "code", F.explode("buckets").alias("bucket")))
+    near = in_groups(dealt, UNIT).mapInArrow(
+        _near_codes(shared), "width int, bucket long, low int, high int, block int, n long"
     )
+    near = stage(near, "near")
+    met = near.join(firsts.select("n", F.col("rep").alias("id"), "size", "vector", "buckets"), "n")
+    found = in_groups(met, UNIT).mapInArrow(_links(cosine, kind), "n long, a long, b long, links long")
     found = stage(found, "links")
-    sizes = classes.select("vector_key", F.col("id").alias("rep"), "size")
-    counts = sizes.join(found.groupBy("vector_key").agg(F.sum("links").alias("links")), "vector_key", "left")
+    counts = classes.join(found.groupBy("n").agg(F.sum("links").alias("links")), "n", "left").drop("n")
     members = coded.select("id", "vector_key").join(counts, "vector_key", "left")
     same = members.where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
     joined = components(found.select("a", "b").union(same), "vectors").withColumnRenamed("node", "id")

@@ -107,3 +107,53 @@ def test_vectors_that_are_all_near_their_mean_share_a_bucket():
     mean, turns, bits, tables = vectors.learnt_tables(sample, 10**5, 0.9)
     assert bits * tables < 2000
     assert vectors.table_keys(sample - mean, turns, bits, tables).shape == (500, tables)
+
+
+def test_vectors_link_with_those_of_their_own_length(table):
+    rng = np.random.default_rng(7)
+    long, short = rng.normal(size=(400, 16)), rng.normal(size=(300, 8))
+    long[:60] = long[100:160] + 0.1 * rng.normal(size=(60, 16))
+    short[:40] = short[100:140] * 3
+    rare = [[1.0, 2.0, 3.0], [2.0, 4.0, 6.1]]
+    rows = [*long.astype(np.float32), *short.astype(np.float32), *np.float32(rare)]
+    found = {r.vec_id: r for r in vectors.near_vectors(table(enumerate(rows))).collect()}
+    assert len(found) == len(rows)
+    for start, part in ((0, long), (400, short), (700, np.array(rare))):
+        n, label = brute_force(part.astype(np.float32))
+        mine = [found[start + i] for i in range(len(part))]
+        assert sum(r.n_links for r in mine) >= 0.97 * n.sum() and all(r.n_links <= m for r, m in zip(mine, n, strict=True))
+        assert all(r.component_id >= start and label[r.component_id - start] == label[i] for i, r in enumerate(mine))
+
+
+def test_many_rows_of_one_id_are_sampled_by_their_vectors(table):
+    rows = made(3)
+    found = vectors.near_vectors(table([(5, v) for v in rows] + [(5, rows[0])] * 300 + [(None, rows[1])] * 50)).collect()
+    n, _ = brute_force(np.concatenate([rows, rows[:1].repeat(300, axis=0)]))
+    mine = [r.n_links for r in found if r.vec_id is not None]
+    assert len(mine) == 900 and 0.97 * n.sum() <= sum(mine) <= n.sum()
+    assert all(r.component_id == r.vec_id and r.kept for r in found)
+    assert sum(r.vec_id is None and r.n_links == 0 for r in found) == 50
+
+
+def test_radius_keeps_pairs_at_the_threshold():
+    rng = np.random.default_rng(8)
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    sample, x = unit(rng.normal(size=(3000, 64))), unit(rng.normal(size=(3000, 64)))
+    side = rng.normal(size=x.shape)
+    side = unit(side - (side * x).sum(axis=1, keepdims=True) * x)
+    y = 0.9 * x + np.sqrt(1 - 0.81) * side
+    mean, turns, bits, tables = vectors.learnt_tables(sample, 50_000, 0.9)
+    radius = vectors.hamming_radius(sample, mean, turns, 0.9)
+    codes = [vectors.code_of(v - mean, turns) for v in (x, y, x[::-1])]
+    assert ((codes[0] != codes[1]).sum(axis=1) <= radius).mean() >= 0.997
+    assert ((codes[0] != codes[2]).sum(axis=1) <= radius).mean() <= 0.005
+    model = vectors.Model(mean, turns, bits, tables, radius)
+    keys = vectors.table_keys(x - mean, turns, bits, tables)
+    for t, (start, end) in enumerate(model.spans()):
+        assert (codes[0][:, start:end] @ (1 << np.arange(bits)) == keys[:, t]).all()
+
+
+def test_tables_shuffle_codes_only(spark, table):
+    rows = spark.createDataFrame([(i, 16, i, bytes(8), [1, 2]) for i in range(4)], "n long, width int, id long, code binary, buckets array<long>")
+    dealt = vectors._dealt(rows.selectExpr("width", "n", "code", "explode(buckets) AS bucket"))
+    assert dealt.columns == ["width", "bucket", "low", "high", "block", "n", "code"] and dealt.count() == 8
