@@ -5,6 +5,8 @@ Everything here is DataFrame expressions: counts come from one pass over the tex
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -34,7 +36,7 @@ RULES = (
 
 #: Of a stratum's good documents, at most this share may be rejected by all rules together ...
 RISK = 0.04
-#: ... except with this probability, over all strata, rules and cutoffs.
+#: ... except with this probability, over all strata and rule sets.
 DOUBT = 0.05
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
@@ -112,68 +114,128 @@ def binomial_tail(k: Column, n: Column, p: float) -> Column:
     return F.when(k > n * p, 1.0).otherwise(terms)
 
 
+def levels(rules: tuple[Rule, ...] = RULES) -> list[dict[str, int]]:
+    """Rule sets from the loosest to the strictest: every rule at its next cutoff, or at its last one."""
+    ordered = {r.name: sorted(r.cutoffs, reverse=True) for r in rules}
+    steps = max((len(c) for c in ordered.values()), default=0)
+    return [{name: c[min(k, len(c) - 1)] for name, c in ordered.items()} for k in range(steps)]
+
+
+def certified_levels(
+    labelled: DataFrame, rules: tuple[Rule, ...] = RULES, risk: float = RISK, doubt: float = DOUBT
+) -> DataFrame:
+    """How far down ``levels`` each stratum may go: rows (stratum, level), of rows (stratum, measured, good boolean).
+
+    Of the n good rows of a stratum, a level as a whole rejects k. It is certified if the exact upper confidence bound
+    of the rejected share is at most ``risk``. Levels are tested from the loosest on and testing ends at the first that
+    fails, so they need no correction among themselves; ``doubt`` is divided by the number of strata (Bonferroni).
+    Strata where the loosest level fails have no row.
+    """
+    sets = levels(rules)
+    steps = F.array(
+        *(
+            F.struct(
+                F.lit(k).alias("level"),
+                reduce(or_, (_breaks(F.col("measured"), r, F.lit(own[r.name])) for r in rules)).alias("breaks"),
+            )
+            for k, own in enumerate(sets)
+        )
+    )
+    rows = labelled.select("stratum", "good", F.explode(steps).alias("step")).select("stratum", "good", "step.*")
+    counted = rows.groupBy("stratum", "level").agg(
+        F.count_if("good").alias("n_good"), F.count_if(F.col("good") & F.col("breaks")).alias("lost_good")
+    )
+    counted = stage(counted, "levels")
+    strata = counted.select("stratum").distinct().count()
+    passes = binomial_tail(F.col("lost_good"), F.col("n_good"), risk) <= doubt / max(1, strata)
+    first = counted.groupBy("stratum").agg(
+        (F.coalesce(F.min(F.when(~passes, F.col("level"))), F.lit(len(sets))) - 1).alias("level")
+    )
+    return first.where("level >= 0")
+
+
 def cutoffs(labelled: DataFrame, rules: tuple[Rule, ...] = RULES, risk: float = RISK, doubt: float = DOUBT) -> DataFrame:
     """Choose cutoffs from labelled rows (stratum, measured, good boolean): rows (stratum, rule, cutoff, ...).
 
-    Of the good rows of a stratum that pass the base rules, a cutoff rejects k of n. It is certified if the exact
-    upper confidence bound of the rejected share is at most ``risk`` divided by the number of rules, so that all rules
-    together stay within ``risk``; confidences are corrected for all strata, rules and cutoffs tried (Bonferroni), so
-    that choosing among the certified ones costs nothing. Chosen is the certified cutoff that rejects most bad rows
-    over good rows, the loosest among equals, if it rejects more bad than good ones. A stratum with too few labels
-    gets no cutoff for a rule, and the rule rejects nothing there. Rows with a null label are left out.
+    Rows that fail the base rules or have a null label are left out. A stratum's rules stay at or above the cutoffs of
+    its last certified level (``certified_levels``). Whatever set is chosen there rejects no more than that level, so
+    that all rules together stay within ``risk`` without a further test. Of these a rule takes the cutoff that rejects
+    most bad rows over good rows, the loosest among equals, if it rejects more bad than good ones. Where a stratum has
+    too few labels for any level, or a rule no such cutoff, the rule rejects nothing.
     """
+    rows = labelled.where(F.col("good").isNotNull() & ~base_failed(F.col("measured")))
+    sets = levels(rules)
+    # The first level at which a cutoff is reached: it may be used from there on.
     tried = F.array(
         *(
-            F.struct(F.lit(r.name).alias("rule"), F.lit(c).alias("cutoff"), _breaks(F.col("measured"), r, F.lit(c)).alias("breaks"))
+            F.struct(
+                F.lit(r.name).alias("rule"), F.lit(c).alias("cutoff"),
+                F.lit(min(k for k, own in enumerate(sets) if own[r.name] == c)).alias("reached"),
+                _breaks(F.col("measured"), r, F.lit(c)).alias("breaks"),
+            )
             for r in rules
             for c in r.cutoffs
         )
-    )
-    rows = labelled.where(F.col("good").isNotNull() & ~base_failed(F.col("measured")))
-    rows = rows.select("stratum", "good", F.explode(tried).alias("try")).select("stratum", "good", "try.*")
-    counted = rows.groupBy("stratum", "rule", "cutoff").agg(
+    )
+    last = stage(certified_levels(rows, rules, risk, doubt), "certified")
+    each = rows.select("stratum", "good", F.explode(tried).alias("try")).select("stratum", "good", "try.*")
+    counted = each.groupBy("stratum", "rule", "cutoff", "reached").agg(
         F.count_if("good").alias("n_good"),
         F.count_if(F.col("good") & F.col("breaks")).alias("lost_good"),
         F.count_if(~F.col("good") & F.col("breaks")).alias("caught_bad"),
     )
-    counted = stage(counted, "tries")
-    chance = binomial_tail(F.col("lost_good"), F.col("n_good"), risk / len(rules))
-    certified = counted.where(chance <= doubt / max(1, counted.count()))
     gain = F.col("caught_bad") - F.col("lost_good")
-    best = certified.where(gain > 0).groupBy("stratum", "rule").agg(
+    best = counted.join(last, "stratum").where((F.col("reached") <= F.col("level")) & (gain > 0))
+    best = best.groupBy("stratum", "rule").agg(
         F.max_by(F.struct("cutoff", "n_good", "lost_good", "caught_bad"), F.struct(gain, "cutoff")).alias("best")
     )
     return best.select("stratum", "rule", "best.*")
 
 
-def labels_of(measured: DataFrame, labels: DataFrame, stratum: Column, id_col: str = "doc_id") -> DataFrame:
-    """Labelled rows for ``cutoffs``, each (id, label) once. No rule was made from them. Null ids match nothing."""
-    known = labels.select(id_col, (F.col("quality") == 1).alias("good")).distinct()
-    rows = measured.select(F.col(id_col), stratum.alias("stratum"), "measured")
-    return rows.join(known, id_col).select("stratum", "measured", "good")
+def labels_of(measured: DataFrame, labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """Labelled rows for ``cutoffs``, of rows (id_col, stratum, digest, measured). No rule was made from them.
+
+    Copies are no independent trials: rows of one text count once in a stratum with a label. Null ids match nothing.
+    """
+    known = labels.select(F.col(id_col), (F.col("quality") == 1).alias("good")).distinct()
+    rows = measured.join(known, id_col).groupBy("stratum", "digest", "good").agg(F.first("measured").alias("measured"))
+    return rows.select("stratum", "measured", "good")
 
 
-def judge(measured: DataFrame, chosen: DataFrame, stratum: Column, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """Add base_failed and kept to rows with a ``measured`` column, by the cutoffs of each row's stratum.
+def judge(
+    rows: DataFrame, chosen: DataFrame, rules: tuple[Rule, ...] = RULES, measured: str = "measured", stratum: str = "stratum"
+) -> DataFrame:
+    """Add base_failed and kept to rows by their columns ``measured`` and ``stratum`` and the strata's cutoffs.
 
     Kept are rows that pass the base rules and every rule with a cutoff in their stratum. The table of cutoffs has a
     row per stratum, and Spark broadcasts it when it is small.
     """
     own = [F.max(F.when(F.col("rule") == r.name, F.col("cutoff"))).alias(f"__{r.name}") for r in rules]
-    per_stratum = chosen.groupBy(F.col("stratum").alias("__stratum")).agg(*own)
-    rows = measured.withColumn("__key", stratum).join(per_stratum, F.col("__key") == F.col("__stratum"), "left")
+    per_stratum = chosen.groupBy(F.col("stratum").alias("__of")).agg(*own)
+    joined = rows.join(per_stratum, F.col(stratum) == F.col("__of"), "left")
     broken = F.lit(False)
     for rule in rules:
-        broken = broken | F.coalesce(_breaks(F.col("measured"), rule, F.col(f"__{rule.name}")), F.lit(False))
-    rows = rows.withColumn("base_failed", base_failed(F.col("measured")))
-    rows = rows.withColumn("kept", ~F.col("base_failed") & ~broken)
-    return rows.drop("__key", "__stratum", *(f"__{r.name}" for r in rules))
+        broken = broken | F.coalesce(_breaks(F.col(measured), rule, F.col(f"__{rule.name}")), F.lit(False))
+    failed = base_failed(F.col(measured))
+    judged = joined.withColumns({"base_failed": failed, "kept": ~failed & ~broken})
+    return judged.drop("__of", *(f"__{r.name}" for r in rules))
 
 
 def stratum_of(column: str = "lang") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit("none"))
 
 
+def _chosen(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, stratum_col: str) -> tuple[DataFrame, DataFrame]:
+    """The staged counts of all documents and the staged cutoffs."""
+    text = F.col(text_col)
+    rows = docs.select(
+        F.col(id_col), text.alias("text"), stratum_of(stratum_col).alias("stratum"),
+        F.md5(F.coalesce(text, F.lit("")).cast("binary")).alias("digest"),
+    )
+    rows = stage(measure(rows).select(id_col, "stratum", "digest", "measured"), "measured")
+    return rows, stage(cutoffs(labels_of(rows, labels, id_col)), "cutoffs")
+
+
 def quality_rules(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang"
 ) -> DataFrame:
@@ -183,18 +245,18 @@ def quality_rules(
     texts fail the base rules. Null strata form one of their own. A null id has no label but gets a verdict; repeated
     rows get one each. Without labels only the base rules reject. Other columns are not read.
     """
-    rows = measure(docs.select(id_col, text_col, stratum_of(stratum_col).alias("stratum")), text_col)
-    rows = stage(rows.select(id_col, "stratum", "measured"), "measured")
-    chosen = stage(cutoffs(labels_of(rows, labels, F.col("stratum"), id_col)), "cutoffs")
-    return judge(rows, chosen, F.col("stratum")).select(id_col, "measured.*", "base_failed", "kept")
+    rows, chosen = _chosen(docs, labels, id_col, text_col, stratum_col)
+    return judge(rows, chosen).select(id_col, "measured.*", "base_failed", "kept")
 
 
 def keep_good(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang"
 ) -> DataFrame:
-    """The rows of ``docs`` that ``quality_rules`` keeps, with all their columns. Texts are never shuffled: they are
-    measured once for the cutoffs and once more where they are filtered."""
-    rows = measure(docs.select(id_col, text_col, stratum_of(stratum_col).alias("stratum")), text_col)
-    chosen = stage(cutoffs(labels_of(rows, labels, F.col("stratum"), id_col)), "cutoffs")
-    judged = judge(measure(docs, text_col), chosen, stratum_of(stratum_col))
-    return judged.where("kept").select(*docs.columns)
+    """The rows of ``docs`` that ``quality_rules`` keeps, with all their columns, whatever their names. Texts are never
+    shuffled: they are measured once for the cutoffs and once more where they are filtered."""
+    _, chosen = _chosen(docs, labels, id_col, text_col, stratum_col)
+    held = docs.select(
+        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
+        F.col(text_col).alias("text"), stratum_of(stratum_col).alias("stratum"),
+    )
+    return judge(measure(held), chosen).where("kept").select("row.*")

@@ -94,11 +94,14 @@ def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_toxicity, op3_quality_rules, op4_near_duplicates, op5_sharding, op6_token_counts, op7_near_vectors, op8_html_text, op9_mixing, op10_language_id, op11_merkle_manifest, op12_lexical_search, op13_substring_dedup)}
 
-_TRIES = ", ".join(f"('{r.name}', {c})" for r in quality.RULES for c in r.cutoffs)
+_LEVELS = quality.levels()
+_TRIES = ", ".join(
+    f"('{r.name}', {c}, {min(k for k, own in enumerate(_LEVELS) if own[r.name] == c)})" for r in quality.RULES for c in r.cutoffs
+)
+_STEPS = ", ".join(f"({k}, '{name}', {c})" for k, own in enumerate(_LEVELS) for name, c in own.items())
 _BROKEN = " ".join(
     f"WHEN '{r.name}' THEN 1000 * {r.over} > cutoff * {r.under}" for r in quality.RULES
 )
-_PART = quality.RISK / len(quality.RULES)
 
 _QUALITY = rf"""
 WITH docs AS (
@@ -116,26 +119,39 @@ repeats AS (
   FROM (SELECT *, count(*) OVER (PARTITION BY row_id, window_words) AS times FROM windows), range(3) AS r(d)
   WHERE times > 1 GROUP BY row_id),
 counts AS (
-  SELECT doc_id, stratum, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
+  SELECT doc_id, stratum, text, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
     len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols, len(lines) AS n_lines,
     len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words
   FROM split LEFT JOIN repeats USING (row_id)),
 based AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counts),
-tries(rule, cutoff) AS (VALUES {_TRIES}),
+tries(rule, cutoff, reached) AS (VALUES {_TRIES}),
+steps(level, rule, cutoff) AS (VALUES {_STEPS}),
 known AS (SELECT DISTINCT doc_id, quality = 1 AS good FROM labels WHERE quality IS NOT NULL),
-tested AS (
-  SELECT stratum, rule, cutoff, count(*) FILTER (good) AS n_good,
-    count(*) FILTER (good AND (CASE rule {_BROKEN} END)) AS lost,
-    count(*) FILTER (NOT good AND (CASE rule {_BROKEN} END)) AS caught
-  FROM based JOIN known USING (doc_id), tries WHERE NOT base_failed GROUP BY ALL),
+holdout AS (
+  SELECT DISTINCT stratum, text, good, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words
+  FROM based JOIN known USING (doc_id) WHERE NOT base_failed),
+level_rows AS (
+  SELECT stratum, text, good, level, bool_or(CASE rule {_BROKEN} END) AS breaks FROM holdout, steps GROUP BY ALL),
+level_counts AS (
+  SELECT stratum, level, count(*) FILTER (good) AS n_good, count(*) FILTER (good AND breaks) AS lost
+  FROM level_rows GROUP BY ALL),
 chances AS (
-  SELECT *, CASE WHEN lost > n_good * {_PART} THEN 1 ELSE
+  SELECT *, CASE WHEN lost > n_good * {quality.RISK} THEN 1 ELSE
     list_sum(list_transform(range(lost + 1), lambda i: exp(lgamma(n_good + 1) - lgamma(i + 1) - lgamma(n_good - i + 1)
-      + i * ln({_PART}) + (n_good - i) * ln(1 - {_PART})))) END AS chance
-  FROM tested),
+      + i * ln({quality.RISK}) + (n_good - i) * ln(1 - {quality.RISK})))) END AS chance
+  FROM level_counts),
+passed AS (
+  SELECT *, chance <= {quality.DOUBT} / (SELECT count(DISTINCT stratum) FROM level_counts) AS passes FROM chances),
+certified AS (
+  SELECT stratum, level FROM passed p
+  WHERE NOT EXISTS (SELECT 1 FROM passed q WHERE q.stratum = p.stratum AND q.level <= p.level AND NOT q.passes)),
+tested AS (
+  SELECT stratum, rule, cutoff, count(*) FILTER (good AND (CASE rule {_BROKEN} END)) AS lost,
+    count(*) FILTER (NOT good AND (CASE rule {_BROKEN} END)) AS caught
+  FROM holdout JOIN (SELECT stratum, max(level) AS level FROM certified GROUP BY ALL) USING (stratum)
+    JOIN tries ON reached <= level GROUP BY ALL),
 chosen AS (
-  SELECT stratum, rule, cutoff FROM chances
-  WHERE chance <= {quality.DOUBT} / (SELECT count(*) FROM tested) AND caught > lost
+  SELECT stratum, rule, cutoff FROM tested WHERE caught > lost
   QUALIFY row_number() OVER (PARTITION BY stratum, rule ORDER BY caught - lost DESC, cutoff DESC) = 1),
 broken AS (
   SELECT DISTINCT doc_id, stratum, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words

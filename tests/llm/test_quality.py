@@ -90,3 +90,49 @@ def test_no_labels_and_no_rows(docs, spark):
     assert quality.quality_rules(docs([]), labels).count() == 0
     text = " ".join(f"w{i}" for i in range(60))
     assert [r.kept for r in quality.quality_rules(docs([(1, text)]), labels).collect()] == [True]
+
+
+def test_levels_tighten_together():
+    sets = quality.levels()
+    assert sets[0] == {r.name: max(r.cutoffs) for r in quality.RULES}
+    assert sets[-1] == {r.name: min(r.cutoffs) for r in quality.RULES}
+    assert all(b[name] <= a[name] for a, b in zip(sets, sets[1:]) for name in a)
+
+
+def test_a_hundred_and_eight_good_labels_suffice_in_four_strata(spark):
+    rows = [("a", 0, True, 108), ("a", 60, False, 9), ("b", 0, True, 107), ("b", 60, False, 9), ("c", 0, True, 1), ("d", 0, True, 1)]
+    assert [(r.stratum, r.rule, r.cutoff) for r in quality.cutoffs(labelled(spark, rows)).collect()] == [("a", "symbols", 100)]
+
+
+def test_testing_ends_at_the_first_level_that_fails(spark):
+    # 5 of 100 good rows are lost at the loosest level, so no level is certified, though most rules lose none.
+    rows = [("a", 101, True, 50), ("a", 0, True, 950), ("a", 300, False, 500)]
+    assert quality.cutoffs(labelled(spark, rows)).where("cutoff < 200").count() == 0
+
+
+def test_copies_are_one_trial(docs, spark):
+    plain = " ".join(f"w{i}" for i in range(80))
+    rows = [(i, plain, "en") for i in range(3000)] + [(9000 + i, plain + " " + "#" * 90, "en") for i in range(50)]
+    labels = spark.createDataFrame([(i, int(i < 9000)) for i, _, _ in rows], "doc_id long, quality int")
+    assert all(r.kept for r in quality.quality_rules(docs(rows), labels).collect())
+
+
+def test_true_risk_stays_within_the_bound_in_simulation():
+    import random
+
+    # A stratum of 300 labels whose every level loses 5 % of the good documents: certified in at most DOUBT of trials.
+    made = random.Random(5)
+    lost = [sum(made.random() < 0.05 for _ in range(300)) for _ in range(2000)]
+    tail = {k: sum(comb(300, i) * quality.RISK**i * (1 - quality.RISK) ** (300 - i) for i in range(k + 1)) for k in set(lost)}
+    assert sum(tail[k] <= quality.DOUBT for k in lost) / len(lost) <= quality.DOUBT
+
+
+def test_extra_columns_of_any_name(docs, spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = docs([(1, text, "en"), (2, "short", "en")])
+    odd = ["measured", "kept", "base_failed", "__words", "stratum", "row", "a.b", "digest"]
+    for c in odd:
+        rows = rows.drop(c).withColumn(c, F.lit("mine"))
+    labels = spark.createDataFrame([], "doc_id long, quality int")
+    left = quality.keep_good(rows, labels)
+    assert left.columns == rows.columns and [[r[c] for c in odd] for r in left.collect()] == [["mine"] * len(odd)]
