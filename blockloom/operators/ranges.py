@@ -157,14 +157,18 @@ def _points_in_intervals(points: DataFrame, point: str, intervals: DataFrame, fi
     """Pairs with ``first <= point <= last``, by an equality join on the one piece that holds the point."""
     cut = intervals.where(first <= last).withColumn("at", F.explode(_aligned_pieces(first, last)))
     cut = cut.withColumns({"level": F.col("at.level"), "piece": F.col("at.piece")}).drop("at")
-    levels = cut.agg(F.collect_set("level").alias("levels"))  # at most one entry per level
+    bounds = cut.groupBy("level").agg(F.min("piece").alias("low"), F.max("piece").alias("high"))
+    levels = bounds.agg(F.collect_list(F.struct("level", "low", "high")).alias("levels"))  # one entry per level
     placed = (
         points.withColumn("levels", levels.scalar())
-        .withColumn("level", F.explode("levels"))
-        .drop("levels")
+        .withColumn("bound", F.explode("levels"))
+        .withColumn("level", F.col("bound.level"))
         .withColumn("piece", F.call_function("shiftright", F.col(point), F.col("level")))
+        .where(F.col("piece").between(F.col("bound.low"), F.col("bound.high")))
+        .drop("levels", "bound")
     )
-    return placed.join(cut, ["level", "piece"]).drop("level", "piece")
+    # Spark estimates a cut side as if it had not grown and would broadcast millions of pieces.
+    return placed.join(cut.hint("merge"), ["level", "piece"]).drop("level", "piece")
 
 
 def overlapping_files_of_requests(files: DataFrame, requests: DataFrame, inclusive: bool = False) -> DataFrame:

@@ -135,3 +135,12 @@ def test_route_and_pending_files(spark):
     assert routed == [("x/blocks/a", "blocks"), ("x/entries/blocks", "blocks"), ("x/entries/blocks", "entries")]
     known = spark.createDataFrame([("x/blocks/a",), ("x/blocks/a",)], "path string")
     assert sorted(r[0] for r in ranges.pending_files(files, known).collect()) == ["x/entries/blocks", "x/other"]
+
+
+def test_cut_intervals_are_not_broadcast(spark, plan_of):
+    """They grow by up to two pieces a level, of which Spark's estimate knows nothing."""
+    files = spark.createDataFrame([("a", 0, 99), ("b", 100, 1 << 40)], "path string, lo long, hi long")
+    requests = spark.createDataFrame([(1, 50, 150), (2, 1 << 35, 1 << 36)], "id long, s long, e long")
+    pairs = ranges.overlapping_files_of_requests(files, requests)
+    assert "BroadcastHashJoin" not in plan_of(pairs)
+    assert sorted((r["path"], r["id"]) for r in pairs.collect()) == [("a", 1), ("b", 1), ("b", 2)]
