@@ -36,11 +36,14 @@ def _since_epoch(unit: str, column: str) -> Column:
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items with the slot and position of the transaction they stand for.
 
-    An order is dealt into ``LANES`` blocks, so no task numbers a hot order alone.
+    An order is dealt into ``LANES`` blocks, so no task numbers a hot order alone. ``deal`` is the lane as a number from
+    0 on; numbering, gathering and the join to the orders all go by order and deal, so lines are shuffled once.
     """
     rows = table(spark, sf_dir, "lineitem").withColumn("lane", (F.col("l_partkey") + F.col("l_suppkey")) % LANES)
+    rows = rows.withColumn("deal", F.coalesce(F.pmod("lane", F.lit(LANES)), F.lit(0)).cast("int"))
+    rows = rows.repartition("l_orderkey", "deal")
     # A running count, because row_number is an INT.
-    within = Window.partitionBy("l_orderkey", "lane").orderBy(*_LINE_ORDER).rowsBetween(
+    within = Window.partitionBy("l_orderkey", "deal", "lane").orderBy(*_LINE_ORDER).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
     return rows.withColumns(
@@ -72,7 +75,7 @@ def _has_meta() -> Column:
 def _gather(rows: DataFrame, item: Column, name: str) -> DataFrame:
     """Items of a block in position order; the position itself is dropped again."""
     placed = F.sort_array(F.collect_list(F.struct("index", item.alias("item"))))
-    grouped = rows.groupBy("l_orderkey", "lane", "slot").agg(placed.alias("placed")).drop("lane")
+    grouped = rows.groupBy("l_orderkey", "deal", "lane", "slot").agg(placed.alias("placed")).drop("lane")
     return grouped.withColumn(name, F.transform("placed", lambda p: p["item"])).drop("placed")
 
 
@@ -80,7 +83,9 @@ def _with_time(spark: SparkSession, sf_dir: str, rows: DataFrame) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"), _since_epoch("SECOND", "o_orderdate").alias("block_time")
     )
-    return rows.join(orders, "l_orderkey").drop("l_orderkey")
+    # Short rows of the orders for each deal, where the far larger blocks are already.
+    dealt = orders.withColumn("deal", F.explode(F.array(*[F.lit(n) for n in range(LANES)])))
+    return rows.join(dealt.hint("shuffle_hash"), ["l_orderkey", "deal"]).drop("l_orderkey", "deal")
 
 
 def blocks(spark: SparkSession, sf_dir: str) -> DataFrame:

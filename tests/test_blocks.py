@@ -1,6 +1,8 @@
 import random
 from decimal import Decimal
 
+from pyspark.sql import functions as F
+from blockloom import samples
 from blockloom.model import BLOCK, LEGACY_BLOCK
 from blockloom.operators import blocks
 from blockloom.session import stage
@@ -99,3 +101,19 @@ def test_loaded_addresses_follow_own_keys(spark):
     block = ("p", "h", 4, [((["s"], ["a"], None), meta)], [], None, None, None)
     flat = blocks.flat_transactions(spark.createDataFrame([block], BLOCK))
     assert flat.first()["transactions"][0]["account_keys"] == ["a", "w", "r"]
+
+
+def test_lines_are_shuffled_once(spark, plan_of, setting, tmp_path):
+    """Numbering, gathering and the join to the orders share one shuffle of the lines; copies and odd parts are kept."""
+    lines = [(1, p, 1, n, 1.0, 10.0, 0.0, 0.1, "N", "O") for n, p in enumerate([3, 4, 5, None, -7, 4])]
+    schema = ("l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
+              "l_discount double, l_tax double, l_returnflag string, l_linestatus string")
+    made = spark.createDataFrame(lines, schema).withColumn("l_shipdate", F.expr("TIMESTAMP_NTZ '2020-01-01 00:00:00'"))
+    made.write.parquet(f"{tmp_path}/lineitem.parquet")
+    orders = spark.createDataFrame([(1,), (1,), (2,)], "o_orderkey long")
+    orders.withColumn("o_orderdate", F.expr("TIMESTAMP_NTZ '1970-01-01 00:01:00'")).write.parquet(f"{tmp_path}/orders.parquet")
+    setting("spark.sql.autoBroadcastJoinThreshold", "-1")
+    found = samples.blocks(spark, str(tmp_path))
+    assert plan_of(found).count("Exchange hashpartitioning") == 2
+    sizes = sorted((str(r["slot"]), r["block_time"], len(r["transactions"])) for r in found.collect())
+    assert sizes == sorted(2 * [("4", 60, 1), ("5", 60, 2), ("6", 60, 1), ("2", 60, 1), ("None", 60, 1)])
