@@ -345,8 +345,11 @@ def clean_source(spark: SparkSession, sf_dir: str) -> DataFrame:
         files_per_batch=arrived // 4 + 1, clean_source="archive", done_folder=paths["done"],
         rejects=paths["rejects"],
     ).awaitTermination()
-    left, moved = (archive.list_archive_files(spark, paths[name], missing_ok=True) for name in ("live", "done"))
-    found = left.union(moved).where(F.col("path").endswith(".txt"))
+    # Spark may still be moving files: what is left is listed first, and a file that is met in both places counts once.
+    left = stage(archive.list_archive_files(spark, paths["live"], missing_ok=True), "left")
+    moved = stage(archive.list_archive_files(spark, paths["done"], missing_ok=True), "moved")
+    below = F.regexp_extract("path", "/range=.*$", 0).alias("path")
+    found = left.union(moved).select(below).where(F.col("path").endswith(".txt")).distinct()
     kinds = found.groupBy(keys.parent_folder(F.col("path")).alias("kind")).agg(F.count(F.lit(1)).alias("files"))
     return kinds.withColumn("some_moved", F.lit(not moved.isEmpty()))
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -150,9 +151,10 @@ def list_archive_files(spark: SparkSession, root: str, missing_ok: bool = False,
     """Files below ``root`` as ``path``, ``modificationTime`` and ``length``; contents are not read.
 
     A scan has no row for a file without a byte. Those are found among the names that Spark lists for the scan, which
-    it holds on the driver in any case; ``empty=False`` saves that where files have a header.
+    it holds on the driver in any case; ``empty=False`` saves that where files have a header. A file that goes while the
+    listing is made is left out: a stream cleans up its source even after it has ended.
     """
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("ignoreMissingFiles", "true")
     try:
         files = reader.load(root)
     except AnalysisException as error:
@@ -169,10 +171,16 @@ def list_archive_files(spark: SparkSession, root: str, missing_ok: bool = False,
     _, system = snapshots.file_system(spark, root)
     rows = []
     for row in missing:
-        status = system.getFileStatus(spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(row["path"])))
-        rows.append((row["path"], status.getModificationTime()))
-    blank = spark.createDataFrame(rows, "path string, ms long")
-    return listed.union(blank.select("path", F.timestamp_millis("ms"), F.lit(0).cast("bigint")))
+        name = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(row["path"]))
+        try:
+            status = system.getFileStatus(name)
+        except Py4JJavaError as error:
+            if not error.java_exception.getClass().getName().endswith("FileNotFoundException"):
+                raise
+            continue
+        rows.append((row["path"], status.getModificationTime(), status.getLen()))
+    blank = spark.createDataFrame(rows, "path string, ms long, length long")
+    return listed.union(blank.select("path", F.timestamp_millis("ms"), "length"))
 
 
 def export_records(cells: DataFrame, path: str) -> None:

@@ -230,3 +230,13 @@ def test_a_cleaning_that_failed_is_repeated(spark, places, monkeypatch):
     assert states(live.clean_ranges(spark, str(folder), checkpoint, rejects)) == {"range_0_9": (2, 0, True)}
     assert files_below(folder) == []
     assert states(live.clean_ranges(spark, str(folder), checkpoint, rejects)) == {}
+
+
+def test_a_listing_survives_files_that_are_moved_meanwhile(spark, places, tmp_path):
+    """Spark goes on to move finished files after a stream has ended."""
+    folder = places[0]
+    for number in range(4):
+        put(folder, f"range_0_9/{number}/blocks/{number:04}.pb", b"" if number == 3 else b"v")
+    listed = archive.list_archive_files(spark, str(folder))
+    os.replace(folder / "range_0_9/1/blocks/0001.pb", tmp_path / "0001.pb")
+    assert sorted((r["path"].rsplit("/", 1)[1], r["length"]) for r in listed.collect()) == [("0000.pb", 1), ("0002.pb", 1), ("0003.pb", 0)]
