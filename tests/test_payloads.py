@@ -100,3 +100,10 @@ def test_the_limit_can_be_raised(spark):
     assert failed(1000) == [False, True, True, True]
     assert failed((1 << 20) - 1) == [False, True, True, True]
     assert failed(1 << 20) == [False] * 4
+
+
+def test_bzip2_of_short_values_has_the_bytes_of_the_highest_level():
+    draw = random.Random(5)
+    for size in (0, 1, 128, 5_000, 79_000, 80_000, 100_000, 200_000, 1_000_000):
+        for data in (draw.randbytes(size), b"a" * size, (b"aaaab" * size)[:size], (b"block %d" % size * size)[:size]):
+            assert payloads._bzip2(data) == bz2.compress(data, 9)
