@@ -118,7 +118,27 @@ def _latest(rows: DataFrame, order: Sequence[str]) -> DataFrame:
 def read_table(spark: SparkSession, path: str, schema: T.StructType, order: Sequence[str] = (), at: Snapshot | None = None) -> DataFrame:
     """Latest view of a keyed table: the newest commit wins, then the writer's name, then ``order`` within it."""
     at = at or snapshots.snapshot(spark, path)
-    return _latest(_read(spark, path, schema, at.commits), order).drop("writer")
+    return _latest_of_few(_read(spark, path, schema, at.commits), order).drop("writer")
+
+
+def _latest_of_few(rows: DataFrame, order: Sequence[str]) -> DataFrame:
+    """``_latest`` for tables where most keys were put once: their rows are not shuffled.
+
+    Keys alone are grouped to find those that were put again, and only rows of these are compared. Where they are more
+    than a quarter of all rows, all are compared.
+    """
+    counted = rows.groupBy("row_key").agg(F.count(F.lit(1)).alias("puts")).where(F.col("puts") > 1)
+    again = stage(counted.select(F.col("row_key").alias("again"), "puts"), "repeated-keys")
+    puts = again.agg(F.sum("puts")).first()[0] or 0
+    if 4 * puts > rows.count():
+        return _latest(rows, order)
+    leading = ["row_key", "commit_id", "writer", *order]
+    columns = [*leading, *[name for name in rows.columns if name not in leading]]
+    if not puts:
+        return rows.select(*columns)
+    same = F.col("row_key").eqNullSafe(F.col("again"))
+    once, more = (rows.join(again.select("again"), same, how) for how in ("left_anti", "left_semi"))
+    return once.select(*columns).union(_latest(more, order).select(*columns))
 
 
 def compact(spark: SparkSession, path: str, schema: T.StructType, order: Sequence[str] = (), indexed: bool = False) -> None:
