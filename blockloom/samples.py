@@ -5,7 +5,7 @@ Every sample is derived by Spark from whole tables, so it grows with them.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window, functions as F
 
 from blockloom.functions import keys
 from blockloom.model import LEGACY_BLOCK, STATUS_DONE, STATUS_FAILED
@@ -339,6 +339,10 @@ def write_live_tree(spark: SparkSession, sf_dir: str, folder: str, part: int | N
 
 def add_empty_files(spark: SparkSession, sf_dir: str, folder: str, only: str = "slot % 10 = 7") -> None:
     """A file without a byte beside some of the pages of the live tree."""
-    for row in _live_rows(spark, sf_dir).where(only).drop("html").toLocalIterator():
-        path, files = snapshots.file_system(spark, f"{folder}/range={row['range']}/slot={row['slot']}/kind={row['kind']}/empty.txt")
-        files.create(path, True).close()
+    _, files = snapshots.file_system(spark, folder)
+    Path = spark._jvm.org.apache.hadoop.fs.Path
+
+    def create(row: Row) -> None:
+        files.create(Path(f"{folder}/range={row['range']}/slot={row['slot']}/kind={row['kind']}/empty.txt"), True).close()
+
+    snapshots.for_each(create, _live_rows(spark, sf_dir).where(only).drop("html").toLocalIterator())

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import json
 import re
+from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from blockloom.functions import keys
@@ -237,13 +238,25 @@ def _remove(spark: SparkSession, paths: DataFrame, folder: str) -> None:
     """Remove files, and the folders above them that become empty, up to the watched one."""
     top, files = snapshots.file_system(spark, folder)
     Path = spark._jvm.org.apache.hadoop.fs.Path
-    above = set()
-    for row in paths.toLocalIterator():  # names only, a part at a time
+    shortest = len(re.sub(r"^(\w+):///", r"\1:/", top.toString()))
+    above: dict[int, set[str]] = {}  # by depth
+
+    def remove(row: Row) -> None:
         files.delete(Path(row["path"]), False)
-        parent = row["path"].rsplit("/", 1)[0]
-        while len(parent) > len(re.sub(r"^(\w+):///", r"\1:/", top.toString())):
-            above.add(parent)
-            parent = parent.rsplit("/", 1)[0]
-    for name in sorted(above, key=len, reverse=True):
-        if files.exists(Path(name)) and not files.listStatus(Path(name)):
-            files.delete(Path(name), False)
+
+    def prune(name: str) -> None:
+        folder = Path(name)
+        if files.exists(folder) and not files.listStatus(folder):
+            files.delete(folder, False)
+
+    def noted() -> Iterator[Row]:
+        for row in paths.toLocalIterator():  # names only, a part at a time
+            parent = row["path"].rsplit("/", 1)[0]
+            while len(parent) > shortest:
+                above.setdefault(parent.count("/"), set()).add(parent)
+                parent = parent.rsplit("/", 1)[0]
+            yield row
+
+    snapshots.for_each(remove, noted())
+    for depth in sorted(above, reverse=True):  # a folder's own folders have gone before it
+        snapshots.for_each(prune, above[depth])

@@ -1,4 +1,5 @@
 from concurrent.futures import ThreadPoolExecutor
+from threading import Barrier
 
 import pytest
 from pyspark.sql import functions as F
@@ -198,3 +199,23 @@ def test_newest_rows_of_a_prefix_with_early_stop(spark):
     assert seen == [str(n) for n in range(200, -1, -1)]
     tables.compact(spark, path, schema, indexed=True)
     assert sorted(tables.scan_prefixes(spark, path, schema, wanted, 3).collect()) == sorted(found)
+
+
+def test_keys_that_were_put_once_are_not_shuffled(spark, plan_of):
+    path = scratch_path(spark, "t")
+    tables.put(kv(spark, *[(f"k{n}", "1") for n in range(20)], (None, "1")), path, "w", 0)
+    view = tables.read_table(spark, path, kv(spark).schema)
+    assert "hashpartitioning" not in plan_of(view) and view.count() == 21
+    tables.put(kv(spark, ("k3", "2"), (None, "2")), path, "w", 1)
+    assert values(spark, path) == {f"k{n}": "2" if n == 3 else "1" for n in range(20)} | {None: "2"}
+    assert tables.read_table(spark, path, kv(spark).schema).columns == view.columns
+    tables.put(kv(spark, *[(f"k{n}", "3") for n in range(20)]), path, "w", 2)
+    assert values(spark, path) == {f"k{n}": "3" for n in range(20)} | {None: "2"}
+
+
+def test_file_work_is_done_many_at_once():
+    together, done = Barrier(8, timeout=30), []
+    snapshots.for_each(lambda n: (together.wait(), done.append(n)), iter(range(16)), threads=8)
+    assert sorted(done) == list(range(16))
+    with pytest.raises(ZeroDivisionError):
+        snapshots.for_each(lambda n: 1 / n, [1, 0], threads=2)
