@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from blockloom.plans import loading
 from blockloom.session import stage
@@ -63,15 +63,21 @@ def compact_archive(spark: SparkSession, root: str, sync_type: str, folders: int
 def purge(spark: SparkSession, root: str) -> int:
     """Delete the folders that published compactions have replaced; returns how many. It may be repeated."""
     root = root.rstrip("/")
+    _, files = snapshots.file_system(spark, root)
+    Path = spark._jvm.org.apache.hadoop.fs.Path
     runs, deleted = archive.compactions(spark, root), 0
     waiting = set(archive.compactions(spark, root, purged=False))
     for number, run in enumerate(runs):
         if run not in waiting:
             continue
         folders = archive.replaced_folders(spark, root, [run]).select("sync_type", "table_name", "range", "commit_id").distinct()
-        for row in folders.toLocalIterator():
+        gone: list[bool] = []
+
+        def delete(row: Row) -> None:
             name = "/".join(f"{k}={row[k]}" for k in ("sync_type", "table_name", "range", "commit_id"))
-            folder, files = snapshots.file_system(spark, f"{root}/{name}")
-            deleted += bool(files.delete(folder, True))
+            gone.append(bool(files.delete(Path(f"{root}/{name}"), True)))
+
+        snapshots.for_each(delete, folders.toLocalIterator())
+        deleted += sum(gone)
         snapshots.create_once(spark, f"{root}/_compactions/{number}.purged", "")
     return deleted

@@ -5,19 +5,26 @@ Every sample is derived by Spark from whole tables, so it grows with them.
 
 from __future__ import annotations
 
+import os
+import uuid
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Row, SparkSession, Window, functions as F
 
 from blockloom.functions import keys
 from blockloom.model import LEGACY_BLOCK, STATUS_DONE, STATUS_FAILED
 from blockloom.operators import blocks as block_ops
 from blockloom.operators import payloads, ranges
-from blockloom.sources import snapshots
+from blockloom.sources import archive, snapshots
 
 # The lines of an order are dealt into so many blocks, whatever their number. A lane's slot follows from the order.
 LANES = 4
 
 RANGE_SIZE = 100
 
+_LIVE_FOLDERS = ("range", "slot", "kind")
+
 _LINE_ORDER = (
     "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_shipdate",
     "l_discount", "l_tax", "l_returnflag", "l_linestatus",
@@ -327,22 +334,62 @@ def _live_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def write_live_tree(spark: SparkSession, sf_dir: str, folder: str, part: int | None = None, only: str = "true") -> None:
     """Pages as text files below ``range=…/slot=…/kind=…``, a file each; all, those of one remainder by 3, or some."""
     rows = _live_rows(spark, sf_dir).where(only)
-    (
-        (rows if part is None else rows.where(F.col("slot") % 3 == part))
-        .repartition("slot")
-        .sortWithinPartitions("range", "slot", "kind")
-        .write.mode("append")
-        .partitionBy("range", "slot", "kind")
-        .text(folder)
-    )
+    rows = (rows if part is None else rows.where(F.col("slot") % 3 == part)).repartition("slot")
+    rows = rows.sortWithinPartitions("range", "slot", "kind")
+    if archive.qualified(spark, folder).startswith("file:"):
+        _write_local(rows, folder, f"part-{uuid.uuid4().hex}.txt")
+    else:
+        rows.write.mode("append").partitionBy("range", "slot", "kind").text(folder)
+
+
+def _write_local(rows: DataFrame, folder: str, name: str) -> None:
+    """What Spark's text writer makes of rows (``range``, ``slot``, ``kind``, ``html``) in the order of their folders.
+
+    On a local disk that writer starts processes to set the modes of every file, and its driver moves the folders one by
+    one. Here tasks write each file aside and rename it in, so it arrives whole, and again if the task is repeated. Rows
+    without a column ``html`` make empty files.
+    """
+    path, files = snapshots.file_system(rows.sparkSession, folder)
+    top, blank = path.toUri().getPath().rstrip("/"), "html" not in rows.columns
+    aside = f"{top}/_arriving-{uuid.uuid4().hex}"
+    os.makedirs(aside)
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, current, out = f"{aside}/{uuid.uuid4().hex}", None, None
+
+        def arrive() -> None:
+            out.close()
+            place = "/".join(f"{k}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}" for k, v in zip(_LIVE_FOLDERS, current))
+            os.makedirs(f"{top}/{place}", exist_ok=True)
+            os.replace(part, f"{top}/{place}/{name}")
+
+        for batch in batches:
+            for *place, text in zip(*[c.to_pylist() for c in batch.columns]):
+                if place != current:
+                    if current is not None:
+                        arrive()
+                    current, out = place, open(part, "wb")
+                if not blank:
+                    out.write((text or "").encode() + b"\n")
+        if current is not None:
+            arrive()
+        yield from ()
+
+    text = F.lit(None).cast("string") if blank else F.col("html")
+    rows.select(*_LIVE_FOLDERS, text).mapInArrow(write, "range string").write.format("noop").mode("overwrite").save()
+    files.delete(rows.sparkSession._jvm.org.apache.hadoop.fs.Path(aside), True)
 
 
 def add_empty_files(spark: SparkSession, sf_dir: str, folder: str, only: str = "slot % 10 = 7") -> None:
     """A file without a byte beside some of the pages of the live tree."""
+    rows = _live_rows(spark, sf_dir).where(only).drop("html")
+    if archive.qualified(spark, folder).startswith("file:"):
+        _write_local(rows, folder, "empty.txt")
+        return
     _, files = snapshots.file_system(spark, folder)
     Path = spark._jvm.org.apache.hadoop.fs.Path
 
     def create(row: Row) -> None:
         files.create(Path(f"{folder}/range={row['range']}/slot={row['slot']}/kind={row['kind']}/empty.txt"), True).close()
 
-    snapshots.for_each(create, _live_rows(spark, sf_dir).where(only).drop("html").toLocalIterator())
+    snapshots.for_each(create, rows.toLocalIterator())

@@ -41,6 +41,16 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def pace_listings(spark: SparkSession) -> None:
+    """Let a listing of this session take some tasks a core, unless another number is set.
+
+    By default Spark gives each of up to 10,000 folders or files a task of its own, which takes longer to start than to do.
+    """
+    name = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    if spark.conf.get(name) == "10000":
+        spark.conf.set(name, 8 * spark.sparkContext.defaultParallelism)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path in the shared folder that nothing has written to yet."""
     return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"

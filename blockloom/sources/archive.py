@@ -7,10 +7,11 @@ import uuid
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
 
 from blockloom.functions import keys
 from blockloom.model import ARCHIVE, ARCHIVE_PARTITIONS, CELL, FILE_LISTING, SOURCE_TABLES
+from blockloom.session import pace_listings
 from blockloom.sources import snapshots
 
 
@@ -110,6 +111,7 @@ def stored_cells(spark: SparkSession, root: str, sync_type: str | None = None, p
     there is nothing to leave out.
     """
     # Asked before the folders are listed: a run that is published later changes nothing for this reader.
+    pace_listings(spark)
     runs = compactions(spark, root)
     waiting = [run for run in compactions(spark, root, purged=False) if run in runs]
     schema = T.StructType([*CELL.fields, T.StructField("origin", T.LongType()), *ARCHIVE.fields[len(CELL.fields) :]])
@@ -154,6 +156,7 @@ def list_archive_files(spark: SparkSession, root: str, missing_ok: bool = False,
     it holds on the driver in any case; ``empty=False`` saves that where files have a header. A file that goes while the
     listing is made is left out: a stream cleans up its source even after it has ended.
     """
+    pace_listings(spark)
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("ignoreMissingFiles", "true")
     try:
         files = reader.load(root)
@@ -170,15 +173,18 @@ def list_archive_files(spark: SparkSession, root: str, missing_ok: bool = False,
     missing = names.withColumn("spelt", spelt).join(listed.select(spelt.alias("spelt")), "spelt", "left_anti").collect()
     _, system = snapshots.file_system(spark, root)
     rows = []
-    for row in missing:
+
+    def look_up(row: Row) -> None:
         name = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(row["path"]))
         try:
             status = system.getFileStatus(name)
         except Py4JJavaError as error:
             if not error.java_exception.getClass().getName().endswith("FileNotFoundException"):
                 raise
-            continue
+            return
         rows.append((row["path"], status.getModificationTime(), status.getLen()))
+
+    snapshots.for_each(look_up, missing)
     blank = spark.createDataFrame(rows, "path string, ms long, length long")
     return listed.union(blank.select("path", F.timestamp_millis("ms"), "length"))
 

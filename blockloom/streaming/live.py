@@ -12,10 +12,17 @@ from pyspark.sql.streaming import StreamingQuery
 from blockloom.functions import keys
 from blockloom.model import ARCHIVE, BINARY_FILE, struct
 from blockloom.operators import cells as cell_ops
-from blockloom.session import stage
+from blockloom.session import pace_listings, stage
 from blockloom.sources import archive, snapshots, tables
 
 
+#: More files than a stream can have.
+_ALL_FILES = (1 << 31) - 1
+
+#: What opening a file counts for beside its bytes when files are dealt to tasks.
+_OPEN_COST = 128 << 10
+
+
 def live_files(
     spark: SparkSession,
     folder: str,
@@ -33,6 +40,9 @@ def live_files(
         .schema(BINARY_FILE)
         .option("recursiveFileLookup", "true")
         .option("cleanSource", clean_source)
+        # Files that a listing found and a bounded batch left are kept by name, as the names of all files taken are, so
+        # the next batches do not list the whole tree again.
+        .option("maxCachedFiles", _ALL_FILES)
     )
     if clean_source == "archive":
         if not done_folder:
@@ -114,19 +124,6 @@ def committed_files(spark: SparkSession, checkpoint: str) -> DataFrame:
     return _logged_files(spark, checkpoint, 0, _offset(spark, checkpoint, done))
 
 
-def _read_files(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Files by name, those without a byte too."""
-    names = spark.createDataFrame([(p,) for p in paths], "path string")
-    rows = spark.read.format("binaryFile").load([_glob_free(p) for p in paths]).select("path", "content")
-    return names.join(rows.withColumn("path", F.regexp_replace("path", r"^(\w+):///", "$1:/")), "path", "left").select(
-        "path", F.coalesce("content", F.lit(b"")).alias("content")
-    )
-
-
-def _glob_free(path: str) -> str:
-    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
-
-
 def follow(
     spark: SparkSession,
     folder: str,
@@ -151,6 +148,7 @@ def follow(
     if clean_source != "off" and not rejects:
         raise ValueError("cleaning up needs a rejects folder, which keeps the files that no table takes")
     folder = archive.qualified(spark, folder)
+    pace_listings(spark)  # a batch's files are listed once more by name
     files = live_files(spark, folder, files_per_batch, clean_source, done_folder)
 
     def archive_batch(batch: DataFrame, batch_id: int) -> None:
@@ -161,18 +159,21 @@ def follow(
         def placed(rows: DataFrame) -> DataFrame:
             return live_cells(rows, folder).withColumns({"sync_type": F.lit(sync_type), "commit_id": commit_id})
 
+        # Small files: some thousand names a task. The setting is of the stream's own copy of the session.
+        session.conf.set("spark.sql.files.openCostInBytes", _OPEN_COST)
         taken = stage(batch_files(session, checkpoint, batch_id), "batch-files")
-        with_rows = batch.select(F.regexp_replace("path", r"^(\w+):///", "$1:/").alias("path"))
-        empty = taken.join(with_rows, "path", "left_anti").withColumn("content", F.lit(b""))
-        cells = placed(batch.select("path", "modificationTime", "content")).unionByName(placed(empty))
+        # The files are opened once: the archive, the rejects and the search for empty files read the staged rows.
+        spelt = F.regexp_replace("path", r"^(\w+):///", "$1:/").alias("path")
+        read = stage(batch.select(spelt, "modificationTime", "content"), "batch-rows")
+        empty = taken.join(read.select("path"), "path", "left_anti").withColumn("content", F.lit(b""))
+        cells = placed(read.unionByName(empty))
         archive.write_archive(cell_ops.route_cells(cells).select(*ARCHIVE.fieldNames()), root)
         if rejects:
-            # Names tell which files no table takes, so only these are read again. A batch is a list of names.
-            unknown = cell_ops.rejected_cells(placed(taken.withColumn("content", F.lit(b"")))).select("path", "row_key")
-            paths = [r["path"] for r in unknown.collect()]
-            target = f"{rejects.rstrip('/')}/commit_id={number}"
-            if paths:
-                unknown.join(_read_files(session, paths), "path").select("path", "row_key", F.col("content").alias("value")).write.mode("overwrite").parquet(target)
+            # Names tell whether there are files that no table takes.
+            unknown = cell_ops.rejected_cells(placed(taken.withColumn("content", F.lit(b""))))
+            if not unknown.isEmpty():
+                rejected = cell_ops.rejected_cells(cells).select("path", "row_key", "value")
+                rejected.write.mode("overwrite").parquet(f"{rejects.rstrip('/')}/commit_id={number}")
 
     writer = files.writeStream.foreachBatch(archive_batch).option("checkpointLocation", checkpoint)
     return writer.trigger(**_trigger(interval)).start()

@@ -240,3 +240,45 @@ def test_a_listing_survives_files_that_are_moved_meanwhile(spark, places, tmp_pa
     listed = archive.list_archive_files(spark, str(folder))
     os.replace(folder / "range_0_9/1/blocks/0001.pb", tmp_path / "0001.pb")
     assert sorted((r["path"].rsplit("/", 1)[1], r["length"]) for r in listed.collect()) == [("0000.pb", 1), ("0002.pb", 1), ("0003.pb", 0)]
+
+
+def test_a_batch_is_read_once(spark, places, monkeypatch):
+    """Archive, rejects and the search for empty files share one reading of a batch's files."""
+    folder, _, _, rejects = places
+    put(folder, "range_0_9/0/other/0000.pb", b"no table takes it")
+    seen, stage = [], live.stage
+    monkeypatch.setattr(live, "stage", lambda rows, label: seen.append(label) or stage(rows, label))
+    follow(spark, places)
+    assert seen.count("batch-rows") == 1
+    assert [bytes(r["value"]) for r in spark.read.parquet(rejects).collect()] == [b"no table takes it"]
+
+
+def test_a_listing_takes_few_tasks(spark, places, setting):
+    """By default every file of a batch has a task of its own that lists it again."""
+    name = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    setting(name, "10000")
+    for number in range(40):
+        put(places[0], f"range_0_9/{number}/blocks/{number:04}.pb", b"v")
+    follow(spark, places)
+    assert int(spark.conf.get(name)) == 8 * spark.sparkContext.defaultParallelism
+    setting(name, "7")
+    archive.list_archive_files(spark, str(places[0]))
+    assert spark.conf.get(name) == "7"
+
+
+def test_the_live_tree_is_written_as_by_spark(spark, tmp_path):
+    """Each file whole and named as Spark names folders; rows of one folder in one file, nulls among them."""
+    from blockloom import samples
+
+    rows = "SELECT * FROM VALUES (1, 'a'), (1, 'b'), (4, NULL), (NULL, 'c'), (107, 'é') AS t(page_id, html)"
+    spark.sql(rows).selectExpr("cast(page_id as bigint) page_id", "html").write.parquet(str(tmp_path / "pages.parquet"))
+    folder, other = tmp_path / "live", tmp_path / "spark"
+    samples.write_live_tree(spark, str(tmp_path), str(folder))
+    samples.add_empty_files(spark, str(tmp_path), str(folder))
+    samples._live_rows(spark, str(tmp_path)).repartition("slot").write.partitionBy("range", "slot", "kind").text(str(other))
+
+    def contents(top):
+        return sorted((str(p.parent.relative_to(top)), sorted(p.read_bytes().split(b"\n"))) for p in top.rglob("part-*.txt"))
+
+    assert contents(folder) == contents(other) and len(contents(folder)) == 4
+    assert [p.stat().st_size for p in folder.rglob("empty.txt")] == [0] and {p.name for p in folder.iterdir()} == {p.name for p in other.iterdir() if p.name[0] not in "._"}
