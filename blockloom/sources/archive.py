@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import uuid
+from urllib.parse import unquote
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
@@ -172,12 +173,11 @@ def list_archive_files(spark: SparkSession, root: str, missing_ok: bool = False,
     spelt = F.regexp_replace("path", r"^(\w+):///", "$1:/")
     missing = names.withColumn("spelt", spelt).join(listed.select(spelt.alias("spelt")), "spelt", "left_anti").collect()
     _, system = snapshots.file_system(spark, root)
-    rows = []
+    Path, rows = spark._jvm.org.apache.hadoop.fs.Path, []
 
     def look_up(row: Row) -> None:
-        name = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(row["path"]))
         try:
-            status = system.getFileStatus(name)
+            status = system.getFileStatus(Path(unquote(row["path"])))
         except Py4JJavaError as error:
             if not error.java_exception.getClass().getName().endswith("FileNotFoundException"):
                 raise
