@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import bz2
+import functools
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -67,11 +68,17 @@ def _bzip2(data: bytes) -> bytes:
     return b"BZh9" + bz2.compress(data, level)[4:]
 
 
+@functools.cache
+def _zstd() -> zstandard.ZstdCompressor:
+    """One for all values of a process: a new one costs as much as a short value itself, and the bytes are the same."""
+    return zstandard.ZstdCompressor(write_content_size=False)
+
+
 _ENCODE: dict[str, Callable[[bytes], bytes]] = {
     "none": bytes,
     "bzip2": _bzip2,
     "gzip": _gzip,
-    "zstd": lambda data: zstandard.ZstdCompressor(write_content_size=False).compress(data),
+    "zstd": lambda data: _zstd().compress(data),
 }
 _DECODE: dict[str, Callable[[bytes, int], bytes]] = {
     "none": lambda data, limit: _whole(bytes(data), True, limit),

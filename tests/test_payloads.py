@@ -107,3 +107,13 @@ def test_bzip2_of_short_values_has_the_bytes_of_the_highest_level():
     for size in (0, 1, 128, 5_000, 79_000, 80_000, 100_000, 200_000, 1_000_000):
         for data in (draw.randbytes(size), b"a" * size, (b"aaaab" * size)[:size], (b"block %d" % size * size)[:size]):
             assert payloads._bzip2(data) == bz2.compress(data, 9)
+
+
+def test_zstd_values_share_a_compressor():
+    """The bytes are those of a compressor of their own."""
+    import zstandard
+
+    values = [b"", b"a", b"abc" * 1000, bytes(range(256)) * 9] * 2
+    alone = [zstandard.ZstdCompressor(write_content_size=False).compress(v) for v in values]
+    assert [payloads._ENCODE["zstd"](v) for v in values] == alone
+    assert payloads._zstd() is payloads._zstd()
