@@ -19,10 +19,6 @@ from blockloom.sources import archive, snapshots, tables
 #: More files than a stream can have.
 _ALL_FILES = (1 << 31) - 1
 
-#: What opening a file counts for beside its bytes when files are dealt to tasks.
-_OPEN_COST = 128 << 10
-
-
 def live_files(
     spark: SparkSession,
     folder: str,
@@ -159,8 +155,6 @@ def follow(
         def placed(rows: DataFrame) -> DataFrame:
             return live_cells(rows, folder).withColumns({"sync_type": F.lit(sync_type), "commit_id": commit_id})
 
-        # Small files: some thousand names a task. The setting is of the stream's own copy of the session.
-        session.conf.set("spark.sql.files.openCostInBytes", _OPEN_COST)
         taken = stage(batch_files(session, checkpoint, batch_id), "batch-files")
         # The files are opened once: the archive, the rejects and the search for empty files read the staged rows.
         spelt = F.regexp_replace("path", r"^(\w+):///", "$1:/").alias("path")
