@@ -23,6 +23,11 @@ def key_to_slot(key: Column) -> Column:
     return F.when(is_hex, F.conv(key, 16, 10).try_cast("bigint"))
 
 
+def is_slot_key(key: Column) -> Column:
+    """Whether ``key`` is what ``slot_to_key`` makes of some slot that is not negative."""
+    return key.rlike(r"^[0-7][0-9a-f]{15}\z")
+
+
 def inverted_key(slot: Column) -> Column:
     """Hex of the bitwise complement: an ascending scan meets the newest slot first."""
     return slot_to_key(F.bitwise_not(slot))

@@ -16,8 +16,9 @@ from blockloom.sources import archive, claims as claiming, ledgers, tables
 def to_archive(cells: DataFrame, sync_type: str, table: str, size: int, commit_id: int = 0) -> DataFrame:
     """Cells with their archive partition columns. Keys that are not the key of a slot, as it is written, have no
     range and are left out; ``unplaced_cells`` returns them."""
-    slot = keys.key_to_slot(F.col("row_key"))
-    placed = ranges.with_range(cells.where(is_placed()), slot, size)
+    # A column of its own, so that Spark reads the key once and not for each of the bounds.
+    placed = cells.where(is_placed()).withColumn("slot", keys.key_to_slot(F.col("row_key")))
+    placed = ranges.with_range(placed, F.col("slot"), size)
     return placed.select(
         *[name for name in ARCHIVE.fieldNames() if name in cells.columns],
         F.lit(sync_type).alias("sync_type"),
@@ -31,8 +32,7 @@ def to_archive(cells: DataFrame, sync_type: str, table: str, size: int, commit_i
 
 def is_placed() -> Column:
     """Whether a key is that of a slot in 16 lower-case digits: only for these is text order slot order."""
-    key = F.col("row_key")
-    return F.coalesce(key == keys.slot_to_key(keys.key_to_slot(key)), F.lit(False))
+    return F.coalesce(keys.is_slot_key(F.col("row_key")), F.lit(False))
 
 
 def unplaced_cells(cells: DataFrame) -> DataFrame:
@@ -45,6 +45,14 @@ def read_rejects(spark: SparkSession, rejects: str) -> DataFrame:
     return tables.read_or_empty(spark, rejects, CELL).select(*CELL.fieldNames()).distinct()
 
 
+def _bounds_if_whole(wave: DataFrame, size: int) -> tuple[str, str] | None:
+    """First and last key of ranges that leave no gap between them; None where some are missing, or there are none."""
+    plain = keys.is_slot_key(F.col("start_key")) & keys.is_slot_key(F.col("end_key"))
+    found = wave.agg(F.min("start_key"), F.max("end_key"), F.count_distinct("start_key"), F.min(plain)).first()
+    first, last, count, all_plain = found
+    return (first, last) if all_plain and int(last, 16) - int(first, 16) + 1 == count * size else None
+
+
 def _check_plan(planned: DataFrame, size: int) -> None:
     """Every planned range has to be one that cells of this size are put into."""
     lo, hi = keys.key_to_slot(F.col("start_key")), keys.key_to_slot(F.col("end_key"))
@@ -93,7 +101,9 @@ def archive_ranges(
         return 0
     _check_plan(pending, size)
     unplaced = unplaced_cells(cells)
-    bad = unplaced.select("row_key").first()
+    # In one pass, of which a task ends at its first: taking a row goes through a clean source by a few tasks at a time.
+    one = unplaced.select("row_key").limit(1).agg(F.first("row_key"), F.count(F.lit(1)).alias("rows"))
+    bad = one.where("rows > 0").first()
     if bad is not None and rejects is None:
         raise ValueError(f"{bad[0]!r} is no slot's key; give a folder for such cells")
     bounds = planned.agg(F.min("start_key"), F.max("end_key")).first()
@@ -127,8 +137,10 @@ def archive_ranges(
             if wave.isEmpty():
                 claiming.give_back(spark, claim)
                 continue
-        rows = archive.read_key_range(cells, *keys_of_wave)
-        chosen = to_archive(rows, sync_type, table, size).join(wave, ["start_key", "end_key"], "left_semi")
+        whole = _bounds_if_whole(wave, size)
+        chosen = to_archive(archive.read_key_range(cells, *(whole or keys_of_wave)), sync_type, table, size)
+        if whole is None:  # else the bounds tell: a plan of many ranges need not be sent to the cells, or these to it
+            chosen = chosen.join(wave, ["start_key", "end_key"], "left_semi")
         status = STATUS_DONE
         try:
             write = archive.write_archive_beside if claims else archive.write_archive

@@ -46,41 +46,46 @@ def write_archive(cells: DataFrame, root: str, in_key_order: bool = False) -> No
     A rebalance by range keeps ranges together, merges small ones and splits a hot one over several
     files. A source that is stored in key order needs no shuffle (``in_key_order``): each task then
     meets few ranges. Only the partitions that occur in ``cells`` are replaced.
+
+    The files are written aside and their folders moved in, many at once: Spark's own overwrite of partitions moves one
+    after the other, and writers of one folder share a working folder, which the first to finish removes. A folder is
+    moved in one step, in the place of what an earlier attempt left.
     """
+    spark, root = cells.sparkSession, root.rstrip("/")
     rows = cells.select(*ARCHIVE.fieldNames(), *[name for name in cells.columns if name == "origin"])
     if not in_key_order:
         rows = rows.hint("rebalance", *[F.col(name) for name in ARCHIVE_PARTITIONS])
-    (
-        rows.sortWithinPartitions(*ARCHIVE_PARTITIONS, "row_key", "family", "qualifier", F.desc("ts"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*ARCHIVE_PARTITIONS)
-        .parquet(root)
-    )
+    rows = rows.sortWithinPartitions(*ARCHIVE_PARTITIONS, "row_key", "family", "qualifier", F.desc("ts"))
+    aside, files = snapshots.file_system(spark, f"{root}/_parts/{uuid.uuid4().hex}")
+    try:
+        rows.write.partitionBy(*ARCHIVE_PARTITIONS).parquet(aside.toString())
+        _move_folders(spark, aside.toString(), root)
+    finally:
+        files.delete(aside, True)
 
 
-def write_archive_beside(cells: DataFrame, root: str, in_key_order: bool = False) -> None:
-    """``write_archive`` for jobs that write to one root at once: each writes aside and moves its range folders in.
+def _move_folders(spark: SparkSession, aside: str, root: str) -> None:
+    """Move the partition folders below ``aside`` to ``root``, in the place of those there are."""
+    depth = len(ARCHIVE_PARTITIONS)
+    pattern = re.sub(r"([][*?{}\\])", r"\\\1", aside) + "/*=*" * depth  # the folder's own name is no pattern
+    below, files = snapshots.file_system(spark, pattern)
+    Path = spark._jvm.org.apache.hadoop.fs.Path
+    found = spark._jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(files.globStatus(below)) or ()
 
-    Spark's writers of one folder share their working folder, which the first to finish removes. A range folder is
-    moved in one step, in the place of what an earlier attempt left.
-    """
-    spark, aside = cells.sparkSession, f"{root.rstrip('/')}/_parts/{uuid.uuid4().hex}"
-    write_archive(cells, aside, in_key_order)
-    below, files = snapshots.file_system(spark, f"{aside}/*/*/*/*")
-    for status in files.globStatus(below) or ():
-        if status.isDirectory():
-            part = status.getPath()
-            names = [part.getName()]
-            for _ in ARCHIVE_PARTITIONS[1:]:
-                part = part.getParent()
-                names.insert(0, part.getName())
-            target = spark._jvm.org.apache.hadoop.fs.Path("/".join([root.rstrip("/"), *names]))
-            files.mkdirs(target.getParent())
-            files.delete(target, True)
-            if not files.rename(status.getPath(), target):
-                raise OSError(f"{status.getPath()} could not be moved to {target}")
-    files.delete(spark._jvm.org.apache.hadoop.fs.Path(aside), True)
+    def move(number: int) -> None:
+        source = found[number]
+        target = Path("/".join([root, *source.toString().split("/")[-depth:]]))
+        files.mkdirs(target.getParent())
+        files.delete(target, True)
+        if not files.rename(source, target):
+            raise OSError(f"{source.toString()} could not be moved to {target.toString()}")
+
+    snapshots.for_each(move, range(len(found)))
+
+
+def write_archive_beside(cells: DataFrame, root: str, in_key_order: bool = False) -> None:
+    """``write_archive`` for jobs that write to one root at once."""
+    write_archive(cells, root, in_key_order)
 
 
 #: Folders that compactions replaced: ``commit_id`` of the folder, ``origin`` of the commit its cells are of.

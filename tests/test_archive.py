@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,7 +9,7 @@ from blockloom.operators import cells as cell_ops
 from blockloom.operators import ranges
 from blockloom.plans import archiving
 from blockloom.session import scratch_path
-from blockloom.sources import archive, ledgers
+from blockloom.sources import archive, ledgers, snapshots
 
 
 def cells(spark, count, start=0):
@@ -64,6 +66,36 @@ def test_failed_write_is_recorded_and_planned_again(spark):
     assert stored_slots(spark, root) == list(range(300))
 
 
+def test_a_whole_wave_needs_no_join(spark, plan_of, monkeypatch):
+    """The bounds of ranges without a gap tell their cells; where some are done, the plan is still asked."""
+    root, ledger = scratch_path(spark, "a"), scratch_path(spark, "l")
+    plans, write = [], archive.write_archive
+    monkeypatch.setattr(archive, "write_archive", lambda rows, *args: (plans.append(plan_of(rows)), write(rows, *args)))
+    run(spark, cells(spark, 1000), root, ledger, 200, 299)
+    run(spark, cells(spark, 1000), root, ledger, 0, 999, waves=2)
+    assert ["Join" in plan for plan in plans] == [False, True, False]
+    assert stored_slots(spark, root) == list(range(1000))
+    records = ledgers.read_range_ledger(spark, ledger, "sync", "blocks")
+    assert records.count() == 10 and spark.read.parquet(ledger).count() == 10
+
+
+def test_folders_are_moved_in(spark):
+    """Those of an earlier attempt are replaced, others stay, nothing stays aside; the root's name is no pattern."""
+    root = scratch_path(spark, "a[1]{2}*")
+    archive.write_archive(archiving.to_archive(cells(spark, 300), "sync", "blocks", 100), root)
+    fewer = cells(spark, 50, 120)
+    archive.write_archive(archiving.to_archive(fewer, "sync", "blocks", 100), root)
+    slots = [*range(100), *range(120, 170), *range(200, 300)]
+    _, files = snapshots.file_system(spark, root)
+    assert len(files.listStatus(snapshots.file_system(spark, f"{root}/sync_type=sync/table_name=blocks")[0])) == 3
+    broken = fewer.withColumn("value", F.raise_error(F.lit("lost")).cast("binary"))
+    with pytest.raises(Exception, match="lost"):
+        archive.write_archive(archiving.to_archive(broken, "sync", "blocks", 100), root)
+    assert not files.listStatus(snapshots.file_system(spark, f"{root}/_parts")[0])
+    literal = re.sub(r"([][*?{}])", r"\\\1", root)
+    assert sorted(int(r[0], 16) for r in archive.read_archive(spark, literal).select("row_key").collect()) == slots
+
+
 def test_range_filter_selects_folders(spark, plan_of):
     root, ledger = scratch_path(spark, "a"), scratch_path(spark, "l")
     run(spark, cells(spark, 500), root, ledger, 0, 499)

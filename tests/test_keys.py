@@ -56,3 +56,12 @@ def test_payload_format(spark):
 def test_kinds(spark):
     given = ["a/blocks/b", "a/entries/blocks.seq", "a/other"]
     assert values(spark, keys.kinds_of, given, "string") == [["blocks"], ["blocks", "entries"], []]
+
+
+def test_keys_of_slots(spark):
+    odd = ["", "a", "x" * 16, "A" + "0" * 15, "0" * 17, "0" * 16 + "\n", "g" * 16, "8" + "0" * 15, "f" * 16, "0" * 15 + "é", "０" * 16, "-" + "0" * 15, None]
+    good = ["0" * 16, "7" + "f" * 15, "0123456789abcdef"]
+    frame = spark.createDataFrame([(k,) for k in odd + good], "k string")
+    again = F.col("k") == keys.slot_to_key(keys.key_to_slot(F.col("k")))
+    rows = frame.select("k", F.coalesce(keys.is_slot_key(F.col("k")), F.lit(False)).alias("is"), F.coalesce(again, F.lit(False)).alias("again")).collect()
+    assert [r["k"] for r in rows if r["is"]] == [r["k"] for r in rows if r["again"]] == good
