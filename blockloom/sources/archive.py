@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import re
 import uuid
 from urllib.parse import unquote
@@ -13,7 +14,7 @@ from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
 from blockloom.functions import keys
 from blockloom.model import ARCHIVE, ARCHIVE_PARTITIONS, CELL, FILE_LISTING, SOURCE_TABLES
 from blockloom.session import pace_listings
-from blockloom.sources import snapshots
+from blockloom.sources import local, snapshots
 
 
 def check_table(table: str) -> None:
@@ -49,7 +50,8 @@ def write_archive(cells: DataFrame, root: str, in_key_order: bool = False) -> No
 
     The files are written aside and their folders moved in, many at once: Spark's own overwrite of partitions moves one
     after the other, and writers of one folder share a working folder, which the first to finish removes. A folder is
-    moved in one step, in the place of what an earlier attempt left.
+    moved in one step, in the place of what an earlier attempt left. On a local disk the tasks make the files with plain
+    file calls (``local``).
     """
     spark, root = cells.sparkSession, root.rstrip("/")
     rows = cells.select(*ARCHIVE.fieldNames(), *[name for name in cells.columns if name == "origin"])
@@ -58,8 +60,12 @@ def write_archive(cells: DataFrame, root: str, in_key_order: bool = False) -> No
     rows = rows.sortWithinPartitions(*ARCHIVE_PARTITIONS, "row_key", "family", "qualifier", F.desc("ts"))
     aside, files = snapshots.file_system(spark, f"{root}/_parts/{uuid.uuid4().hex}")
     try:
-        rows.write.partitionBy(*ARCHIVE_PARTITIONS).parquet(aside.toString())
-        _move_folders(spark, aside.toString(), root)
+        if local.is_local(spark, root):
+            place = local.plain_path(spark, aside.toString())
+            local.move_folders(place, local.write_folders(rows, ARCHIVE_PARTITIONS, place), local.plain_path(spark, root))
+        else:
+            rows.write.partitionBy(*ARCHIVE_PARTITIONS).parquet(aside.toString())
+            _move_folders(spark, aside.toString(), root)
     finally:
         files.delete(aside, True)
 
@@ -158,11 +164,14 @@ def qualified(spark: SparkSession, folder: str) -> str:
 def list_archive_files(spark: SparkSession, root: str, missing_ok: bool = False, empty: bool = True) -> DataFrame:
     """Files below ``root`` as ``path``, ``modificationTime`` and ``length``; contents are not read.
 
-    A scan has no row for a file without a byte. Those are found among the names that Spark lists for the scan, which
-    it holds on the driver in any case; ``empty=False`` saves that where files have a header. A file that goes while the
-    listing is made is left out: a stream cleans up its source even after it has ended.
+    A folder of a local disk is listed by tasks. Elsewhere Spark's scan is asked, which has no row for a file without a
+    byte. Those are found among the names that Spark lists for the scan, which it holds on the driver in any case;
+    ``empty=False`` saves that where files have a header. A file that goes while the listing is made is left out: a
+    stream cleans up its source even after it has ended.
     """
     pace_listings(spark)
+    if local.is_local(spark, root) and os.path.exists(place := local.plain_path(spark, root)):
+        return local.list_files(spark, place)
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("ignoreMissingFiles", "true")
     try:
         files = reader.load(root)
