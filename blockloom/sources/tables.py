@@ -24,6 +24,9 @@ _ATTEMPT = T.StructField("attempt", T.StringType())
 #: Files by key: a hash of the key's prefix, the file below the table, its first and last such key, their number.
 INDEX = struct(hash=T.LongType(), file=T.StringType(), first=T.StringType(), last=T.StringType(), keys=T.LongType())
 
+#: So many hashes, of 8 bytes each, are sent to every task at the most.
+_SENT = 1_000_000
+
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Parquet at ``path``; no rows when nothing was ever written there. Other errors are raised."""
@@ -48,7 +51,9 @@ def _write_files(rows: DataFrame, path: str, indexed: bool) -> str:
     if indexed:
         spark = rows.sparkSession
         stored = spark.read.schema(rows.schema).parquet(folder).select("row_key", F.col("_metadata.file_name").alias("file"))
-        by_file = stored.groupBy(F.xxhash64(prefix_of(F.col("row_key"))).alias("hash"), "file").agg(
+        # Keys are shuffled once, to where they are told apart and counted; a prefix that is everywhere stays spread by file.
+        dealt = stored.withColumn("hash", F.xxhash64(prefix_of(F.col("row_key")))).repartition("hash", "file")
+        by_file = dealt.groupBy("hash", "file").agg(
             F.min("row_key").alias("first"), F.max("row_key").alias("last"), F.count_distinct("row_key").alias("keys")
         )
         # Sorted by hash, so that a look-up skips row groups.
@@ -203,6 +208,17 @@ def files_of_prefixes(spark: SparkSession, path: str, wanted: DataFrame, k: int,
     return needed.select("prefix", "after", "upto", F.concat_ws("/", "attempt", "file").alias("file"))
 
 
+def _with_some_of(rows: DataFrame, column: str, wanted: DataFrame) -> DataFrame:
+    """Rows that may have a wanted value in a column, and few others, so that a join need not shuffle the whole table.
+
+    The hashes of the values are sent to the rows. Where they are more than ``_SENT`` the rows stay as they are.
+    """
+    hashes = wanted.select(F.xxhash64(column).alias("sent")).distinct()
+    if hashes.count() > _SENT:
+        return rows
+    return rows.join(F.broadcast(hashes), F.xxhash64(column) == F.col("sent"), "left_semi")
+
+
 def scan_prefixes(spark: SparkSession, path: str, schema: T.StructType, wanted: DataFrame, k: int, order: Sequence[str] = (), at: Snapshot | None = None) -> DataFrame:
     """The first ``k`` keys of each ``prefix``, in key order, with their latest rows: the table's columns and ``place``.
 
@@ -217,7 +233,7 @@ def scan_prefixes(spark: SparkSession, path: str, schema: T.StructType, wanted:
     files = sorted(r[0] for r in needed.select("file").distinct().collect())
     bounds = needed.select("prefix", "after", "upto").distinct()
     rows = _read(spark, path, schema, at.commits, files).withColumn("prefix", prefix_of(F.col("row_key")))
-    rows = rows.join(bounds, "prefix").where(
+    rows = _with_some_of(rows, "prefix", asked).join(bounds, "prefix").where(
         (F.col("after").isNull() | (F.col("row_key") > F.col("after"))) & (F.col("upto").isNull() | (F.col("row_key") <= F.col("upto")))
     )
     latest = _latest(rows.drop("after", "upto"), order)

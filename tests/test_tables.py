@@ -2,7 +2,7 @@ from concurrent.futures import ThreadPoolExecutor
 from threading import Barrier
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from blockloom.functions import keys
 from blockloom.model import TX_ORDER, TX_TABLE
@@ -219,3 +219,36 @@ def test_file_work_is_done_many_at_once():
     assert sorted(done) == list(range(16))
     with pytest.raises(ZeroDivisionError):
         snapshots.for_each(lambda n: 1 / n, [1, 0], threads=2)
+
+
+def test_a_scan_shuffles_rows_of_wanted_prefixes_only(spark, plan_of, setting, monkeypatch):
+    """Hashes of the prefixes go to the rows before the join; more of them than may be sent change no result."""
+    setting("spark.sql.autoBroadcastJoinThreshold", "-1")
+    path, schema = scratch_path(spark, "table"), T.StructType.fromDDL("row_key string, v bigint")
+    rows = spark.range(2000).selectExpr("concat('a', id % 100, '/', lpad(id, 6, '0')) AS row_key", "id AS v")
+    tables.put(rows.union(rows.limit(50)), path, "job", 0, indexed=True)
+    wanted = spark.createDataFrame([("a3", None), ("a4", "a4/000204"), (None, None)], "prefix string, after string")
+    scan = tables.scan_prefixes(spark, path, schema, wanted, 3)
+    found = sorted(map(tuple, scan.collect()))
+    assert [r[0] for r in found] == ["a3/000003", "a3/000103", "a3/000203", "a4/000304", "a4/000404", "a4/000504"]
+    assert "LeftSemi" in plan_of(scan)
+    monkeypatch.setattr(tables, "_SENT", 0)
+    plain = tables.scan_prefixes(spark, path, schema, wanted, 3)
+    assert "LeftSemi" not in plan_of(plain) and sorted(map(tuple, plain.collect())) == found
+
+
+def test_an_index_shuffles_keys_once(spark, monkeypatch):
+    """It tells apart repeated keys of a file where the file's keys of a prefix are counted."""
+    path, plans, frames = scratch_path(spark, "table"), [], type(spark.range(0))
+    write = frames.repartitionByRange
+
+    def noted(frame, *args):
+        plans.append(frame._jdf.queryExecution().executedPlan().toString())
+        return write(frame, *args)
+
+    monkeypatch.setattr(frames, "repartitionByRange", noted)
+    rows = spark.createDataFrame([("a/1", 1), ("a/1", 2), ("a/2", 3), ("b", 4), (None, 5)], "row_key string, v bigint").coalesce(1)
+    tables.put(rows, path, "job", 0, indexed=True)
+    assert plans[0].count("Exchange") == 1
+    index = tables._index(spark, path, snapshots.snapshot(spark, path)).where("first IS NOT NULL").collect()
+    assert sorted((r["first"], r["last"], r["keys"]) for r in index) == [("a/1", "a/2", 2), ("b", "b", 1)]
