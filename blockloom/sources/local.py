@@ -1,4 +1,4 @@
-"""Folders on a disk that all executors reach by a local path: listed and written by tasks, with plain file calls.
+"""Folders on a disk that all executors reach by a local path: listed, read, written and removed by tasks, with plain file calls.
 
 Spark lists files on the driver and keeps an object for each. Hadoop's local file system starts a process for the mode
 of every file and folder that it makes.
@@ -11,14 +11,15 @@ import re
 import shutil
 import unicodedata
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import suppress
 from datetime import datetime, timezone
 from urllib.parse import quote
 
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.parquet as pq
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from blockloom.model import FILE_LISTING
 
@@ -121,6 +122,77 @@ def list_files(spark: SparkSession, top: str) -> DataFrame:
     return shared_out(spark, top).mapInArrow(_listed, FILE_LISTING)
 
 
+#: Bytes of files that are given to a task and handed on at once.
+_TASK_BYTES, _BATCH_BYTES = 64 << 20, 16 << 20
+
+
+def read_files(files: DataFrame) -> DataFrame:
+    """Contents of files (``path``, ``modificationTime``, ``length``): (path, modificationTime, content).
+
+    Paths are as a file source has them, not URL-encoded. Names stay with the tasks; a file that is not there is an error.
+    """
+    spark = files.sparkSession
+    rows, size = files.agg(F.count(F.lit(1)), F.sum("length")).first()
+    tasks = max(2 * spark.sparkContext.defaultParallelism, (size or 0) // _TASK_BYTES, rows // _ROWS)
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            start, held, contents = 0, 0, []
+            for number, path in enumerate(batch.column(0).to_pylist(), 1):
+                with open(path.removeprefix("file:"), "rb") as file:
+                    contents.append(file.read())
+                held += len(contents[-1])
+                if held >= _BATCH_BYTES or number == batch.num_rows:
+                    part = batch.slice(start, len(contents))
+                    yield pa.RecordBatch.from_arrays([*part.columns[:2], pa.array(contents, pa.binary())], ["path", "modificationTime", "content"])
+                    start, held, contents = number, 0, []
+
+    dealt = files.select("path", "modificationTime").repartition(min(tasks, max(1, rows)), "path")
+    return dealt.mapInArrow(read, "path string, modificationTime timestamp, content binary")
+
+
+def _done(paths: DataFrame, work: Callable[[str], None]) -> None:
+    """Do something with each path, in tasks."""
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                work(path.removeprefix("file:"))
+        yield from ()
+
+    tasks = 2 * paths.sparkSession.sparkContext.defaultParallelism
+    paths.select("path").repartition(tasks, "path").mapInArrow(each, "path string").write.format("noop").mode("overwrite").save()
+
+
+def remove_files(paths: DataFrame, top: str) -> None:
+    """Remove files, and the folders above them that become empty, up to ``top``. What has gone already is passed over."""
+
+    def remove(path: str) -> None:
+        with suppress(FileNotFoundError):
+            os.unlink(path)
+        above = os.path.dirname(path)
+        with suppress(OSError):  # not empty, or another task has removed it and goes on from there
+            while len(above) > len(top):
+                os.rmdir(above)
+                above = os.path.dirname(above)
+
+    _done(paths, remove)
+
+
+def move_files(paths: DataFrame, done: str | None) -> None:
+    """Move files below another folder, under their whole paths, or delete them. What has gone already is passed over."""
+
+    def move(path: str) -> None:
+        with suppress(FileNotFoundError):
+            if done is None:
+                os.unlink(path)
+            elif os.path.exists(path):
+                os.makedirs(os.path.dirname(done + path), exist_ok=True)
+                shutil.move(path, done + path)
+
+    _done(paths, move)
+
+
 def _folder_name(name: str, value: object) -> str:
     """A partition's folder as Spark names it."""
     text = "" if value is None else str(value)

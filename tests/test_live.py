@@ -282,3 +282,43 @@ def test_the_live_tree_is_written_as_by_spark(spark, tmp_path):
 
     assert contents(folder) == contents(other) and len(contents(folder)) == 4
     assert [p.stat().st_size for p in folder.rglob("empty.txt")] == [0] and {p.name for p in folder.iterdir()} == {p.name for p in other.iterdir() if p.name[0] not in "._"}
+
+
+def test_a_stream_of_local_files_keeps_no_names_on_the_driver(spark, places):
+    """Its source has a marker for each batch, of the files that are oldest; the names are in tables."""
+    folder, root, checkpoint, _ = places
+    for number in range(7):
+        put(folder, f"range_0_9/{number}/blocks/{number:04}.pb", b"v%d" % number)
+        os.utime(folder / f"range_0_9/{number}/blocks/{number:04}.pb", (1000 - number, 1000 - number))
+    follow(spark, places, files_per_batch=3)
+    assert [r["path"].rsplit("/", 1)[1] for r in live._logged(spark, checkpoint, 0, 9).sort("path").collect()] == [f"{n:010d}.json" for n in range(3)]
+    batches = [sorted(r["path"].rsplit("/", 1)[1] for r in live.batch_files(spark, checkpoint, n).collect()) for n in range(3)]
+    assert batches == [["0004.pb", "0005.pb", "0006.pb"], ["0001.pb", "0002.pb", "0003.pb"], ["0000.pb"]]
+    assert live.committed_files(spark, checkpoint).count() == 7 and len(stored(spark, root)) == 7
+
+
+def test_a_stream_that_spark_listed_goes_on(spark, places, monkeypatch):
+    """Files that a checkpoint of Spark's own file source has are not archived again."""
+    folder, root, checkpoint, rejects = places
+    is_local = live.local.is_local
+    put(folder, "range_0_9/1/blocks/0001.pb", b"one")
+    put(folder, "range_0_9/1/blocks/empty.pb", b"")
+    monkeypatch.setattr(live.local, "is_local", lambda spark, path: path != live.archive.qualified(spark, str(folder)) and is_local(spark, path))
+    follow(spark, places)
+    monkeypatch.undo()
+    for name in ("0002.pb", "0003.pb"):
+        put(folder, f"range_0_9/2/blocks/{name}", b"two")
+        follow(spark, places)
+    assert [r[2] for r in stored(spark, root)] == ["0001", "0002", "0003", "empty"]
+    commits = archive.read_archive(spark, root).groupBy("row_key").agg(F.count_distinct("commit_id")).collect()
+    assert sorted(map(tuple, commits)) == [("0001", 1), ("0002", 1), ("0003", 1), ("empty", 1)]
+    assert live.committed_files(spark, checkpoint).count() == 4
+
+
+def test_a_listing_that_fails_ends_the_stream(spark, places, monkeypatch):
+    folder, root, checkpoint, _ = places
+    query = live.follow(spark, str(folder), root, "live", checkpoint, "0 seconds")
+    monkeypatch.setattr(live, "look_for_files", lambda *_, **__: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        query.awaitTermination(60)
+    assert not query.isActive
